@@ -207,3 +207,566 @@ def presentation_ratings(spark, sf):
 @query
 def presentation_ratings_for_ml(spark, sf):
     return presentation.presentation_ratings_for_ml(_ratings_for_ml(spark, sf))
+
+
+# ------------------------------------------------------------------ relational curation ---
+
+def _curated(spark, sf, table, mode="all"):
+    from daybook.plans.curation import curate
+    from daybook.spec import SPECS
+
+    landed = {"orderdetails": td.landed_orderdetails, "products": td.landed_products,
+              "payments": td.landed_payments}[table](spark, sf)
+    return curate(landed, SPECS[table], mode)
+
+
+def _reasons(spark, sf, mode):
+    from daybook.operators.typing import cast_by_rules
+    from daybook.operators.validate import validate
+    from daybook.spec import SPECS
+
+    spec = SPECS["products"]
+    typed = cast_by_rules(td.landed_products(spark, sf), spec.casts)
+    return validate(typed, spec.all_rules(), mode).select(
+        "productCode", "quantityInStock", "buyPrice", "MSRP", "reject_reason")
+
+
+@query
+def typed_projection(spark, sf):
+    return _curated(spark, sf, "orderdetails").typed
+
+
+@query
+def reject_null_keys(spark, sf):
+    from daybook.operators.validate import validate
+    from daybook.spec import SPECS
+
+    spec = SPECS["orderdetails"]
+    tagged = validate(_curated(spark, sf, "orderdetails").typed, spec.key_rules(), "all")
+    return tagged.filter(F.col("reject_reason").isNotNull())
+
+
+def _validated(spark, sf, table):
+    from daybook.operators.validate import validate
+
+    b = _curated(spark, sf, table)
+    return validate(b.typed, b.spec.all_rules(), "all").withColumn("is_valid", F.col("reject_reason").isNull())
+
+
+@query
+def validate_orderdetails(spark, sf):
+    return _validated(spark, sf, "orderdetails")
+
+
+@query
+def validate_payments(spark, sf):
+    return _validated(spark, sf, "payments")
+
+
+@query
+def validate_products(spark, sf):
+    return _validated(spark, sf, "products")
+
+
+@query
+def valid_reject_split(spark, sf):
+    """Every landed line is valid or rejected (business or duplicate), never both or neither."""
+    c = _curated(spark, sf, "orderdetails").counts()
+    return c.select(F.expr("stack(3, 'source', source_rows, 'valid', valid_rows, 'rejected', rejected_rows)")
+                    .alias("bucket", "row_count"))
+
+
+@query
+def reject_reasons_all(spark, sf):
+    return _reasons(spark, sf, "all")
+
+
+@query
+def reject_reason_first(spark, sf):
+    return _reasons(spark, sf, "first")
+
+
+@query
+def reject_reason_last(spark, sf):
+    return _reasons(spark, sf, "last")
+
+
+@query
+def dedupe_batch(spark, sf):
+    return _curated(spark, sf, "orderdetails").valid
+
+
+@query
+def duplicate_rejects(spark, sf):
+    return _curated(spark, sf, "orderdetails").duplicate_rejected
+
+
+@query
+def all_rejects_orderdetails(spark, sf):
+    return _curated(spark, sf, "orderdetails").rejected()
+
+
+@query
+def latest_master_customers(spark, sf):
+    from daybook.operators.dedupe import latest_master
+
+    return latest_master(td.customers(spark, sf), "customerNumber")
+
+
+@query
+def latest_master_products(spark, sf):
+    from daybook.operators.dedupe import latest_master
+
+    return latest_master(td.products(spark, sf), "productCode")
+
+
+@query
+def known_keys_asof(spark, sf):
+    """Master keys known up to the back-filled day (only partitions <= that day count)."""
+    from daybook.operators.routing import known_keys
+
+    c = known_keys(td.customers(spark, sf), "customerNumber", td.BACKFILL_DAY)
+    p = known_keys(td.products(spark, sf), "productCode", td.BACKFILL_DAY)
+    return (c.select(F.lit("customer").alias("entity"), F.col("customerNumber").cast("string").alias("key"))
+            .unionByName(p.select(F.lit("product").alias("entity"), F.col("productCode").alias("key"))))
+
+
+# ------------------------------------------------------------------ quality ---------------
+
+def _dq_frames(spark, sf):
+    """Each table's slice of the checked run: masters of the newer day, order data of one yearly
+    batch (order lines as typed but not yet validated, so defects reach the checks), ratings of
+    one day as typed."""
+    from daybook.operators.routing import known_keys
+    from daybook.operators.typing import type_ratings
+
+    cust, prod = td.customers(spark, sf), td.products(spark, sf)
+    day = F.col("processing_date")
+    return {
+        "customers": cust.filter(day == td.NEWER_DAY),
+        "products": prod.filter(day == td.NEWER_DAY),
+        "orders": td.orders(spark, sf).filter(day == ORDER_BATCH),
+        "details": _curated(spark, sf, "orderdetails").typed.filter(day == ORDER_BATCH),
+        "ratings": type_ratings(td.landed_ratings(spark, sf)).filter(day == RATING_DAY),
+        "known_customers": known_keys(cust, "customerNumber", td.NEWER_DAY),
+        "known_products": known_keys(prod, "productCode", td.NEWER_DAY),
+    }
+
+
+@query
+def dq_suite(spark, sf):
+    from daybook.operators.quality import CountCheck, OrphanCheck, run_checks
+
+    f = _dq_frames(spark, sf)
+    c = F.col
+    return run_checks(
+        [(f["customers"], [CountCheck("customers_pk_null", c("customerNumber").isNull())]),
+         (f["products"], [CountCheck("products_pk_null", c("productCode").isNull())]),
+         (f["orders"], [CountCheck("orders_pk_null", c("orderNumber").isNull())]),
+         (f["details"], [CountCheck("negative_order_values", (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
+         (f["ratings"], [CountCheck("invalid_rating_range", ~c("productRating").between(1, 5))])],
+        [OrphanCheck("orphan_order_customer", f["orders"], "customerNumber", f["known_customers"]),
+         OrphanCheck("orphan_order_product", f["details"], "productCode", f["known_products"])],
+        run_id="run-dq", processing_date=ORDER_BATCH)
+
+
+@query
+def dq_orphan_customer(spark, sf):
+    """Payments whose customer is unknown; a NULL customer counts as an orphan."""
+    from daybook.operators.routing import known_keys
+
+    pay = _curated(spark, sf, "payments").typed
+    return pay.join(known_keys(td.customers(spark, sf), "customerNumber"), "customerNumber", "left_anti")
+
+
+@query
+def dq_orphan_product(spark, sf):
+    """Order lines whose product was not yet known on the back-filled day (as-of lookup)."""
+    from daybook.operators.routing import known_keys
+
+    lines = _curated(spark, sf, "orderdetails").typed
+    return lines.join(known_keys(td.products(spark, sf), "productCode", td.BACKFILL_DAY), "productCode", "left_anti")
+
+
+def _star(spark, sf):
+    fact = _fact_order_items(spark, sf)
+    return {
+        "dim_customers": star.dim_customers(staging.stg_customers(td.customers(spark, sf))),
+        "dim_products": star.dim_products(staging.stg_products(td.products(spark, sf))),
+        "fact_order_items": fact,
+        "dim_date": star.dim_date(fact),
+        "fact_product_ratings": _fact_product_ratings(spark, sf),
+    }
+
+
+def _summarise(parts):
+    out = None
+    for model, column, failing in parts:
+        one = failing.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(model).alias("model"), F.lit(column).alias("column_name"), "failures")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def test_not_null(spark, sf):
+    from daybook.operators.quality import test_not_null as t
+
+    s = _star(spark, sf)
+    uses = [("dim_customers", "customer_number"), ("dim_products", "product_code"),
+            ("fact_order_items", "order_item_id"), ("fact_order_items", "quantity_ordered"),
+            ("fact_order_items", "gross_amount"), ("fact_product_ratings", "rating_id")]
+    return _summarise([(m, col, t(s[m], col)) for m, col in uses])
+
+
+@query
+def test_unique(spark, sf):
+    from daybook.operators.quality import test_unique as t
+
+    s = _star(spark, sf)
+    uses = [("dim_customers", "customer_number"), ("dim_products", "product_code"),
+            ("fact_order_items", "order_item_id"), ("fact_product_ratings", "rating_id")]
+    return _summarise([(m, col, t(s[m], col)) for m, col in uses])
+
+
+@query
+def test_accepted_values(spark, sf):
+    """Failing rows: order lines whose status is outside the accepted list (re-sent 'COMPLETE')."""
+    from daybook.operators.quality import test_accepted_values as t
+    from daybook.spec import ORDER_STATUSES
+
+    s = _star(spark, sf)
+    bad_status = t(s["fact_order_items"], "order_status", ORDER_STATUSES).select(
+        F.lit("fact_order_items.order_status").alias("test"), F.col("order_item_id").alias("row_id"),
+        F.col("order_status").alias("value"))
+    bad_rating = t(s["fact_product_ratings"], "product_rating", [1, 2, 3, 4, 5]).select(
+        F.lit("fact_product_ratings.product_rating").alias("test"), F.col("rating_id").alias("row_id"),
+        F.col("product_rating").cast("string").alias("value"))
+    return bad_status.unionByName(bad_rating)
+
+
+@query
+def test_expression(spark, sf):
+    """Failing rows of ``credit_limit >= 0`` and ``quantity_in_stock >= 0``."""
+    from daybook.operators.quality import test_expression as t
+
+    s = _star(spark, sf)
+    a = t(s["dim_customers"], "credit_limit", ">= 0").select(
+        F.lit("dim_customers.credit_limit").alias("test"), F.col("customer_number").cast("string").alias("row_id"),
+        F.col("credit_limit").cast("string").alias("value"))
+    b = t(s["dim_products"], "quantity_in_stock", ">= 0").select(
+        F.lit("dim_products.quantity_in_stock").alias("test"), F.col("product_code").alias("row_id"),
+        F.col("quantity_in_stock").cast("string").alias("value"))
+    return a.unionByName(b)
+
+
+@query
+def test_relationships(spark, sf):
+    from daybook.operators.quality import test_relationships as t
+
+    s = _star(spark, sf)
+    f, r = s["fact_order_items"], s["fact_product_ratings"]
+    uses = [("fact_order_items", "customer_number", t(f, "customer_number", s["dim_customers"], "customer_number")),
+            ("fact_order_items", "product_code", t(f, "product_code", s["dim_products"], "product_code")),
+            ("fact_order_items", "order_date_key", t(f, "order_date_key", s["dim_date"], "date_key")),
+            ("fact_product_ratings", "customer_number",
+             t(r, "customer_number", s["dim_customers"], "customer_number")),
+            ("fact_product_ratings", "product_code", t(r, "product_code", s["dim_products"], "product_code"))]
+    return _summarise(uses)
+
+
+@query
+def test_positive_order_values(spark, sf):
+    f = _fact_order_items(spark, sf)
+    return f.filter((F.col("quantity_ordered") <= 0) | (F.col("price_each") < 0) | (F.col("gross_amount") < 0))
+
+
+# ------------------------------------------------------------------ mutable state ---------
+
+def _prev_day(day: str) -> str:
+    import datetime as dt
+
+    return (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
+
+
+@query
+def upsert_events(spark, sf):
+    """Events before the day as target; the day's events plus re-sent events of the previous day
+    (changed rating, moving to the day's partition) as source."""
+    rfml = _ratings_for_ml(spark, sf)
+    day = F.col("processing_date")
+    target = rfml.filter(day < RATING_DAY)
+    resent = (rfml.filter((day == _prev_day(RATING_DAY)) & (F.col("source") == "ratings/click.json"))
+              .withColumns({"productRating": (F.lit(6) - F.col("productRating")).cast("int"),
+                            "ingest_ts": F.col("ingest_ts") + F.expr("INTERVAL 1 DAY"),
+                            "processing_date": F.lit(RATING_DAY),
+                            "processing_ts": ratings.batch_ts(F.lit(RATING_DAY))}))
+    source = rfml.filter(day == RATING_DAY).unionByName(resent)
+    return ratings.merge_events(target, source)
+
+
+@query
+def upsert_latest_wins(spark, sf):
+    """State from the days before; the day's newest rating per pair, with 'view' events arriving
+    20 days late, merged so that a late event never overwrites newer state."""
+    rfml = _ratings_for_ml(spark, sf)
+    day = F.col("processing_date")
+    state = latest_by(rfml.filter(day < RATING_DAY), ["customerNumber", "productCode"],
+                      ["ratingTimestamp", "processing_date", "ingest_ts"]).select(*ratings.RATINGS_SCHEMA.fieldNames())
+    shifted = rfml.filter(day == RATING_DAY).withColumn(
+        "ratingTimestamp", F.when(F.col("source") == "ratings/view.json",
+                                  F.col("ratingTimestamp") - F.expr("INTERVAL 20 DAYS"))
+        .otherwise(F.col("ratingTimestamp")))
+    return ratings.merge_latest(state, ratings.latest_per_pair(shifted))
+
+
+@query
+def insert_if_absent(spark, sf):
+    """Customers first written by the newer day's batch keep their row; the base batch only adds
+    customers that were absent."""
+    from daybook.operators.upsert import insert_if_absent as ins
+
+    c = td.customers(spark, sf)
+    day = F.col("processing_date")
+    return ins(c.filter(day == td.NEWER_DAY), c.filter(day == td.BASE_DAY), ["customerNumber"])
+
+
+@query
+def schema_clone(spark, sf):
+    from daybook.sinks.tables import schema_clone as clone
+
+    return clone(td.orders(spark, sf))
+
+
+@query
+def incremental_or_filter(spark, sf):
+    """Fact slice of one batch: lines or orders of that batch (key-set rewrite of the OR filter)."""
+    return _fact_order_items(spark, sf, ORDER_BATCH, slice_mode="keys")
+
+
+@query
+def incremental_fact_merge(spark, sf):
+    """Fact built from batches before the day, then the day's slice merged on order_item_id."""
+    day = F.col("processing_date")
+    o, d = td.orders(spark, sf), td.orderdetails(spark, sf)
+    before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < ORDER_BATCH)),
+                                   staging.stg_orders(o.filter(day < ORDER_BATCH)))
+    upto_d, upto_o = d.filter(day <= ORDER_BATCH), o.filter(day <= ORDER_BATCH)
+    fresh = star.fact_order_items(staging.stg_orderdetails(upto_d), staging.stg_orders(upto_o), ORDER_BATCH)
+    return star.build_incremental(before, fresh, "order_item_id")
+
+
+@query
+def incremental_dim_slice(spark, sf):
+    """The back-filled day arrives after the dimension was built: ranking happens before the day
+    slice, so the old version never replaces the newer one and the dimension is unchanged."""
+    c = td.customers(spark, sf)
+    existing = star.dim_customers(staging.stg_customers(c.filter(F.col("processing_date") != td.BACKFILL_DAY)))
+    fresh = star.dim_customers(staging.stg_customers(c), processing_date=td.BACKFILL_DAY)
+    return star.build_incremental(existing, fresh, "customer_number")
+
+
+# ------------------------------------------------------------------ operations ------------
+
+def _all_counts(spark, sf):
+    from daybook.plans.curation import curate
+    from daybook.spec import SPECS
+
+    landed = td.landed_tables(spark, sf)
+    out = None
+    for name in SPECS:
+        c = curate(landed[name], SPECS[name]).counts()
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query
+def valid_rejected_totals(spark, sf):
+    from daybook.operators.audit import FAILED  # noqa: F401
+
+    return _all_counts(spark, sf).agg(
+        F.sum("valid_rows").cast("bigint").alias("valid_rows"),
+        F.sum("rejected_rows").cast("bigint").alias("rejected_rows"),
+    ).withColumn("status", F.when(F.col("rejected_rows") > 0, "SUCCEEDED_WITH_REJECTS").otherwise("SUCCEEDED"))
+
+
+@query
+def reconcile_counts(spark, sf):
+    return _all_counts(spark, sf).withColumns({
+        "balanced": F.col("source_rows") == F.col("valid_rows") + F.col("rejected_rows"),
+        "status": F.when(F.col("rejected_rows") > 0, "SUCCEEDED_WITH_REJECTS").otherwise("SUCCEEDED"),
+    })
+
+
+def _audit_events(spark, sf):
+    e = td.table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    status = (F.when(F.col("event_type").isin("signup", "view"), "RUNNING")
+              .when(F.col("event_type") == "click", "SUCCEEDED")
+              .when(F.col("event_type") == "purchase", "SUCCEEDED_WITH_REJECTS")
+              .when(F.col("event_type") == "error", "FAILED"))
+    terminal = ~F.col("event_type").isin("signup", "view")
+    return e.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
+        F.concat(F.lit("stage_"), (k % 10).cast("string")).alias("stage"),
+        status.alias("status"),
+        F.col("ts").cast("timestamp").alias("event_ts"),
+        F.col("event_id").alias("seq"),
+        F.when(terminal & (F.col("event_id") % 3 != 0),
+               F.create_map(F.lit("valid_rows"), F.floor("value").cast("string"))).alias("metrics"),
+        F.when(F.col("event_type") == "error",
+               F.concat(F.lit("ValueError: value "), F.floor("value").cast("string"))).alias("error_message"),
+    )
+
+
+@query
+def audit_latest_state(spark, sf):
+    from daybook.operators.audit import fold
+
+    s = fold(_audit_events(spark, sf))
+    return s.withColumn("valid_rows", F.col("metrics")["valid_rows"]).drop("metrics")
+
+
+@query
+def run_status_rollup(spark, sf):
+    from daybook.operators.audit import fold, run_rollup
+
+    return run_rollup(fold(_audit_events(spark, sf)))
+
+
+def _messages(spark, sf, truncate_every: int | None = None):
+    """Events rendered as queue messages: odd ids wrapped in a topic envelope, even ids raw."""
+    e = td.table(spark, sf, "events")
+    rec = F.struct(
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"),
+        F.struct(F.struct(F.lit("landing-bucket").alias("name")).alias("bucket"),
+                 F.struct(F.concat(F.lit("incoming/"), F.col("event_type"), F.lit("/"),
+                                   F.col("event_id").cast("string"), F.lit("+part%2F1.json")).alias("key"))
+                 .alias("object")).alias("s3"))
+    event = F.to_json(F.struct(F.array(rec).alias("Records")))
+    body = F.when(F.col("event_id") % 2 == 1, F.to_json(F.struct(event.alias("Message")))).otherwise(event)
+    if truncate_every:
+        body = F.when(F.col("event_id") % truncate_every == 0, F.substring(body, 1, 40)).otherwise(body)
+    return e.select(F.concat(F.lit("msg-"), F.col("event_id").cast("string")).alias("message_id"), body.alias("body"))
+
+
+@query
+def event_notification_flatten(spark, sf):
+    from daybook.sources.notifications import flatten
+
+    return flatten(_messages(spark, sf))
+
+
+@query
+def malformed_quarantine(spark, sf):
+    """Parsed records plus quarantined messages (every 50th message is cut short)."""
+    from daybook.sources.notifications import flatten, quarantine
+
+    m = _messages(spark, sf, truncate_every=50)
+    ok = flatten(m).withColumn("quarantined", F.lit(False))
+    bad = quarantine(m).select("message_id", F.lit(None).cast("string").alias("bucket"),
+                               F.lit(None).cast("string").alias("key"),
+                               F.lit(None).cast("string").alias("processing_date"), F.lit(True).alias("quarantined"))
+    return ok.unionByName(bad)
+
+
+@query
+def scalar_functions(spark, sf):
+    from daybook.functions import month_name, surrogate_key, truncate, weekday_sun0
+
+    c = td.customers(spark, sf).filter(F.col("processing_date") == td.BASE_DAY)
+    credit = F.col("creditLimit")
+    d = F.date_add(F.to_date(F.lit(td.BASE_DAY)), (F.col("customerNumber") % 400).cast("int"))
+    return c.select(
+        "customerNumber",
+        F.upper(F.trim("contactFirstName")).alias("contact_upper"),
+        surrogate_key(F.col("customerNumber"), F.col("customerName")).alias("key_md5"),
+        F.concat_ws("; ", F.col("city"), F.lit(None).cast("string"), F.col("state")).alias("place"),
+        F.concat(F.col("customerName"), F.when(credit >= 0, F.lit("+"))).alias("name_if_positive"),
+        F.when(credit < 0, "negative").when(credit.between(0, 5000), "low").otherwise("high").alias("credit_band"),
+        F.coalesce(F.when(credit >= 0, credit), F.lit(0.0)).alias("credit_or_zero"),
+        truncate(F.col("customerName"), 10).alias("name10"),
+        d.alias("some_day"),
+        F.year(d).cast("int").alias("y"), F.month(d).cast("int").alias("m"), F.dayofmonth(d).cast("int").alias("d"),
+        F.quarter(d).cast("int").alias("q"), weekday_sun0(d).alias("dow"), month_name(d).alias("month_name"),
+        F.date_sub(d, 1).alias("day_before"),
+    )
+
+
+# ------------------------------------------------------------------ ingestion -------------
+
+@query
+def ingest_metadata(spark, sf):
+    import datetime as dt
+
+    from daybook.context import RunContext
+    from daybook.operators.typing import add_ingest_metadata
+
+    ctx = RunContext(processing_date=ORDER_BATCH, run_id="run-0001", run_ts=dt.datetime(2000, 1, 1, 2, 0))
+    o = td.orders(spark, sf).drop("ingest_ts", "source", "processing_date")
+    return add_ingest_metadata(o, ctx, "mysql_rds")
+
+
+@query
+def ingest_row_counts(spark, sf):
+    tables = dict(td.landed_tables(spark, sf))
+    tables["ratings"] = td.landed_ratings(spark, sf)
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def incremental_window_scan(spark, sf):
+    """Orders updated inside one month, half-open [start, end): both bounds reach the scan."""
+    from daybook.sources.files import window_scan
+
+    return window_scan(td.table(spark, sf, "orders"), "o_orderdate", "1998-03-01", "1998-04-01")
+
+
+def _scratch(spark, name):
+    import tempfile
+
+    from daybook.context import checkpoint_dir
+
+    root = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="daybook-ckpt-"))
+    import uuid
+
+    return f"{root.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@query
+def csv_landing_roundtrip(spark, sf):
+    """Landed products written as CSV and read back with the all-string schema."""
+    from daybook.sinks.tables import read_landing_csv, write_landing_csv
+
+    df = td.landed_products(spark, sf)
+    path = _scratch(spark, "csv")
+    write_landing_csv(df, path)
+    return read_landing_csv(spark, path, df.schema)
+
+
+@query
+def json_landing_roundtrip(spark, sf):
+    from daybook.sinks.tables import read_landing_json, write_landing_json
+
+    df = td.landed_ratings(spark, sf)
+    path = _scratch(spark, "json")
+    write_landing_json(df, path)
+    return read_landing_json(spark, path, df.schema)
+
+
+@query
+def partition_overwrite(spark, sf):
+    """Order lines written by yearly batch; one batch is replaced by a changed slice; all read back."""
+    from daybook.sinks.tables import replace_partition
+
+    d = td.orderdetails(spark, sf)
+    path = _scratch(spark, "orderdetails")
+    d.write.mode("overwrite").partitionBy("processing_date").parquet(path)
+    changed = (d.filter(F.col("processing_date") == ORDER_BATCH)
+               .withColumn("quantityOrdered", F.col("quantityOrdered") + 1))
+    replace_partition(changed, path, "processing_date", ORDER_BATCH)
+    return spark.read.schema(d.schema).parquet(path)

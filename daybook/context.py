@@ -77,7 +77,7 @@ class RunContext:
         """The run's timestamp as a literal, or ``current_timestamp()`` when not pinned."""
         if self.run_ts is None:
             return F.current_timestamp()
-        return F.lit(self.run_ts).cast("timestamp")
+        return F.lit(self.run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
     @property
     def window_start(self) -> _dt.datetime:
