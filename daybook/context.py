@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 # Settings every stage relies on. Timestamps are rendered in UTC; partition values such as
 # processing_date=2024-01-01 stay strings (lexical order = date order) instead of being inferred
-# as DATE; AQE coalesces small shuffles and splits skewed join partitions at runtime.
+# as DATE; AQE coalesces small shuffles and splits skewed join partitions at runtime. A fused
+# whole-stage method above 8000 bytes of bytecode is never JIT-compiled by HotSpot and would run
+# interpreted (rule masks over many typed columns produce such methods), so Spark is told to fall
+# back to per-operator generated code for those stages instead.
 SESSION_SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",

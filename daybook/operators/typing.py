@@ -37,6 +37,16 @@ def cast_by_rules(df: DataFrame, casts: Iterable[tuple[str, str]]) -> DataFrame:
     return df.withColumns(typed) if typed else df
 
 
+def conform(df: DataFrame, spec) -> DataFrame:
+    """Align a landed frame to its spec: missing declared columns become NULL text, unknown extra
+    columns pass through as they are, a missing key column is an error."""
+    missing_keys = [k for k in spec.primary_key if k not in df.columns]
+    if missing_keys:
+        raise ValueError(f"{spec.name}: key column(s) missing from input: {missing_keys}")
+    add = {f.name: F.lit(None).cast("string") for f in spec.schema.fields if f.name not in df.columns}
+    return df.withColumns(add) if add else df
+
+
 def add_ingest_metadata(df: DataFrame, ctx: RunContext, source: Column | str) -> DataFrame:
     """Landing lineage: when, from where, for which logical day, by which attempt."""
     src = F.lit(source) if isinstance(source, str) else source

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.dedupe import dedupe
 from daybook.operators.typing import cast_by_rules
-from daybook.operators.validate import split
+from daybook.operators.validate import invalid_mask, split
 from daybook.spec import DUPLICATE_KEY_REASON, TableSpec
 
 
@@ -20,20 +20,34 @@ class CuratedBatch:
     valid: DataFrame
     business_rejected: DataFrame
     duplicate_rejected: DataFrame
+    keys: tuple[str, ...] = ()
 
     def rejected(self) -> DataFrame:
         """Business and duplicate rejects; missing columns are NULL (``rejected_at`` is added by the sink)."""
         return self.business_rejected.unionByName(self.duplicate_rejected, allowMissingColumns=True)
 
     def counts(self) -> DataFrame:
-        """(table_name, source_rows, valid_rows, rejected_rows): one small aggregate per side."""
-        parts = [(self.typed, "source_rows"), (self.valid, "valid_rows"), (self.rejected(), "rejected_rows")]
-        tall = None
-        for df, metric in parts:
-            one = df.agg(F.count(F.lit(1)).alias("n")).withColumn("metric", F.lit(metric))
-            tall = one if tall is None else tall.unionByName(one)
-        return (tall.groupBy(F.lit(self.spec.name).alias("table_name"))
-                .agg(*[F.sum(F.when(F.col("metric") == m, F.col("n"))).cast("bigint").alias(m) for _, m in parts]))
+        """(table_name, source_rows, valid_rows, rejected_rows) without running the dedupe.
+
+        The kept rows are exactly one per distinct key among rule-valid rows, so two small
+        aggregates answer it: ``count`` / ``count_if(invalid)`` over the typed rows and a distinct
+        key count over the valid ones (both combine map-side). Duplicates = valid - kept.
+        """
+        mask = invalid_mask(self.spec.all_rules())
+        totals = self.typed.agg(F.count(F.lit(1)).alias("source_rows"),
+                                F.count_if(mask).alias("business_rejected"))
+        kept = (self.typed.filter(~mask).select(*self.keys).distinct()
+                .agg(F.count(F.lit(1)).alias("kept")))
+        tall = (totals.select(F.lit("source_rows").alias("metric"), F.col("source_rows").alias("n"))
+                .unionByName(totals.select(F.lit("business_rejected").alias("metric"),
+                                           F.col("business_rejected").alias("n")))
+                .unionByName(kept.select(F.lit("kept").alias("metric"), F.col("kept").alias("n"))))
+        wide = tall.groupBy(F.lit(self.spec.name).alias("table_name")).agg(
+            *[F.sum(F.when(F.col("metric") == m, F.col("n"))).cast("bigint").alias(m)
+              for m in ("source_rows", "business_rejected", "kept")])
+        return wide.select(
+            "table_name", "source_rows", F.col("kept").alias("valid_rows"),
+            (F.col("source_rows") - F.col("kept")).alias("rejected_rows"))
 
 
 def curate(landed: DataFrame, spec: TableSpec, mode: str = "all", per_batch: bool = True) -> CuratedBatch:
@@ -42,4 +56,4 @@ def curate(landed: DataFrame, spec: TableSpec, mode: str = "all", per_batch: boo
     valid, business = split(typed, spec.all_rules(), mode)
     keys = list(spec.primary_key) + (["processing_date"] if per_batch and "processing_date" in landed.columns else [])
     kept, dups = dedupe(valid, keys, ["ingest_ts"], DUPLICATE_KEY_REASON)
-    return CuratedBatch(spec, typed, kept, business, dups)
+    return CuratedBatch(spec, typed, kept, business, dups, tuple(keys))

@@ -84,65 +84,99 @@ def schema_clone(df: DataFrame) -> DataFrame:
 
 
 class VersionedTable:
-    """A mutable table without a table format: immutable versions plus a pointer file.
+    """A mutable table without a table format: immutable version directories plus a manifest.
 
-    ``commit(df)`` writes a complete new version directory and then switches ``_current`` to it
-    (readers see the old or the new version, never an empty table); ``merge`` rewrites only the
-    partitions a MERGE touches and carries the other partitions' files over by reference.
-    Single writer per table (as the reference's single active run guarantees).
+    The manifest (one small JSON file, replaced by write-then-rename) lists the data schema and,
+    for a partitioned table, which version directory holds each partition value. A full ``commit``
+    writes a new version of everything; ``merge`` writes only the partitions a MERGE touches and
+    re-points those entries, so untouched partitions keep their files. Readers see the old or the
+    new manifest, never an empty table. Single writer per table (the single active run).
     """
 
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None):
         self.spark, self.root, self.partition_by = spark, root.rstrip("/"), partition_by
 
-    # pointer handling through the Hadoop FileSystem of the path (works on any shared store)
     def _fs(self):
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
 
-    def current_version(self) -> str | None:
+    def manifest(self) -> dict | None:
+        import json
+
         fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_current")
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest.json")
         if not fs.exists(p):
             return None
         stream = fs.open(p)
         try:
-            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def read(self, schema=None) -> DataFrame | None:
-        v = self.current_version()
-        if v is None:
-            return None
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.option("basePath", f"{self.root}/{v}").parquet(f"{self.root}/{v}")
+    def _write_manifest(self, m: dict) -> None:
+        import json
 
-    def commit(self, df: DataFrame) -> str:
-        version = f"v{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(self.partition_by)
-        w.parquet(f"{self.root}/{version}")
         fs, jvm = self._fs()
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_current.{version}")
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest.{uuid.uuid4().hex[:8]}.tmp")
         out = fs.create(tmp, True)
-        out.write(version.encode("utf-8"))
+        out.write(json.dumps(m, sort_keys=True).encode("utf-8"))
         out.close()
-        dst = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_current")
+        dst = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest.json")
         fs.delete(dst, False)
         fs.rename(tmp, dst)
+
+    def _partitions_in(self, version: str) -> list[str]:
+        fs, jvm = self._fs()
+        base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{version}")
+        if not fs.exists(base):
+            return []
+        prefix = f"{self.partition_by}="
+        return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(base)
+                if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+
+    def read(self) -> DataFrame | None:
+        from pyspark.sql.types import StructType
+
+        m = self.manifest()
+        if m is None:
+            return None
+        schema = StructType.fromJson(m["schema"])
+        if not self.partition_by:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{m['version']}")
+        pc = self.partition_by
+        data_schema = StructType([f for f in schema.fields if f.name != pc])
+        paths = [f"{self.root}/{v}/{pc}={val}" for val, v in sorted(m["parts"].items())]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        df = self.spark.read.schema(data_schema).parquet(*paths)
+        value = F.regexp_extract(F.col("_metadata.file_path"), f"/{pc}=([^/]+)/", 1)
+        return df.withColumn(pc, value).select(*schema.fieldNames())
+
+    def _write_version(self, df: DataFrame) -> str:
+        version = f"v{uuid.uuid4().hex[:12]}"
+        w = df.write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(self.partition_by)
+        w.parquet(f"{self.root}/{version}")
+        return version
+
+    def commit(self, df: DataFrame) -> str:
+        version = self._write_version(df)
+        m = {"schema": df.schema.jsonValue(), "partition_by": self.partition_by}
+        if self.partition_by:
+            m["parts"] = {val: version for val in self._partitions_in(version)}
+        else:
+            m["version"] = version
+        self._write_manifest(m)
         return version
 
     def merge(self, source: DataFrame, keys: list[str], update_when=None) -> str:
-        """MERGE ``source`` into the current version.
+        """MERGE ``source`` into the table.
 
-        Partitioned tables rewrite only the touched partitions: those of the source rows and those
-        holding a target row whose key occurs in the source (an updated row may move partition).
-        The touched-partition list is small (distinct partition values), never the rows.
+        Touched partitions are those of the source rows and those holding a target row whose key
+        occurs in the source (an updated row may move partition). Only their distinct values
+        reach the driver, never rows.
         """
         from daybook.operators.upsert import upsert
 
@@ -152,9 +186,14 @@ class VersionedTable:
         if not self.partition_by:
             return self.commit(upsert(target, source, keys, update_when))
         pc = self.partition_by
-        hit = target.join(source.select(*keys).distinct(), keys, "left_semi").select(pc)
-        touched = [r[0] for r in source.select(pc).union(hit).distinct().collect()]
-        affected = target.filter(F.col(pc).isin(touched))
-        merged = upsert(affected, source, keys, update_when)
-        untouched = target.filter(~F.col(pc).isin(touched))
-        return self.commit(untouched.unionByName(merged))
+        source = source.select(*target.columns)
+        hit = target.join(source.select(*keys).distinct(), list(keys), "left_semi").select(pc)
+        touched = sorted(r[0] for r in source.select(pc).union(hit).distinct().collect())
+        merged = upsert(target.filter(F.col(pc).isin(touched)), source, keys, update_when)
+        version = self._write_version(merged)
+        m = self.manifest()
+        parts = {k: v for k, v in m["parts"].items() if k not in set(touched)}
+        parts.update({val: version for val in self._partitions_in(version)})
+        m["parts"] = parts
+        self._write_manifest(m)
+        return version

@@ -44,10 +44,16 @@ def landing_path(root: str, source: str, table: str, processing_date: str) -> st
     return f"{root.rstrip('/')}/landing_zone/{source}/{table}/processing_date={processing_date}"
 
 
-def read_landed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A landed CSV partition with a declared all-string schema (an empty day keeps its columns)."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-            .csv(path))
+def read_landed_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A landed CSV partition, every column text. Without a schema the header names the columns
+    (no inference); an empty day still carries its header, so its columns survive."""
+    from daybook.sinks.tables import CSV_NULL
+
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
+        .option("nullValue", CSV_NULL).option("emptyValue", "")
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.csv(path)
 
 
 def read_landed_json(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
