@@ -68,6 +68,11 @@ def latest_per_pair(ratings_for_ml_day: DataFrame) -> DataFrame:
     return latest_by(ratings_for_ml_day, keys, ["ratingTimestamp", "ingest_ts"]).select(*RATINGS_SCHEMA.fieldNames())
 
 
-def merge_latest(state: DataFrame, latest: DataFrame) -> DataFrame:
-    """Conditional MERGE on the pair: a late event (older rating time) never overwrites newer state."""
-    return upsert(state, latest, list(RATING_PAIR), update_when=latest_wins("ratingTimestamp"))
+def merge_latest(state: DataFrame, latest: DataFrame, check_unique: bool = True) -> DataFrame:
+    """Conditional MERGE on the pair: a late event (older rating time) never overwrites newer state.
+
+    ``check_unique=False`` skips the duplicate-source check (an extra pass over the source) when
+    the source is one day's ``latest_per_pair`` output, which is unique per pair by construction.
+    """
+    return upsert(state, latest, list(RATING_PAIR), update_when=latest_wins("ratingTimestamp"),
+                  check_unique=check_unique)

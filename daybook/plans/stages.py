@@ -88,6 +88,8 @@ def land_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, source_dir: s
 
 def transform_relational(spark: SparkSession, ctx: RunContext, lake: Lake, tables=tuple(SPECS)) -> dict:
     """Landing CSV -> typed, validated, deduplicated curated partition + rejects of the run."""
+    from pyspark.sql import Observation
+
     from daybook.operators.typing import conform
 
     totals = {"valid_rows": 0, "rejected_rows": 0}
@@ -96,10 +98,11 @@ def transform_relational(spark: SparkSession, ctx: RunContext, lake: Lake, table
         landed = read_landed_csv(spark, lake.landing("rds", table, ctx.processing_date), None)
         batch = curate(conform(landed, spec).drop("processing_date", "run_id"), spec, per_batch=False)
         totals["rejected_rows"] += write_rejects(batch.rejected(), lake.root, table, ctx)
-        curated = batch.valid.withColumns({"curated_ts": ctx.now(), "source": F.lit(ctx.curated_source)})
+        obs = Observation(f"curated_{table}")
+        curated = (batch.valid.withColumns({"curated_ts": ctx.now(), "source": F.lit(ctx.curated_source)})
+                   .observe(obs, F.count(F.lit(1)).alias("n")))
         replace_partition(curated, lake.curated(table), "processing_date", ctx.processing_date)
-        totals["valid_rows"] += spark.read.parquet(
-            f"{lake.curated(table)}/processing_date={ctx.processing_date}").count()
+        totals["valid_rows"] += int(obs.get["n"])
     return totals
 
 
@@ -125,7 +128,8 @@ def merge_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> None:
     state = VersionedTable(spark, lake.lakehouse("ratings"))
     if state.read() is None:
         state.commit(latest.limit(0))
-    state.merge(latest, ["customerNumber", "productCode"], ratings.latest_wins("ratingTimestamp"))
+    state.merge(latest, ["customerNumber", "productCode"], ratings.latest_wins("ratingTimestamp"),
+                check_unique=False)
 
 
 # ------------------------------------------------------------------ gate ------------------

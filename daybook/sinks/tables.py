@@ -65,9 +65,10 @@ def read_landing_json(spark: SparkSession, path: str, schema, multiline: bool =
 
 
 def write_rejects(rejected: DataFrame, root: str, table: str, ctx: RunContext) -> int:
-    """Rejects of one run, only when there are any; returns the number written.
+    """Rejects of one run, kept only when there are any; returns their number.
 
-    The count comes from an ``Observation`` on the write itself, not from a second job.
+    The count comes from an ``Observation`` on the write itself (one job, not count-then-write);
+    an empty result's folder is removed afterwards.
     """
     from pyspark.sql import Observation
 
@@ -75,7 +76,13 @@ def write_rejects(rejected: DataFrame, root: str, table: str, ctx: RunContext) -
     out = rejected.withColumn("rejected_at", ctx.now()).observe(obs, F.count(F.lit(1)).alias("n"))
     path = partition_path(root, f"rejected_zone/{table}", processing_date=ctx.processing_date, run_id=ctx.run_id)
     out.write.mode("overwrite").parquet(path)
-    return int(obs.get["n"])
+    n = int(obs.get["n"])
+    if n == 0:
+        spark = rejected.sparkSession
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
 
 
 def schema_clone(df: DataFrame) -> DataFrame:
@@ -86,7 +93,7 @@ def schema_clone(df: DataFrame) -> DataFrame:
 class VersionedTable:
     """A mutable table without a table format: immutable version directories plus a manifest.
 
-    The manifest (one small JSON file, replaced by write-then-rename) lists the data schema and,
+    The manifest (a small JSON file per commit, sequence-numbered) lists the data schema and,
     for a partitioned table, which version directory holds each partition value. A full ``commit``
     writes a new version of everything; ``merge`` writes only the partitions a MERGE touches and
     re-points those entries, so untouched partitions keep their files. Readers see the old or the
@@ -101,30 +108,44 @@ class VersionedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
 
+    def _manifests(self) -> list:
+        fs, jvm = self._fs()
+        base = jvm.org.apache.hadoop.fs.Path(self.root)
+        if not fs.exists(base):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(base)]
+        return sorted(n for n in names if n.startswith("_manifest_") and n.endswith(".json"))
+
     def manifest(self) -> dict | None:
+        """The newest committed manifest (highest sequence number), or None for a new table."""
         import json
 
-        fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest.json")
-        if not fs.exists(p):
+        found = self._manifests()
+        if not found:
             return None
-        stream = fs.open(p)
+        fs, jvm = self._fs()
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{found[-1]}"))
         try:
             return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
     def _write_manifest(self, m: dict) -> None:
+        """Commit point: the manifest is written under a temporary name and renamed to the next
+        sequence number. A rename onto a new name is atomic, so a crash leaves either the old or
+        the new manifest as the newest one, never none."""
         import json
 
+        found = self._manifests()
+        seq = int(found[-1][len("_manifest_"):-len(".json")]) + 1 if found else 0
         fs, jvm = self._fs()
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest.{uuid.uuid4().hex[:8]}.tmp")
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/.tmp_manifest_{uuid.uuid4().hex[:8]}")
         out = fs.create(tmp, True)
         out.write(json.dumps(m, sort_keys=True).encode("utf-8"))
         out.close()
-        dst = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest.json")
-        fs.delete(dst, False)
-        fs.rename(tmp, dst)
+        if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest_{seq:020d}.json")):
+            fs.delete(tmp, False)
+            raise RuntimeError(f"concurrent commit on {self.root}: manifest {seq} already exists")
 
     def _partitions_in(self, version: str) -> list[str]:
         fs, jvm = self._fs()
@@ -171,7 +192,7 @@ class VersionedTable:
         self._write_manifest(m)
         return version
 
-    def merge(self, source: DataFrame, keys: list[str], update_when=None) -> str:
+    def merge(self, source: DataFrame, keys: list[str], update_when=None, check_unique: bool = True) -> str:
         """MERGE ``source`` into the table.
 
         Touched partitions are those of the source rows and those holding a target row whose key
@@ -184,12 +205,12 @@ class VersionedTable:
         if target is None:
             return self.commit(source)
         if not self.partition_by:
-            return self.commit(upsert(target, source, keys, update_when))
+            return self.commit(upsert(target, source, keys, update_when, check_unique))
         pc = self.partition_by
         source = source.select(*target.columns)
         hit = target.join(source.select(*keys).distinct(), list(keys), "left_semi").select(pc)
         touched = sorted(r[0] for r in source.select(pc).union(hit).distinct().collect())
-        merged = upsert(target.filter(F.col(pc).isin(touched)), source, keys, update_when)
+        merged = upsert(target.filter(F.col(pc).isin(touched)), source, keys, update_when, check_unique)
         version = self._write_version(merged)
         m = self.manifest()
         parts = {k: v for k, v in m["parts"].items() if k not in set(touched)}
