@@ -45,8 +45,8 @@ def _stg_orderdetails(spark, sf):
     return staging.stg_orderdetails(td.orderdetails(spark, sf))
 
 
-def _fact_order_items(spark, sf, day=None, slice_mode="or"):
-    return star.fact_order_items(_stg_orderdetails(spark, sf), _stg_orders(spark, sf), day, slice_mode)
+def _fact_order_items(spark, sf, day=None):
+    return star.fact_order_items(_stg_orderdetails(spark, sf), _stg_orders(spark, sf), day)
 
 
 def _ratings_batch(spark, sf):
@@ -541,8 +541,8 @@ def schema_clone(spark, sf):
 
 @query
 def incremental_or_filter(spark, sf):
-    """Fact slice of one batch: lines or orders of that batch (key-set rewrite of the OR filter)."""
-    return _fact_order_items(spark, sf, ORDER_BATCH, slice_mode="keys")
+    """Fact slice of one batch: lines or orders of that batch (ranking only the affected orders)."""
+    return star.fact_order_items_slice(td.orderdetails(spark, sf), td.orders(spark, sf), ORDER_BATCH)
 
 
 @query
@@ -552,9 +552,8 @@ def incremental_fact_merge(spark, sf):
     o, d = td.orders(spark, sf), td.orderdetails(spark, sf)
     before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < ORDER_BATCH)),
                                    staging.stg_orders(o.filter(day < ORDER_BATCH)))
-    upto_d, upto_o = d.filter(day <= ORDER_BATCH), o.filter(day <= ORDER_BATCH)
-    fresh = star.fact_order_items(staging.stg_orderdetails(upto_d), staging.stg_orders(upto_o), ORDER_BATCH)
-    return star.build_incremental(before, fresh, "order_item_id")
+    fresh = star.fact_order_items_slice(d.filter(day <= ORDER_BATCH), o.filter(day <= ORDER_BATCH), ORDER_BATCH)
+    return star.build_incremental(before, fresh, "order_item_id", check_unique=False)
 
 
 @query
@@ -563,8 +562,8 @@ def incremental_dim_slice(spark, sf):
     slice, so the old version never replaces the newer one and the dimension is unchanged."""
     c = td.customers(spark, sf)
     existing = star.dim_customers(staging.stg_customers(c.filter(F.col("processing_date") != td.BACKFILL_DAY)))
-    fresh = star.dim_customers(staging.stg_customers(c), processing_date=td.BACKFILL_DAY)
-    return star.build_incremental(existing, fresh, "customer_number")
+    fresh = star.dim_slice(c, "customerNumber", td.BACKFILL_DAY, staging.stg_customers, star.dim_customers)
+    return star.build_incremental(existing, fresh, "customer_number", check_unique=False)
 
 
 # ------------------------------------------------------------------ operations ------------

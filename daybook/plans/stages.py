@@ -172,21 +172,29 @@ def build_star(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict[str, Da
     rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
     stg["ratings"] = staging.stg_ratings(rfml)
     day = ctx.processing_date if ctx.run_mode == "incremental" else None
+    cur = {t: _curated_table(spark, lake, t) for t in ("customers", "products", "orders", "orderdetails")}
     models = {
-        "dim_customers": (star.dim_customers, (stg["customers"],), "customer_number"),
-        "dim_products": (star.dim_products, (stg["products"],), "product_code"),
-        "fact_order_items": (star.fact_order_items, (stg["orderdetails"], stg["orders"]), "order_item_id"),
-        "fact_product_ratings": (star.fact_product_ratings, (stg["ratings"],), "rating_id"),
+        "dim_customers": (lambda: star.dim_customers(stg["customers"]),
+                          lambda d: star.dim_slice(cur["customers"], "customerNumber", d, staging.stg_customers,
+                                                   star.dim_customers), "customer_number"),
+        "dim_products": (lambda: star.dim_products(stg["products"]),
+                         lambda d: star.dim_slice(cur["products"], "productCode", d, staging.stg_products,
+                                                  star.dim_products), "product_code"),
+        "fact_order_items": (lambda: star.fact_order_items(stg["orderdetails"], stg["orders"]),
+                             lambda d: star.fact_order_items_slice(cur["orderdetails"], cur["orders"], d),
+                             "order_item_id"),
+        "fact_product_ratings": (lambda: star.fact_product_ratings(stg["ratings"]),
+                                 lambda d: star.fact_product_ratings(stg["ratings"], d), "rating_id"),
     }
     out = {}
-    for name, (fn, args, key) in models.items():
+    for name, (full, incremental, key) in models.items():
         table = VersionedTable(spark, lake.models(name))
         existing = table.read()
-        if existing is None:
-            table.commit(fn(*args).withColumn("dbt_updated_at", ctx.now()))
+        if existing is None or day is None:
+            table.commit(full().withColumn("dbt_updated_at", ctx.now()))
         else:
-            fresh = fn(*args, processing_date=day) if day else fn(*args)
-            table.merge(fresh.withColumn("dbt_updated_at", ctx.now()), [key])
+            # slices are unique on the model key by construction: no duplicate-source pass
+            table.merge(incremental(day).withColumn("dbt_updated_at", ctx.now()), [key], check_unique=False)
         out[name] = table.read()
     dd = VersionedTable(spark, lake.models("dim_date"))
     dd.commit(star.dim_date(out["fact_order_items"]))

@@ -9,23 +9,15 @@ from daybook.functions import date_key, month_name, surrogate_key, ts_text, week
 from daybook.operators.upsert import upsert
 
 
-def fact_order_items(stg_orderdetails: DataFrame, stg_orders: DataFrame, processing_date: str | None = None,
-                     slice_mode: str = "or") -> DataFrame:
+def fact_order_items(stg_orderdetails: DataFrame, stg_orders: DataFrame, processing_date: str | None = None
+                     ) -> DataFrame:
     """One row per order line joined to its order (lines without an order are dropped, as modelled).
 
-    With ``processing_date`` only lines or orders of that day are kept. ``slice_mode="or"`` filters
-    after the join (the model as written); ``"keys"`` first collects the affected order numbers from
-    both pruned day slices, semi-joins both sides to them, and then applies the same OR, so neither
-    full side is joined when the day is small (same rows: the key set is a superset of the answer).
+    With ``processing_date`` only lines or orders of that day are kept (the OR across both sides).
+    For a daily increment use ``fact_order_items_slice``, which avoids ranking all of history.
     """
     d = stg_orderdetails.alias("d")
     o = stg_orders.alias("o")
-    if processing_date is not None and slice_mode == "keys":
-        day = F.lit(processing_date)
-        keys = (stg_orderdetails.filter(F.col("processing_date") == day).select("order_number")
-                .union(stg_orders.filter(F.col("processing_date") == day).select("order_number")).distinct())
-        d = stg_orderdetails.join(keys, "order_number", "left_semi").alias("d")
-        o = stg_orders.join(keys, "order_number", "left_semi").alias("o")
     joined = d.join(o, F.col("d.order_number") == F.col("o.order_number"), "inner")
     if processing_date is not None:
         day = F.lit(processing_date)
@@ -45,6 +37,37 @@ def fact_order_items(stg_orderdetails: DataFrame, stg_orders: DataFrame, process
     )
 
 
+def day_keys(curated: DataFrame, key: str, processing_date: str) -> DataFrame:
+    """Distinct keys present in one day's partition (a pruned scan of that partition only)."""
+    return curated.filter(F.col("processing_date") == processing_date).select(key).distinct()
+
+
+def fact_order_items_slice(curated_orderdetails: DataFrame, curated_orders: DataFrame,
+                           processing_date: str) -> DataFrame:
+    """The day's fact slice without ranking all of history.
+
+    A fact row can only be in the slice if its order number occurs in the day's partition of
+    either table, so both curated tables are first semi-joined to that (small) key set: all
+    versions of the affected orders survive, which is what the staging ranking needs, and the
+    OR filter is applied after the join exactly as before. The key set is the day's distinct
+    order numbers; AQE broadcasts it when small, so history is scanned but not shuffled.
+    """
+    from daybook.plans import staging
+
+    keys = (day_keys(curated_orderdetails, "orderNumber", processing_date)
+            .union(day_keys(curated_orders, "orderNumber", processing_date)).distinct())
+    d = staging.stg_orderdetails(curated_orderdetails.join(keys, "orderNumber", "left_semi"))
+    o = staging.stg_orders(curated_orders.join(keys, "orderNumber", "left_semi"))
+    return fact_order_items(d, o, processing_date)
+
+
+def dim_slice(curated: DataFrame, key: str, processing_date: str, stage_fn, dim_fn) -> DataFrame:
+    """The day's dimension slice (keys whose newest version belongs to the day), ranking only
+    the keys present in that day's partition, with all of their versions."""
+    affected = curated.join(day_keys(curated, key, processing_date), key, "left_semi")
+    return dim_fn(stage_fn(affected), processing_date=processing_date)
+
+
 def fact_product_ratings(stg_ratings: DataFrame, processing_date: str | None = None) -> DataFrame:
     src = stg_ratings if processing_date is None else stg_ratings.filter(F.col("processing_date") == processing_date)
     return src.select(
@@ -80,8 +103,13 @@ def dim_date(fact: DataFrame) -> DataFrame:
             ))
 
 
-def build_incremental(existing: DataFrame | None, fresh_slice: DataFrame, unique_key: str) -> DataFrame:
-    """Incremental model: the first run is the full build; later runs merge the day's slice."""
+def build_incremental(existing: DataFrame | None, fresh_slice: DataFrame, unique_key: str,
+                      check_unique: bool = True) -> DataFrame:
+    """Incremental model: the first run is the full build; later runs merge the day's slice.
+
+    Model rows built from staging are unique on their key by construction (staging keeps one row
+    per business key and the joins are many-to-one), so callers may skip the duplicate-source pass.
+    """
     if existing is None:
         return fresh_slice
-    return upsert(existing, fresh_slice, [unique_key])
+    return upsert(existing, fresh_slice, [unique_key], check_unique=check_unique)
