@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import fixed_values as FV
 from daybook.context import configure_session
 from daybook.operators.dedupe import latest_by
 from daybook.plans import marts, presentation, ratings, staging, star
@@ -360,13 +361,13 @@ def dq_suite(spark, sf):
     f = _dq_frames(spark, sf)
     c = F.col
     return run_checks(
-        [(f["customers"], [CountCheck("customers_pk_null", c("customerNumber").isNull())]),
-         (f["products"], [CountCheck("products_pk_null", c("productCode").isNull())]),
-         (f["orders"], [CountCheck("orders_pk_null", c("orderNumber").isNull())]),
-         (f["details"], [CountCheck("negative_order_values", (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
-         (f["ratings"], [CountCheck("invalid_rating_range", ~c("productRating").between(1, 5))])],
-        [OrphanCheck("orphan_order_customer", f["orders"], "customerNumber", f["known_customers"]),
-         OrphanCheck("orphan_order_product", f["details"], "productCode", f["known_products"])],
+        [(f["customers"], [CountCheck(FV.CHECK_CUSTOMERS_PK_NULL, c("customerNumber").isNull())]),
+         (f["products"], [CountCheck(FV.CHECK_PRODUCTS_PK_NULL, c("productCode").isNull())]),
+         (f["orders"], [CountCheck(FV.CHECK_ORDERS_PK_NULL, c("orderNumber").isNull())]),
+         (f["details"], [CountCheck(FV.CHECK_NEGATIVE_ORDER_VALUES, (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
+         (f["ratings"], [CountCheck(FV.CHECK_INVALID_RATING_RANGE, ~c("productRating").between(1, 5))])],
+        [OrphanCheck(FV.CHECK_ORPHAN_ORDER_CUSTOMER, f["orders"], "customerNumber", f["known_customers"]),
+         OrphanCheck(FV.CHECK_ORPHAN_ORDER_PRODUCT, f["details"], "productCode", f["known_products"])],
         run_id="run-dq", processing_date=ORDER_BATCH)
 
 
@@ -439,7 +440,7 @@ def test_accepted_values(spark, sf):
     bad_status = t(s["fact_order_items"], "order_status", ORDER_STATUSES).select(
         F.lit("fact_order_items.order_status").alias("test"), F.col("order_item_id").alias("row_id"),
         F.col("order_status").alias("value"))
-    bad_rating = t(s["fact_product_ratings"], "product_rating", [1, 2, 3, 4, 5]).select(
+    bad_rating = t(s["fact_product_ratings"], "product_rating", FV.RATING_VALUES).select(
         F.lit("fact_product_ratings.product_rating").alias("test"), F.col("rating_id").alias("row_id"),
         F.col("product_rating").cast("string").alias("value"))
     return bad_status.unionByName(bad_rating)
@@ -587,24 +588,24 @@ def valid_rejected_totals(spark, sf):
     return _all_counts(spark, sf).agg(
         F.sum("valid_rows").cast("bigint").alias("valid_rows"),
         F.sum("rejected_rows").cast("bigint").alias("rejected_rows"),
-    ).withColumn("status", F.when(F.col("rejected_rows") > 0, "SUCCEEDED_WITH_REJECTS").otherwise("SUCCEEDED"))
+    ).withColumn("status", F.when(F.col("rejected_rows") > 0, FV.STATUS_SUCCEEDED_WITH_REJECTS).otherwise(FV.STATUS_SUCCEEDED))
 
 
 @query
 def reconcile_counts(spark, sf):
     return _all_counts(spark, sf).withColumns({
         "balanced": F.col("source_rows") == F.col("valid_rows") + F.col("rejected_rows"),
-        "status": F.when(F.col("rejected_rows") > 0, "SUCCEEDED_WITH_REJECTS").otherwise("SUCCEEDED"),
+        "status": F.when(F.col("rejected_rows") > 0, FV.STATUS_SUCCEEDED_WITH_REJECTS).otherwise(FV.STATUS_SUCCEEDED),
     })
 
 
 def _audit_events(spark, sf):
     e = td.table(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("int")
-    status = (F.when(F.col("event_type").isin("signup", "view"), "RUNNING")
-              .when(F.col("event_type") == "click", "SUCCEEDED")
-              .when(F.col("event_type") == "purchase", "SUCCEEDED_WITH_REJECTS")
-              .when(F.col("event_type") == "error", "FAILED"))
+    status = (F.when(F.col("event_type").isin("signup", "view"), FV.STATUS_RUNNING)
+              .when(F.col("event_type") == "click", FV.STATUS_SUCCEEDED)
+              .when(F.col("event_type") == "purchase", FV.STATUS_SUCCEEDED_WITH_REJECTS)
+              .when(F.col("event_type") == "error", FV.STATUS_FAILED))
     terminal = ~F.col("event_type").isin("signup", "view")
     return e.select(
         F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
@@ -704,7 +705,7 @@ def ingest_metadata(spark, sf):
 
     ctx = RunContext(processing_date=ORDER_BATCH, run_id="run-0001", run_ts=dt.datetime(2000, 1, 1, 2, 0))
     o = td.orders(spark, sf).drop("ingest_ts", "source", "processing_date")
-    return add_ingest_metadata(o, ctx, "mysql_rds")
+    return add_ingest_metadata(o, ctx, FV.SOURCE_DATABASE)
 
 
 @query

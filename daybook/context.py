@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import fixed_values as FV
+
 # Settings every stage relies on. Timestamps are rendered in UTC; partition values such as
 # processing_date=2024-01-01 stay strings (lexical order = date order) instead of being inferred
 # as DATE; AQE coalesces small shuffles and splits skewed join partitions at runtime. A fused
@@ -63,7 +65,7 @@ class RunContext:
     run_id: str = "manual"
     run_mode: str = "incremental"
     run_ts: _dt.datetime | None = None
-    curated_source: str = "landing_rds"
+    curated_source: str = FV.SOURCE_CURATED
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -90,3 +92,33 @@ class RunContext:
     @property
     def window_end(self) -> _dt.datetime:
         return self.window_start + _dt.timedelta(days=1)
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under ``paths`` (a metadata call per path; no data is read)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, shuffled_bytes: int, target_bytes: int = 256 << 20,
+                            max_partitions: int = 100_000) -> int:
+    """Size the initial shuffle partition count for the largest shuffle of a job.
+
+    Each shuffle partition should hold at most ``target_bytes`` so it sorts and aggregates in
+    executor memory without heavy spilling; AQE then coalesces partitions that turn out small
+    (towards the same advisory size) and splits skewed ones. The floor is twice the cluster's
+    default parallelism so every core has work.
+    """
+    floor = 2 * spark.sparkContext.defaultParallelism
+    n = int(min(max_partitions, max(floor, -(-shuffled_bytes // target_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_bytes, 512 << 20)))
+    return n

@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType, TimestampType
 
-RUNNING = "RUNNING"
-FAILED = "FAILED"
-ERROR_LIMIT = 3000
-MESSAGE_LIMIT = 1000
+from daybook import fixed_values as FV  # noqa: E402
+
+RUNNING = FV.STATUS_RUNNING
+FAILED = FV.STATUS_FAILED
+ERROR_LIMIT = FV.ERROR_MESSAGE_LIMIT
+MESSAGE_LIMIT = FV.RUN_MESSAGE_LIMIT
 
 AUDIT_EVENT_SCHEMA = StructType([
     StructField("run_id", StringType(), False),
@@ -67,8 +69,8 @@ def fold(events: DataFrame) -> DataFrame:
     ))
 
 
-def run_rollup(state: DataFrame, prefix: str = "Failed or upstream-failed tasks: ",
-               ok_message: str = "All pipeline stages completed successfully") -> DataFrame:
+def run_rollup(state: DataFrame, prefix: str = FV.RUN_FAILED_PREFIX, ok_message: str = FV.RUN_OK_MESSAGE
+               ) -> DataFrame:
     """One row per run: FAILED with the sorted failed stage names, else SUCCEEDED.
 
     The collected list holds only failed stage names of one run (bounded by the stage count).
@@ -77,7 +79,7 @@ def run_rollup(state: DataFrame, prefix: str = "Failed or upstream-failed tasks:
     return (state.groupBy("run_id").agg(failed.alias("failed_stages"), F.count(F.lit(1)).alias("stage_count"))
             .select(
                 "run_id",
-                F.when(F.size("failed_stages") > 0, F.lit(FAILED)).otherwise(F.lit("SUCCEEDED")).alias("status"),
+                F.when(F.size("failed_stages") > 0, F.lit(FAILED)).otherwise(F.lit(FV.STATUS_SUCCEEDED)).alias("status"),
                 F.substring(
                     F.when(F.size("failed_stages") > 0,
                            F.concat(F.lit(prefix), F.array_join("failed_stages", ", ")))
@@ -105,7 +107,7 @@ class Audit:
     def start(self, stage: str) -> None:
         self._append(stage, RUNNING)
 
-    def succeed(self, stage: str, status: str = "SUCCEEDED", metrics=None) -> None:
+    def succeed(self, stage: str, status: str = FV.STATUS_SUCCEEDED, metrics=None) -> None:
         self._append(stage, status, metrics)
 
     def fail(self, stage: str, exc: BaseException | str, metrics=None) -> None:

@@ -14,6 +14,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook import fixed_values as FV
+
 
 @dataclass(frozen=True)
 class CountCheck:
@@ -59,7 +61,7 @@ def run_checks(count_checks: Sequence[tuple[DataFrame, Sequence[CountCheck]]],
     return out.select(
         "check_name",
         F.col("failure_count").cast("bigint").alias("failure_count"),
-        F.when(F.col("failure_count") > 0, "FAILED").otherwise("PASSED").alias("status"),
+        F.when(F.col("failure_count") > 0, FV.CHECK_FAILED).otherwise(FV.CHECK_PASSED).alias("status"),
         F.lit(run_id).alias("run_id"),
         F.lit(processing_date).alias("processing_date"),
     )
@@ -67,9 +69,10 @@ def run_checks(count_checks: Sequence[tuple[DataFrame, Sequence[CountCheck]]],
 
 def gate(results: DataFrame) -> None:
     """Raise if any check failed; the failure list is sorted (bounded: one row per check)."""
-    failed = sorted(r.check_name for r in results.filter(F.col("status") == "FAILED").select("check_name").collect())
+    failed = sorted(r.check_name for r in results.filter(F.col("status") == FV.CHECK_FAILED)
+                    .select("check_name").collect())
     if failed:
-        raise QualityGateError(f"Critical data-quality checks failed: {', '.join(failed)}")
+        raise QualityGateError(FV.GATE_FAILED_PREFIX + ", ".join(failed))
 
 
 # ---- declarative model tests: each returns the failing rows (empty = pass) -------------------

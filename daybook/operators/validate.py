@@ -8,6 +8,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.fixed_values import REASON_SEPARATOR
 from daybook.spec import DEFAULT_REASON, Rule
 
 MODES = ("all", "first", "last")
@@ -32,7 +33,7 @@ def reason_column(rules: Sequence[Rule], mode: str = "all") -> Column:
     if not rules:
         return F.lit(None).cast("string")
     if mode == "all":
-        joined = F.concat_ws("; ", *[F.when(r.mask(), F.lit(r.message)) for r in rules])
+        joined = F.concat_ws(REASON_SEPARATOR, *[F.when(r.mask(), F.lit(r.message)) for r in rules])
         return F.when(invalid_mask(rules), joined)
     if mode == "first":
         chain = None

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import fixed_values as FV
 from daybook.context import RunContext, configure_session
 from daybook.operators.audit import Audit
 from daybook.operators.quality import CountCheck, OrphanCheck, gate, run_checks
@@ -66,7 +67,7 @@ def land_relational(spark: SparkSession, ctx: RunContext, lake: Lake, sources: d
     total = 0
     for table, df in sources.items():
         day = day_window_scan(df, updated_at, ctx) if updated_at in df.columns else df
-        out = add_ingest_metadata(day, ctx, "mysql_rds")
+        out = add_ingest_metadata(day, ctx, FV.SOURCE_DATABASE)
         obs = Observation(f"landed_{table}")
         out = out.select(*[F.col(c).cast("string").alias(c) for c in out.columns]).observe(
             obs, F.count(F.lit(1)).alias("n"))
@@ -143,14 +144,14 @@ def quality_gate(spark: SparkSession, ctx: RunContext, lake: Lake) -> DataFrame:
     rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
     c = F.col
     results = run_checks(
-        [(cust.filter(day), [CountCheck("customers_pk_null", c("customerNumber").isNull())]),
-         (prod.filter(day), [CountCheck("products_pk_null", c("productCode").isNull())]),
-         (orders, [CountCheck("orders_pk_null", c("orderNumber").isNull())]),
-         (details, [CountCheck("negative_order_values", (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
-         (rfml.filter(day), [CountCheck("invalid_rating_range", ~c("productRating").between(1, 5))])],
-        [OrphanCheck("orphan_order_customer", orders, "customerNumber",
+        [(cust.filter(day), [CountCheck(FV.CHECK_CUSTOMERS_PK_NULL, c("customerNumber").isNull())]),
+         (prod.filter(day), [CountCheck(FV.CHECK_PRODUCTS_PK_NULL, c("productCode").isNull())]),
+         (orders, [CountCheck(FV.CHECK_ORDERS_PK_NULL, c("orderNumber").isNull())]),
+         (details, [CountCheck(FV.CHECK_NEGATIVE_ORDER_VALUES, (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
+         (rfml.filter(day), [CountCheck(FV.CHECK_INVALID_RATING_RANGE, ~c("productRating").between(1, 5))])],
+        [OrphanCheck(FV.CHECK_ORPHAN_ORDER_CUSTOMER, orders, "customerNumber",
                      known_keys(cust, "customerNumber", ctx.processing_date)),
-         OrphanCheck("orphan_order_product", details, "productCode",
+         OrphanCheck(FV.CHECK_ORPHAN_ORDER_PRODUCT, details, "productCode",
                      known_keys(prod, "productCode", ctx.processing_date))],
         ctx.run_id, ctx.processing_date)
     results.coalesce(1).write.mode("overwrite").json(lake.quality(ctx))
@@ -230,9 +231,17 @@ def refresh_presentation(spark: SparkSession, ctx: RunContext, lake: Lake) -> No
 
 
 def run_pipeline(spark: SparkSession, ctx: RunContext, lake: Lake, sources: dict[str, DataFrame],
-                 ratings_dir: str, audit_table: str = "daybook_audit") -> None:
-    """All stages of one day in order; each stage's start, end and failure is audited."""
+                 ratings_dir: str, audit_table: str = "daybook_audit", size_partitions: bool = True) -> None:
+    """All stages of one day in order; each stage's start, end and failure is audited.
+
+    Shuffle partitions are sized from the curated history plus the day's landing data (the largest
+    shuffles rank and join history), unless the caller fixed them with ``size_partitions=False``.
+    """
     configure_session(spark)
+    if size_partitions:
+        from daybook.context import input_bytes, size_shuffle_partitions
+
+        size_shuffle_partitions(spark, input_bytes(spark, f"{lake.root}/curated_zone", f"{lake.root}/landing_zone"))
     audit = Audit(spark, audit_table, ctx.run_id)
     steps = [
         ("rds_landing", lambda: land_relational(spark, ctx, lake, sources)),
@@ -252,9 +261,9 @@ def run_pipeline(spark: SparkSession, ctx: RunContext, lake: Lake, sources: dict
             audit.fail(stage, exc)
             raise
         metrics = {"processing_date": ctx.processing_date, "run_mode": ctx.run_mode}
-        status = "SUCCEEDED"
+        status = FV.STATUS_SUCCEEDED
         if isinstance(result, dict):
             metrics.update({k: v for k, v in result.items() if v is not None})
             if result.get("rejected_rows"):
-                status = "SUCCEEDED_WITH_REJECTS"
+                status = FV.STATUS_SUCCEEDED_WITH_REJECTS
         audit.succeed(stage, status, metrics)

@@ -18,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import fixed_values as FV
+
 BASE_DAY, NEWER_DAY, BACKFILL_DAY = "2024-01-01", "2024-01-02", "2023-12-31"
 BASE_TS, NEWER_TS, BACKFILL_TS = "2024-01-01 03:00:00", "2024-01-02 03:00:00", "2024-01-03 03:00:00"
-CURATED_SOURCE = "landing_rds"
-LANDING_SOURCE = "mysql_rds"
+CURATED_SOURCE = FV.SOURCE_CURATED
+LANDING_SOURCE = FV.SOURCE_DATABASE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

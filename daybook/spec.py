@@ -23,6 +23,17 @@ from pyspark.sql.types import (
 )
 
 
+from daybook import fixed_values as FV
+
+# Key-null reason per primary-key column (fixed values, see fixed_values.py).
+KEY_NULL_REASONS = {
+    "orderNumber": FV.REASON_ORDER_NUMBER_NULL, "orderLineNumber": FV.REASON_ORDER_LINE_NUMBER_NULL,
+    "customerNumber": FV.REASON_CUSTOMER_NUMBER_NULL, "checkNumber": FV.REASON_CHECK_NUMBER_NULL,
+    "productCode": FV.REASON_PRODUCT_CODE_NULL, "employeeNumber": FV.REASON_EMPLOYEE_NUMBER_NULL,
+    "officeCode": FV.REASON_OFFICE_CODE_NULL, "productLine": FV.REASON_PRODUCT_LINE_NULL,
+}
+
+
 @dataclass(frozen=True)
 class Rule:
     """A business rule: ``violated()`` is true for a bad row.
@@ -48,7 +59,7 @@ class TableSpec:
     rules: tuple[Rule, ...] = field(default_factory=tuple)
 
     def key_rules(self) -> tuple[Rule, ...]:
-        return tuple(Rule(f"{k} is null", _is_null(k)) for k in self.primary_key)
+        return tuple(Rule(KEY_NULL_REASONS[k], _is_null(k)) for k in self.primary_key)
 
     def all_rules(self) -> tuple[Rule, ...]:
         """Key rules first (in key order), then the table's own rules, as the reason text lists them."""
@@ -67,14 +78,6 @@ def _lt0(name: str) -> Callable[[], Column]:
     return lambda: F.col(name) < 0
 
 
-def _nonnumeric(name: str) -> Rule:
-    return Rule(f"{name} is null or not numeric", _is_null(name))
-
-
-def _negative(name: str) -> Rule:
-    return Rule(f"{name} cannot be negative", _lt0(name))
-
-
 def _s(name: str) -> StructField:
     return StructField(name, StringType(), True)
 
@@ -141,10 +144,10 @@ SPECS: dict[str, TableSpec] = {
         (("orderNumber", "bigint"), ("productCode", "string"), ("quantityOrdered", "int"),
          ("priceEach", "double"), ("orderLineNumber", "int")),
         (
-            _nonnumeric("quantityOrdered"),
-            _nonnumeric("priceEach"),
-            Rule("quantityOrdered must be positive", lambda: F.col("quantityOrdered") <= 0),
-            _negative("priceEach"),
+            Rule(FV.REASON_QUANTITY_ORDERED_NOT_NUMERIC, _is_null("quantityOrdered")),
+            Rule(FV.REASON_PRICE_EACH_NOT_NUMERIC, _is_null("priceEach")),
+            Rule(FV.REASON_QUANTITY_ORDERED_NOT_POSITIVE, lambda: F.col("quantityOrdered") <= 0),
+            Rule(FV.REASON_PRICE_EACH_NEGATIVE, _lt0("priceEach")),
         ),
     ),
     "orders": TableSpec(
@@ -154,7 +157,7 @@ SPECS: dict[str, TableSpec] = {
     "payments": TableSpec(
         "payments", SCHEMAS["payments"], ("customerNumber", "checkNumber"),
         (("customerNumber", "bigint"), ("checkNumber", "string"), ("paymentDate", "date"), ("amount", "double")),
-        (_nonnumeric("amount"), _negative("amount")),
+        (Rule(FV.REASON_AMOUNT_NOT_NUMERIC, _is_null("amount")), Rule(FV.REASON_AMOUNT_NEGATIVE, _lt0("amount"))),
     ),
     "productlines": TableSpec(
         "productlines", SCHEMAS["productlines"], ("productLine",),
@@ -165,8 +168,12 @@ SPECS: dict[str, TableSpec] = {
         (("productCode", "string"), ("productName", "string"), ("productLine", "string"),
          ("quantityInStock", "int"), ("buyPrice", "double"), ("MSRP", "double")),
         (
-            _nonnumeric("quantityInStock"), _nonnumeric("buyPrice"), _nonnumeric("MSRP"),
-            _negative("quantityInStock"), _negative("buyPrice"), _negative("MSRP"),
+            Rule(FV.REASON_QUANTITY_IN_STOCK_NOT_NUMERIC, _is_null("quantityInStock")),
+            Rule(FV.REASON_BUY_PRICE_NOT_NUMERIC, _is_null("buyPrice")),
+            Rule(FV.REASON_MSRP_NOT_NUMERIC, _is_null("MSRP")),
+            Rule(FV.REASON_QUANTITY_IN_STOCK_NEGATIVE, _lt0("quantityInStock")),
+            Rule(FV.REASON_BUY_PRICE_NEGATIVE, _lt0("buyPrice")),
+            Rule(FV.REASON_MSRP_NEGATIVE, _lt0("MSRP")),
         ),
     ),
 }
@@ -185,17 +192,15 @@ RATING_KEYS = ("customerNumber", "productCode", "ratingTimestamp")
 RATING_PAIR = ("customerNumber", "productCode")
 
 RATING_RULES = (
-    Rule("customerNumber is null", _is_null("customerNumber")),
-    Rule("productCode is null", _is_null("productCode")),
-    Rule("productRating must be between 1 and 5", lambda: ~F.col("productRating").between(1, 5),
-         null_is_violation=True),
+    Rule(FV.REASON_CUSTOMER_NUMBER_NULL, _is_null("customerNumber")),
+    Rule(FV.REASON_PRODUCT_CODE_NULL, _is_null("productCode")),
+    Rule(FV.REASON_RATING_OUT_OF_RANGE, lambda: ~F.col("productRating").between(1, 5), null_is_violation=True),
 )
 
-# Fixed reason texts for rows rejected after validation.
-DUPLICATE_KEY_REASON = "duplicate business key in the same batch"
-DUPLICATE_RATING_REASON = "duplicate rating event in the same batch"
-UNKNOWN_REFERENCE_REASON = "customer or product not found in curated master data"
-DEFAULT_REASON = "business rule failed"
+DUPLICATE_KEY_REASON = FV.REASON_DUPLICATE_KEY
+DUPLICATE_RATING_REASON = FV.REASON_DUPLICATE_RATING
+UNKNOWN_REFERENCE_REASON = FV.REASON_UNKNOWN_REFERENCE
+DEFAULT_REASON = FV.REASON_DEFAULT
 
 # Curated mutable tables (fixed DDL).
 RATINGS_FOR_ML_SCHEMA = StructType([
@@ -219,4 +224,4 @@ QUALITY_RESULT_SCHEMA = StructType([
     StructField("processing_date", StringType()),
 ])
 
-ORDER_STATUSES = ("SHIPPED", "RESOLVED", "CANCELLED", "ON HOLD", "DISPUTED", "IN PROCESS")
+ORDER_STATUSES = FV.ORDER_STATUSES

@@ -83,3 +83,17 @@ def test_notifications(spark):
     assert got == [("m1", "in/a b/c.json", "2026-09-09"), ("m1", "in/d.json", "2026-09-10"),
                    ("m2", "in/a b/c.json", "2026-09-09"), ("m2", "in/d.json", "2026-09-10")]
     assert rows(quarantine(msgs), "message_id") == [("m3",)]
+
+
+def test_shuffle_partitions_sized_from_input(spark, tmp_dir):
+    from daybook.context import input_bytes, size_shuffle_partitions
+
+    spark.range(1000).write.parquet(os.path.join(tmp_dir, "x"))
+    assert input_bytes(spark, os.path.join(tmp_dir, "x"), os.path.join(tmp_dir, "missing")) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, 100 * (1 << 40)) == 100_000          # 100 TB: capped
+        assert size_shuffle_partitions(spark, 10 * (1 << 30)) == 40                # 10 GB / 256 MB
+        assert size_shuffle_partitions(spark, 1) == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
