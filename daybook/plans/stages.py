@@ -267,3 +267,26 @@ def run_pipeline(spark: SparkSession, ctx: RunContext, lake: Lake, sources: dict
             if result.get("rejected_rows"):
                 status = FV.STATUS_SUCCEEDED_WITH_REJECTS
         audit.succeed(stage, status, metrics)
+
+
+def stream_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, inbox_dir: str, checkpoint: str,
+                   available_now: bool = True):
+    """File-arrival ingestion of rating files straight into ``ratings_for_ml``.
+
+    Each micro-batch is typed, validated, deduplicated and routed like a daily batch (the run's
+    logical day), its rejects are written under the run, and the known events are merged. A
+    replayed epoch (after a failure) re-merges the same rows: the MERGE is idempotent.
+    """
+    from daybook.streaming.ingest import ratings_files, start_ratings_ingest
+
+    table = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date")
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        b = ratings.process(batch, _curated_table(spark, lake, "customers"),
+                            _curated_table(spark, lake, "products"), ctx.processing_date)
+        epoch_ctx = RunContext(ctx.processing_date, f"{ctx.run_id}-e{epoch}", ctx.run_mode, ctx.run_ts)
+        write_rejects(b.rejects(), lake.root, "ratings", epoch_ctx)
+        table.merge(ratings.to_ratings_for_ml(b.known, ctx.now()),
+                    ["customerNumber", "productCode", "ratingTimestamp"])
+
+    return start_ratings_ingest(ratings_files(spark, inbox_dir), handle, checkpoint, available_now)

@@ -92,3 +92,30 @@ def test_daily_run_end_to_end(spark, tmp_dir):
     assert VersionedTable(spark, lake.models("fact_order_items")).read().count() == 4
     assert rows(VersionedTable(spark, lake.lakehouse("ratings")).read(), "customerNumber", "productRating") == \
         [(101, 5), (102, 4)]
+
+
+def test_streamed_ratings_reach_the_event_table(spark, tmp_dir):
+    """Rating files arriving in an inbox are merged into ratings_for_ml by the streaming path."""
+    from daybook.plans.stages import Lake, stream_ratings
+    from daybook.sinks.tables import VersionedTable
+
+    lake = Lake(os.path.join(tmp_dir, "lake"))
+    ts = dt.datetime(2026, 9, 9, 1)
+    spark.createDataFrame([(101, "A", ts, "2026-09-09"), (102, "B", ts, "2026-09-09")],
+                          "customerNumber long, customerName string, ingest_ts timestamp, processing_date string"
+                          ).write.partitionBy("processing_date").parquet(lake.curated("customers"))
+    spark.createDataFrame([("S10_001", "Car", "Classic Cars", ts, "2026-09-09")],
+                          "productCode string, productName string, productLine string, ingest_ts timestamp, "
+                          "processing_date string").write.partitionBy("processing_date").parquet(
+        lake.curated("products"))
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "r1.json"), "w") as fh:
+        json.dump([{"customerNumber": "101", "productCode": "S10_001", "productRating": "5",
+                    "ratingTimestamp": "2026-09-09T10:15:00"},
+                   {"customerNumber": "999", "productCode": "S10_001", "productRating": "4",
+                    "ratingTimestamp": "2026-09-09T11:30:00"}], fh)
+    ctx = RunContext("2026-09-09", run_id="s1", run_ts=dt.datetime(2026, 9, 10, 2))
+    stream_ratings(spark, ctx, lake, inbox, os.path.join(tmp_dir, "ck")).awaitTermination(180)
+    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
+    assert rows(rfml, "customerNumber", "productRating", "productName") == [(101, 5, "Car")]
