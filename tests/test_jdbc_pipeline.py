@@ -119,3 +119,46 @@ def test_streamed_ratings_reach_the_event_table(spark, tmp_dir):
     stream_ratings(spark, ctx, lake, inbox, os.path.join(tmp_dir, "ck")).awaitTermination(180)
     rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
     assert rows(rfml, "customerNumber", "productRating", "productName") == [(101, 5, "Car")]
+
+
+def test_later_day_late_event_and_backfill(spark, tmp_dir):
+    """Day 2 changes a customer and brings a late rating; a backfill of day 0 arrives afterwards.
+    The late rating must not overwrite newer state and the backfill must not regress dims."""
+    from daybook.plans.stages import Lake, run_pipeline
+    from daybook.sinks.tables import VersionedTable
+
+    lake = Lake(os.path.join(tmp_dir, "lake"))
+    c_schema = "customerNumber int, customerName string, creditLimit double, updated_at timestamp"
+    p_schema = "productCode string, productName string, quantityInStock int, buyPrice double, MSRP double, " \
+               "updated_at timestamp"
+    o_schema = "orderNumber int, orderDate date, status string, customerNumber int, updated_at timestamp"
+    d_schema = "orderNumber int, productCode string, quantityOrdered int, priceEach double, orderLineNumber int, " \
+               "updated_at timestamp"
+
+    def day(date, customers, ratings_json):
+        t = dt.datetime.fromisoformat(date) + dt.timedelta(hours=9)
+        src = {
+            "customers": spark.createDataFrame([(n, name, credit, t) for n, name, credit in customers], c_schema),
+            "products": spark.createDataFrame([("P1", "Widget", 5, 1.0, 2.0, t)], p_schema),
+            "orders": spark.createDataFrame([(1, dt.date.fromisoformat(date), "Shipped", 101, t)], o_schema),
+            "orderdetails": spark.createDataFrame([(1, "P1", 2, 2.0, 1, t)], d_schema),
+        }
+        rdir = os.path.join(tmp_dir, f"in-{date}")
+        os.makedirs(rdir, exist_ok=True)
+        with open(os.path.join(rdir, "r.json"), "w") as fh:
+            json.dump(ratings_json, fh)
+        run_pipeline(spark, RunContext(date, run_id=f"run-{date}", run_ts=t + dt.timedelta(hours=20)), lake, src,
+                     rdir, audit_table="audit_days", size_partitions=False)
+
+    day("2026-09-09", [(101, "Alpha", 100.0)],
+        [{"customerNumber": "101", "productCode": "P1", "productRating": "3", "ratingTimestamp": "2026-09-09T10:00:00"}])
+    day("2026-09-10", [(101, "Alpha", 900.0)],
+        [{"customerNumber": "101", "productCode": "P1", "productRating": "1", "ratingTimestamp": "2026-09-08T10:00:00"}])
+    state = VersionedTable(spark, lake.lakehouse("ratings")).read()
+    assert rows(state, "customerNumber", "productRating") == [(101, 3)]          # late event ignored
+    dim = VersionedTable(spark, lake.models("dim_customers")).read()
+    assert [float(r.credit_limit) for r in dim.collect()] == [900.0]
+    # back-filled older day after the newer one: the dimension keeps the newer version
+    day("2026-09-01", [(101, "Alpha OLD", 5.0)], [])
+    dim = VersionedTable(spark, lake.models("dim_customers")).read()
+    assert [(r.customer_name, float(r.credit_limit)) for r in dim.collect()] == [("Alpha", 900.0)]
