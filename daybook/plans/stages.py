@@ -93,17 +93,26 @@ def transform_relational(spark: SparkSession, ctx: RunContext, lake: Lake, table
 
     from daybook.operators.typing import conform
 
+    from pyspark import StorageLevel
+
     totals = {"valid_rows": 0, "rejected_rows": 0}
     for table in tables:
         spec = SPECS[table]
-        landed = read_landed_csv(spark, lake.landing("rds", table, ctx.processing_date), None)
-        batch = curate(conform(landed, spec).drop("processing_date", "run_id"), spec, per_batch=False)
-        totals["rejected_rows"] += write_rejects(batch.rejected(), lake.root, table, ctx)
-        obs = Observation(f"curated_{table}")
-        curated = (batch.valid.withColumns({"curated_ts": ctx.now(), "source": F.lit(ctx.curated_source)})
-                   .observe(obs, F.count(F.lit(1)).alias("n")))
-        replace_partition(curated, lake.curated(table), "processing_date", ctx.processing_date)
-        totals["valid_rows"] += int(obs.get["n"])
+        # The rejects write and the curated write both derive from the day's landed rows: keep the
+        # parsed rows (columnar, spilling to disk) instead of parsing the CSV for each output. A
+        # lost executor recomputes its blocks from the landing files.
+        landed = conform(read_landed_csv(spark, lake.landing("rds", table, ctx.processing_date), None), spec) \
+            .drop("processing_date", "run_id").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            batch = curate(landed, spec, per_batch=False)
+            totals["rejected_rows"] += write_rejects(batch.rejected(), lake.root, table, ctx)
+            obs = Observation(f"curated_{table}")
+            curated = (batch.valid.withColumns({"curated_ts": ctx.now(), "source": F.lit(ctx.curated_source)})
+                       .observe(obs, F.count(F.lit(1)).alias("n")))
+            replace_partition(curated, lake.curated(table), "processing_date", ctx.processing_date)
+            totals["valid_rows"] += int(obs.get["n"])
+        finally:
+            landed.unpersist()
     return totals
 
 
@@ -113,12 +122,19 @@ def transform_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
 
     schema = StructType(LANDED_RATING_SCHEMA.fields + [StructField("ingest_ts", StringType()),
                                                        StructField("source", StringType())])
-    landed = read_landed_json(spark, lake.landing("json", "ratings", ctx.processing_date), schema)
-    b = ratings.process(landed, _curated_table(spark, lake, "customers"), _curated_table(spark, lake, "products"),
-                        ctx.processing_date)
-    rejected = write_rejects(b.rejects(), lake.root, "ratings", ctx)
-    table = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date")
-    table.merge(ratings.to_ratings_for_ml(b.known, ctx.now()), ["customerNumber", "productCode", "ratingTimestamp"])
+    from pyspark import StorageLevel
+
+    landed = read_landed_json(spark, lake.landing("json", "ratings", ctx.processing_date), schema) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        b = ratings.process(landed, _curated_table(spark, lake, "customers"),
+                            _curated_table(spark, lake, "products"), ctx.processing_date)
+        rejected = write_rejects(b.rejects(), lake.root, "ratings", ctx)
+        table = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date")
+        table.merge(ratings.to_ratings_for_ml(b.known, ctx.now()),
+                    ["customerNumber", "productCode", "ratingTimestamp"])
+    finally:
+        landed.unpersist()
     return {"rejected_rows": rejected}
 
 
