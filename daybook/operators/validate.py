@@ -14,11 +14,11 @@ from daybook.spec import DEFAULT_REASON, Rule
 MODES = ("all", "first", "last")
 
 
-def invalid_mask(rules: Sequence[Rule]) -> Column:
+def invalid_mask(rules: Sequence[Rule], masks: Sequence[Column] | None = None) -> Column:
     """True for a bad row; never NULL (a NULL outcome is decided per rule)."""
     if not rules:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [r.mask() for r in rules])
+    return reduce(lambda a, b: a | b, list(masks) if masks is not None else [r.mask() for r in rules])
 
 
 def reason_column(rules: Sequence[Rule], mode: str = "all") -> Column:
@@ -32,17 +32,18 @@ def reason_column(rules: Sequence[Rule], mode: str = "all") -> Column:
         raise ValueError(f"mode must be one of {MODES}")
     if not rules:
         return F.lit(None).cast("string")
+    masks = [r.mask() for r in rules]
     if mode == "all":
-        joined = F.concat_ws(REASON_SEPARATOR, *[F.when(r.mask(), F.lit(r.message)) for r in rules])
-        return F.when(invalid_mask(rules), joined)
+        joined = F.concat_ws(REASON_SEPARATOR, *[F.when(m, F.lit(r.message)) for r, m in zip(rules, masks)])
+        return F.when(invalid_mask(rules, masks), F.coalesce(F.nullif(joined, F.lit("")), F.lit(DEFAULT_REASON)))
     if mode == "first":
         chain = None
-        for r in rules:
-            chain = F.when(r.mask(), F.lit(r.message)) if chain is None else chain.when(r.mask(), F.lit(r.message))
+        for r, m in zip(rules, masks):
+            chain = F.when(m, F.lit(r.message)) if chain is None else chain.when(m, F.lit(r.message))
         return chain
     reason = F.lit(None).cast("string")
-    for r in rules:
-        reason = F.when(r.mask(), F.lit(r.message)).otherwise(reason)
+    for r, m in zip(rules, masks):
+        reason = F.when(m, F.lit(r.message)).otherwise(reason)
     return reason
 
 
@@ -56,10 +57,7 @@ def add_reject_reason(df: DataFrame, conditions: Sequence[tuple[Column, str]]) -
 
 def validate(df: DataFrame, rules: Sequence[Rule], mode: str = "all") -> DataFrame:
     """Tag every row with ``reject_reason`` (NULL = valid). A table without rules never rejects."""
-    reason = reason_column(rules, mode)
-    if rules and mode == "all":
-        reason = F.when(invalid_mask(rules), F.coalesce(F.nullif(reason, F.lit("")), F.lit(DEFAULT_REASON)))
-    return df.withColumn("reject_reason", reason)
+    return df.withColumn("reject_reason", reason_column(rules, mode))
 
 
 def split(df: DataFrame, rules: Sequence[Rule], mode: str = "all") -> tuple[DataFrame, DataFrame]:

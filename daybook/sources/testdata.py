@@ -26,8 +26,18 @@ CURATED_SOURCE = FV.SOURCE_CURATED
 LANDING_SOURCE = FV.SOURCE_DATABASE
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The inputs are read-only, so one session reuses the same scan DataFrame
+    (saves the file listing and footer read on every query; plans are unaffected)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def _ts(text: str) -> Column:
