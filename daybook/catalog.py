@@ -583,8 +583,6 @@ def _all_counts(spark, sf):
 
 @query
 def valid_rejected_totals(spark, sf):
-    from daybook.operators.audit import FAILED  # noqa: F401
-
     return _all_counts(spark, sf).agg(
         F.sum("valid_rows").cast("bigint").alias("valid_rows"),
         F.sum("rejected_rows").cast("bigint").alias("rejected_rows"),

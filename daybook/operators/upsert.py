@@ -48,8 +48,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     s = source.withColumn("_s", F.lit(True)).alias("s")
     cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, cond, "full")
-    sc = lambda c: F.col(f"s.{c}")
-    tc = lambda c: F.col(f"t.{c}")
+
+    def sc(c: str) -> Column:
+        return F.col(f"s.{c}")
+
+    def tc(c: str) -> Column:
+        return F.col(f"t.{c}")
+
     take_source = F.col("s._s").isNotNull() & (F.col("t._t").isNull() | F.coalesce(update_when(sc, tc), F.lit(False)))
     return joined.select(*[F.when(take_source, sc(c)).otherwise(tc(c)).alias(c) for c in cols])
 
