@@ -42,14 +42,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     is ``fallback`` installed. Never a machine-local temp folder on a cluster.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
+    if not current:
+        if fallback is None:
+            raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
+        spark.conf.set("spark.checkpoint.dir", fallback)
+        current = fallback
+    try:
         spark.sparkContext.setCheckpointDir(current)
-        return current
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext; the conf suffices
+        pass
+    return current
 
 
 @dataclass(frozen=True)
