@@ -306,3 +306,32 @@ def stream_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, inbox_dir:
                     ["customerNumber", "productCode", "ratingTimestamp"])
 
     return start_ratings_ingest(ratings_files(spark, inbox_dir), handle, checkpoint, available_now)
+
+
+CURATED_SOURCES = ("customers", "employees", "offices", "orderdetails", "orders", "payments", "productlines",
+                   "products")
+
+
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Declared sources and staging views as temp views (``curated_<table>``, ``stg_<name>``), so
+    SQL users can query them by name; each is a lazy plan over the written tables."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    names = []
+    for table in CURATED_SOURCES:
+        path = jvm.org.apache.hadoop.fs.Path(lake.curated(table))
+        if path.getFileSystem(conf).exists(path):
+            _curated_table(spark, lake, table).createOrReplaceTempView(f"curated_{table}")
+            names.append(f"curated_{table}")
+    stagers = {"customers": staging.stg_customers, "products": staging.stg_products,
+               "orders": staging.stg_orders, "orderdetails": staging.stg_orderdetails}
+    for table, fn in stagers.items():
+        if f"curated_{table}" in names:
+            fn(spark.table(f"curated_{table}")).createOrReplaceTempView(f"stg_{table}")
+            names.append(f"stg_{table}")
+    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
+    if rfml is not None:
+        rfml.createOrReplaceTempView("curated_ratings_for_ml")
+        staging.stg_ratings(rfml).createOrReplaceTempView("stg_ratings")
+        names += ["curated_ratings_for_ml", "stg_ratings"]
+    return names

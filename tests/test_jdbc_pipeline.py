@@ -86,6 +86,10 @@ def test_daily_run_end_to_end(spark, tmp_dir):
     assert rows(rfml, "customerNumber", "productRating") == [(101, 5), (102, 4)]
     state = fold(spark.table("audit_e2e"))
     assert {r.stage: r.status for r in state.collect()}["batch_transform"] == "SUCCEEDED_WITH_REJECTS"
+    from daybook.plans.stages import register_views
+
+    assert "stg_orders" in register_views(spark, lake)
+    assert spark.sql("select count(*) as n from stg_orderdetails").first().n == 4
     # rerun of the same day gives the same tables (idempotent)
     run_pipeline(spark, RunContext("2026-09-09", run_id="r2", run_ts=dt.datetime(2026, 9, 10, 3)), lake, src, rdir,
                  audit_table="audit_e2e")
