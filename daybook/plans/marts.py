@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Money totals keep the line scale with the widest precision: a month's or a product's sales at
+# 100 TB exceed decimal(18,4)'s 10^14 (ANSI mode would fail the job on overflow).
+TOTAL = "decimal(38,4)"
+
 
 def mart_monthly_sales(fact_order_items: DataFrame) -> DataFrame:
     """Orders, units and sales per calendar month, over all history.
@@ -17,7 +21,7 @@ def mart_monthly_sales(fact_order_items: DataFrame) -> DataFrame:
                                      F.month(d).cast("int").alias("sales_month"))
             .agg(F.count_distinct("order_number").alias("order_count"),
                  F.sum("quantity_ordered").cast("bigint").alias("units_sold"),
-                 F.sum("gross_amount").cast("decimal(18,4)").alias("gross_sales"),
+                 F.sum("gross_amount").cast(TOTAL).alias("gross_sales"),
                  F.avg("gross_amount").cast("decimal(18,4)").alias("average_order_line_amount")))
 
 
@@ -26,13 +30,13 @@ def mart_product_performance(dim_products: DataFrame, fact_order_items: DataFram
     """Each product with its sales and rating totals; both sides aggregated before the joins."""
     sales = fact_order_items.groupBy("product_code").agg(
         F.sum("quantity_ordered").cast("bigint").alias("units_sold"),
-        F.sum("gross_amount").cast("decimal(18,4)").alias("gross_sales"))
+        F.sum("gross_amount").cast(TOTAL).alias("gross_sales"))
     ratings = fact_product_ratings.groupBy("product_code").agg(
         F.count(F.lit(1)).alias("rating_count"),
         F.avg(F.col("product_rating").cast("decimal(10,2)")).cast("decimal(10,2)").alias("average_rating"))
     return (dim_products.join(sales, "product_code", "left").join(ratings, "product_code", "left")
             .select("product_code", "product_name", "product_line", "product_vendor",
                     F.coalesce("units_sold", F.lit(0).cast("bigint")).alias("units_sold"),
-                    F.coalesce("gross_sales", F.lit(0).cast("decimal(18,4)")).alias("gross_sales"),
+                    F.coalesce("gross_sales", F.lit(0).cast(TOTAL)).alias("gross_sales"),
                     F.coalesce("rating_count", F.lit(0).cast("bigint")).alias("rating_count"),
                     "average_rating"))
