@@ -4,7 +4,10 @@ Winners use ``row_number() = 1``, which Catalyst plans as a partial ``WindowGrou
 the shuffle and a final one after it: a hot key is cut to one row per map task before it moves,
 so a key holding a third of all rows never lands whole in one task. Losers are the multiset
 difference ``rows EXCEPT ALL winners`` (an aggregate over full rows with map-side combine), not
-``row_number() > 1``, which would have to sort every row of a hot key in one task.
+``row_number() > 1``, which would have to sort every row of a hot key in one task. Because
+duplicates are usually rare, that difference is taken only over the rows of duplicated keys: a
+key-only count finds them (narrow shuffle, combined map-side) and a null-safe semi join selects
+their rows (broadcast by AQE when that key set is small, a skew-split shuffle join otherwise).
 """
 
 from __future__ import annotations
@@ -37,7 +40,14 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], re
            tiebreak: bool = True) -> tuple[DataFrame, DataFrame]:
     """(kept, losers); losers carry ``reject_reason`` when ``reason`` is given."""
     kept = latest_by(df, keys, order, tiebreak)
-    losers = df.exceptAll(kept)
+    dup_keys = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                .select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)]))
+
+    def of_dup_keys(frame: DataFrame) -> DataFrame:
+        cond = [frame[k].eqNullSafe(dup_keys[f"_dk{i}"]) for i, k in enumerate(keys)]
+        return frame.join(dup_keys, cond, "left_semi")
+
+    losers = of_dup_keys(df).exceptAll(of_dup_keys(kept))
     if reason is not None:
         losers = losers.withColumn("reject_reason", F.lit(reason))
     return kept, losers
