@@ -41,10 +41,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         assert_unique(source, keys)
     cols = target.columns
     source = source.select(*cols)
+    source_keys = source.select(*keys).filter(_no_null(keys)).distinct()
     if update_when is None:
-        kept = target.join(source.select(*keys).filter(_no_null(keys)), list(keys), "left_anti")
+        kept = target.join(source_keys, list(keys), "left_anti")
         return kept.unionByName(source)
-    t = target.withColumn("_t", F.lit(True)).alias("t")
+    # Only target rows whose key occurs in the source can change: split the target by the
+    # source's key set (broadcast by AQE when that set is small, so the large target is not
+    # shuffled) and run the comparing full outer join on the touched rows only. NULL target keys
+    # never match and land in the untouched part, as MERGE leaves them.
+    untouched = target.join(source_keys, list(keys), "left_anti")
+    touched = target.join(source_keys, list(keys), "left_semi")
+    t = touched.withColumn("_t", F.lit(True)).alias("t")
     s = source.withColumn("_s", F.lit(True)).alias("s")
     cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, cond, "full")
@@ -56,7 +63,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         return F.col(f"t.{c}")
 
     take_source = F.col("s._s").isNotNull() & (F.col("t._t").isNull() | F.coalesce(update_when(sc, tc), F.lit(False)))
-    return joined.select(*[F.when(take_source, sc(c)).otherwise(tc(c)).alias(c) for c in cols])
+    merged = joined.select(*[F.when(take_source, sc(c)).otherwise(tc(c)).alias(c) for c in cols])
+    return untouched.unionByName(merged)
 
 
 def latest_wins(ts: str) -> Callable:
