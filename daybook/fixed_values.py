@@ -60,3 +60,12 @@ ORDER_STATUSES = ("SHIPPED", "RESOLVED", "CANCELLED", "ON HOLD", "DISPUTED", "IN
 RATING_VALUES = (1, 2, 3, 4, 5)
 SOURCE_DATABASE = "mysql_rds"
 SOURCE_CURATED = "landing_rds"
+
+# ---- fixed values: audit stage names and the model build-time column ----------------------------
+STAGE_DATABASE_LANDING = "rds_landing"
+STAGE_RATINGS_LANDING = "ratings_json_landing"
+STAGE_RELATIONAL_TRANSFORM = "batch_transform"
+STAGE_RATINGS_TRANSFORM = "ratings_for_ml_transform"
+STAGE_RATINGS_MERGE = "ratings_iceberg_merge"
+STAGE_QUALITY = "curated_quality_checks"
+MODEL_BUILD_TS_COLUMN = "dbt_updated_at"

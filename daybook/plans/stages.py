@@ -208,10 +208,10 @@ def build_star(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict[str, Da
         table = VersionedTable(spark, lake.models(name))
         existing = table.read()
         if existing is None or day is None:
-            table.commit(full().withColumn("dbt_updated_at", ctx.now()))
+            table.commit(full().withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now()))
         else:
             # slices are unique on the model key by construction: no duplicate-source pass
-            table.merge(incremental(day).withColumn("dbt_updated_at", ctx.now()), [key], check_unique=False)
+            table.merge(incremental(day).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now()), [key], check_unique=False)
         out[name] = table.read()
     dd = VersionedTable(spark, lake.models("dim_date"))
     dd.commit(star.dim_date(out["fact_order_items"]))
@@ -260,12 +260,12 @@ def run_pipeline(spark: SparkSession, ctx: RunContext, lake: Lake, sources: dict
         size_shuffle_partitions(spark, input_bytes(spark, f"{lake.root}/curated_zone", f"{lake.root}/landing_zone"))
     audit = Audit(spark, audit_table, ctx.run_id)
     steps = [
-        ("rds_landing", lambda: land_relational(spark, ctx, lake, sources)),
-        ("ratings_json_landing", lambda: land_ratings(spark, ctx, lake, ratings_dir)),
-        ("batch_transform", lambda: transform_relational(spark, ctx, lake, tuple(sources))),
-        ("ratings_for_ml_transform", lambda: transform_ratings(spark, ctx, lake)),
-        ("ratings_iceberg_merge", lambda: merge_ratings(spark, ctx, lake)),
-        ("curated_quality_checks", lambda: quality_gate(spark, ctx, lake)),
+        (FV.STAGE_DATABASE_LANDING, lambda: land_relational(spark, ctx, lake, sources)),
+        (FV.STAGE_RATINGS_LANDING, lambda: land_ratings(spark, ctx, lake, ratings_dir)),
+        (FV.STAGE_RELATIONAL_TRANSFORM, lambda: transform_relational(spark, ctx, lake, tuple(sources))),
+        (FV.STAGE_RATINGS_TRANSFORM, lambda: transform_ratings(spark, ctx, lake)),
+        (FV.STAGE_RATINGS_MERGE, lambda: merge_ratings(spark, ctx, lake)),
+        (FV.STAGE_QUALITY, lambda: quality_gate(spark, ctx, lake)),
         ("presentation", lambda: refresh_presentation(spark, ctx, lake)),
         ("models", lambda: build_star(spark, ctx, lake)),
     ]
