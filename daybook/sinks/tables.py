@@ -218,3 +218,32 @@ class VersionedTable:
         m["parts"] = parts
         self._write_manifest(m)
         return version
+
+    def vacuum(self, keep: int = 3) -> list[str]:
+        """Expire old versions: keep the newest ``keep`` manifests and delete every version
+        directory none of them references (a reader on a kept manifest loses nothing). Returns
+        the removed version names; the listing is of version folders, never of data rows."""
+        import json
+
+        found = self._manifests()
+        if len(found) <= keep:
+            return []
+        fs, jvm = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        live: set[str] = set()
+        for name in found[-keep:]:
+            stream = fs.open(path(f"{self.root}/{name}"))
+            try:
+                m = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            finally:
+                stream.close()
+            live |= set(m.get("parts", {}).values()) | ({m["version"]} if "version" in m else set())
+        removed = []
+        for st in fs.listStatus(path(self.root)):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v") and name not in live:
+                fs.delete(st.getPath(), True)
+                removed.append(name)
+        for name in found[:-keep]:
+            fs.delete(path(f"{self.root}/{name}"), False)
+        return sorted(removed)

@@ -97,3 +97,14 @@ def test_shuffle_partitions_sized_from_input(spark, tmp_dir):
         assert size_shuffle_partitions(spark, 1) == 2 * spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_versioned_table_vacuum_keeps_what_readers_need(spark, tmp_dir):
+    t = VersionedTable(spark, os.path.join(tmp_dir, "state"))
+    schema = "k int, v int"
+    first = t.commit(spark.createDataFrame([(1, 1)], schema))
+    for v in range(2, 6):
+        t.merge(spark.createDataFrame([(1, v)], schema), ["k"])
+    removed = t.vacuum(keep=2)
+    assert first in removed and len(removed) == 3
+    assert rows(t.read()) == [(1, 5)]
