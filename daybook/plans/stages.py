@@ -142,7 +142,7 @@ def merge_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> None:
     """Newest rating per pair of the day -> conditional merge into the current-state ``ratings``."""
     rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
     latest = ratings.latest_per_pair(rfml.filter(F.col("processing_date") == ctx.processing_date))
-    state = VersionedTable(spark, lake.lakehouse("ratings"))
+    state = VersionedTable(spark, lake.lakehouse("ratings"), merge_on_read=True)
     if state.read() is None:
         state.commit(latest.limit(0))
     state.merge(latest, ["customerNumber", "productCode"], ratings.latest_wins("ratingTimestamp"),
@@ -234,7 +234,7 @@ def model_schema(default_schema: str, custom_schema: str | None = None) -> str:
 def refresh_presentation(spark: SparkSession, ctx: RunContext, lake: Lake) -> None:
     """Four presentation tables, each replaced as one new version (no empty window)."""
     rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
-    state = VersionedTable(spark, lake.lakehouse("ratings")).read()
+    state = VersionedTable(spark, lake.lakehouse("ratings"), merge_on_read=True).read()
     outputs = {
         "ratings": presentation.presentation_ratings(state),
         "ratings_for_ml": presentation.presentation_ratings_for_ml(rfml),

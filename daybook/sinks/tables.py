@@ -100,8 +100,14 @@ class VersionedTable:
     new manifest, never an empty table. Single writer per table (the single active run).
     """
 
-    def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
+                 merge_on_read: bool = False):
+        """``merge_on_read`` (unpartitioned keyed state): a merge writes only the merged rows of the
+        touched keys as a delta version; reads resolve base + deltas by newest delta per key;
+        ``compact`` folds them into a new base. A small daily merge into a large state then writes
+        the day's keys instead of the whole state."""
         self.spark, self.root, self.partition_by = spark, root.rstrip("/"), partition_by
+        self.merge_on_read = merge_on_read and partition_by is None
 
     def _fs(self):
         jvm = self.spark._jvm
@@ -164,7 +170,11 @@ class VersionedTable:
             return None
         schema = StructType.fromJson(m["schema"])
         if not self.partition_by:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{m['version']}")
+            base = self.spark.read.schema(schema).parquet(f"{self.root}/{m['version']}")
+            deltas = m.get("deltas", [])
+            if not deltas:
+                return base
+            return self._resolve(base, deltas, m["keys"], schema)
         pc = self.partition_by
         data_schema = StructType([f for f in schema.fields if f.name != pc])
         paths = [f"{self.root}/{v}/{pc}={val}" for val, v in sorted(m["parts"].items())]
@@ -174,6 +184,26 @@ class VersionedTable:
         value = F.regexp_extract(F.col("_metadata.file_path"), f"/{pc}=([^/]+)/", 1)
         return df.withColumn(pc, value).select(*schema.fieldNames())
 
+    def _resolve(self, base: DataFrame, deltas: list, keys: list, schema) -> DataFrame:
+        """Newest version of each key across base (seq 0) and deltas (seq 1..n). Every version
+        holds a key at most once, so a key has at most n + 1 candidates (no hot-key growth);
+        rows with a NULL key never matched in a MERGE and are all kept."""
+        from daybook.operators.dedupe import latest_by
+
+        parts = base.withColumn("_seq", F.lit(0))
+        for i, v in enumerate(deltas, start=1):
+            parts = parts.unionByName(self.spark.read.schema(schema).parquet(f"{self.root}/{v}")
+                                      .withColumn("_seq", F.lit(i)))
+        has_null = F.lit(False)
+        for k in keys:
+            has_null = has_null | F.col(k).isNull()
+        keyed = latest_by(parts.filter(~has_null), keys, ["_seq"], tiebreak=False)
+        return keyed.unionByName(parts.filter(has_null)).drop("_seq")
+
+    def compact(self) -> str:
+        """Fold the deltas into a new base version (run periodically, e.g. weekly)."""
+        return self.commit(self.read())
+
     def _write_version(self, df: DataFrame) -> str:
         version = f"v{uuid.uuid4().hex[:12]}"
         w = df.write.mode("overwrite")
@@ -204,6 +234,16 @@ class VersionedTable:
         target = self.read()
         if target is None:
             return self.commit(source)
+        if self.merge_on_read:
+            source = source.select(*target.columns)
+            touched = target.join(source.select(*keys).distinct(), list(keys), "left_semi")
+            merged = upsert(touched, source, keys, update_when, check_unique)
+            version = self._write_version(merged)
+            m = self.manifest()
+            m["deltas"] = m.get("deltas", []) + [version]
+            m["keys"] = list(keys)
+            self._write_manifest(m)
+            return version
         if not self.partition_by:
             return self.commit(upsert(target, source, keys, update_when, check_unique))
         pc = self.partition_by
@@ -238,6 +278,7 @@ class VersionedTable:
             finally:
                 stream.close()
             live |= set(m.get("parts", {}).values()) | ({m["version"]} if "version" in m else set())
+            live |= set(m.get("deltas", []))
         removed = []
         for st in fs.listStatus(path(self.root)):
             name = st.getPath().getName()

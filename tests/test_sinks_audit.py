@@ -108,3 +108,28 @@ def test_versioned_table_vacuum_keeps_what_readers_need(spark, tmp_dir):
     removed = t.vacuum(keep=2)
     assert first in removed and len(removed) == 3
     assert rows(t.read()) == [(1, 5)]
+
+
+def test_merge_on_read_state_writes_only_deltas(spark, tmp_dir):
+    import datetime as dt
+
+    from daybook.operators.upsert import latest_wins
+
+    T = dt.datetime
+    t = VersionedTable(spark, os.path.join(tmp_dir, "mor"), merge_on_read=True)
+    schema = "c long, p string, r int, ts timestamp"
+    t.commit(spark.createDataFrame([(1, "A", 3, T(2024, 1, 5)), (2, "A", 3, T(2024, 1, 5)),
+                                    (None, "A", 9, T(2024, 1, 1))], schema))
+    t.merge(spark.createDataFrame([(1, "A", 1, T(2024, 1, 1)), (3, "A", 4, T(2024, 1, 6))], schema), ["c", "p"],
+            latest_wins("ts"))
+    t.merge(spark.createDataFrame([(2, "A", 5, T(2024, 1, 7)), (3, "A", 2, T(2024, 1, 8))], schema), ["c", "p"],
+            latest_wins("ts"))
+    m = t.manifest()
+    assert len(m["deltas"]) == 2
+    delta_rows = spark.read.parquet(os.path.join(tmp_dir, "mor", m["deltas"][-1])).count()
+    assert delta_rows == 2                                   # only the touched keys were written
+    expected = [(1, 3), (2, 5), (3, 2), (None, 9)]           # late event ignored; NULL key kept
+    assert rows(t.read(), "c", "r") == expected
+    t.compact()
+    assert "deltas" not in t.manifest() or not t.manifest()["deltas"]
+    assert rows(t.read(), "c", "r") == expected
