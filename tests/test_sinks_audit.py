@@ -133,3 +133,26 @@ def test_merge_on_read_state_writes_only_deltas(spark, tmp_dir):
     t.compact()
     assert "deltas" not in t.manifest() or not t.manifest()["deltas"]
     assert rows(t.read(), "c", "r") == expected
+
+
+def test_catalog_table_partition_replace_and_external_registration(spark, tmp_dir):
+    from daybook.plans.stages import model_schema
+    from daybook.sinks.tables import insert_overwrite_partition
+    from daybook.sources.files import catalog_table, register_external
+
+    path = os.path.join(tmp_dir, "curated_orders")
+    spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "c", "2024-01-02")],
+                          "k int, v string, processing_date string").write.partitionBy("processing_date").parquet(path)
+    register_external(spark, "ext_orders", path, "k int, v string, processing_date string", "processing_date")
+    assert catalog_table(spark, "ext_orders").count() == 3
+    assert catalog_table(spark, "ext_orders", processing_date="2024-01-02").count() == 2
+    assert catalog_table(spark, "ext_orders", as_of="2024-01-01").count() == 1
+    # static partition overwrite through the catalog: an empty replacement clears the partition
+    insert_overwrite_partition(spark, spark.createDataFrame([], "k int, v string, processing_date string"),
+                               "ext_orders", "processing_date", "2024-01-02")
+    assert rows(catalog_table(spark, "ext_orders"), "k") == [(1,)]
+    insert_overwrite_partition(spark, spark.createDataFrame([(9, "z", "2024-01-02")],
+                                                            "k int, v string, processing_date string"),
+                               "ext_orders", "processing_date", "2024-01-02")
+    assert rows(catalog_table(spark, "ext_orders"), "k") == [(1,), (9,)]
+    assert model_schema("analytics", " marts ") == "marts" and model_schema("analytics") == "analytics"
