@@ -245,10 +245,12 @@ def landed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing rating times (% 83), unknown products (k >= 95), a blank product code (k = 90).
     """
     e = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    ts = F.col("ts").cast("timestamp")
-    eid = F.col("event_id")
-    return e.select(
+    # the JSON lookup runs once in its own projection (Catalyst keeps a non-cheap expression that
+    # is referenced several times as a column instead of inlining it into every use)
+    base = e.select("event_id", "user_id", "value", "event_type", F.col("ts").cast("timestamp").alias("ts"),
+                    F.get_json_object("props", "$.k").cast("int").alias("k"))
+    k, ts, eid = F.col("k"), F.col("ts"), F.col("event_id")
+    return base.select(
         F.when(eid % 89 == 0, F.lit(None)).when(eid % 101 == 0, F.col("user_id") + 1000000)
          .otherwise(F.col("user_id")).alias("customerNumber"),
         F.when(k >= 95, F.concat(F.lit("X"), k.cast("string"))).when(k == 90, F.lit(" "))
