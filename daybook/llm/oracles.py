@@ -27,3 +27,22 @@ SELECT doc_id, size, s AS source_size, coalesce(t, 0.0) AS target,
        ((whole + CASE WHEN upto - size / 2.0 <= missing THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM walk
 """
+
+ORACLE["op9_cell_dedup"] = r"""
+WITH RECURSIVE v AS (
+  SELECT DISTINCT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS c FROM v
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.c = l.a),
+component AS (SELECT a, min(c) AS c FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.c, e.vec_id) AS component_id,
+       coalesce(e.vec_id = coalesce(c.c, e.vec_id), true) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN component c ON c.a = e.vec_id
+"""

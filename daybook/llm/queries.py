@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import mixing, sharding
+from daybook.llm import cell_dedup, mixing, multi_index, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,13 +19,35 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest of every 20th vector among all vectors, by inner product."""
+    rows = _table(spark, sf_dir, "embeddings")
+    return multi_index.search(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed 5 : 2 : 1 by source, three epochs at most."""
     mixture = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixture.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op9_cell_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors of one label with cosine 0.93 or more."""
+    return cell_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.93).withColumnRenamed("id", "vec_id") \
+        .withColumnRenamed("component", "component_id").select("vec_id", "n_links", "component_id", "kept")
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate group of every document."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_multi_index": op2_multi_index,
     "op3_mixing": op3_mixing,
+    "op9_cell_dedup": op9_cell_dedup,
+    "op10_simhash": op10_simhash,
 }
