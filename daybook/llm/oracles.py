@@ -46,3 +46,28 @@ SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.c, e.vec_id) AS
        coalesce(e.vec_id = coalesce(c.c, e.vec_id), true) AS kept
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN component c ON c.a = e.vec_id
 """
+
+ORACLE["op6_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+stripped AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS s FROM split),
+numbered AS (
+  SELECT *, CASE WHEN s <> '' THEN row_number() OVER (PARTITION BY doc_id, s <> '' ORDER BY n) END AS pos FROM stripped),
+seq AS (
+  SELECT doc_id, pos, s, lead(s, 1) OVER w AS s1, lead(s, 2) OVER w AS s2 FROM numbered WHERE s <> ''
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+three AS (SELECT doc_id, pos, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY s, s1, s2) AS first FROM seq WHERE s2 IS NOT NULL),
+one AS (SELECT doc_id, pos, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY s) AS first FROM seq
+        WHERE len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) >= 50),
+gone AS (
+  SELECT doc_id, pos + unnest([0, 1, 2]) AS pos FROM three WHERE first <> {'d': doc_id, 'p': pos}
+  UNION
+  SELECT doc_id, pos FROM one WHERE first <> {'d': doc_id, 'p': pos}),
+kept AS (
+  SELECT n.doc_id, count(g.pos) AS removed, string_agg(n.line, chr(10) ORDER BY n.n) FILTER (g.pos IS NULL) AS text,
+         bool_or(n.s <> '' AND g.pos IS NULL) AS any_left
+  FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.pos = g.pos GROUP BY n.doc_id)
+SELECT d.doc_id, coalesce(k.removed, 0)::INT AS lines_removed,
+       CASE WHEN coalesce(k.removed, 0) = 0 THEN d.text WHEN k.any_left THEN k.text ELSE '' END AS text
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

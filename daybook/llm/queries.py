@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import cell_dedup, mixing, multi_index, sharding, simhash
+from daybook.llm import cell_dedup, line_dedup, mixing, multi_index, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,19 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that occur earlier."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "lines_removed", "text")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 0 is held out."""
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select(F.col("id").alias("doc_id"), F.coalesce(toxicity.fold(F.col("id")) == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_cell_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of vectors of one label with cosine 0.93 or more."""
     return cell_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.93).withColumnRenamed("id", "vec_id") \
@@ -48,6 +61,8 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_multi_index": op2_multi_index,
     "op3_mixing": op3_mixing,
+    "op6_line_dedup": op6_line_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_cell_dedup": op9_cell_dedup,
     "op10_simhash": op10_simhash,
 }
