@@ -71,3 +71,19 @@ SELECT d.doc_id, coalesce(k.removed, 0)::INT AS lines_removed,
        CASE WHEN coalesce(k.removed, 0) = 0 THEN d.text WHEN k.any_left THEN k.text ELSE '' END AS text
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
+
+ORACLE["op4_warc"] = r"""
+WITH alphabet AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS a),
+payload AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+summed AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS sha FROM payload),
+bits AS (   -- base32: 160 bits of the digest in groups of five
+  SELECT *, list_aggregate(list_transform(range(0, 32), lambda g: a[(
+      (('0x' || sha[(g * 5 // 4) + 1] || coalesce(nullif(sha[(g * 5 // 4) + 2], ''), '0'))::INT >> (3 - g * 5 % 4)) & 31)::INT + 1]),
+      'string_agg', '') AS digest
+  FROM summed, alphabet),
+latest AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS m FROM bits)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
+FROM latest
+"""

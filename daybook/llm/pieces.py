@@ -5,6 +5,11 @@ word marks and what follows up to the next one) are encoded once per distinct se
 form one matrix of code points, whose rows advance together from left to right. At every position
 the hashes of all substrings that end there probe the sorted keys of the pieces, and the maximum over
 the starts is stored with its piece as a backpointer.
+
+In a unigram model a path's score is the sum of its pieces' scores. In a BPE model the scores only
+order the merges, so the sum means nothing; there a path scores 0 if merging in that order leads to it and
+minus infinity if not. That is decided pair by pair: a sequence is what BPE makes of its text exactly
+if each pair of neighbours is what BPE makes of theirs. Both give SentencePiece's own ids.
 """
 
 from __future__ import annotations
@@ -29,6 +34,66 @@ CELLS_AT_ONCE = 1 << 15
 KNOWN_SEGMENTS = 500_000  # remembered by a worker
 
 
+@dataclass
+class Merges:
+    """Per piece of a BPE model: when it is merged (0: a character), of which two pieces, and whether
+    BPE makes it of its own text at all."""
+
+    rank: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    reachable: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str], scores: np.ndarray) -> Merges:
+        at = {t: i for i, t in enumerate(texts)}
+        order = {s: r for r, s in enumerate(sorted({s for t, s in zip(texts, scores, strict=True) if len(t) > 1}, reverse=True), 1)}
+        rank = np.array([order[s] if len(t) > 1 else 0 for t, s in zip(texts, scores, strict=True)])
+        left, right, reachable = (np.full(len(texts), -1), np.full(len(texts), -1), np.ones(len(texts), bool))
+        for i, t in enumerate(texts):
+            parts = list(t)
+            while len(parts) > 1:
+                joins = [(rank[j], n) for n in range(len(parts) - 1) if (j := at.get(parts[n] + parts[n + 1])) is not None]
+                if not joins:
+                    reachable[i] = False
+                    break
+                n = min(joins)[1]  # the earliest merge, the leftmost of equal ones
+                if len(parts) == 2:
+                    if parts[0] not in at or parts[1] not in at:
+                        raise ValueError(f"piece {t!r} is merged of characters that are no pieces")
+                    left[i], right[i] = at[parts[0]], at[parts[1]]
+                parts[n:n + 2] = [parts[n] + parts[n + 1]]
+        return Merges(rank, left, right, reachable)
+
+
+def model_type(path: str) -> int:
+    """1 unigram, 2 BPE: field 3 of the trainer settings, field 2 of the file (protocol buffer)."""
+
+    def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+        at = 0
+
+        def number() -> int:
+            nonlocal at
+            value = shift = 0
+            while True:
+                value, shift, at = value | (data[at] & 127) << shift, shift + 7, at + 1
+                if data[at - 1] < 128:
+                    return value
+
+        while at < len(data):
+            tag = number()
+            if tag & 7 == 0:
+                yield tag >> 3, number()
+            else:
+                size = {1: 8, 5: 4}.get(tag & 7) or number()
+                yield tag >> 3, data[at:at + size]
+                at += size
+
+    with open(path, "rb") as f:
+        trainer = next((v for k, v in fields(f.read()) if k == 2), b"")
+    return next((v for k, v in fields(trainer) if k == 3), 1)
+
+
 @dataclass
 class Pieces:
     """A vocabulary as arrays: sorted hashes of the pieces, their ids, scores and code points."""
@@ -46,6 +111,8 @@ class Pieces:
     pattern: str
     filter: np.ndarray  # which leading bits the keys have: most substrings are no pieces
     as_tuple: list[tuple[int]]
+    merges: Merges | None  # of a BPE model
+    power: np.ndarray  # of the hashes' base
     known: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     @staticmethod
@@ -81,11 +148,17 @@ class Pieces:
         pattern = "[^\n]+|\n" if any(MARK in p.lstrip(MARK) for p in text) else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+"
         if any("\n" in p for p in text):
             pattern = "(?s).+"
+        kind = model_type(path)
+        if kind not in (1, 2):
+            raise ValueError("only unigram and BPE models have scored pieces")
+        by_row = list(text)
+        merges = Merges.of([by_row[i] for i in order], scores) if kind == 2 else None
         leading = np.zeros(1 << FILTER_BITS, bool)
         leading[key >> np.uint64(64 - FILTER_BITS)] = True
         return Pieces(key[order], ids, scores, codes[order], length[order], float(scores.min()) - UNKNOWN_PENALTY, sp.unk_id(),
                       byte_ids, out, sp.encode("a", out_type=str) == [MARK + "a"], pattern,
-                      leading, [(int(i),) for i in ids])
+                      leading, [(int(i),) for i in ids], merges,
+                      np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(length.max()), BASE)]), dtype=np.uint64))
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
         """The ids of each text (null: null, empty: none)."""
@@ -125,27 +198,11 @@ class Pieces:
         words, n = codes.shape
         longest = min(n, self.codes.shape[1])
         upto = np.concatenate([np.zeros((words, 1), np.uint64), _hashes(codes)], axis=1)
-        power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(longest, BASE)]), dtype=np.uint64)
-        # score[w, end, k]: of the piece from end - longest + k to end
-        score = np.full((words, n + 1, longest), -np.inf)
-        score[:, :, longest - 1] = self.unknown_score
-        for size in range(1, longest + 1):
-            found = upto[:, size:] - upto[:, :-size] * power[size]
-            place, at = self._probe(found, size)
-            w, start = np.divmod(place, n + 1 - size)
-            score[w, start + size, longest - size] = self.scores[at]
-        best = np.full((words, longest + n + 1), -np.inf)
-        best[:, longest] = 0
-        back = np.zeros((words, n + 1), np.int64)
-        row = np.arange(words)
-        for end in range(1, n + 1):
-            total = best[:, end:end + longest] + score[:, end]
-            take = total.argmax(1)  # of equal sums the longest last piece wins
-            best[:, longest + end] = total[row, take]
-            back[:, end] = end - longest + take
+        power = self.power
+        back = (self._by_merges if self.merges else self._by_scores)(words, n, longest, upto, power)
         # all words walk back together; the pieces on their ways are checked character by character
         out: list[list[tuple[int, ...]]] = [[] for _ in range(words)]
-        alive, end = row, np.full(words, n)
+        alive, end = np.arange(words), np.full(words, n)
         while len(alive):
             start = back[alive, end]
             size = end - start
@@ -161,6 +218,81 @@ class Pieces:
             alive, end = alive[start > 0], start[start > 0]
         return [ways[0] if len(ways) == 1 else tuple(i for t in reversed(ways) for i in t) for ways in out]
 
+    def _by_scores(self, words: int, n: int, longest: int, upto: np.ndarray, power: np.ndarray) -> np.ndarray:
+        """Start of the last piece of the best path to each end, by the sum of scores."""
+        # score[w, end, k]: of the piece from end - longest + k to end
+        score = np.full((words, n + 1, longest), -np.inf)
+        score[:, :, longest - 1] = self.unknown_score
+        for size in range(1, longest + 1):
+            place, at = self._probe(upto[:, size:] - upto[:, :-size] * power[size], size)
+            w, start = np.divmod(place, n + 1 - size)
+            score[w, start + size, longest - size] = self.scores[at]
+        best = np.full((words, longest + n + 1), -np.inf)
+        best[:, longest] = 0
+        back = np.zeros((words, n + 1), np.int64)
+        row = np.arange(words)
+        for end in range(1, n + 1):
+            total = best[:, end:end + longest] + score[:, end]
+            take = total.argmax(1)  # of equal sums the longest last piece wins
+            best[:, longest + end] = total[row, take]
+            back[:, end] = end - longest + take
+        return back
+
+    def _by_merges(self, words: int, n: int, longest: int, upto: np.ndarray, power: np.ndarray) -> np.ndarray:
+        """The same where a path counts only if every two neighbours are what BPE makes of their text.
+        One path to each end does, so the maximum is its only start; an unknown character is a piece
+        that never merges."""
+        piece = np.full((n + 1, words, longest), -1, np.int32)
+        for size in range(1, longest + 1):
+            place, at = self._probe(upto[:, size:] - upto[:, :-size] * power[size], size)
+            w, start = np.divmod(place, n + 1 - size)
+            piece[start + size, w, longest - size] = np.where(self.merges.reachable[at], at, -1)
+        last = np.full((words, n + 1), -1, np.int64)  # last piece of the path; -1: none or unknown
+        back = np.zeros((words, n + 1), np.int64)
+        row = np.arange(words)
+        for end in range(1, n + 1):
+            w, k = np.nonzero(piece[end] >= 0)
+            start, p = end - longest + k, piece[end, w, k].astype(np.int64)
+            before = last[w, start]
+            fits = before < 0
+            ask = np.nonzero(~fits)[0]
+            fits[ask] = self._compatible(before[ask], p[ask])
+            possible = np.full((words, longest), -np.inf)
+            possible[:, longest - 1] = -1.0  # an unknown character, if nothing else leads here
+            possible[w[fits], k[fits]] = 0.0
+            take = possible.argmax(1)
+            back[:, end] = end - longest + take
+            last[:, end] = np.where(possible[row, take] == 0, piece[end, row, take], -1)
+        return back
+
+    def _compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether BPE leaves the pieces ``a`` and ``b`` apart in their joined text.
+
+        Both are taken apart, the later merge first. A merge across the border that is due before the
+        merge just undone would have come first. Of equal merges the left one comes first.
+        """
+        rank, left, right = self.merges.rank, self.merges.left, self.merges.right
+        apart = np.ones(len(a), bool)
+        live, limit = np.arange(len(a)), np.full(len(a), np.iinfo(np.int64).max)
+        longest = self.codes.shape[1]
+        while len(live):
+            size = self.lengths[a] + self.lengths[b]
+            short = size <= longest
+            joined = self.keys[a] * self.power[np.minimum(self.lengths[b], longest)] + self.keys[b]
+            at, found = np.zeros(len(a), np.int64), np.zeros(len(a), bool)
+            maybe = np.nonzero(short & self.filter[joined >> np.uint64(64 - FILTER_BITS)])[0]
+            at[maybe] = np.minimum(np.searchsorted(self.keys, joined[maybe]), len(self.keys) - 1)
+            found[maybe] = (self.keys[at[maybe]] == joined[maybe]) & (self.lengths[at[maybe]] == size[maybe])
+            crossed = found & (rank[at] < limit)
+            apart[live[crossed]] = False
+            ra, rb = rank[a], rank[b]
+            go = ~crossed & ((ra > 0) | (rb > 0))
+            live, a, b, ra, rb = live[go], a[go], b[go], ra[go], rb[go]
+            undo_a = ra > rb
+            limit = np.where(undo_a, ra, rb + 1)
+            a, b = np.where(undo_a, right[a], a), np.where(undo_a, b, left[b])
+        return apart
+
     def _unknown(self, code: int) -> tuple[int, ...]:
         char = MARK if chr(code) == TEXT_MARK else chr(code)
         return tuple(self.byte_ids[b] for b in char.encode()) if self.byte_ids else (self.unknown_id,)
@@ -184,9 +316,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     """``id, token_ids array<int>, round_trip boolean`` of every record; round_trip: the ids decode to
     exactly the text.
 
-    The ids are the segmentation of largest total score, with SentencePiece's own rules for the dummy
-    prefix, unknown characters (byte pieces where the model has them) and ties (longest last piece). A
-    word mark in the text itself is encoded by its bytes, so that it decodes to itself. Null: null ids and
+    The ids are SentencePiece's own for the model (unigram or BPE), with its dummy prefix and its byte
+    pieces for unknown characters. Only a word mark (U+2581) in the text itself is encoded by its bytes,
+    so that it decodes to itself and not to a space. Null: null ids and
     round_trip, empty: no ids. The model is read by the driver and sent to the tasks (its vocabulary only).
     """
     vocabulary = Pieces.load(model_file)

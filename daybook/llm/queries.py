@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import cell_dedup, line_dedup, mixing, multi_index, sharding, simhash, toxicity
+from daybook.llm import cell_dedup, line_dedup, mixing, multi_index, pieces, sharding, simhash, toxicity, url_rules, warc
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +34,27 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, looked up in their index and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL by the given rules, else by association rules."""
+    return url_rules.judge(_table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that occur earlier."""
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "lines_removed", "text")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SentencePiece ids, and whether they decode to its text."""
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"))
+    return encoded.select(F.col("id").alias("doc_id"), F.size("token_ids").alias("n_tokens"), "token_ids", "round_trip")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; fold 0 is held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -61,7 +80,10 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_multi_index": op2_multi_index,
     "op3_mixing": op3_mixing,
+    "op4_warc": op4_warc,
+    "op5_url_rules": op5_url_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_pieces": op7_pieces,
     "op8_toxicity": op8_toxicity,
     "op9_cell_dedup": op9_cell_dedup,
     "op10_simhash": op10_simhash,

@@ -239,3 +239,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component"))
     named = materialise(grouped.join(smallest, "root").select("fp", "component"), "named")
     return printed.join(named, "fp").select("id", "fp", "component")
+
+
+def keep_one(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """Of each group of ``found`` (``near_duplicates``) the record with the smallest id, with all its
+    columns; of rows that share this id one stays. Records with a null id stay."""
+    ids = materialise(found.groupBy(F.col("id").alias("__id")).agg(
+        F.min(F.col("id") == F.col("component")).alias("__keep"), F.count("*").alias("__n")), "decisions")
+    gone, repeated = (ids.where(c).select("__id") for c in ("not __keep", "__keep and __n > 1"))
+    left = docs.join(gone, docs[id_col] == gone["__id"], "left_anti")
+    once = left.join(repeated, left[id_col] == repeated["__id"], "left_anti")
+    return once.union(left.join(repeated, left[id_col] == repeated["__id"], "left_semi").dropDuplicates([id_col]))

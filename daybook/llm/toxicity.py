@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,16 +153,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return Model(features, w, b)
 
 
+def score_column(text: Column, model: Model) -> Column:
+    """Score of each whole text (0 to 1; null and empty texts: that of a text without features)."""
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.score(t) for t in texts], dtype="float64")
+
+    return scored(text)
+
+
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, score double`` of every record from its whole text (0 to 1; null and empty texts: the score
-    of a text without features)."""
+    """``id, score double`` of every record."""
+    return docs.select(F.col(id_col).alias("id"), score_column(F.col(text_col), model).alias("score"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                scores = [model.score(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, score double")
+def keep_clean(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The records, with all their columns, that score below ``threshold``."""
+    return docs.where(score_column(F.col(text_col), model) < threshold)

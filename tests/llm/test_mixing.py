@@ -1,0 +1,77 @@
+import re
+
+from pyspark.sql import functions as F
+
+from daybook.llm.mixing import mix, mixed_documents, water_fill
+
+
+def filled(sizes, weights, cap):
+    """Plain water-filling."""
+    target, open_ = {}, dict(zip(sizes, weights, strict=True))
+    rest = sum(sizes.values())
+    while open_:
+        unit = rest / sum(open_.values())
+        over = [s for s, w in open_.items() if w * unit > cap * sizes[s]]
+        if not over:
+            target |= {s: w * unit for s, w in open_.items()}
+            break
+        for s in over:
+            target[s] = cap * sizes[s]
+            rest -= cap * sizes[s]
+            del open_[s]
+    return target
+
+
+def test_water_fill(spark):
+    sizes = {"a": 10, "b": 1000, "c": 5, "d": 400, "e": 1, "f": 90}
+    weights = [5, 2, 1, 5, 2, 1]
+    rows = spark.createDataFrame([(s, n, w) for (s, n), w in zip(sizes.items(), weights, strict=True)], "source string, source_size long, weight int")
+    got = {r["source"]: r["target"] for r in water_fill(rows, 3).collect()}
+    want = filled(sizes, weights, 3)
+    assert all(abs(got[s] - want[s]) < 1e-6 for s in sizes)
+    assert abs(sum(got.values()) - sum(sizes.values())) < 1e-6 and got["e"] == 3
+
+
+def test_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mix(docs).collect()
+    again = mix(docs.repartition(7)).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    taken, longest, target, sizes = {}, {}, {}, {}
+    for r in rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", text[r["id"]]))
+        assert r["size"] == n and r["taken"] == r["reps"] * n and r["reps"] <= 3
+        s = r["source"]
+        taken[s] = taken.get(s, 0) + r["taken"]
+        sizes[s] = sizes.get(s, 0) + n
+        longest[s], target[s] = max(longest.get(s, 0), n), r["target"]
+    want = filled({s: sizes[s] for s in sorted(sizes)}, [(5, 2, 1)[i % 3] for i in range(len(sizes))], 3)
+    assert all(abs(target[s] - want[s]) < 1e-6 and abs(taken[s] - target[s]) <= longest[s] / 2 + 1 for s in sizes)
+
+
+def test_hot_source_and_nulls(spark):
+    hot = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, None).otherwise("hot").alias("source"), F.lit("w " * 7).alias("text"))
+    small = spark.createDataFrame([(9000 + i, f"s{i}", "x y") for i in range(3)], "id long, source string, text string")
+    rows = mix(hot.union(small), id_col="id").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["source"], [0, r["target"]])[0] += r["taken"]
+    assert all(abs(n - t) <= 7 for n, t in got.values()) and got["s0"] == [4, 4.0] or got["s0"][0] <= 6
+
+
+def test_odd_rows(odd_documents, no_documents):
+    rows = mix(odd_documents).collect()
+    assert len(rows) == 11 and all(r["taken"] == 0 for r in rows if r["size"] == 0)
+    assert mix(no_documents).collect() == []
+    empty = odd_documents.withColumn("text", F.lit(None).cast("string"))
+    assert {(r["target"], r["taken"]) for r in mix(empty).collect()} == {(0.0, 0)}
+
+
+def test_mixed_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    m = mix(docs)
+    out = mixed_documents(docs, m)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert got == {r["id"]: r["reps"] for r in m.collect() if r["reps"]}
