@@ -135,6 +135,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     runs = materialise(repeated_runs(docs, id_col=id_col, text_col=text_col, run_lines=run_lines, run_words=run_words), "runs")
     runs = runs.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("runs").alias("__runs"))
+    runs = runs.hint("merge")  # it grows with the documents: the same plan at every size
     base = docs.drop(removed_col) if removed_col in docs.columns else docs
     joined = base.withColumn("__h", F.xxhash64(text_col)).join(
         runs, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left")

@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A linear model over the presence of words and word beginnings is fitted from confirmed toxic documents
-(P) and a sample of all documents, labelled or not (U). With class prior p and sigmoid loss, the risk is
+(P) and a sample of all documents, labelled or not (U). With class prior p and logistic loss, the risk is
 ``p R_P(+) + max(0, R_U(-) - p R_P(-))``: U's risk as negatives is corrected by the share of toxic
 documents in U, and where the corrected part falls below zero the step is taken against it.
 """
@@ -64,8 +64,8 @@ class Model:
 
 
 def train(rows: list[list[int]], positive: np.ndarray, n_features: int, prior: float, *, steps: int = 400,
-          rate: float = 0.2, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of the non-negative PU risk by full-batch Adam. ``rows``: feature numbers per
+          rate: float = 0.1, decay: float = 5e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias of the non-negative PU risk by full-batch Adam with a falling rate. ``rows``: feature numbers per
     document; ``positive``: which of them are confirmed toxic, the rest is unlabelled."""
     sizes = np.array([len(r) for r in rows])
     flat = np.array([f for r in rows for f in r], np.int64)
@@ -75,14 +75,14 @@ def train(rows: list[list[int]], positive: np.ndarray, n_features: int, prior: f
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for t in range(1, steps + 1):
         z = np.bincount(owner, weights=w[flat], minlength=len(rows)) + b
-        s = 1 / (1 + np.exp(-np.clip(z, -60, 60)))  # loss as a negative; 1 - s as a positive
-        slope = s * (1 - s)
-        negative_risk = s[~positive].mean() - prior * s[positive].mean()
-        as_negative = np.where(positive, -prior / n_p, 1 / n_u) * slope
-        g = as_negative + np.where(positive, -prior / n_p, 0) * slope if negative_risk >= 0 else -as_negative
+        s = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+        loss = np.logaddexp(0, z)  # as a negative, with slope s; as a positive the slope is s - 1
+        negative_risk = loss[~positive].mean() - prior * loss[positive].mean()
+        as_negative = np.where(positive, -prior / n_p, 1 / n_u) * s
+        g = as_negative + np.where(positive, prior / n_p, 0) * (s - 1) if negative_risk >= 0 else -as_negative
         grad = np.append(np.bincount(flat, weights=g[owner], minlength=n_features) + decay * w, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
-        step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        step = rate * (1 - t / (steps + 1)) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
     return w, float(b)
 
