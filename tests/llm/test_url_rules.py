@@ -64,7 +64,8 @@ def test_mined_rules_and_inverted_index(spark):
     assert {(tuple(sorted(t for t, _, _ in v)), k[1]) for k, v in got.items()} == set(want)
     assert all(c == pytest.approx(want[tuple(sorted(t for t, _, _ in v)), k[1]]) and n == len(v) for k, v in got.items() for _, n, c in v)
     asked = spark.createDataFrame([("http://new.org/x/y/q",), ("http://new.org/x/z/q",), ("http://new.org/w/z/",), ("http://b/y/x/",), ("none",)], "url string")
-    assert {r["url"]: r["label"] for r in url_rules.judge_by_rules(asked, index).collect()} == {"http://new.org/x/y/q": "block", "http://new.org/w/z/": "allow"}
+    assert {r["url"]: r["label"] for r in url_rules.judge_by_rules(asked, index).collect()} == {
+        "http://new.org/x/y/q": "block", "http://b/y/x/": "block", "http://new.org/w/z/": "allow"}
 
 
 def test_nothing_labelled(spark):
