@@ -31,7 +31,8 @@ UNKNOWN_PENALTY = 10.0
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 20
 CELLS_AT_ONCE = 1 << 15
-KNOWN_SEGMENTS = 500_000  # remembered by a worker
+KNOWN_SEGMENTS = 1_000_000  # remembered by a worker
+PAIR_BITS = 20
 
 
 @dataclass
@@ -110,10 +111,11 @@ class Pieces:
     dummy_prefix: bool
     pattern: str
     filter: np.ndarray  # which leading bits the keys have: most substrings are no pieces
-    as_tuple: list[tuple[int]]
     merges: Merges | None  # of a BPE model
     power: np.ndarray  # of the hashes' base
-    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    known: dict[str, bytes] = field(default_factory=dict)  # ids of the segments met, as 32-bit integers
+    asked: np.ndarray | None = None  # pairs of pieces met, by slot, and whether BPE leaves them apart
+    answered: np.ndarray | None = None
 
     @staticmethod
     def load(path: str = MODEL_FILE) -> Pieces:
@@ -157,11 +159,15 @@ class Pieces:
         leading[key >> np.uint64(64 - FILTER_BITS)] = True
         return Pieces(key[order], ids, scores, codes[order], length[order], float(scores.min()) - UNKNOWN_PENALTY, sp.unk_id(),
                       byte_ids, out, sp.encode("a", out_type=str) == [MARK + "a"], pattern,
-                      leading, [(int(i),) for i in ids], merges,
+                      leading, merges,
                       np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(length.max()), BASE)]), dtype=np.uint64))
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
         """The ids of each text (null: null, empty: none)."""
+        return [None if t is None else np.frombuffer(raw, np.int32).tolist() for t, raw in zip(texts, self.encode_raw(texts), strict=True)]
+
+    def encode_raw(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as 32-bit integers in one string of bytes (null: none)."""
         find = re.compile(self.pattern).findall
         split = []
         for t in texts:
@@ -169,10 +175,9 @@ class Pieces:
             split.append(find(MARK + s if s and self.dummy_prefix else s))
         if len(self.known) > KNOWN_SEGMENTS:
             self.known.clear()
-        new = {seg for segs in split for seg in segs}.difference(self.known)
-        self._learn(new)
         known = self.known
-        return [None if t is None else [i for seg in segs for i in known[seg]] for t, segs in zip(texts, split, strict=True)]
+        self._learn({seg for segs in split for seg in segs if seg not in known})
+        return [b"".join([known[seg] for seg in segs]) for segs in split]
 
     def _learn(self, segments: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
@@ -194,29 +199,43 @@ class Pieces:
         hit = (self.keys[at] == flat[maybe]) & (self.lengths[at] == length)
         return maybe[hit], at[hit]
 
-    def _viterbi(self, codes: np.ndarray) -> list[tuple[int, ...]]:
+    def _viterbi(self, codes: np.ndarray) -> list[bytes]:
         words, n = codes.shape
         longest = min(n, self.codes.shape[1])
         upto = np.concatenate([np.zeros((words, 1), np.uint64), _hashes(codes)], axis=1)
         power = self.power
         back = (self._by_merges if self.merges else self._by_scores)(words, n, longest, upto, power)
         # all words walk back together; the pieces on their ways are checked character by character
-        out: list[list[tuple[int, ...]]] = [[] for _ in range(words)]
+        owners, ids, chars = [], [], []
         alive, end = np.arange(words), np.full(words, n)
+        column = np.arange(longest)
         while len(alive):
             start = back[alive, end]
             size = end - start
             found = upto[alive, end] - upto[alive, start] * power[size]
             at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
             piece = (self.keys[at] == found) & (self.lengths[at] == size)
-            column = np.arange(longest)
             text = codes[alive[:, None], np.minimum(start[:, None] + column, n - 1)]
             if (piece[:, None] & (column < size[:, None]) & (text != self.codes[at, :longest])).any():
                 raise ValueError("hash collision between a piece and a text")  # a winning false hit cannot pass
-            for w, p, a, c in zip(alive.tolist(), piece.tolist(), at.tolist(), text[:, 0].tolist(), strict=True):
-                out[w].append(self.as_tuple[a] if p else self._unknown(c))
+            owners.append(alive)
+            ids.append(np.where(piece, self.ids[at], -1))
+            chars.append(text[:, 0])
             alive, end = alive[start > 0], start[start > 0]
-        return [ways[0] if len(ways) == 1 else tuple(i for t in reversed(ways) for i in t) for ways in out]
+        # from the last step to the first, word by word
+        owner, flat, char = np.concatenate(owners[::-1]), np.concatenate(ids[::-1]), np.concatenate(chars[::-1])
+        order = np.argsort(owner, kind="stable")
+        owner, flat, char = owner[order], flat[order], char[order]
+        strange = np.nonzero(flat < 0)[0]
+        if len(strange):
+            spelled = [self._unknown(int(c)) for c in char[strange]]
+            flat = np.delete(np.insert(flat, np.repeat(strange, [len(x) for x in spelled]), [i for x in spelled for i in x]),
+                             strange + np.cumsum([len(x) for x in spelled]))
+            owner = np.delete(np.insert(owner, np.repeat(strange, [len(x) for x in spelled]), np.repeat(owner[strange], [len(x) for x in spelled])),
+                              strange + np.cumsum([len(x) for x in spelled]))
+        raw = flat.astype(np.int32).tobytes()
+        ends = (np.searchsorted(owner, np.arange(words + 1)) * 4).tolist()
+        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def _by_scores(self, words: int, n: int, longest: int, upto: np.ndarray, power: np.ndarray) -> np.ndarray:
         """Start of the last piece of the best path to each end, by the sum of scores."""
@@ -256,7 +275,7 @@ class Pieces:
             before = last[w, start]
             fits = before < 0
             ask = np.nonzero(~fits)[0]
-            fits[ask] = self._compatible(before[ask], p[ask])
+            fits[ask] = self._apart(before[ask], p[ask])
             possible = np.full((words, longest), -np.inf)
             possible[:, longest - 1] = -1.0  # an unknown character, if nothing else leads here
             possible[w[fits], k[fits]] = 0.0
@@ -265,6 +284,22 @@ class Pieces:
             last[:, end] = np.where(possible[row, take] == 0, piece[end, row, take], -1)
         return back
 
+    def _apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``_compatible`` with a memory: the last pair that fell into each of 2^PAIR_BITS slots."""
+        if self.asked is None:
+            self.asked, self.answered = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
+        pair = a * len(self.keys) + b
+        slot = (pair.astype(np.uint64) * BASE) >> np.uint64(64 - PAIR_BITS)
+        out = self.answered[slot]
+        new = np.nonzero(self.asked[slot] != pair)[0]
+        if len(new):
+            pairs, first, inverse = np.unique(pair[new], return_index=True, return_inverse=True)
+            answer = self._compatible(a[new[first]], b[new[first]])
+            out[new] = answer[inverse]
+            where = slot[new[first]]
+            self.asked[where], self.answered[where] = pairs, answer
+        return out
+
     def _compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether BPE leaves the pieces ``a`` and ``b`` apart in their joined text.
 
@@ -328,11 +363,12 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
                 texts = part.column("text").to_pylist()
-                ids = vocabulary.encode(texts)
-                same = [None if t is None else vocabulary.decode(i) == t for t, i in zip(texts, ids, strict=True)]
-                flat = np.fromiter((x for i in ids if i for x in i), np.int32)
-                ends = np.cumsum([0, *(len(i) if i else 0 for i in ids)])
-                tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat), mask=pa.array([i is None for i in ids]))
+                raw = vocabulary.encode_raw(texts)
+                same = [None if t is None else vocabulary.decode(np.frombuffer(r, np.int32).tolist()) == t
+                        for t, r in zip(texts, raw, strict=True)]
+                ends = np.cumsum([0, *map(len, raw)]) // 4
+                tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(raw), np.int32)),
+                                                  mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([part.column("id"), tokens, pa.array(same, pa.bool_())], ["id", "token_ids", "round_trip"])
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
