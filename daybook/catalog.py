@@ -20,9 +20,12 @@ from daybook.sources import testdata as td
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Fixed slice days of the keyed queries.
+# Fixed slice days of the keyed queries, and the last day and batch of the tables (merges start from
+# everything before them, so target and source together are the whole table).
 RATING_DAY = "2024-01-15"
 ORDER_BATCH = "1999-12-31"
+LAST_RATING_DAY = "2024-01-30"
+LAST_ORDER_BATCH = "2001-12-31"
 
 
 def query(fn):
@@ -334,41 +337,27 @@ def known_keys_asof(spark, sf):
 
 # ------------------------------------------------------------------ quality ---------------
 
-def _dq_frames(spark, sf):
-    """Each table's slice of the checked run: masters of the newer day, order data of one yearly
-    batch (order lines as typed but not yet validated, so defects reach the checks), ratings of
-    one day as typed."""
+@query
+def dq_suite(spark, sf):
+    """The seven checks over one run's slice: masters of the newer day, orders of one yearly batch (order
+    lines as typed but not yet validated), ratings of one day as typed, with defects that every check
+    counts (some keys dropped, some references shifted to unknown ones)."""
+    from daybook.operators.quality import curated_checks
     from daybook.operators.routing import known_keys
     from daybook.operators.typing import type_ratings
 
-    cust, prod = td.customers(spark, sf), td.products(spark, sf)
-    day = F.col("processing_date")
-    return {
-        "customers": cust.filter(day == td.NEWER_DAY),
-        "products": prod.filter(day == td.NEWER_DAY),
-        "orders": td.orders(spark, sf).filter(day == ORDER_BATCH),
-        "details": _curated(spark, sf, "orderdetails").typed.filter(day == ORDER_BATCH),
-        "ratings": type_ratings(td.landed_ratings(spark, sf)).filter(day == RATING_DAY),
-        "known_customers": known_keys(cust, "customerNumber", td.NEWER_DAY),
-        "known_products": known_keys(prod, "productCode", td.NEWER_DAY),
-    }
-
+    def without(df, key, modulus):
+        return df.withColumn(key, F.when(F.col(key).cast("bigint") % modulus != 0, F.col(key)))
 
-@query
-def dq_suite(spark, sf):
-    from daybook.operators.quality import CountCheck, OrphanCheck, run_checks
-
-    f = _dq_frames(spark, sf)
-    c = F.col
-    return run_checks(
-        [(f["customers"], [CountCheck(FV.CHECK_CUSTOMERS_PK_NULL, c("customerNumber").isNull())]),
-         (f["products"], [CountCheck(FV.CHECK_PRODUCTS_PK_NULL, c("productCode").isNull())]),
-         (f["orders"], [CountCheck(FV.CHECK_ORDERS_PK_NULL, c("orderNumber").isNull())]),
-         (f["details"], [CountCheck(FV.CHECK_NEGATIVE_ORDER_VALUES, (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
-         (f["ratings"], [CountCheck(FV.CHECK_INVALID_RATING_RANGE, ~c("productRating").between(1, 5))])],
-        [OrphanCheck(FV.CHECK_ORPHAN_ORDER_CUSTOMER, f["orders"], "customerNumber", f["known_customers"]),
-         OrphanCheck(FV.CHECK_ORPHAN_ORDER_PRODUCT, f["details"], "productCode", f["known_products"])],
-        run_id="run-dq", processing_date=ORDER_BATCH)
+    cust, prod, day = td.customers(spark, sf), td.products(spark, sf), F.col("processing_date")
+    orders = td.orders(spark, sf).filter(day == ORDER_BATCH)
+    orders = orders.withColumn("customerNumber", F.when(F.col("orderNumber") % 11 == 0, -F.col("customerNumber")).otherwise(F.col("customerNumber")))
+    lines = _curated(spark, sf, "orderdetails").typed.filter(day == ORDER_BATCH)
+    lines = lines.withColumn("productCode", F.when(F.col("orderNumber") % 13 == 0, F.concat(F.lit("X"), "productCode")).otherwise(F.col("productCode")))
+    return curated_checks(
+        without(cust.filter(day == td.NEWER_DAY), "customerNumber", 7), without(prod.filter(day == td.NEWER_DAY), "productCode", 7),
+        without(orders, "orderNumber", 17), lines, type_ratings(td.landed_ratings(spark, sf)).filter(day == RATING_DAY),
+        known_keys(cust, "customerNumber", td.NEWER_DAY), known_keys(prod, "productCode", td.NEWER_DAY), "run-dq", ORDER_BATCH)
 
 
 @query
@@ -389,15 +378,47 @@ def dq_orphan_product(spark, sf):
     return lines.join(known_keys(td.products(spark, sf), "productCode", td.BACKFILL_DAY), "productCode", "left_anti")
 
 
-def _star(spark, sf):
-    fact = _fact_order_items(spark, sf)
-    return {
-        "dim_customers": star.dim_customers(staging.stg_customers(td.customers(spark, sf))),
-        "dim_products": star.dim_products(staging.stg_products(td.products(spark, sf))),
-        "fact_order_items": fact,
-        "dim_date": star.dim_date(fact),
-        "fact_product_ratings": _fact_product_ratings(spark, sf),
+def _written(spark, name, df):
+    from daybook.sinks.tables import replace_table
+
+    return replace_table(df, _scratch(spark, name))
+
+
+def _defective_star(spark, sf):
+    """The written models with defects that every declared test counts, derived from the rows' own keys:
+    keys dropped or doubled, quantities dropped or turned negative, odd ratings, days missing from dim_date."""
+    def doubled(df, number, modulus):
+        return df.unionByName(df.filter(number % modulus == 0))
+
+    def unless(hit, column):
+        return F.when(~hit, F.col(column))
+
+    cn, pc, on = F.col("customer_number"), F.col("product_code").cast("bigint"), F.col("order_number")
+    fact = _written(spark, "fact", _fact_order_items(spark, sf))
+    dates = star.dim_date(fact).filter(F.col("date_key") % 100 != 13)
+    bad = {
+        "dim_customers": doubled(star.dim_customers(staging.stg_customers(td.customers(spark, sf))), cn, 41)
+        .withColumn("customer_number", unless(cn % 40 == 0, "customer_number")),
+        "dim_products": doubled(star.dim_products(staging.stg_products(td.products(spark, sf))), pc, 41).withColumns({
+            "quantity_in_stock": F.when(pc % 43 == 0, -1).otherwise(F.col("quantity_in_stock")),
+            "product_code": unless(pc % 40 == 0, "product_code")}),
+        "fact_order_items": doubled(fact, on, 41).withColumns({
+            "order_item_id": unless(on % 37 == 0, "order_item_id"), "gross_amount": unless(on % 36 == 0, "gross_amount"),
+            "quantity_ordered": F.when(on % 39 == 0, -F.col("quantity_ordered")).otherwise(unless(on % 38 == 0, "quantity_ordered"))}),
+        "dim_date": dates,
+        "fact_product_ratings": doubled(_fact_product_ratings(spark, sf), cn, 41).withColumns({
+            "rating_id": unless(cn % 37 == 0, "rating_id"),
+            "product_rating": F.when(cn % 43 == 0, 9).otherwise(F.col("product_rating"))}),
     }
+    return {name: _written(spark, name, df) for name, df in bad.items()}
+
+
+@query
+def model_test_suite(spark, sf):
+    """All declared model tests, one row per test."""
+    from daybook.operators.quality import model_tests
+
+    return model_tests(_defective_star(spark, sf))
 
 
 def _summarise(parts):
@@ -413,7 +434,7 @@ def _summarise(parts):
 def test_not_null(spark, sf):
     from daybook.operators.quality import test_not_null as t
 
-    s = _star(spark, sf)
+    s = _defective_star(spark, sf)
     uses = [("dim_customers", "customer_number"), ("dim_products", "product_code"),
             ("fact_order_items", "order_item_id"), ("fact_order_items", "quantity_ordered"),
             ("fact_order_items", "gross_amount"), ("fact_product_ratings", "rating_id")]
@@ -424,7 +445,7 @@ def test_not_null(spark, sf):
 def test_unique(spark, sf):
     from daybook.operators.quality import test_unique as t
 
-    s = _star(spark, sf)
+    s = _defective_star(spark, sf)
     uses = [("dim_customers", "customer_number"), ("dim_products", "product_code"),
             ("fact_order_items", "order_item_id"), ("fact_product_ratings", "rating_id")]
     return _summarise([(m, col, t(s[m], col)) for m, col in uses])
@@ -436,7 +457,7 @@ def test_accepted_values(spark, sf):
     from daybook.operators.quality import test_accepted_values as t
     from daybook.spec import ORDER_STATUSES
 
-    s = _star(spark, sf)
+    s = _defective_star(spark, sf)
     bad_status = t(s["fact_order_items"], "order_status", ORDER_STATUSES).select(
         F.lit("fact_order_items.order_status").alias("test"), F.col("order_item_id").alias("row_id"),
         F.col("order_status").alias("value"))
@@ -451,7 +472,7 @@ def test_expression(spark, sf):
     """Failing rows of ``credit_limit >= 0`` and ``quantity_in_stock >= 0``."""
     from daybook.operators.quality import test_expression as t
 
-    s = _star(spark, sf)
+    s = _defective_star(spark, sf)
     a = t(s["dim_customers"], "credit_limit", ">= 0").select(
         F.lit("dim_customers.credit_limit").alias("test"), F.col("customer_number").cast("string").alias("row_id"),
         F.col("credit_limit").cast("string").alias("value"))
@@ -465,7 +486,7 @@ def test_expression(spark, sf):
 def test_relationships(spark, sf):
     from daybook.operators.quality import test_relationships as t
 
-    s = _star(spark, sf)
+    s = _defective_star(spark, sf)
     f, r = s["fact_order_items"], s["fact_product_ratings"]
     uses = [("fact_order_items", "customer_number", t(f, "customer_number", s["dim_customers"], "customer_number")),
             ("fact_order_items", "product_code", t(f, "product_code", s["dim_products"], "product_code")),
@@ -478,7 +499,7 @@ def test_relationships(spark, sf):
 
 @query
 def test_positive_order_values(spark, sf):
-    f = _fact_order_items(spark, sf)
+    f = _defective_star(spark, sf)["fact_order_items"]
     return f.filter((F.col("quantity_ordered") <= 0) | (F.col("price_each") < 0) | (F.col("gross_amount") < 0))
 
 
@@ -490,36 +511,45 @@ def _prev_day(day: str) -> str:
     return (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
 
 
+def _merged(spark, name, target, source, keys, partition, update_when=None, by=None, of_keys=False):
+    """``target`` written as a partitioned table, ``source`` merged into it, and the table read back."""
+    from daybook.sinks.tables import PartitionedTable
+
+    table = PartitionedTable(spark, _scratch(spark, name), target.schema, partition, by, of_keys)
+    table.replace(target)
+    table.merge(_written(spark, f"{name}_source", source), keys, update_when, check_unique=True)
+    return table.read()
+
+
 @query
 def upsert_events(spark, sf):
-    """Events before the day as target; the day's events plus re-sent events of the previous day
+    """Events before the last day as target; the day's events plus re-sent events of the previous day
     (changed rating, moving to the day's partition) as source."""
-    rfml = _ratings_for_ml(spark, sf)
+    rfml = _written(spark, "rfml", _ratings_for_ml(spark, sf))
     day = F.col("processing_date")
-    target = rfml.filter(day < RATING_DAY)
-    resent = (rfml.filter((day == _prev_day(RATING_DAY)) & (F.col("source") == "ratings/click.json"))
+    resent = (rfml.filter((day == _prev_day(LAST_RATING_DAY)) & (F.col("source") == "ratings/click.json"))
               .withColumns({"productRating": (F.lit(6) - F.col("productRating")).cast("int"),
                             "ingest_ts": F.col("ingest_ts") + F.expr("INTERVAL 1 DAY"),
-                            "processing_date": F.lit(RATING_DAY),
-                            "processing_ts": ratings.batch_ts(F.lit(RATING_DAY))}))
-    source = rfml.filter(day == RATING_DAY).unionByName(resent)
-    return ratings.merge_events(target, source)
+                            "processing_date": F.lit(LAST_RATING_DAY),
+                            "processing_ts": ratings.batch_ts(F.lit(LAST_RATING_DAY))}))
+    source = rfml.filter(day == LAST_RATING_DAY).unionByName(resent)
+    return _merged(spark, "events", rfml.filter(day < LAST_RATING_DAY), source, list(ratings.RATING_KEYS), "processing_date")
 
 
 @query
 def upsert_latest_wins(spark, sf):
-    """State from the days before; the day's newest rating per pair, with 'view' events arriving
+    """State from the days before the last; the day's newest rating per pair, with 'view' events arriving
     20 days late, merged so that a late event never overwrites newer state."""
-    rfml = _ratings_for_ml(spark, sf)
+    rfml = _written(spark, "rfml", _ratings_for_ml(spark, sf))
     day = F.col("processing_date")
-    state = latest_by(rfml.filter(day < RATING_DAY), ["customerNumber", "productCode"],
+    state = latest_by(rfml.filter(day < LAST_RATING_DAY), ["customerNumber", "productCode"],
                       ["ratingTimestamp", "processing_date", "ingest_ts"]).select(*ratings.RATINGS_SCHEMA.fieldNames())
-    shifted = rfml.filter(day == RATING_DAY).withColumn(
+    shifted = rfml.filter(day == LAST_RATING_DAY).withColumn(
         "ratingTimestamp", F.when(F.col("source") == "ratings/view.json",
                                   F.col("ratingTimestamp") - F.expr("INTERVAL 20 DAYS"))
         .otherwise(F.col("ratingTimestamp")))
-    # one day's newest row per pair is unique per pair by construction: no duplicate-source pass
-    return ratings.merge_latest(state, ratings.latest_per_pair(shifted), check_unique=False)
+    return _merged(spark, "state", state, ratings.latest_per_pair(shifted), list(ratings.RATING_PAIR), "bucket",
+                   ratings.latest_wins("ratingTimestamp"), F.pmod(F.xxhash64(*ratings.RATING_PAIR), F.lit(16)), of_keys=True)
 
 
 @query
@@ -535,9 +565,20 @@ def insert_if_absent(spark, sf):
 
 @query
 def schema_clone(spark, sf):
+    """The clone of the orders table as written: its columns and types, its rows (none), and next to
+    them how many values the cloned table holds."""
     from daybook.sinks.tables import schema_clone as clone
 
-    return clone(td.orders(spark, sf))
+    orders = td.orders(spark, sf)
+    empty = _written(spark, "clone", clone(orders))
+    stack = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `{f.name}`" for f in empty.schema.fields)
+
+    def values(df):
+        return df.agg(*[F.count(c).alias(c) for c in df.columns]).selectExpr(
+            f"stack({len(df.columns)}, {stack}) as (column_name, data_type, n)")
+
+    return values(orders).withColumnRenamed("n", "source_values").join(
+        values(empty).withColumnRenamed("n", "clone_values"), ["column_name", "data_type"])
 
 
 @query
@@ -546,15 +587,21 @@ def incremental_or_filter(spark, sf):
     return star.fact_order_items_slice(td.orderdetails(spark, sf), td.orders(spark, sf), ORDER_BATCH)
 
 
+@query
+def incremental_rating_fact(spark, sf):
+    """Rating facts of one day (ranking only the events whose key occurs on that day)."""
+    return star.fact_product_ratings_slice(_ratings_for_ml(spark, sf), RATING_DAY)
+
+
 @query
 def incremental_fact_merge(spark, sf):
-    """Fact built from batches before the day, then the day's slice merged on order_item_id."""
+    """Fact built from all batches before the last, then the last batch's slice merged on order_item_id."""
     day = F.col("processing_date")
     o, d = td.orders(spark, sf), td.orderdetails(spark, sf)
-    before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < ORDER_BATCH)),
-                                   staging.stg_orders(o.filter(day < ORDER_BATCH)))
-    fresh = star.fact_order_items_slice(d.filter(day <= ORDER_BATCH), o.filter(day <= ORDER_BATCH), ORDER_BATCH)
-    return star.build_incremental(before, fresh, "order_item_id", check_unique=False)
+    before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < LAST_ORDER_BATCH)),
+                                   staging.stg_orders(o.filter(day < LAST_ORDER_BATCH)))
+    fresh = star.fact_order_items_slice(d, o, LAST_ORDER_BATCH)
+    return _merged(spark, "fact", before, fresh, ["order_item_id"], "order_month", by=F.date_format("order_date", "yyyy-MM"))
 
 
 @query
@@ -630,22 +677,35 @@ def audit_latest_state(spark, sf):
 def run_status_rollup(spark, sf):
     from daybook.operators.audit import fold, run_rollup
 
-    return run_rollup(fold(_audit_events(spark, sf)))
+    out = run_rollup(fold(_audit_events(spark, sf)))
+    return out.withColumn("failed_stages", F.array_join("failed_stages", ", "))
 
 
-def _messages(spark, sf, truncate_every: int | None = None):
-    """Events rendered as queue messages: odd ids wrapped in a topic envelope, even ids raw."""
+@query
+def stage_metrics(spark, sf):
+    """Metrics of the folded audit state, one row each."""
+    from daybook.operators.audit import fold, stage_metrics as metrics
+
+    return metrics(fold(_audit_events(spark, sf)))
+
+
+def _messages(spark, sf, faults: bool = False):
+    """Events rendered as queue messages: odd ids wrapped in a topic envelope, even ids raw. With
+    ``faults``, of every 50 messages one is cut short, one has a key with a stray percent sign, one is
+    a test event, one has no records, one a record without ``s3`` and one no usable date."""
     e = td.table(spark, sf, "events")
+    n = F.col("event_id") % 50 if faults else F.lit(-1)
+    key = F.concat(F.lit("incoming/"), F.col("event_type"), F.lit("/"), F.col("event_id").cast("string"),
+                   F.when(n == 1, F.lit("+100%.json")).otherwise(F.lit("+part%2F1.json")))
+    time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     rec = F.struct(
-        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"),
-        F.struct(F.struct(F.lit("landing-bucket").alias("name")).alias("bucket"),
-                 F.struct(F.concat(F.lit("incoming/"), F.col("event_type"), F.lit("/"),
-                                   F.col("event_id").cast("string"), F.lit("+part%2F1.json")).alias("key"))
-                 .alias("object")).alias("s3"))
-    event = F.to_json(F.struct(F.array(rec).alias("Records")))
+        F.when(n == 5, F.lit("yesterday")).otherwise(time).alias("eventTime"),
+        F.when(n != 4, F.struct(F.struct(F.lit("landing-bucket").alias("name")).alias("bucket"),
+                                F.struct(key.alias("key")).alias("object"))).alias("s3"))
+    event = (F.when(n == 2, F.lit('{"Event":"s3:TestEvent"}')).when(n == 3, F.lit('{"Records":[]}'))
+             .otherwise(F.to_json(F.struct(F.array(rec).alias("Records")))))
     body = F.when(F.col("event_id") % 2 == 1, F.to_json(F.struct(event.alias("Message")))).otherwise(event)
-    if truncate_every:
-        body = F.when(F.col("event_id") % truncate_every == 0, F.substring(body, 1, 40)).otherwise(body)
+    body = F.when(n == 0, F.substring(body, 1, 40)).otherwise(body)
     return e.select(F.concat(F.lit("msg-"), F.col("event_id").cast("string")).alias("message_id"), body.alias("body"))
 
 
@@ -658,14 +718,13 @@ def event_notification_flatten(spark, sf):
 
 @query
 def malformed_quarantine(spark, sf):
-    """Parsed records plus quarantined messages (every 50th message is cut short)."""
+    """Parsed records plus quarantined messages; messages without anything to do yield nothing."""
     from daybook.sources.notifications import flatten, quarantine
 
-    m = _messages(spark, sf, truncate_every=50)
-    ok = flatten(m).withColumn("quarantined", F.lit(False))
-    bad = quarantine(m).select("message_id", F.lit(None).cast("string").alias("bucket"),
-                               F.lit(None).cast("string").alias("key"),
-                               F.lit(None).cast("string").alias("processing_date"), F.lit(True).alias("quarantined"))
+    m = _messages(spark, sf, faults=True)
+    ok = flatten(m).withColumn("reject_reason", F.lit(None).cast("string"))
+    none = F.lit(None).cast("string")
+    bad = quarantine(m).select("message_id", none.alias("bucket"), none.alias("key"), none.alias("processing_date"), "reject_reason")
     return ok.unionByName(bad)
 
 
@@ -673,7 +732,7 @@ def malformed_quarantine(spark, sf):
 def scalar_functions(spark, sf):
     from daybook.functions import month_name, surrogate_key, truncate, weekday_sun0
 
-    c = td.customers(spark, sf).filter(F.col("processing_date") == td.BASE_DAY)
+    c = td.customers(spark, sf)
     credit = F.col("creditLimit")
     d = F.date_add(F.to_date(F.lit(td.BASE_DAY)), (F.col("customerNumber") % 400).cast("int"))
     return c.select(
@@ -726,35 +785,38 @@ def incremental_window_scan(spark, sf):
 
 
 def _scratch(spark, name):
+    """A new folder of the shared checkpoint folder (set for local sessions that have none)."""
     import tempfile
+    import uuid
 
     from daybook.context import checkpoint_dir
 
-    root = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="daybook-ckpt-"))
-    import uuid
-
-    return f"{root.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:8]}"
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="daybook-ckpt-"))
+    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:8]}"
 
 
 @query
 def csv_landing_roundtrip(spark, sf):
     """Landed products written as CSV and read back with the all-string schema."""
-    from daybook.sinks.tables import read_landing_csv, write_landing_csv
+    from daybook.sinks.tables import write_landing_csv
+    from daybook.sources.files import read_landed_csv
 
     df = td.landed_products(spark, sf)
     path = _scratch(spark, "csv")
     write_landing_csv(df, path)
-    return read_landing_csv(spark, path, df.schema)
+    return read_landed_csv(spark, path, df.schema)
 
 
 @query
 def json_landing_roundtrip(spark, sf):
-    from daybook.sinks.tables import read_landing_json, write_landing_json
+    from daybook.sinks.tables import write_landing_json
+    from daybook.sources.files import read_landed_json
 
     df = td.landed_ratings(spark, sf)
     path = _scratch(spark, "json")
     write_landing_json(df, path)
-    return read_landing_json(spark, path, df.schema)
+    return read_landed_json(spark, path, df.schema)
 
 
 @query
@@ -764,8 +826,45 @@ def partition_overwrite(spark, sf):
 
     d = td.orderdetails(spark, sf)
     path = _scratch(spark, "orderdetails")
-    d.write.mode("overwrite").partitionBy("processing_date").parquet(path)
+    d.hint("rebalance", "processing_date").write.mode("overwrite").partitionBy("processing_date").parquet(path)
     changed = (d.filter(F.col("processing_date") == ORDER_BATCH)
                .withColumn("quantityOrdered", F.col("quantityOrdered") + 1))
     replace_partition(changed, path, "processing_date", ORDER_BATCH)
     return spark.read.schema(d.schema).parquet(path)
+
+
+@query
+def curated_schema_evolution(spark, sf):
+    """Products curated on two days, the second of which brings a new column: the table has all columns
+    and rows, and every row tells the attempt that brought it."""
+    from daybook.plans.stages import Lake, _curated_table, write_curated
+
+    lake = Lake(_scratch(spark, "lake"))
+    p = td.landed_products(spark, sf)
+    write_curated(spark, lake, "products", p.withColumn("run_id", F.lit("run-1")), td.BASE_DAY)
+    second = p.withColumns({"run_id": F.lit("run-2"), "shelfTier": F.concat(F.lit("T-"), "productLine")}).drop("productVendor")
+    write_curated(spark, lake, "products", second, td.NEWER_DAY)
+    return _curated_table(spark, lake, "products")
+
+
+@query
+def rejects_if_any(spark, sf):
+    """Rejected order lines as the sink wrote them for one run."""
+    from daybook.context import RunContext
+    from daybook.sinks.tables import partition_path, write_rejects
+
+    root, ctx = _scratch(spark, "rejects"), RunContext(ORDER_BATCH, run_id="run-1")
+    write_rejects(_curated(spark, sf, "orderdetails").rejected().withColumnRenamed("processing_date", "batch"), root, "orderdetails", ctx)
+    path = partition_path(root, "rejected_zone/orderdetails", processing_date=ORDER_BATCH, run_id="run-1")
+    return spark.read.parquet(path).drop("rejected_at")
+
+
+@query
+def merge_partition_values(spark, sf):
+    """Products in a table partitioned by a column with NULLs, spaces and slashes; a merge moves some
+    rows to other partitions, and the values come back as they are."""
+    p = td.table(spark, sf, "part").select("p_partkey", "p_name", "p_size", F.when(F.col("p_size") % 7 != 0, F.concat(
+        "p_type", F.lit("/a b:"), "p_brand")).alias("place"))
+    moved = p.filter("p_partkey % 5 = 0").withColumns({"place": F.when(F.col("p_size") % 2 == 0, F.lit("x/y=z %")),
+                                                       "p_size": F.col("p_size") + 100})
+    return _merged(spark, "places", p, moved, ["p_partkey"], "place")

@@ -38,13 +38,15 @@ def configure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for cutting lineage.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset (tests, local runs)
-    is ``fallback`` installed. Never a machine-local temp folder on a cluster.
+    A cluster names it in ``spark.checkpoint.dir``; only a single-JVM session (``local[...]``: tests,
+    local runs) that has none gets ``fallback``. On a cluster an unset folder is an error: a
+    machine-local one could not be read by other nodes.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if fallback is None:
-            raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
+        master = spark.conf.get("spark.master", "")
+        if fallback is None or not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is not set")
         spark.conf.set("spark.checkpoint.dir", fallback)
         current = fallback
     try:
@@ -94,33 +96,3 @@ class RunContext:
     @property
     def window_end(self) -> _dt.datetime:
         return self.window_start + _dt.timedelta(days=1)
-
-
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of the files under ``paths`` (a metadata call per path; no data is read)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
-    return total
-
-
-def size_shuffle_partitions(spark: SparkSession, shuffled_bytes: int, target_bytes: int = 256 << 20,
-                            max_partitions: int = 100_000) -> int:
-    """Size the initial shuffle partition count for the largest shuffle of a job.
-
-    Each shuffle partition should hold at most ``target_bytes`` so it sorts and aggregates in
-    executor memory without heavy spilling; AQE then coalesces partitions that turn out small
-    (towards the same advisory size) and splits skewed ones. The floor is twice the cluster's
-    default parallelism so every core has work.
-    """
-    floor = 2 * spark.sparkContext.defaultParallelism
-    n = int(min(max_partitions, max(floor, -(-shuffled_bytes // target_bytes))))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_bytes, 512 << 20)))
-    return n

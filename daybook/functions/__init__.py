@@ -42,11 +42,5 @@ def month_name(d: Column) -> Column:
     return F.date_format(d, "MMMM")
 
 
-def day_window(c: Column, day: str) -> Column:
-    """Half-open day window ``[day, day + 1)`` on a timestamp column (both bounds push down)."""
-    start = F.to_timestamp(F.lit(day))
-    return (c >= start) & (c < start + F.expr("INTERVAL 1 DAY"))
-
-
 def truncate(c: Column, n: int) -> Column:
     return F.substring(c, 1, n)

@@ -8,7 +8,8 @@ Fold rules (fixed behaviour of the audit writer):
 * ``started_at``   first RUNNING ever (a retry keeps it)
 * ``status``, ``updated_at`` from the last event
 * ``completed_at`` the last event's time when it is terminal; a RUNNING event clears it
-* ``error_message`` the last event's error (a RUNNING or a clean terminal event clears it), cut to 3000
+* ``error_message`` the last event's error (a RUNNING or a clean terminal event clears it); events keep the
+  whole text, the state shows its first ``error_limit`` characters
 * ``metrics``      the last non-null metrics of a terminal event (a later event without metrics keeps them)
 """
 
@@ -54,7 +55,7 @@ def error_text(exc: BaseException) -> str:
     return f"{type(exc).__name__}: {exc}\n{traceback.format_exc()}"
 
 
-def fold(events: DataFrame) -> DataFrame:
+def fold(events: DataFrame, error_limit: int = ERROR_LIMIT) -> DataFrame:
     """Latest state per (run_id, stage)."""
     order = F.struct("event_ts", "seq")
     terminal = F.col("status") != RUNNING
@@ -64,28 +65,29 @@ def fold(events: DataFrame) -> DataFrame:
         F.min(F.when(F.col("status") == RUNNING, F.col("event_ts"))).alias("started_at"),
         F.max("event_ts").alias("updated_at"),
         F.max_by(F.when(terminal, F.col("event_ts")), order).alias("completed_at"),
-        F.substring(F.nullif(last_error, F.lit("")), 1, ERROR_LIMIT).alias("error_message"),
+        F.substring(F.nullif(last_error, F.lit("")), 1, error_limit).alias("error_message"),
         F.max_by(F.col("metrics"), F.when(terminal & F.col("metrics").isNotNull(), order)).alias("metrics"),
     ))
 
 
-def run_rollup(state: DataFrame, prefix: str = FV.RUN_FAILED_PREFIX, ok_message: str = FV.RUN_OK_MESSAGE
-               ) -> DataFrame:
+def run_rollup(state: DataFrame, prefix: str = FV.RUN_FAILED_PREFIX, ok_message: str = FV.RUN_OK_MESSAGE,
+               message_limit: int = MESSAGE_LIMIT) -> DataFrame:
     """One row per run: FAILED with the sorted failed stage names, else SUCCEEDED.
 
-    The collected list holds only failed stage names of one run (bounded by the stage count).
+    ``failed_stages`` holds all of them (bounded by the run's stage count); only the text of
+    ``message`` is shown up to ``message_limit`` characters.
     """
     failed = F.sort_array(F.collect_set(F.when(F.col("status") == FAILED, F.col("stage"))))
+    any_failed = F.size("failed_stages") > 0
+    text = F.when(any_failed, F.concat(F.lit(prefix), F.array_join("failed_stages", ", "))).otherwise(F.lit(ok_message))
     return (state.groupBy("run_id").agg(failed.alias("failed_stages"), F.count(F.lit(1)).alias("stage_count"))
-            .select(
-                "run_id",
-                F.when(F.size("failed_stages") > 0, F.lit(FAILED)).otherwise(F.lit(FV.STATUS_SUCCEEDED)).alias("status"),
-                F.substring(
-                    F.when(F.size("failed_stages") > 0,
-                           F.concat(F.lit(prefix), F.array_join("failed_stages", ", ")))
-                    .otherwise(F.lit(ok_message)), 1, MESSAGE_LIMIT).alias("message"),
-                F.col("stage_count"),
-            ))
+            .select("run_id", F.when(any_failed, F.lit(FAILED)).otherwise(F.lit(FV.STATUS_SUCCEEDED)).alias("status"),
+                    F.substring(text, 1, message_limit).alias("message"), "failed_stages", "stage_count"))
+
+
+def stage_metrics(state: DataFrame) -> DataFrame:
+    """The metrics of the folded state, one row per (run_id, stage, metric)."""
+    return state.select("run_id", "stage", "status", F.explode("metrics").alias("metric", "value"))
 
 
 @dataclass
@@ -101,7 +103,7 @@ class Audit:
         import time
 
         row = (self.run_id, stage, status, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-               time.time_ns(), normalise_metrics(metrics), error[:ERROR_LIMIT] if error else None)
+               time.time_ns(), normalise_metrics(metrics), error or None)
         self.spark.createDataFrame([row], AUDIT_EVENT_SCHEMA).write.mode("append").saveAsTable(self.table)
 
     def start(self, stage: str) -> None:
@@ -115,3 +117,9 @@ class Audit:
 
     def state(self) -> DataFrame:
         return fold(self.spark.table(self.table).filter(F.col("run_id") == self.run_id))
+
+    def finish(self) -> DataFrame:
+        """Run-level status through ``run_rollup``, appended to ``<table>_runs``."""
+        out = run_rollup(self.state())
+        out.write.mode("append").saveAsTable(f"{self.table}_runs")
+        return out

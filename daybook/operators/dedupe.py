@@ -5,7 +5,7 @@ the shuffle and a final one after it: a hot key is cut to one row per map task b
 so a key holding a third of all rows never lands whole in one task. Losers are the multiset
 difference ``rows EXCEPT ALL winners`` (an aggregate over full rows with map-side combine), not
 ``row_number() > 1``, which would have to sort every row of a hot key in one task. Because
-duplicates are usually rare, that difference is taken only over the rows of duplicated keys: a
+duplicates are usually rare, ranking and difference run only over the rows of repeated keys: a
 key-only count finds them (narrow shuffle, combined map-side) and a null-safe semi join selects
 their rows (broadcast by AQE when that key set is small, a skew-split shuffle join otherwise).
 """
@@ -38,26 +38,21 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], reason: str | None = None,
            tiebreak: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(kept, losers); losers carry ``reject_reason`` when ``reason`` is given."""
+    """(kept, losers); losers carry ``reject_reason`` when ``reason`` is given.
+
+    The keys are counted first (a narrow shuffle, combined map-side). Rows of keys that occur once are
+    kept as they are; only the rows of repeated keys are ranked and differenced.
+    """
     kept = latest_by(df, keys, order, tiebreak)
-    dup_keys = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
                 .select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)]))
-
-    def of_dup_keys(frame: DataFrame) -> DataFrame:
-        cond = [frame[k].eqNullSafe(dup_keys[f"_dk{i}"]) for i, k in enumerate(keys)]
-        return frame.join(dup_keys, cond, "left_semi")
-
-    losers = of_dup_keys(df).exceptAll(of_dup_keys(kept))
+    rows = df.join(repeated, [df[k].eqNullSafe(repeated[f"_dk{i}"]) for i, k in enumerate(keys)], "left_semi")
+    losers = rows.exceptAll(latest_by(rows, keys, order, tiebreak))
     if reason is not None:
         losers = losers.withColumn("reject_reason", F.lit(reason))
     return kept, losers
 
 
-def dedupe_batch(df: DataFrame, primary_key: Sequence[str], reason: str) -> tuple[DataFrame, DataFrame]:
-    """Batch dedupe by primary key: newest ``ingest_ts`` first, then the full row."""
-    return dedupe(df, primary_key, ["ingest_ts"], reason)
-
-
 def dedupe_rating_events(df: DataFrame, reason: str, per_batch: bool = True) -> tuple[DataFrame, DataFrame]:
     """Rating-event dedupe on (customer, product, rating time): newest ingest, then source, then row."""
     keys = list(RATING_KEYS) + (["processing_date"] if per_batch else [])

@@ -75,6 +75,21 @@ def gate(results: DataFrame) -> None:
         raise QualityGateError(FV.GATE_FAILED_PREFIX + ", ".join(failed))
 
 
+def curated_checks(customers: DataFrame, products: DataFrame, orders: DataFrame, details: DataFrame, ratings: DataFrame,
+                   known_customers: DataFrame, known_products: DataFrame, run_id: str, processing_date: str) -> DataFrame:
+    """The seven checks of one run over its day's rows; the one definition that stages and queries use."""
+    c = F.col
+    return run_checks(
+        [(customers, [CountCheck(FV.CHECK_CUSTOMERS_PK_NULL, c("customerNumber").isNull())]),
+         (products, [CountCheck(FV.CHECK_PRODUCTS_PK_NULL, c("productCode").isNull())]),
+         (orders, [CountCheck(FV.CHECK_ORDERS_PK_NULL, c("orderNumber").isNull())]),
+         (details, [CountCheck(FV.CHECK_NEGATIVE_ORDER_VALUES, (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
+         (ratings, [CountCheck(FV.CHECK_INVALID_RATING_RANGE, ~c("productRating").between(1, 5))])],
+        [OrphanCheck(FV.CHECK_ORPHAN_ORDER_CUSTOMER, orders, "customerNumber", known_customers),
+         OrphanCheck(FV.CHECK_ORPHAN_ORDER_PRODUCT, details, "productCode", known_products)],
+        run_id, processing_date)
+
+
 # ---- declarative model tests: each returns the failing rows (empty = pass) -------------------
 
 def test_not_null(df: DataFrame, column: str) -> DataFrame:
@@ -101,3 +116,85 @@ def test_relationships(child: DataFrame, column: str, parent: DataFrame, field:
     """Non-null child values without a parent row."""
     parents = parent.select(F.col(field).alias(column)).filter(F.col(column).isNotNull()).distinct()
     return child.filter(F.col(column).isNotNull()).join(parents, column, "left_anti")
+
+
+# The declared tests of the models: (model, test, column, argument). Arguments are fixed values.
+MODEL_TESTS = (
+    ("dim_customers", "not_null", "customer_number", None),
+    ("dim_customers", "unique", "customer_number", None),
+    ("dim_customers", "expression", "credit_limit", ">= 0"),
+    ("dim_products", "not_null", "product_code", None),
+    ("dim_products", "unique", "product_code", None),
+    ("dim_products", "expression", "quantity_in_stock", ">= 0"),
+    ("fact_order_items", "not_null", "order_item_id", None),
+    ("fact_order_items", "unique", "order_item_id", None),
+    ("fact_order_items", "not_null", "quantity_ordered", None),
+    ("fact_order_items", "not_null", "gross_amount", None),
+    ("fact_order_items", "accepted_values", "order_status", FV.ORDER_STATUSES),
+    ("fact_order_items", "relationships", "customer_number", ("dim_customers", "customer_number")),
+    ("fact_order_items", "relationships", "product_code", ("dim_products", "product_code")),
+    ("fact_order_items", "relationships", "order_date_key", ("dim_date", "date_key")),
+    ("fact_order_items", "positive_order_values", "order_item_id", None),
+    ("fact_product_ratings", "not_null", "rating_id", None),
+    ("fact_product_ratings", "unique", "rating_id", None),
+    ("fact_product_ratings", "accepted_values", "product_rating", FV.RATING_VALUES),
+    ("fact_product_ratings", "relationships", "customer_number", ("dim_customers", "customer_number")),
+    ("fact_product_ratings", "relationships", "product_code", ("dim_products", "product_code")),
+)
+
+
+def _row_test(test: str, column: str, argument) -> Column | None:
+    """Predicate of a failing row; None for a test that needs more than the row."""
+    c = F.col(column)
+    if test == "not_null":
+        return c.isNull()
+    if test == "accepted_values":
+        return c.isNotNull() & ~c.isin(list(argument))
+    if test == "expression":
+        return ~F.coalesce(F.expr(f"`{column}` {argument}"), F.lit(True))
+    if test == "positive_order_values":
+        return (F.col("quantity_ordered") <= 0) | (F.col("price_each") < 0) | (F.col("gross_amount") < 0)
+    return None
+
+
+def model_tests(models: dict[str, DataFrame], tests: Sequence[tuple] = MODEL_TESTS) -> DataFrame:
+    """``model, test, column_name, failures, status`` of every declared test.
+
+    All row tests of a model are one aggregate over it; a uniqueness test counts keys (combined
+    map-side), a relationship test is an anti join of the distinct child keys, weighted by their rows.
+    """
+    parts = []
+    for model in dict.fromkeys(t[0] for t in tests):
+        own = [t[1:] for t in tests if t[0] == model]
+        rows = [(t, c, p) for t, c, a in own if (p := _row_test(t, c, a)) is not None]
+        df = models[model]
+        if rows:
+            counts = df.agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(f"n{i}") for i, (_, _, p) in enumerate(rows)])
+            stack = ", ".join(f"'{t}', '{c}', n{i}" for i, (t, c, _) in enumerate(rows))
+            parts.append(counts.selectExpr(f"'{model}' as model", f"stack({len(rows)}, {stack}) as (test, column_name, failures)"))
+        for test, column, argument in own:
+            keys = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+            if test == "unique":
+                failures = keys.agg(F.count_if(F.col("_n") > 1).alias("failures"))
+            elif test == "relationships":
+                parent = models[argument[0]].select(F.col(argument[1]).alias(column))
+                failures = keys.join(parent, column, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+            else:
+                continue
+            parts.append(failures.select(F.lit(model).alias("model"), F.lit(test).alias("test"), F.lit(column).alias("column_name"), "failures"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("failures", F.col("failures").cast("bigint")).withColumn(
+        "status", F.when(F.col("failures") > 0, FV.CHECK_FAILED).otherwise(FV.CHECK_PASSED))
+
+
+class ModelTestError(RuntimeError):
+    pass
+
+
+def model_gate(results: DataFrame) -> None:
+    """Raise if a model test failed (one row per declared test reaches the driver)."""
+    failed = sorted(f"{r.model}.{r.column_name}:{r.test} ({r.failures})" for r in results.filter(F.col("failures") > 0).collect())
+    if failed:
+        raise ModelTestError("Model tests failed: " + ", ".join(failed))

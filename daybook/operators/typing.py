@@ -14,9 +14,9 @@ from daybook.context import RunContext
 def to_int(df: DataFrame, name: str) -> Column:
     """Integer typing that rejects non-integral numbers instead of truncating (4.5 -> NULL, 4.0 -> 4)."""
     c = F.col(name)
-    if isinstance(df.schema[name].dataType, NumericType):
-        return F.when(c == F.floor(c), c.try_cast("int"))
-    return c.try_cast("int")
+    if not isinstance(df.schema[name].dataType, NumericType):
+        c = F.trim(c.cast("string")).try_cast("decimal(38,18)")  # text: 5.0 is 5, 4.5 is none
+    return F.when(c == F.floor(c), c.try_cast("int"))
 
 
 def cast_by_rules(df: DataFrame, casts: Iterable[tuple[str, str]]) -> DataFrame:
@@ -58,17 +58,9 @@ def add_ingest_metadata(df: DataFrame, ctx: RunContext, source: Column | str) ->
     })
 
 
-def add_file_lineage(df: DataFrame) -> DataFrame:
-    """Source-file lineage for file scans (``_metadata`` column of file sources)."""
-    return df.withColumn("source", F.col("_metadata.file_path"))
-
-
 def add_curated_metadata(df: DataFrame, ctx: RunContext) -> DataFrame:
-    return df.withColumns({
-        "processing_date": F.lit(ctx.processing_date),
-        "curated_ts": ctx.now(),
-        "source": F.lit(ctx.curated_source),
-    })
+    """Curated lineage; the landing ``run_id`` stays, it tells which attempt brought the row."""
+    return df.withColumns({"curated_ts": ctx.now(), "source": F.lit(ctx.curated_source)})
 
 
 def type_ratings(df: DataFrame, processing_date: str | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """MERGE semantics as DataFrame operators (no table format needed).
 
 ``upsert`` returns the new state of the target; the sinks decide how much of it is rewritten
-(only the touched partitions, see ``sinks.tables.VersionedTable``). Precondition: one writer per
+(only the touched partitions, see ``sinks.tables.PartitionedTable``). Precondition: one writer per
 table at a time, as the reference's single active run guarantees.
 """
 
@@ -17,13 +17,15 @@ class DuplicateSourceKeyError(ValueError):
     """Two source rows match the same target key: MERGE refuses this, so do we."""
 
 
-def assert_unique(source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a key occurs twice among source rows with a non-null key.
+def _ambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that two source rows share and a target row has, with their target rows (``_hits``)."""
+    twice = source.filter(_no_null(keys)).groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
+    return twice.join(target.select(*keys), list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
 
-    One aggregation with map-side combine; only one offending key reaches the driver.
-    """
-    dup = (source.filter(_no_null(keys))
-           .groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect())
+
+def assert_unique(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise now if two source rows match one target row; one such key reaches the driver."""
+    dup = _ambiguous(target, source, keys).limit(1).collect()
     if dup:
         raise DuplicateSourceKeyError(f"duplicate source key {dup[0].asDict()}")
 
@@ -36,35 +38,40 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     Key equality is SQL equality: a NULL key never matches, so such source rows are inserted and
     such target rows are kept. ``update_when(s, t)`` receives column accessors of both sides;
     without it a match always takes the source row. Columns are aligned by name to the target.
+    Two source rows that match one target row fail the query when it runs (building the frame runs
+    nothing); source rows that share a key which no target row has are all inserted, as in MERGE.
     """
-    if check_unique:
-        assert_unique(source, keys)
     cols = target.columns
     source = source.select(*cols)
-    source_keys = source.select(*keys).filter(_no_null(keys)).distinct()
-    if update_when is None:
-        kept = target.join(source_keys, list(keys), "left_anti")
-        return kept.unionByName(source)
-    # Only target rows whose key occurs in the source can change: split the target by the
-    # source's key set (broadcast by AQE when that set is small, so the large target is not
-    # shuffled) and run the comparing full outer join on the touched rows only. NULL target keys
-    # never match and land in the untouched part, as MERGE leaves them.
+    # rows with a NULL key match nothing: they stay out of the joins, where they would all meet in one task
+    keyed, unkeyed = source.filter(_no_null(keys)), source.filter(~_no_null(keys))
+    source_keys = keyed.select(*keys).distinct()
     untouched = target.join(source_keys, list(keys), "left_anti")
-    touched = target.join(source_keys, list(keys), "left_semi")
-    t = touched.withColumn("_t", F.lit(True)).alias("t")
-    s = source.withColumn("_s", F.lit(True)).alias("s")
-    cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    joined = t.join(s, cond, "full")
-
-    def sc(c: str) -> Column:
-        return F.col(f"s.{c}")
-
-    def tc(c: str) -> Column:
-        return F.col(f"t.{c}")
-
-    take_source = F.col("s._s").isNotNull() & (F.col("t._t").isNull() | F.coalesce(update_when(sc, tc), F.lit(False)))
-    merged = joined.select(*[F.when(take_source, sc(c)).otherwise(tc(c)).alias(c) for c in cols])
-    return untouched.unionByName(merged)
+    if update_when is None:
+        out = untouched.unionByName(source)
+    else:
+        # Only target rows whose key occurs in the source can change: split the target by the
+        # source's key set (broadcast by AQE when that set is small, so the large target is not
+        # shuffled) and run the comparing full outer join on the touched rows only.
+        t = target.join(source_keys, list(keys), "left_semi").withColumn("_t", F.lit(True)).alias("t")
+        s = keyed.withColumn("_s", F.lit(True)).alias("s")
+        joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full")
+
+        def sc(c: str) -> Column:
+            return F.col(f"s.{c}")
+
+        def tc(c: str) -> Column:
+            return F.col(f"t.{c}")
+
+        take_source = F.col("s._s").isNotNull() & (F.col("t._t").isNull() | F.coalesce(update_when(sc, tc), F.lit(False)))
+        merged = joined.select(*[F.when(take_source, sc(c)).otherwise(tc(c)).alias(c) for c in cols])
+        out = untouched.unionByName(merged).unionByName(unkeyed)
+    if check_unique:
+        # the message names the aggregate's count, so that the filter stays above it
+        message = F.concat(F.lit("duplicate source key "), F.to_json(F.struct(*keys)), F.lit(" for target rows: "), F.col("_hits").cast("string"))
+        fails = _ambiguous(target, source, keys).filter(F.raise_error(message).cast("string").isNotNull())
+        out = out.unionByName(fails.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]))
+    return out
 
 
 def latest_wins(ts: str) -> Callable:

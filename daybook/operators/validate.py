@@ -25,34 +25,19 @@ def reason_column(rules: Sequence[Rule], mode: str = "all") -> Column:
     """Reject reason; NULL for a valid row.
 
     * ``all``   every failing message, in rule order, joined by ``"; "``
-    * ``first`` the first failing rule wins (priority chain)
-    * ``last``  the last failing rule wins (a fold of ``when(...).otherwise(previous)``)
+    * ``first`` the first failing rule wins
+    * ``last``  the last failing rule wins
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if not rules:
         return F.lit(None).cast("string")
     masks = [r.mask() for r in rules]
+    messages = [F.when(m, F.lit(r.message)) for r, m in zip(rules, masks)]
     if mode == "all":
-        joined = F.concat_ws(REASON_SEPARATOR, *[F.when(m, F.lit(r.message)) for r, m in zip(rules, masks)])
+        joined = F.concat_ws(REASON_SEPARATOR, *messages)
         return F.when(invalid_mask(rules, masks), F.coalesce(F.nullif(joined, F.lit("")), F.lit(DEFAULT_REASON)))
-    if mode == "first":
-        chain = None
-        for r, m in zip(rules, masks):
-            chain = F.when(m, F.lit(r.message)) if chain is None else chain.when(m, F.lit(r.message))
-        return chain
-    reason = F.lit(None).cast("string")
-    for r, m in zip(rules, masks):
-        reason = F.when(m, F.lit(r.message)).otherwise(reason)
-    return reason
-
-
-def add_reject_reason(df: DataFrame, conditions: Sequence[tuple[Column, str]]) -> DataFrame:
-    """Column-condition helper: the last matching condition wins, NULL when none matches."""
-    reason = F.lit(None).cast("string")
-    for cond, message in conditions:
-        reason = F.when(cond, F.lit(message)).otherwise(reason)
-    return df.withColumn("reject_reason", reason)
+    return F.coalesce(*(messages if mode == "first" else messages[::-1]))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], mode: str = "all") -> DataFrame:
@@ -64,7 +49,7 @@ def split(df: DataFrame, rules: Sequence[Rule], mode: str = "all") -> tuple[Data
     """(valid, rejected): every input row lands in exactly one side.
 
     Both sides come from the same tagged plan; a caller that materialises both should persist or
-    write the tagged frame once (see ``plans.pipeline``).
+    write the tagged frame once (see ``plans.stages``).
     """
     tagged = validate(df, rules, mode)
     valid = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")

@@ -21,12 +21,13 @@ def sales_report(orders: DataFrame, orderdetails: DataFrame) -> DataFrame:
     od = orderdetails.alias("od")
     j = o.join(od, (F.col("o.orderNumber") == F.col("od.orderNumber"))
                & (F.col("o.processing_date") == F.col("od.processing_date")), "inner")
-    line = F.col("od.quantityOrdered") * F.col("od.priceEach")
+    # summed exactly (the order of additions cannot show), cast to double at the end
+    line = F.col("od.quantityOrdered").cast("decimal(18,0)") * F.col("od.priceEach").cast("decimal(18,6)")
     return (j.groupBy(F.year("o.orderDate").cast("int").alias("sales_year"),
                       F.month("o.orderDate").cast("int").alias("sales_month"))
             .agg(F.count_distinct("o.orderNumber").alias("order_count"),
-                 F.round(F.sum(line), 2).alias("gross_sales"),
-                 F.round(F.avg(line), 4).alias("average_order_line_amount")))
+                 F.sum(line).cast("double").alias("gross_sales"),
+                 (F.sum(line).cast("double") / F.count(line)).alias("average_order_line_amount")))
 
 
 def ratings_per_product(products: DataFrame, ratings_for_ml: DataFrame) -> DataFrame:

@@ -31,6 +31,11 @@ class RatingsBatch:
                 .unionByName(self.unknown, allowMissingColumns=True))
 
 
+def outcome(b: RatingsBatch) -> DataFrame:
+    """Every row of the batch once: known events (``reject_reason`` NULL) and all rejects."""
+    return b.known.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(b.rejects(), allowMissingColumns=True)
+
+
 def process(landed: DataFrame, customers: DataFrame, products: DataFrame,
             processing_date: str | None = None) -> RatingsBatch:
     """One or many daily batches (rows keep their own ``processing_date`` unless one is given).

@@ -1,34 +1,48 @@
 """The daily run as stage functions over a lake root (landing -> curated -> gate -> star -> presentation).
 
 Stages pass data only through written tables, so any stage can be rerun alone for a day; every
-write replaces a whole partition or a whole version, so reruns and retried tasks are idempotent.
+write replaces whole partitions, so reruns and retried tasks are idempotent. Every stage returns the
+counts that the audit records.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook import fixed_values as FV
 from daybook.context import RunContext, configure_session
 from daybook.operators.audit import Audit
-from daybook.operators.quality import CountCheck, OrphanCheck, gate, run_checks
+from daybook.operators.dedupe import latest_by
+from daybook.operators.quality import curated_checks, gate, model_gate, model_tests
 from daybook.operators.routing import known_keys
+from daybook.operators.typing import add_curated_metadata, add_ingest_metadata, conform
 from daybook.plans import marts, presentation, ratings, staging, star
 from daybook.plans.curation import curate
-from daybook.sinks.tables import VersionedTable, replace_partition, write_rejects
-from daybook.sources.files import read_landed_csv, read_landed_json
-from daybook.spec import SPECS
+from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, path_exists, replace_table,
+                                  write_landing_csv, write_rejects)
+from daybook.sources.files import catalog_table, day_window_scan, read_landed_csv, read_landed_json, register_external
+from daybook.spec import RATING_KEYS, RATING_PAIR, RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA, SPECS
 from daybook.streaming.ingest import LANDED_RATING_SCHEMA
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Zone layout under one shared root (object store or HDFS path)."""
+    """Zone layout under one shared root (object store or HDFS path).
+
+    ``schema`` is the catalog schema of the curated tables; ``model_schemas`` names another one per
+    model (see ``model_schema``), whose folder the model then has.
+    """
 
     root: str
+    schema: str | None = None
+    model_schemas: tuple[tuple[str, str], ...] = ()
 
     def landing(self, source: str, table: str, day: str) -> str:
         return f"{self.root}/landing_zone/{source}/{table}/processing_date={day}"
@@ -36,37 +50,103 @@ class Lake:
     def curated(self, table: str) -> str:
         return f"{self.root}/curated_zone/{table}"
 
+    def catalog(self, table: str) -> str:
+        """Catalog name of a curated table; without a schema of its own a lake gets one by its root."""
+        return f"{self.schema or f'lake_{zlib.crc32(self.root.encode()):08x}'}.curated_{table}"
+
     def lakehouse(self, table: str) -> str:
         return f"{self.root}/lakehouse/{table}"
 
     def models(self, name: str) -> str:
-        return f"{self.root}/models/{name}"
+        return f"{self.root}/{model_schema('models', dict(self.model_schemas).get(name))}/{name}"
 
     def presentation(self, name: str) -> str:
         return f"{self.root}/presentation_zone/{name}"
 
-    def quality(self, ctx: RunContext) -> str:
-        return f"{self.root}/quality_results/processing_date={ctx.processing_date}/run_id={ctx.run_id}"
+    def staging(self, name: str) -> str:
+        return f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:12]}"
+
+    def quality(self, ctx: RunContext, kind: str = "checks") -> str:
+        return f"{self.root}/quality_results/{kind}/processing_date={ctx.processing_date}/run_id={ctx.run_id}"
+
+
+def model_schema(default_schema: str, custom_schema: str | None = None) -> str:
+    """Target schema of a model: a custom schema name is used as given, otherwise the default."""
+    return custom_schema.strip() if custom_schema else default_schema
 
 
 def _curated_table(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    return spark.read.parquet(lake.curated(table))
+    """A curated table through the catalog, with every column any of its days brought.
+
+    A session whose catalog does not know it yet registers the files, with their schemas merged once.
+    """
+    name = lake.catalog(table)
+    if not spark.catalog.tableExists(name):
+        found = spark.read.option("mergeSchema", True).parquet(lake.curated(table))
+        _register(spark, lake, table, found)
+    return catalog_table(spark, name)
+
+
+def _register(spark: SparkSession, lake: Lake, table: str, df: DataFrame) -> None:
+    name = lake.catalog(table)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
+    fields = [f for f in df.schema.fields if f.name != "processing_date"] + [StructField("processing_date", StringType())]
+    register_external(spark, name, lake.curated(table), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
+                      "processing_date")
+
+
+def write_curated(spark: SparkSession, lake: Lake, table: str, df: DataFrame, day: str) -> None:
+    """Replace one day of a curated table; columns that are new to the table are added to it."""
+    name = lake.catalog(table)
+    if not spark.catalog.tableExists(name):
+        if path_exists(spark, lake.curated(table)):
+            _curated_table(spark, lake, table)
+        else:
+            _register(spark, lake, table, df)
+    insert_overwrite_partition(spark, df, name, "processing_date", day)
+
+
+def ratings_for_ml_table(spark: SparkSession, lake: Lake) -> PartitionedTable:
+    """Rating events, partitioned by day."""
+    return PartitionedTable(spark, lake.lakehouse("ratings_for_ml"), RATINGS_FOR_ML_SCHEMA, "processing_date")
+
+
+def ratings_state_table(spark: SparkSession, lake: Lake, buckets: int = 256) -> PartitionedTable:
+    """Newest rating per pair, partitioned by a hash bucket of the pair."""
+    return PartitionedTable(spark, lake.lakehouse("ratings"), RATINGS_SCHEMA, "bucket",
+                            by=F.pmod(F.xxhash64(*RATING_PAIR), F.lit(buckets)), of_keys=True)
+
+
+def model_table(spark: SparkSession, lake: Lake, name: str, schema: StructType, key: str) -> PartitionedTable:
+    """Facts by month of the order or rating, dimensions by a hash bucket of their key."""
+    if name == "fact_order_items":
+        return PartitionedTable(spark, lake.models(name), schema, "order_month", by=F.date_format("order_date", "yyyy-MM"))
+    if name == "fact_product_ratings":
+        return PartitionedTable(spark, lake.models(name), schema, "rating_month", by=F.date_format("rating_timestamp", "yyyy-MM"))
+    return PartitionedTable(spark, lake.models(name), schema, "bucket", by=F.pmod(F.xxhash64(key), F.lit(64)), of_keys=True)
+
+
+def _staged(df: DataFrame, lake: Lake, name: str) -> DataFrame:
+    """Evaluate a merge source once: written to the lake's staging area and read back."""
+    return replace_table(df, lake.staging(name))
 
 
 # ------------------------------------------------------------------ landing ---------------
 
 def land_relational(spark: SparkSession, ctx: RunContext, lake: Lake, sources: dict[str, DataFrame],
-                    updated_at: str = "updated_at") -> dict:
-    """Rows changed on the day (half-open window, pushed to the source) -> landing CSV, all text."""
-    from pyspark.sql import Observation
-
-    from daybook.operators.typing import add_ingest_metadata
-    from daybook.sinks.tables import write_landing_csv
-    from daybook.sources.files import day_window_scan
+                    updated_at: str = "updated_at", snapshots: tuple[str, ...] = ()) -> dict:
+    """Rows changed on the day (half-open window, pushed to the source) -> landing CSV, all text.
 
+    A table without ``updated_at`` is an error unless it is named in ``snapshots``: those land whole.
+    """
     total = 0
     for table, df in sources.items():
-        day = day_window_scan(df, updated_at, ctx) if updated_at in df.columns else df
+        if table in snapshots:
+            day = df
+        elif updated_at in df.columns:
+            day = day_window_scan(df, updated_at, ctx)
+        else:
+            raise ValueError(f"{table}: no column {updated_at!r}; name the table in snapshots to land it whole")
         out = add_ingest_metadata(day, ctx, FV.SOURCE_DATABASE)
         obs = Observation(f"landed_{table}")
         out = out.select(*[F.col(c).cast("string").alias(c) for c in out.columns]).observe(
@@ -76,236 +156,272 @@ def land_relational(spark: SparkSession, ctx: RunContext, lake: Lake, sources: d
     return {"table_count": len(sources), "row_count": total}
 
 
-def land_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, source_dir: str) -> None:
+def land_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, source_dir: str) -> dict:
     """Multi-line JSON files of the day -> landing JSON lines with lineage columns."""
-    from daybook.operators.typing import add_ingest_metadata
-
     df = spark.read.schema(LANDED_RATING_SCHEMA).option("multiLine", True).json(source_dir)
-    out = add_ingest_metadata(df, ctx, F.col("_metadata.file_path"))
+    obs = Observation("landed_ratings")
+    out = add_ingest_metadata(df, ctx, F.col("_metadata.file_path")).observe(obs, F.count(F.lit(1)).alias("n"))
     out.write.mode("overwrite").json(lake.landing("json", "ratings", ctx.processing_date))
+    return {"row_count": int(obs.get["n"])}
 
 
 # ------------------------------------------------------------------ curation --------------
 
 def transform_relational(spark: SparkSession, ctx: RunContext, lake: Lake, tables=tuple(SPECS)) -> dict:
     """Landing CSV -> typed, validated, deduplicated curated partition + rejects of the run."""
-    from pyspark.sql import Observation
-
-    from daybook.operators.typing import conform
-
-    from pyspark import StorageLevel
-
     totals = {"valid_rows": 0, "rejected_rows": 0}
     for table in tables:
         spec = SPECS[table]
         # The rejects write and the curated write both derive from the day's landed rows: keep the
         # parsed rows (columnar, spilling to disk) instead of parsing the CSV for each output. A
         # lost executor recomputes its blocks from the landing files.
-        landed = conform(read_landed_csv(spark, lake.landing("rds", table, ctx.processing_date), None), spec) \
-            .drop("processing_date", "run_id").persist(StorageLevel.MEMORY_AND_DISK)
+        landed = conform(read_landed_csv(spark, lake.landing("rds", table, ctx.processing_date)), spec) \
+            .drop("processing_date").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch = curate(landed, spec, per_batch=False)
             totals["rejected_rows"] += write_rejects(batch.rejected(), lake.root, table, ctx)
             obs = Observation(f"curated_{table}")
-            curated = (batch.valid.withColumns({"curated_ts": ctx.now(), "source": F.lit(ctx.curated_source)})
-                       .observe(obs, F.count(F.lit(1)).alias("n")))
-            replace_partition(curated, lake.curated(table), "processing_date", ctx.processing_date)
+            curated = add_curated_metadata(batch.valid, ctx).observe(obs, F.count(F.lit(1)).alias("n"))
+            write_curated(spark, lake, table, curated, ctx.processing_date)
             totals["valid_rows"] += int(obs.get["n"])
         finally:
             landed.unpersist()
     return totals
 
 
-def transform_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
-    """Landing JSON -> validated, deduplicated, routed events merged into ``ratings_for_ml``."""
-    from pyspark.sql.types import StringType, StructField, StructType
+def _transform_events(spark: SparkSession, ctx: RunContext, lake: Lake, landed: DataFrame, day: str | None) -> dict:
+    """Typed, validated, deduplicated and routed once: all rows are staged with what became of them, and the
+    rejects and the merge both read that table."""
+    b = ratings.process(landed, _curated_table(spark, lake, "customers"), _curated_table(spark, lake, "products"), day)
+    staged = _staged(ratings.outcome(b), lake, "ratings")
+    rejected = write_rejects(staged.filter(F.col("reject_reason").isNotNull()), lake.root, "ratings", ctx, stamp=False)
+    obs = Observation("known_ratings")
+    known = ratings.to_ratings_for_ml(staged.filter(F.col("reject_reason").isNull()), ctx.now())
+    if day is None:
+        known = latest_by(known, list(RATING_KEYS), ["processing_date", "ingest_ts"])
+    known = _staged(known.observe(obs, F.count(F.lit(1)).alias("n")), lake, "known_ratings")
+    # unique on the event key: the events of one day by the dedupe, those of several days by their newest
+    ratings_for_ml_table(spark, lake).merge(known, list(RATING_KEYS), check_unique=False)
+    return {"valid_rows": int(obs.get["n"]), "rejected_rows": rejected}
 
-    schema = StructType(LANDED_RATING_SCHEMA.fields + [StructField("ingest_ts", StringType()),
-                                                       StructField("source", StringType())])
-    from pyspark import StorageLevel
 
-    landed = read_landed_json(spark, lake.landing("json", "ratings", ctx.processing_date), schema) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        b = ratings.process(landed, _curated_table(spark, lake, "customers"),
-                            _curated_table(spark, lake, "products"), ctx.processing_date)
-        rejected = write_rejects(b.rejects(), lake.root, "ratings", ctx)
-        table = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date")
-        table.merge(ratings.to_ratings_for_ml(b.known, ctx.now()),
-                    ["customerNumber", "productCode", "ratingTimestamp"])
-    finally:
-        landed.unpersist()
-    return {"rejected_rows": rejected}
+def transform_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
+    """Landing JSON -> validated, deduplicated, routed events merged into ``ratings_for_ml``."""
+    schema = StructType(LANDED_RATING_SCHEMA.fields + [StructField(c, StringType()) for c in ("ingest_ts", "source", "run_id")])
+    landed = read_landed_json(spark, lake.landing("json", "ratings", ctx.processing_date), schema)
+    return _transform_events(spark, ctx, lake, landed, ctx.processing_date)
 
 
-def merge_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> None:
+def merge_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
     """Newest rating per pair of the day -> conditional merge into the current-state ``ratings``."""
-    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
+    rfml = ratings_for_ml_table(spark, lake).read()
     latest = ratings.latest_per_pair(rfml.filter(F.col("processing_date") == ctx.processing_date))
-    state = VersionedTable(spark, lake.lakehouse("ratings"), merge_on_read=True)
-    if state.read() is None:
-        state.commit(latest.limit(0))
-    state.merge(latest, ["customerNumber", "productCode"], ratings.latest_wins("ratingTimestamp"),
-                check_unique=False)
+    obs = Observation("merged_ratings")
+    latest = _staged(latest.observe(obs, F.count(F.lit(1)).alias("n")), lake, "latest_ratings")
+    ratings_state_table(spark, lake).merge(latest, list(RATING_PAIR), ratings.latest_wins("ratingTimestamp"), check_unique=False)
+    return {"merged_rows": int(obs.get["n"])}
 
 
 # ------------------------------------------------------------------ gate ------------------
 
-def quality_gate(spark: SparkSession, ctx: RunContext, lake: Lake) -> DataFrame:
+class GateFailure(RuntimeError):
+    """A failed gate, with the counts of all its checks."""
+
+    def __init__(self, cause: Exception, metrics: dict):
+        super().__init__(str(cause))
+        self.metrics = metrics
+
+
+def quality_gate(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
     """Seven checks in one small result; results are written first, then the gate raises."""
     day = F.col("processing_date") == ctx.processing_date
-    cust, prod = _curated_table(spark, lake, "customers"), _curated_table(spark, lake, "products")
-    orders, details = _curated_table(spark, lake, "orders").filter(day), _curated_table(spark, lake,
-                                                                                     "orderdetails").filter(day)
-    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
-    c = F.col
-    results = run_checks(
-        [(cust.filter(day), [CountCheck(FV.CHECK_CUSTOMERS_PK_NULL, c("customerNumber").isNull())]),
-         (prod.filter(day), [CountCheck(FV.CHECK_PRODUCTS_PK_NULL, c("productCode").isNull())]),
-         (orders, [CountCheck(FV.CHECK_ORDERS_PK_NULL, c("orderNumber").isNull())]),
-         (details, [CountCheck(FV.CHECK_NEGATIVE_ORDER_VALUES, (c("quantityOrdered") <= 0) | (c("priceEach") < 0))]),
-         (rfml.filter(day), [CountCheck(FV.CHECK_INVALID_RATING_RANGE, ~c("productRating").between(1, 5))])],
-        [OrphanCheck(FV.CHECK_ORPHAN_ORDER_CUSTOMER, orders, "customerNumber",
-                     known_keys(cust, "customerNumber", ctx.processing_date)),
-         OrphanCheck(FV.CHECK_ORPHAN_ORDER_PRODUCT, details, "productCode",
-                     known_keys(prod, "productCode", ctx.processing_date))],
-        ctx.run_id, ctx.processing_date)
+    cur = {t: _curated_table(spark, lake, t) for t in ("customers", "products", "orders", "orderdetails")}
+    results = curated_checks(
+        cur["customers"].filter(day), cur["products"].filter(day), cur["orders"].filter(day), cur["orderdetails"].filter(day),
+        ratings_for_ml_table(spark, lake).read().filter(day),
+        known_keys(cur["customers"], "customerNumber", ctx.processing_date),
+        known_keys(cur["products"], "productCode", ctx.processing_date), ctx.run_id, ctx.processing_date)
     results.coalesce(1).write.mode("overwrite").json(lake.quality(ctx))
     written = spark.read.schema(results.schema).json(lake.quality(ctx))
-    gate(written)
-    return written
+    counts = {r.check_name: r.failure_count for r in written.collect()}  # one row per check
+    metrics = {"check_count": len(counts), "failed_checks": sum(n > 0 for n in counts.values()), **counts}
+    try:
+        gate(written)
+    except Exception as exc:
+        raise GateFailure(exc, metrics) from exc
+    return metrics
 
 
 # ------------------------------------------------------------------ models ----------------
 
-def build_star(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict[str, DataFrame]:
-    """Staging views -> incremental dims and facts (merge on the unique key) -> dim_date -> marts."""
-    stg = {
-        "customers": staging.stg_customers(_curated_table(spark, lake, "customers")),
-        "products": staging.stg_products(_curated_table(spark, lake, "products")),
-        "orders": staging.stg_orders(_curated_table(spark, lake, "orders")),
-        "orderdetails": staging.stg_orderdetails(_curated_table(spark, lake, "orderdetails")),
-    }
-    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
-    stg["ratings"] = staging.stg_ratings(rfml)
-    day = ctx.processing_date if ctx.run_mode == "incremental" else None
+MODEL_KEYS = {"dim_customers": "customer_number", "dim_products": "product_code", "fact_order_items": "order_item_id",
+              "fact_product_ratings": "rating_id"}
+
+
+def build_star(spark: SparkSession, ctx: RunContext, lake: Lake, full_refresh: bool = False) -> dict:
+    """Staging views -> incremental dims and facts (merge on the unique key) -> dim_date -> marts, then
+    the declared model tests over the written models; a failing test fails the stage once its results are
+    stored. ``full_refresh`` rebuilds every model from all of history."""
     cur = {t: _curated_table(spark, lake, t) for t in ("customers", "products", "orders", "orderdetails")}
-    models = {
-        "dim_customers": (lambda: star.dim_customers(stg["customers"]),
-                          lambda d: star.dim_slice(cur["customers"], "customerNumber", d, staging.stg_customers,
-                                                   star.dim_customers), "customer_number"),
-        "dim_products": (lambda: star.dim_products(stg["products"]),
-                         lambda d: star.dim_slice(cur["products"], "productCode", d, staging.stg_products,
-                                                  star.dim_products), "product_code"),
-        "fact_order_items": (lambda: star.fact_order_items(stg["orderdetails"], stg["orders"]),
-                             lambda d: star.fact_order_items_slice(cur["orderdetails"], cur["orders"], d),
-                             "order_item_id"),
-        "fact_product_ratings": (lambda: star.fact_product_ratings(stg["ratings"]),
-                                 lambda d: star.fact_product_ratings(stg["ratings"], d), "rating_id"),
-    }
-    out = {}
-    for name, (full, incremental, key) in models.items():
-        table = VersionedTable(spark, lake.models(name))
-        existing = table.read()
-        if existing is None or day is None:
-            table.commit(full().withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now()))
+    rfml = ratings_for_ml_table(spark, lake).read()
+    day = ctx.processing_date
+
+    def full(name: str) -> DataFrame:
+        if name == "dim_customers":
+            return star.dim_customers(staging.stg_customers(cur["customers"]))
+        if name == "dim_products":
+            return star.dim_products(staging.stg_products(cur["products"]))
+        if name == "fact_order_items":
+            return star.fact_order_items(staging.stg_orderdetails(cur["orderdetails"]), staging.stg_orders(cur["orders"]))
+        return star.fact_product_ratings(staging.stg_ratings(rfml))
+
+    def fresh(name: str) -> DataFrame:
+        if name == "dim_customers":
+            return star.dim_slice(cur["customers"], "customerNumber", day, staging.stg_customers, star.dim_customers)
+        if name == "dim_products":
+            return star.dim_slice(cur["products"], "productCode", day, staging.stg_products, star.dim_products)
+        if name == "fact_order_items":
+            return star.fact_order_items_slice(cur["orderdetails"], cur["orders"], day)
+        return star.fact_product_ratings_slice(rfml, day)
+
+    out, merged = {}, 0
+    for name, key in MODEL_KEYS.items():
+        whole = full(name).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now())
+        table = model_table(spark, lake, name, whole.schema, key)
+        if full_refresh or not table.exists():
+            table.replace(whole)
         else:
-            # slices are unique on the model key by construction: no duplicate-source pass
-            table.merge(incremental(day).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now()), [key], check_unique=False)
+            # slices are unique on the model key by construction: no duplicate-source check
+            obs = Observation(f"merged_{name}")
+            part = fresh(name).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now()).observe(obs, F.count(F.lit(1)).alias("n"))
+            table.merge(_staged(part, lake, name), [key], check_unique=False)
+            merged += int(obs.get["n"])
         out[name] = table.read()
-    dd = VersionedTable(spark, lake.models("dim_date"))
-    dd.commit(star.dim_date(out["fact_order_items"]))
-    out["dim_date"] = dd.read()
-    out["mart_monthly_sales"] = marts.mart_monthly_sales(out["fact_order_items"])
-    out["mart_product_performance"] = marts.mart_product_performance(
-        out["dim_products"], out["fact_order_items"], out["fact_product_ratings"])
-    for name in ("mart_monthly_sales", "mart_product_performance"):
-        t = VersionedTable(spark, lake.models(name))
-        t.commit(out[name])
-        out[name] = t.read()
-    return out
-
-
-def model_schema(default_schema: str, custom_schema: str | None = None) -> str:
-    """Target schema of a model: a custom schema name is used as given, otherwise the default."""
-    return custom_schema.strip() if custom_schema else default_schema
+    out["dim_date"] = replace_table(star.dim_date(out["fact_order_items"]), lake.models("dim_date"))
+    replace_table(marts.mart_monthly_sales(out["fact_order_items"]), lake.models("mart_monthly_sales"))
+    replace_table(marts.mart_product_performance(out["dim_products"], out["fact_order_items"], out["fact_product_ratings"]),
+                  lake.models("mart_product_performance"))
+    register_views(spark, lake)
+    results = model_tests(out)
+    results.coalesce(1).write.mode("overwrite").json(lake.quality(ctx, "models"))
+    written = spark.read.schema(results.schema).json(lake.quality(ctx, "models"))
+    failed = written.filter(F.col("failures") > 0).count()
+    metrics = {"model_count": len(out) + 2, "merged_rows": merged, "test_count": written.count(), "failed_tests": failed}
+    try:
+        model_gate(written)
+    except Exception as exc:
+        raise GateFailure(exc, metrics) from exc
+    return metrics
 
 
-def refresh_presentation(spark: SparkSession, ctx: RunContext, lake: Lake) -> None:
-    """Four presentation tables, each replaced as one new version (no empty window)."""
-    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
-    state = VersionedTable(spark, lake.lakehouse("ratings"), merge_on_read=True).read()
+def refresh_presentation(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
+    """Four presentation tables, each replaced as a whole."""
+    rfml = ratings_for_ml_table(spark, lake).read()
     outputs = {
-        "ratings": presentation.presentation_ratings(state),
+        "ratings": presentation.presentation_ratings(ratings_state_table(spark, lake).read()),
         "ratings_for_ml": presentation.presentation_ratings_for_ml(rfml),
         "sales_report": presentation.sales_report(_curated_table(spark, lake, "orders"),
                                                   _curated_table(spark, lake, "orderdetails")),
         "ratings_per_product": presentation.ratings_per_product(_curated_table(spark, lake, "products"), rfml),
     }
+    rows = 0
     for name, df in outputs.items():
-        VersionedTable(spark, lake.presentation(name)).commit(df)
+        obs = Observation(f"presented_{name}")
+        replace_table(df.observe(obs, F.count(F.lit(1)).alias("n")), lake.presentation(name))
+        rows += int(obs.get["n"])
+    return {"table_count": len(outputs), "row_count": rows}
 
 
 def run_pipeline(spark: SparkSession, ctx: RunContext, lake: Lake, sources: dict[str, DataFrame],
-                 ratings_dir: str, audit_table: str = "daybook_audit", size_partitions: bool = True) -> None:
-    """All stages of one day in order; each stage's start, end and failure is audited.
-
-    Shuffle partitions are sized from the curated history plus the day's landing data (the largest
-    shuffles rank and join history), unless the caller fixed them with ``size_partitions=False``.
-    """
+                 ratings_dir: str, audit_table: str = "daybook_audit", snapshots: tuple[str, ...] = (),
+                 full_refresh: bool = False) -> None:
+    """All stages of one day in order; each stage's start, end, failure and counts are audited, and the
+    run's status at its end. ``ctx.run_mode`` only goes to the audit; a backfill is an old date."""
     configure_session(spark)
-    if size_partitions:
-        from daybook.context import input_bytes, size_shuffle_partitions
-
-        size_shuffle_partitions(spark, input_bytes(spark, f"{lake.root}/curated_zone", f"{lake.root}/landing_zone"))
     audit = Audit(spark, audit_table, ctx.run_id)
     steps = [
-        (FV.STAGE_DATABASE_LANDING, lambda: land_relational(spark, ctx, lake, sources)),
+        (FV.STAGE_DATABASE_LANDING, lambda: land_relational(spark, ctx, lake, sources, snapshots=snapshots)),
         (FV.STAGE_RATINGS_LANDING, lambda: land_ratings(spark, ctx, lake, ratings_dir)),
         (FV.STAGE_RELATIONAL_TRANSFORM, lambda: transform_relational(spark, ctx, lake, tuple(sources))),
         (FV.STAGE_RATINGS_TRANSFORM, lambda: transform_ratings(spark, ctx, lake)),
         (FV.STAGE_RATINGS_MERGE, lambda: merge_ratings(spark, ctx, lake)),
         (FV.STAGE_QUALITY, lambda: quality_gate(spark, ctx, lake)),
         ("presentation", lambda: refresh_presentation(spark, ctx, lake)),
-        ("models", lambda: build_star(spark, ctx, lake)),
+        ("models", lambda: build_star(spark, ctx, lake, full_refresh)),
     ]
-    for stage, fn in steps:
-        audit.start(stage)
-        try:
-            result = fn()
-        except Exception as exc:
-            audit.fail(stage, exc)
-            raise
-        metrics = {"processing_date": ctx.processing_date, "run_mode": ctx.run_mode}
-        status = FV.STATUS_SUCCEEDED
-        if isinstance(result, dict):
-            metrics.update({k: v for k, v in result.items() if v is not None})
-            if result.get("rejected_rows"):
-                status = FV.STATUS_SUCCEEDED_WITH_REJECTS
-        audit.succeed(stage, status, metrics)
+    run = {"processing_date": ctx.processing_date, "run_mode": ctx.run_mode}
+    try:
+        for stage, fn in steps:
+            audit.start(stage)
+            try:
+                metrics = fn()
+            except Exception as exc:
+                audit.fail(stage, exc, {**run, **getattr(exc, "metrics", {})})
+                raise
+            status = FV.STATUS_SUCCEEDED_WITH_REJECTS if metrics.get("rejected_rows") else FV.STATUS_SUCCEEDED
+            audit.succeed(stage, status, {**run, **metrics})
+    finally:
+        audit.finish()
 
 
 def stream_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, inbox_dir: str, checkpoint: str,
                    available_now: bool = True):
     """File-arrival ingestion of rating files straight into ``ratings_for_ml``.
 
-    Each micro-batch is typed, validated, deduplicated and routed like a daily batch (the run's
-    logical day), its rejects are written under the run, and the known events are merged. A
+    A file in a folder ``processing_date=<day>`` of the inbox has that day, any other the run's. Each
+    micro-batch is read once, then typed, validated, deduplicated and routed like a daily batch. A
     replayed epoch (after a failure) re-merges the same rows: the MERGE is idempotent.
     """
     from daybook.streaming.ingest import ratings_files, start_ratings_ingest
 
-    table = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date")
+    def handle(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            epoch_ctx = RunContext(ctx.processing_date, f"{ctx.run_id}-e{epoch}", ctx.run_mode, ctx.run_ts)
+            _transform_events(spark, epoch_ctx, lake, batch, None)
+        finally:
+            batch.unpersist()
+
+    folder = F.regexp_extract("source", r"/processing_date=(\d{4}-\d{2}-\d{2})/", 1)
+    files = ratings_files(spark, inbox_dir).withColumn(
+        "processing_date", F.coalesce(F.nullif(folder, F.lit("")), F.lit(ctx.processing_date)))
+    return start_ratings_ingest(files, handle, checkpoint, available_now)
+
+
+def stream_arrivals(spark: SparkSession, ctx: RunContext, lake: Lake, queue_dir: str, incoming: str, checkpoint: str):
+    """Arrival notifications start the ingestion of the files they name, each with its own event's day.
+
+    A message that is delivered again within a day is dropped (``dedupe_stream``); bad messages go to
+    the quarantine of their epoch. The keys of one micro-batch reach the driver: they are file names, at
+    most as many as messages were received. A file announced under two days has the later one.
+    """
+    from daybook.sources.notifications import flatten, quarantine
+    from daybook.streaming.ingest import dedupe_stream, message_files
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        b = ratings.process(batch, _curated_table(spark, lake, "customers"),
-                            _curated_table(spark, lake, "products"), ctx.processing_date)
-        epoch_ctx = RunContext(ctx.processing_date, f"{ctx.run_id}-e{epoch}", ctx.run_mode, ctx.run_ts)
-        write_rejects(b.rejects(), lake.root, "ratings", epoch_ctx)
-        table.merge(ratings.to_ratings_for_ml(b.known, ctx.now()),
-                    ["customerNumber", "productCode", "ratingTimestamp"])
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            quarantine(batch).write.mode("overwrite").parquet(f"{lake.root}/quarantine/notifications/run_id={ctx.run_id}/epoch={epoch}")
+            files = flatten(batch).groupBy("key").agg(F.max("processing_date").alias("processing_date"))
+            named = {r.key: r.processing_date for r in files.collect()}
+            if not named:
+                return
+            parts = []
+            for day in sorted(set(named.values())):  # one read per day that the batch names
+                paths = [f"{incoming.rstrip('/')}/{k}" for k, d in named.items() if d == day]
+                df = spark.read.schema(LANDED_RATING_SCHEMA).option("multiLine", True).json(paths)
+                parts.append(df.withColumns({"source": F.col("_metadata.file_path"), "ingest_ts": ctx.now(), "processing_date": F.lit(day)}))
+            landed = parts[0]
+            for p in parts[1:]:
+                landed = landed.unionByName(p)
+            epoch_ctx = RunContext(ctx.processing_date, f"{ctx.run_id}-e{epoch}", ctx.run_mode, ctx.run_ts)
+            _transform_events(spark, epoch_ctx, lake, landed, None)
+        finally:
+            batch.unpersist()
 
-    return start_ratings_ingest(ratings_files(spark, inbox_dir), handle, checkpoint, available_now)
+    messages = message_files(spark, queue_dir).withColumn("arrived_at", F.current_timestamp())
+    messages = dedupe_stream(messages, "arrived_at", "1 day", ("body",))
+    return (messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 CURATED_SOURCES = ("customers", "employees", "offices", "orderdetails", "orders", "payments", "productlines",
@@ -315,12 +431,9 @@ CURATED_SOURCES = ("customers", "employees", "offices", "orderdetails", "orders"
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     """Declared sources and staging views as temp views (``curated_<table>``, ``stg_<name>``), so
     SQL users can query them by name; each is a lazy plan over the written tables."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
     names = []
     for table in CURATED_SOURCES:
-        path = jvm.org.apache.hadoop.fs.Path(lake.curated(table))
-        if path.getFileSystem(conf).exists(path):
+        if path_exists(spark, lake.curated(table)):
             _curated_table(spark, lake, table).createOrReplaceTempView(f"curated_{table}")
             names.append(f"curated_{table}")
     stagers = {"customers": staging.stg_customers, "products": staging.stg_products,
@@ -329,7 +442,7 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
         if f"curated_{table}" in names:
             fn(spark.table(f"curated_{table}")).createOrReplaceTempView(f"stg_{table}")
             names.append(f"stg_{table}")
-    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
+    rfml = ratings_for_ml_table(spark, lake).read()
     if rfml is not None:
         rfml.createOrReplaceTempView("curated_ratings_for_ml")
         staging.stg_ratings(rfml).createOrReplaceTempView("stg_ratings")

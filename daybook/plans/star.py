@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import date_key, month_name, surrogate_key, ts_text, weekday_sun0
 from daybook.operators.upsert import upsert
+from daybook.spec import RATING_KEYS
 
 
 def fact_order_items(stg_orderdetails: DataFrame, stg_orders: DataFrame, processing_date: str | None = None
@@ -77,6 +78,15 @@ def fact_product_ratings(stg_ratings: DataFrame, processing_date: str | None = N
     )
 
 
+def fact_product_ratings_slice(ratings_for_ml: DataFrame, processing_date: str) -> DataFrame:
+    """The day's rating facts, ranking only the events whose key occurs in the day's partition."""
+    from daybook.plans import staging
+
+    keys = ratings_for_ml.filter(F.col("processing_date") == processing_date).select(*RATING_KEYS).distinct()
+    affected = ratings_for_ml.join(keys, list(RATING_KEYS), "left_semi")
+    return fact_product_ratings(staging.stg_ratings(affected), processing_date)
+
+
 def dim_customers(stg_customers: DataFrame, processing_date: str | None = None) -> DataFrame:
     src = stg_customers if processing_date is None else stg_customers.filter(F.col("processing_date") == processing_date)
     return src.select("customer_number", "customer_name", "contact_first_name", "contact_last_name", "phone",

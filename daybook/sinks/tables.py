@@ -1,16 +1,16 @@
-"""Table writes: partition replace, rejects, full refresh, schema clone, versioned mutable tables.
+"""Table writes: partition replace, landing files, rejects, full refresh, schema clone, merges.
 
-Paths live under a lake root on shared storage (the session's ``spark.checkpoint.dir`` family or a
-configured bucket), never a machine-local folder. Every write is a whole-partition or whole-version
-replace, so a retried task or a rerun of the stage yields the same files.
+Paths live under a lake root on shared storage, never a machine-local folder. Every write replaces
+whole partitions, so a retried task or a rerun of the stage yields the same files.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.context import RunContext
 
@@ -31,49 +31,69 @@ def replace_partition(df: DataFrame, table_path: str, column: str, value: str, f
 
 
 def insert_overwrite_partition(spark: SparkSession, df: DataFrame, table: str, column: str, value: str) -> None:
-    """Catalog form of the same replace: ``INSERT OVERWRITE t PARTITION (c = 'v')``."""
+    """Catalog form of the same replace: ``INSERT OVERWRITE t PARTITION (c = 'v')``, columns by name.
+
+    A column that the table does not have yet is added to it first (older partitions read NULL); one
+    that the frame lacks is written as NULL; a column keeps the type it had first.
+    """
+    known = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    new = [f for f in df.schema.fields if f.name not in known and f.name != column]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        known = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    known.pop(column, None)
+    out = df.select(*[(F.col(f"`{c}`").try_cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c)
+                      for c, t in known.items()])
     view = f"_src_{uuid.uuid4().hex[:8]}"
-    df.drop(column).createOrReplaceTempView(view)
-    cols = ", ".join(f"`{c}`" for c in df.columns if c != column)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{value}') SELECT {cols} FROM {view}")
-    spark.catalog.dropTempView(view)
+    out.createOrReplaceTempView(view)
+    try:
+        cols = ", ".join(f"`{c}`" for c in known)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{value}') SELECT {cols} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
 # NULL is written as an explicit marker so that an empty string survives the round trip as ''
 # (with the default options both come back as NULL).
 CSV_NULL = "\\N"
+# Line breaks inside a value are written as backslash escapes, so one record is one line and a large
+# file is read by many tasks. Order matters: the escape character first on write, last on read.
+CSV_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
 
 
 def write_landing_csv(df: DataFrame, path: str) -> None:
-    """Landing CSV: header, quoted as needed, embedded newlines kept (read back with multiLine)."""
-    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", CSV_NULL)
-     .option("emptyValue", '""').csv(path))
-
+    """Landing CSV: header, quoted as needed, one line per record (``sources.files.read_landed_csv``)."""
+    def escaped(name: str) -> Column:
+        c = F.col(name)
+        for raw, code in CSV_ESCAPES:
+            c = F.replace(c, F.lit(raw), F.lit(code))
+        return c.alias(name)
 
-def read_landing_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-            .option("nullValue", CSV_NULL).option("emptyValue", "").csv(path))
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    out = df.select(*[escaped(c) if c in text else F.col(c) for c in df.columns])
+    (out.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", CSV_NULL)
+     .option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_landing_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
 
 
-def read_landing_json(spark: SparkSession, path: str, schema, multiline: bool = False) -> DataFrame:
-    return (spark.read.schema(schema).option("multiLine", multiline)
-            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
-
-
-def write_rejects(rejected: DataFrame, root: str, table: str, ctx: RunContext) -> int:
-    """Rejects of one run, kept only when there are any; returns their number.
+def write_rejects(rejected: DataFrame, root: str, table: str, ctx: RunContext, stamp: bool = True) -> int:
+    """Rejects of one run, kept only when there are any; returns their number. ``stamp`` adds
+    ``rejected_at`` (relational tables have it, the ratings feed has not).
 
     The count comes from an ``Observation`` on the write itself (one job, not count-then-write);
     an empty result's folder is removed afterwards.
     """
-    from pyspark.sql import Observation
-
     obs = Observation(f"rejects_{table}")
-    out = rejected.withColumn("rejected_at", ctx.now()).observe(obs, F.count(F.lit(1)).alias("n"))
+    out = rejected.withColumn("rejected_at", ctx.now()) if stamp else rejected
+    out = out.observe(obs, F.count(F.lit(1)).alias("n"))
     path = partition_path(root, f"rejected_zone/{table}", processing_date=ctx.processing_date, run_id=ctx.run_id)
     out.write.mode("overwrite").parquet(path)
     n = int(obs.get["n"])
@@ -90,201 +110,87 @@ def schema_clone(df: DataFrame) -> DataFrame:
     return df.filter(F.lit(False))
 
 
-class VersionedTable:
-    """A mutable table without a table format: immutable version directories plus a manifest.
+class PartitionedTable:
+    """A mutable table of plain Parquet files, partitioned by one column.
 
-    The manifest (a small JSON file per commit, sequence-numbered) lists the data schema and,
-    for a partitioned table, which version directory holds each partition value. A full ``commit``
-    writes a new version of everything; ``merge`` writes only the partitions a MERGE touches and
-    re-points those entries, so untouched partitions keep their files. Readers see the old or the
-    new manifest, never an empty table. Single writer per table (the single active run).
+    ``merge`` reads and rewrites only the partitions it touches, through Spark's dynamic partition
+    overwrite: the new files are written aside and moved in when the job commits, so a failed or
+    retried task never leaves a half-written partition. One writer at a time (the single active run).
+
+    The partition column is one of the table's columns or, with ``by``, an expression over them that
+    only the files' layout shows (a month, a bucket of the key). ``of_keys`` says that its value
+    depends on the merge keys only, so that an updated row cannot change partition.
     """
 
-    def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
-                 merge_on_read: bool = False):
-        """``merge_on_read`` (unpartitioned keyed state): a merge writes only the merged rows of the
-        touched keys as a delta version; reads resolve base + deltas by newest delta per key;
-        ``compact`` folds them into a new base. A small daily merge into a large state then writes
-        the day's keys instead of the whole state."""
-        self.spark, self.root, self.partition_by = spark, root.rstrip("/"), partition_by
-        self.merge_on_read = merge_on_read and partition_by is None
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition: str, by: Column | None = None,
+                 of_keys: bool = False):
+        self.spark, self.path, self.partition, self.by, self.of_keys = spark, path.rstrip("/"), partition, by, of_keys
+        self.columns = [f.name for f in schema.fields]
+        part = [] if by is None else [StructField(partition, StringType())]
+        self.schema = StructType([StructField(f.name, f.dataType) for f in schema.fields] + part)
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.path)
 
-    def _manifests(self) -> list:
-        fs, jvm = self._fs()
-        base = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(base):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(base)]
-        return sorted(n for n in names if n.startswith("_manifest_") and n.endswith(".json"))
-
-    def manifest(self) -> dict | None:
-        """The newest committed manifest (highest sequence number), or None for a new table."""
-        import json
-
-        found = self._manifests()
-        if not found:
-            return None
-        fs, jvm = self._fs()
-        stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{found[-1]}"))
-        try:
-            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _write_manifest(self, m: dict) -> None:
-        """Commit point: the manifest is written under a temporary name and renamed to the next
-        sequence number. A rename onto a new name is atomic, so a crash leaves either the old or
-        the new manifest as the newest one, never none."""
-        import json
-
-        found = self._manifests()
-        seq = int(found[-1][len("_manifest_"):-len(".json")]) + 1 if found else 0
-        fs, jvm = self._fs()
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/.tmp_manifest_{uuid.uuid4().hex[:8]}")
-        out = fs.create(tmp, True)
-        out.write(json.dumps(m, sort_keys=True).encode("utf-8"))
-        out.close()
-        if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest_{seq:020d}.json")):
-            fs.delete(tmp, False)
-            raise RuntimeError(f"concurrent commit on {self.root}: manifest {seq} already exists")
-
-    def _partitions_in(self, version: str) -> list[str]:
-        fs, jvm = self._fs()
-        base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{version}")
-        if not fs.exists(base):
-            return []
-        prefix = f"{self.partition_by}="
-        return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(base)
-                if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def read(self) -> DataFrame | None:
-        from pyspark.sql.types import StructType
-
-        m = self.manifest()
-        if m is None:
-            return None
-        schema = StructType.fromJson(m["schema"])
-        if not self.partition_by:
-            base = self.spark.read.schema(schema).parquet(f"{self.root}/{m['version']}")
-            deltas = m.get("deltas", [])
-            if not deltas:
-                return base
-            return self._resolve(base, deltas, m["keys"], schema)
-        pc = self.partition_by
-        data_schema = StructType([f for f in schema.fields if f.name != pc])
-        paths = [f"{self.root}/{v}/{pc}={val}" for val, v in sorted(m["parts"].items())]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(data_schema).parquet(*paths)
-        value = F.regexp_extract(F.col("_metadata.file_path"), f"/{pc}=([^/]+)/", 1)
-        return df.withColumn(pc, value).select(*schema.fieldNames())
-
-    def _resolve(self, base: DataFrame, deltas: list, keys: list, schema) -> DataFrame:
-        """Newest version of each key across base (seq 0) and deltas (seq 1..n). Every version
-        holds a key at most once, so a key has at most n + 1 candidates (no hot-key growth);
-        rows with a NULL key never matched in a MERGE and are all kept."""
-        from daybook.operators.dedupe import latest_by
-
-        parts = base.withColumn("_seq", F.lit(0))
-        for i, v in enumerate(deltas, start=1):
-            parts = parts.unionByName(self.spark.read.schema(schema).parquet(f"{self.root}/{v}")
-                                      .withColumn("_seq", F.lit(i)))
-        has_null = F.lit(False)
-        for k in keys:
-            has_null = has_null | F.col(k).isNull()
-        keyed = latest_by(parts.filter(~has_null), keys, ["_seq"], tiebreak=False)
-        return keyed.unionByName(parts.filter(has_null)).drop("_seq")
-
-    def compact(self) -> str:
-        """Fold the deltas into a new base version (run periodically, e.g. weekly)."""
-        return self.commit(self.read())
-
-    def _write_version(self, df: DataFrame) -> str:
-        version = f"v{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(self.partition_by)
-        w.parquet(f"{self.root}/{version}")
-        return version
-
-    def commit(self, df: DataFrame) -> str:
-        version = self._write_version(df)
-        m = {"schema": df.schema.jsonValue(), "partition_by": self.partition_by}
-        if self.partition_by:
-            m["parts"] = {val: version for val in self._partitions_in(version)}
-        else:
-            m["version"] = version
-        self._write_manifest(m)
-        return version
-
-    def merge(self, source: DataFrame, keys: list[str], update_when=None, check_unique: bool = True) -> str:
-        """MERGE ``source`` into the table.
-
-        Touched partitions are those of the source rows and those holding a target row whose key
-        occurs in the source (an updated row may move partition). Only their distinct values
-        reach the driver, never rows.
+        return self._stored().select(*self.columns) if self.exists() else None
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        df = df.select(*self.columns)
+        return df if self.by is None else df.withColumn(self.partition, self.by.cast("string"))
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        # the rebalance hint gathers a partition's rows (few files), and AQE splits a large one
+        (df.hint("rebalance", self.partition).write.mode("overwrite").option("partitionOverwriteMode", mode)
+         .partitionBy(self.partition).parquet(self.path))
+
+    def replace(self, df: DataFrame) -> None:
+        """Full refresh (``df`` must not read this table)."""
+        self._write(self._placed(df), "static")
+
+    def merge(self, source: DataFrame, keys: list[str], update_when=None, check_unique: bool = True) -> list:
+        """MERGE ``source``; returns the partition values that were rewritten.
+
+        ``source`` is read several times: give a written or persisted frame. Touched partitions are
+        the source's and those that hold a row whose key occurs in the source (found by a scan of the
+        keys alone). Their distinct values reach the driver: a table has as many as its layout has
+        folders, never as many as rows.
         """
         from daybook.operators.upsert import upsert
 
-        target = self.read()
-        if target is None:
-            return self.commit(source)
-        if self.merge_on_read:
-            source = source.select(*target.columns)
-            touched = target.join(source.select(*keys).distinct(), list(keys), "left_semi")
-            merged = upsert(touched, source, keys, update_when, check_unique)
-            version = self._write_version(merged)
-            m = self.manifest()
-            m["deltas"] = m.get("deltas", []) + [version]
-            m["keys"] = list(keys)
-            self._write_manifest(m)
-            return version
-        if not self.partition_by:
-            return self.commit(upsert(target, source, keys, update_when, check_unique))
-        pc = self.partition_by
-        source = source.select(*target.columns)
-        hit = target.join(source.select(*keys).distinct(), list(keys), "left_semi").select(pc)
-        touched = sorted(r[0] for r in source.select(pc).union(hit).distinct().collect())
-        merged = upsert(target.filter(F.col(pc).isin(touched)), source, keys, update_when, check_unique)
-        version = self._write_version(merged)
-        m = self.manifest()
-        parts = {k: v for k, v in m["parts"].items() if k not in set(touched)}
-        parts.update({val: version for val in self._partitions_in(version)})
-        m["parts"] = parts
-        self._write_manifest(m)
-        return version
-
-    def vacuum(self, keep: int = 3) -> list[str]:
-        """Expire old versions: keep the newest ``keep`` manifests and delete every version
-        directory none of them references (a reader on a kept manifest loses nothing). Returns
-        the removed version names; the listing is of version folders, never of data rows."""
-        import json
-
-        found = self._manifests()
-        if len(found) <= keep:
+        if not self.exists():
+            self.replace(self.spark.createDataFrame([], StructType(self.schema.fields[:len(self.columns)])))
+        source, stored, p = self._placed(source), self._stored(), self.partition
+        touched = source.select(p)
+        if not self.of_keys:
+            touched = touched.union(stored.join(source.select(*keys).distinct(), list(keys), "left_semi").select(p))
+        values = [r[0] for r in touched.distinct().collect()]
+        if not values:
             return []
-        fs, jvm = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path
-        live: set[str] = set()
-        for name in found[-keep:]:
-            stream = fs.open(path(f"{self.root}/{name}"))
-            try:
-                m = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            finally:
-                stream.close()
-            live |= set(m.get("parts", {}).values()) | ({m["version"]} if "version" in m else set())
-            live |= set(m.get("deltas", []))
-        removed = []
-        for st in fs.listStatus(path(self.root)):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v") and name not in live:
-                fs.delete(st.getPath(), True)
-                removed.append(name)
-        for name in found[:-keep]:
-            fs.delete(path(f"{self.root}/{name}"), False)
-        return sorted(removed)
+        inside = F.col(p).isin([v for v in values if v is not None])
+        if None in values:
+            inside = F.coalesce(inside, F.lit(False)) | F.col(p).isNull()
+        obs = Observation(f"partitions_{uuid.uuid4().hex[:8]}")
+        merged = upsert(stored.filter(inside), source, keys, update_when, check_unique)
+        self._write(merged.observe(obs, F.collect_set(F.coalesce(F.col(p).cast("string"), F.lit("\0"))).alias("kept")), "dynamic")
+        emptied = {"\0" if v is None else str(v) for v in values} - set(obs.get["kept"])
+        if emptied:  # every row of the partition has moved to another one
+            self._drop(emptied)
+        return values
+
+    def _drop(self, values: set[str]) -> None:
+        """Remove the folders of partitions without rows; Spark knows how a value is spelled in a path."""
+        jvm = self.spark._jvm
+        utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        for v in values:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{utils.getPartitionPathString(self.partition, None if v == chr(0) else v)}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Full refresh of an unpartitioned table (small models, marts, reports); returns it as written."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from daybook.context import RunContext
 
@@ -21,44 +21,65 @@ def day_window_scan(df: DataFrame, column: str, ctx: RunContext) -> DataFrame:
     return window_scan(df, column, ctx.window_start.isoformat(sep=" "), ctx.window_end.isoformat(sep=" "))
 
 
-def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
-               partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-               num_partitions: int | None = None) -> DataFrame:
-    """A database table; with a numeric ``partition_column`` the read is split into parallel ranges."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    if partition_column:
-        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower)
-                  .option("upperBound", upper).option("numPartitions", num_partitions or 8))
-    return reader.load()
+def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str, properties: dict | None = None,
+               num_partitions: int | None = None, whole: str | None = None) -> DataFrame:
+    """A database table, read in parallel ranges of ``partition_column`` (a number, date or timestamp).
 
+    The bounds are asked from the database (``min`` and ``max`` of the column, over the rows that
+    ``whole`` selects if given); they only place the cuts, no row is left out. As many ranges as the
+    cluster has cores, unless ``num_partitions`` says otherwise.
+    """
+    def reader(dbtable: str):
+        r = spark.read.format("jdbc").option("url", url).option("dbtable", dbtable)
+        for k, v in (properties or {}).items():
+            r = r.option(k, v)
+        return r
 
-def incremental_jdbc(spark: SparkSession, url: str, table: str, ctx: RunContext, column: str = "updated_at",
-                     **kw) -> DataFrame:
-    """Rows changed on the run's day (the window pushes down to the database as a WHERE clause)."""
-    return day_window_scan(jdbc_table(spark, url, table, **kw), column, ctx)
+    where = f" where {whole}" if whole else ""
+    low, high = reader(f"(select min({partition_column}) as lo, max({partition_column}) as hi from {table}{where}) b").load().first()
+    if low is None or low == high:
+        return reader(table).load()
+    n = num_partitions or spark.sparkContext.defaultParallelism
+    return (reader(table).option("partitionColumn", partition_column).option("lowerBound", str(low))
+            .option("upperBound", str(high)).option("numPartitions", n).load())
 
 
-def landing_path(root: str, source: str, table: str, processing_date: str) -> str:
-    return f"{root.rstrip('/')}/landing_zone/{source}/{table}/processing_date={processing_date}"
+def incremental_jdbc(spark: SparkSession, url: str, table: str, ctx: RunContext, partition_column: str,
+                     column: str = "updated_at", **kw) -> DataFrame:
+    """Rows changed on the run's day (the window pushes down to the database as a WHERE clause)."""
+    window = f"{column} >= TIMESTAMP('{ctx.window_start.isoformat(sep=' ')}') and {column} < TIMESTAMP('{ctx.window_end.isoformat(sep=' ')}')"
+    return day_window_scan(jdbc_table(spark, url, table, partition_column, whole=kw.pop("whole", window), **kw), column, ctx)
 
 
 def read_landed_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A landed CSV partition, every column text. Without a schema the header names the columns
-    (no inference); an empty day still carries its header, so its columns survive."""
-    from daybook.sinks.tables import CSV_NULL
+    """A landed CSV partition (``sinks.tables.write_landing_csv``): one record per line, so large files
+    are split over tasks. Without a schema the header names the columns and all are text (no inference); an
+    empty day still carries its header, so its columns survive."""
+    from daybook.sinks.tables import CSV_ESCAPES, CSV_NULL
+
+    reader = spark.read.option("header", True).option("escape", '"').option("nullValue", CSV_NULL).option("emptyValue", "")
+    df = (reader.schema(schema) if schema is not None else reader).csv(path)
+
+    def unescaped(name: str) -> Column:
+        (backslash, doubled), *others = CSV_ESCAPES
 
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
-        .option("nullValue", CSV_NULL).option("emptyValue", "")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+        def plain(part: Column) -> Column:
+            for raw, code in others:
+                part = F.replace(part, F.lit(code), F.lit(raw))
+            return part
+
+        # between doubled backslashes a backslash can only be the start of another escape
+        parts = F.split(F.col(name), doubled.replace("\\", "\\\\"))
+        return F.when(F.instr(F.col(name), backslash) > 0, F.array_join(F.transform(parts, plain), backslash)).otherwise(F.col(name)).alias(name)
+
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(*[unescaped(c) if c in text else F.col(c) for c in df.columns])
 
 
 def read_landed_json(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
     """A landed JSON partition with a declared schema (an empty directory would infer ``struct<>``)."""
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    return (spark.read.schema(schema).option("multiLine", multiline)
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
 
 
 def catalog_table(spark: SparkSession, name: str, processing_date: str | None = None,
@@ -77,5 +98,7 @@ def register_external(spark: SparkSession, name: str, path: str, schema_ddl: str
     """External Parquet table over curated files, with partitions recovered from the layout."""
     part = f" PARTITIONED BY ({partition_column})" if partition_column else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING parquet{part} LOCATION '{path}'")
-    if partition_column:
+    from daybook.sinks.tables import path_exists
+
+    if partition_column and path_exists(spark, path):
         spark.catalog.recoverPartitions(name)

@@ -1,8 +1,8 @@
 """File-arrival notifications: queue message bodies -> (bucket, key, processing_date).
 
 A body is either a storage event (``{"Records": [...]}``) or a topic envelope whose ``Message`` is
-that event as text. Parsing is PERMISSIVE: a body that is not valid JSON (or has no records)
-yields no target rows and lands in the quarantine instead of failing the batch.
+that event as text. A body that is not JSON, and one with a record that names no bucket, key or
+date, goes to the quarantine instead of failing the batch.
 """
 
 from __future__ import annotations
@@ -28,24 +28,39 @@ def _event(body: Column) -> Column:
     return F.when(env["Message"].isNotNull(), inner["Records"]).otherwise(env["Records"])
 
 
+def _is_json(body: Column) -> Column:
+    """The body, and the text in its ``Message`` if there is one, are JSON objects."""
+    outer, inner = (F.try_parse_json(c) for c in (body, F.get_json_object(body, "$.Message")))
+    message = F.get_json_object(body, "$.Message")
+    return F.coalesce(outer.isNotNull() & body.rlike(r"^\s*\{") & (message.isNull() | inner.isNotNull()), F.lit(False))
+
+
+def decoded_key(key: Column) -> Column:
+    """``+`` is a space, ``%XX`` a byte; a key that is not validly encoded keeps its percent signs."""
+    return F.coalesce(F.try_url_decode(key), F.translate(key, "+", " "))
+
+
 def parse(messages: DataFrame, body: str = "body") -> DataFrame:
-    """Adds ``records`` (array, NULL when the body is malformed)."""
-    return messages.withColumn("records", _event(F.col(body)))
+    """Adds ``records`` and ``fault`` (null: the message is good, also one without records, such as a
+    test event: there is nothing to do)."""
+    rec = F.coalesce(F.col("records"), F.array())
+    unnamed = F.exists(rec, lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
+    day = F.exists(rec, lambda r: F.substring(r["eventTime"], 1, 10).try_cast("date").isNull()
+                   | ~F.coalesce(r["eventTime"].rlike(r"^\d{4}-\d{2}-\d{2}"), F.lit(False)))
+    return messages.withColumn("records", _event(F.col(body))).withColumn(
+        "fault", F.when(~_is_json(F.col(body)), "malformed notification").when(unnamed, "record without bucket or key")
+        .when(day, "record without a date"))
 
 
 def flatten(messages: DataFrame, id_col: str = "message_id", body: str = "body") -> DataFrame:
-    """One row per record: message id, bucket, decoded key (``+`` is a space), event date."""
-    parsed = parse(messages, body)
+    """One row per record of the good messages: message id, bucket, decoded key, event date."""
     rec = F.col("r")
-    return (parsed.select(id_col, F.explode("records").alias("r"))
-            .select(id_col,
-                    rec["s3"]["bucket"]["name"].alias("bucket"),
-                    F.url_decode(rec["s3"]["object"]["key"]).alias("key"),
-                    F.substring(F.coalesce(rec["eventTime"], F.lit("")), 1, 10).alias("processing_date")))
+    return (parse(messages, body).filter(F.col("fault").isNull()).select(id_col, F.explode("records").alias("r"))
+            .select(id_col, rec["s3"]["bucket"]["name"].alias("bucket"),
+                    decoded_key(rec["s3"]["object"]["key"]).alias("key"),
+                    F.substring(rec["eventTime"], 1, 10).alias("processing_date")))
 
 
 def quarantine(messages: DataFrame, id_col: str = "message_id", body: str = "body") -> DataFrame:
-    """Messages that could not be parsed into at least one record."""
-    parsed = parse(messages, body)
-    return (parsed.filter(F.col("records").isNull() | (F.size("records") == 0))
-            .select(id_col, body, F.lit("malformed notification").alias("reject_reason")))
+    """Messages set aside, whole and with the reason; one bad message never fails the others."""
+    return parse(messages, body).filter(F.col("fault").isNotNull()).select(id_col, body, F.col("fault").alias("reject_reason"))

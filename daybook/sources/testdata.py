@@ -69,10 +69,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
-    # nation (25 rows) and region (5 rows) are fixed-size dimensions at every scale factor: the
-    # only explicit broadcasts in the code base; every other join side is left to AQE's runtime
-    # size check (autoBroadcastJoinThreshold) with a shuffle join beyond it.
-    base = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")
+    base = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
 
     def shape(df: DataFrame, name: Column, credit: Column) -> DataFrame:
         return df.select(
@@ -242,7 +239,8 @@ def landed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating events from ``events``: user -> customer, props.k -> product, value -> rating.
 
     Injected: unknown customers (event_id % 101), null customers (% 89), null ratings (% 97),
-    missing rating times (% 83), unknown products (k >= 95), a blank product code (k = 90).
+    missing rating times (% 83), unknown products (k >= 95), a blank product code (k = 90); ratings are
+    text as in the JSON feed, some written as whole (% 53: 5.0) or broken (% 59: 4.5) decimals.
     """
     e = table(spark, sf_dir, "events")
     # the JSON lookup runs once in its own projection (Catalyst keeps a non-cheap expression that
@@ -250,12 +248,14 @@ def landed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = e.select("event_id", "user_id", "value", "event_type", F.col("ts").cast("timestamp").alias("ts"),
                     F.get_json_object("props", "$.k").cast("int").alias("k"))
     k, ts, eid = F.col("k"), F.col("ts"), F.col("event_id")
+    rating = (F.floor("value") % 7).cast("string")
     return base.select(
         F.when(eid % 89 == 0, F.lit(None)).when(eid % 101 == 0, F.col("user_id") + 1000000)
          .otherwise(F.col("user_id")).alias("customerNumber"),
         F.when(k >= 95, F.concat(F.lit("X"), k.cast("string"))).when(k == 90, F.lit(" "))
          .otherwise((k % 10).cast("string")).alias("productCode"),
-        F.when(eid % 97 == 0, F.lit(None)).otherwise(F.floor("value") % 7).alias("productRating"),
+        F.when(eid % 97 == 0, F.lit(None)).when(eid % 53 == 0, F.concat(rating, F.lit(".0")))
+         .when(eid % 59 == 0, F.concat(rating, F.lit(".5"))).otherwise(rating).alias("productRating"),
         F.when(eid % 83 == 0, F.lit(None)).otherwise(F.date_trunc("day", ts)).alias("ratingTimestamp"),
         ts.alias("ingest_ts"),
         F.concat(F.lit("ratings/"), F.col("event_type"), F.lit(".json")).alias("source"),
@@ -270,7 +270,7 @@ def landed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     s = table(spark, sf_dir, "supplier")
     p = table(spark, sf_dir, "part")
     meta = {"ingest_ts": F.lit(BASE_TS), "source": F.lit(LANDING_SOURCE), "processing_date": F.lit(BASE_DAY)}
-    offices = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(  # region: 5 rows
+    offices = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").cast("string").alias("officeCode"), F.col("n_name").alias("city"),
         F.col("n_name").alias("country"), F.col("r_name").alias("territory")).withColumns(meta)
     employees = s.select(

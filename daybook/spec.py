@@ -65,10 +65,6 @@ class TableSpec:
         """Key rules first (in key order), then the table's own rules, as the reason text lists them."""
         return self.key_rules() + self.rules
 
-    def string_schema(self) -> StructType:
-        """All-string read schema of a landed CSV partition (header only, no inference)."""
-        return StructType([StructField(f.name, StringType(), True) for f in self.schema.fields])
-
 
 def _is_null(name: str) -> Callable[[], Column]:
     return lambda: F.col(name).isNull()
@@ -126,6 +122,7 @@ SCHEMAS = {
     ]),
 }
 
+# Primary keys and cast lists of the tables.
 SPECS: dict[str, TableSpec] = {
     "customers": TableSpec(
         "customers", SCHEMAS["customers"], ("customerNumber",),
@@ -180,14 +177,7 @@ SPECS: dict[str, TableSpec] = {
 
 TABLES = tuple(SPECS)
 
-# Ratings feed: JSON objects; typed and validated by its own rules (first failing reason wins).
-RATINGS_JSON_SCHEMA = StructType([
-    StructField("customerNumber", LongType(), True),
-    StructField("productCode", StringType(), True),
-    StructField("productRating", StringType(), True),
-    StructField("ratingTimestamp", StringType(), True),
-])
-
+# Ratings feed: typed and validated by its own rules (first failing reason wins).
 RATING_KEYS = ("customerNumber", "productCode", "ratingTimestamp")
 RATING_PAIR = ("customerNumber", "productCode")
 
@@ -218,10 +208,4 @@ RATINGS_SCHEMA = StructType([
     StructField("processing_date", StringType()),
 ])
 
-QUALITY_RESULT_SCHEMA = StructType([
-    StructField("check_name", StringType()), StructField("failure_count", LongType()),
-    StructField("status", StringType()), StructField("run_id", StringType()),
-    StructField("processing_date", StringType()),
-])
-
 ORDER_STATUSES = FV.ORDER_STATUSES

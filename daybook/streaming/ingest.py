@@ -33,7 +33,7 @@ LANDED_RATING_SCHEMA = StructType([
 
 def ratings_files(spark: SparkSession, landing_dir: str, schema: StructType = LANDED_RATING_SCHEMA,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("multiLine", True)
+    reader = spark.readStream.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return (reader.json(landing_dir)
@@ -67,7 +67,7 @@ def start_notification_ingest(messages: DataFrame, records_path: str, quarantine
     def handle(batch: DataFrame, epoch: int) -> None:
         # One micro-batch feeds two sinks: persist it so the source files are read once. Each
         # epoch replaces its own directory, so a replayed epoch does not append twice.
-        batch.persist()
+        batch = batch.persist()
         try:
             notifications.flatten(batch).write.mode("overwrite").parquet(f"{records_path}/epoch={epoch}")
             notifications.quarantine(batch).write.mode("overwrite").parquet(f"{quarantine_path}/epoch={epoch}")

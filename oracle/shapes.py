@@ -37,6 +37,8 @@ def compose(final_sql: str, *names: str) -> str:
         visit(n)
     if not order:
         return final_sql.strip()
+    if final_sql.lstrip().lower().startswith("with "):
+        final_sql = f"select * from ({final_sql.strip()})"
     return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in order) + "\n" + final_sql.strip()
 
 
@@ -189,7 +191,9 @@ select case when event_id % 89 = 0 then null when event_id % 101 = 0 then user_i
             else user_id end as customerNumber,
        case when k >= 95 then 'X' || cast(k as varchar) when k = 90 then ' '
             else cast(k % 10 as varchar) end as productCode,
-       case when event_id % 97 = 0 then null else cast(floor(value) as bigint) % 7 end as productRating,
+       case when event_id % 97 = 0 then null
+            else cast(cast(floor(value) as bigint) % 7 as varchar)
+                 || case when event_id % 53 = 0 then '.0' when event_id % 59 = 0 then '.5' else '' end end as productRating,
        case when event_id % 83 = 0 then null else date_trunc('day', cast(ts as timestamp)) end as ratingTimestamp,
        cast(ts as timestamp) as ingest_ts,
        'ratings/' || event_type || '.json' as source,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from daybook.operators.dedupe import dedupe, latest_by
-from daybook.operators.upsert import DuplicateSourceKeyError, insert_if_absent, latest_wins, upsert
+from daybook.operators.upsert import DuplicateSourceKeyError, assert_unique, insert_if_absent, latest_wins, upsert
 from daybook.plans import ratings
 
 T = dt.datetime
@@ -64,11 +64,28 @@ def test_unconditional_merge_and_null_keys(spark):
     assert again.filter(F.col("c").isNotNull()).count() == 1
 
 
-def test_duplicate_source_key_raises(spark):
+def test_duplicate_source_key_raises_when_run(spark):
     target = _state(spark, [(1, "A", 3, T(2024, 1, 5))])
     source = _state(spark, [(1, "A", 4, T(2024, 1, 6)), (1, "A", 5, T(2024, 1, 7))])
+    merged = upsert(target, source, ["c", "p"])  # building the frame runs nothing
+    with pytest.raises(Exception, match="duplicate source key"):
+        merged.collect()
     with pytest.raises(DuplicateSourceKeyError):
-        upsert(target, source, ["c", "p"])
+        assert_unique(target, source, ["c", "p"])
+
+
+def test_duplicate_source_key_without_a_target_row_is_inserted(spark):
+    target = _state(spark, [(1, "A", 3, T(2024, 1, 5))])
+    source = _state(spark, [(2, "A", 4, T(2024, 1, 6)), (2, "A", 5, T(2024, 1, 7))])
+    for cond in (None, latest_wins("ts")):
+        assert rows(upsert(target, source, ["c", "p"], cond), "c", "r") == [(1, 3), (2, 4), (2, 5)]
+
+
+def test_null_source_keys_stay_out_of_the_join(spark):
+    target = _state(spark, [(1, "A", 3, T(2024, 1, 5)), (None, "A", 1, T(2024, 1, 1))])
+    source = _state(spark, [(None, "A", i, T(2024, 1, 1)) for i in range(5)] + [(1, "A", 9, T(2024, 1, 1))])
+    out = upsert(target, source, ["c", "p"], latest_wins("ts"))
+    assert rows(out, "c", "r") == [(1, 3), (None, 0), (None, 1), (None, 1), (None, 2), (None, 3), (None, 4)]
 
 
 def test_insert_if_absent_first_writer_wins(spark):

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text, rows
@@ -30,21 +31,23 @@ def test_incremental_jdbc_window_is_half_open_and_pushed(spark):
         "INSERT INTO customers VALUES (101, 'Alpha Retail', 50000.00, TIMESTAMP('2026-09-09 10:00:00'))",
         "INSERT INTO customers VALUES (102, 'Beta Stores', 75000.00, TIMESTAMP('2026-09-09 23:59:59'))",
         "INSERT INTO customers VALUES (103, 'Gamma Traders', 40000.00, TIMESTAMP('2026-09-10 00:00:00'))",
+        "INSERT INTO customers VALUES (110, 'Delta', 1.00, TIMESTAMP('2026-09-09 00:00:00'))",
         "INSERT INTO customers VALUES (104, 'Old', 1.00, TIMESTAMP('2026-09-08 23:59:59'))",
     ])
     ctx = RunContext("2026-09-09")
-    df = incremental_jdbc(spark, URL, "customers", ctx, properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    df = incremental_jdbc(spark, URL, "customers", ctx, "customerNumber", num_partitions=2,
+                          properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    assert df.rdd.getNumPartitions() == 2  # the day's keys, cut in two
     plan = plan_text(df)
     assert "PushedFilters" in plan and "GREATERTHANOREQUAL(UPDATED_AT" in plan.upper() and "LESSTHAN(UPDATED_AT" \
         in plan.upper()
-    assert rows(df, "CUSTOMERNUMBER") == [(101,), (102,)]
+    assert rows(df, "CUSTOMERNUMBER") == [(101,), (102,), (110,)]
 
 
 def test_daily_run_end_to_end(spark, tmp_dir):
     """Two days through every stage: landing, curation, ratings merge, gate, presentation, models."""
     from daybook.operators.audit import fold
-    from daybook.plans.stages import Lake, run_pipeline
-    from daybook.sinks.tables import VersionedTable
+    from daybook.plans.stages import Lake, ratings_for_ml_table, ratings_state_table, run_pipeline
 
     lake = Lake(os.path.join(tmp_dir, "lake"))
     d1 = dt.datetime(2026, 9, 9, 10)
@@ -80,11 +83,18 @@ def test_daily_run_end_to_end(spark, tmp_dir):
                     "ratingTimestamp": "2026-09-09T14:45:00"}], fh)
     ctx = RunContext("2026-09-09", run_id="r1", run_ts=dt.datetime(2026, 9, 10, 2))
     run_pipeline(spark, ctx, lake, src, rdir, audit_table="audit_e2e")
-    mart = VersionedTable(spark, lake.models("mart_monthly_sales")).read().first()
+    mart = spark.read.parquet(lake.models("mart_monthly_sales")).first()
     assert (mart.order_count, mart.units_sold, float(mart.gross_sales)) == (3, 7, 602.0)
-    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
+    rfml = ratings_for_ml_table(spark, lake).read()
     assert rows(rfml, "customerNumber", "productRating") == [(101, 5), (102, 4)]
+    assert set(spark.table(lake.catalog("customers")).toDF(*spark.table(lake.catalog("customers")).columns).select("run_id").distinct().collect()[0]) == {"r1"}
     state = fold(spark.table("audit_e2e"))
+    metrics = {r.stage: r.metrics for r in state.collect()}
+    assert metrics["ratings_json_landing"]["row_count"] == "3" and metrics["ratings_for_ml_transform"]["valid_rows"] == "2"
+    assert metrics["ratings_for_ml_transform"]["rejected_rows"] == "1" and metrics["ratings_iceberg_merge"]["merged_rows"] == "2"
+    assert metrics["curated_quality_checks"]["check_count"] == "7" and metrics["curated_quality_checks"]["failed_checks"] == "0"
+    assert metrics["models"]["test_count"] == "20" and metrics["models"]["failed_tests"] == "0"
+    assert spark.table("audit_e2e_runs").first().status == "SUCCEEDED"
     assert {r.stage: r.status for r in state.collect()}["batch_transform"] == "SUCCEEDED_WITH_REJECTS"
     from daybook.plans.stages import register_views
 
@@ -93,15 +103,15 @@ def test_daily_run_end_to_end(spark, tmp_dir):
     # rerun of the same day gives the same tables (idempotent)
     run_pipeline(spark, RunContext("2026-09-09", run_id="r2", run_ts=dt.datetime(2026, 9, 10, 3)), lake, src, rdir,
                  audit_table="audit_e2e")
-    assert VersionedTable(spark, lake.models("fact_order_items")).read().count() == 4
-    assert rows(VersionedTable(spark, lake.lakehouse("ratings")).read(), "customerNumber", "productRating") == \
+    assert spark.read.parquet(lake.models("fact_order_items")).count() == 4
+    assert rows(ratings_state_table(spark, lake).read(), "customerNumber", "productRating") == \
         [(101, 5), (102, 4)]
 
 
 def test_streamed_ratings_reach_the_event_table(spark, tmp_dir):
     """Rating files arriving in an inbox are merged into ratings_for_ml by the streaming path."""
     from daybook.plans.stages import Lake, stream_ratings
-    from daybook.sinks.tables import VersionedTable
+    from daybook.plans.stages import ratings_for_ml_table, ratings_state_table
 
     lake = Lake(os.path.join(tmp_dir, "lake"))
     ts = dt.datetime(2026, 9, 9, 1)
@@ -121,7 +131,7 @@ def test_streamed_ratings_reach_the_event_table(spark, tmp_dir):
                     "ratingTimestamp": "2026-09-09T11:30:00"}], fh)
     ctx = RunContext("2026-09-09", run_id="s1", run_ts=dt.datetime(2026, 9, 10, 2))
     stream_ratings(spark, ctx, lake, inbox, os.path.join(tmp_dir, "ck")).awaitTermination(180)
-    rfml = VersionedTable(spark, lake.lakehouse("ratings_for_ml"), partition_by="processing_date").read()
+    rfml = ratings_for_ml_table(spark, lake).read()
     assert rows(rfml, "customerNumber", "productRating", "productName") == [(101, 5, "Car")]
 
 
@@ -129,7 +139,7 @@ def test_later_day_late_event_and_backfill(spark, tmp_dir):
     """Day 2 changes a customer and brings a late rating; a backfill of day 0 arrives afterwards.
     The late rating must not overwrite newer state and the backfill must not regress dims."""
     from daybook.plans.stages import Lake, run_pipeline
-    from daybook.sinks.tables import VersionedTable
+    from daybook.plans.stages import ratings_for_ml_table, ratings_state_table
 
     lake = Lake(os.path.join(tmp_dir, "lake"))
     c_schema = "customerNumber int, customerName string, creditLimit double, updated_at timestamp"
@@ -152,17 +162,75 @@ def test_later_day_late_event_and_backfill(spark, tmp_dir):
         with open(os.path.join(rdir, "r.json"), "w") as fh:
             json.dump(ratings_json, fh)
         run_pipeline(spark, RunContext(date, run_id=f"run-{date}", run_ts=t + dt.timedelta(hours=20)), lake, src,
-                     rdir, audit_table="audit_days", size_partitions=False)
+                     rdir, audit_table="audit_days")
 
     day("2026-09-09", [(101, "Alpha", 100.0)],
         [{"customerNumber": "101", "productCode": "P1", "productRating": "3", "ratingTimestamp": "2026-09-09T10:00:00"}])
     day("2026-09-10", [(101, "Alpha", 900.0)],
         [{"customerNumber": "101", "productCode": "P1", "productRating": "1", "ratingTimestamp": "2026-09-08T10:00:00"}])
-    state = VersionedTable(spark, lake.lakehouse("ratings")).read()
+    state = ratings_state_table(spark, lake).read()
     assert rows(state, "customerNumber", "productRating") == [(101, 3)]          # late event ignored
-    dim = VersionedTable(spark, lake.models("dim_customers")).read()
+    dim = spark.read.parquet(lake.models("dim_customers"))
     assert [float(r.credit_limit) for r in dim.collect()] == [900.0]
     # back-filled older day after the newer one: the dimension keeps the newer version
     day("2026-09-01", [(101, "Alpha OLD", 5.0)], [])
-    dim = VersionedTable(spark, lake.models("dim_customers")).read()
+    dim = spark.read.parquet(lake.models("dim_customers"))
     assert [(r.customer_name, float(r.credit_limit)) for r in dim.collect()] == [("Alpha", 900.0)]
+
+
+def test_failing_model_test_stops_the_run(spark, tmp_dir):
+    """An order with a status outside the accepted list passes the gate and fails the models stage, whose
+    results and counts are stored."""
+    from daybook.plans.stages import GateFailure, Lake, run_pipeline
+
+    lake = Lake(os.path.join(tmp_dir, "lake"))
+    t = dt.datetime(2026, 9, 9, 10)
+    src = {
+        "customers": spark.createDataFrame([(101, "A", 1.0, t)], "customerNumber int, customerName string, creditLimit double, updated_at timestamp"),
+        "products": spark.createDataFrame([("P1", "W", 5, 1.0, 2.0, t)], "productCode string, productName string, quantityInStock int, "
+                                          "buyPrice double, MSRP double, updated_at timestamp"),
+        "orders": spark.createDataFrame([(1, dt.date(2026, 9, 9), "Lost", 101, t)], "orderNumber int, orderDate date, status string, "
+                                        "customerNumber int, updated_at timestamp"),
+        "orderdetails": spark.createDataFrame([(1, "P1", 2, 2.0, 1, t)], "orderNumber int, productCode string, quantityOrdered int, "
+                                              "priceEach double, orderLineNumber int, updated_at timestamp"),
+    }
+    rdir = os.path.join(tmp_dir, "in")
+    os.makedirs(rdir)
+    with open(os.path.join(rdir, "r.json"), "w") as fh:
+        json.dump([], fh)
+    ctx = RunContext("2026-09-09", run_id="bad", run_ts=dt.datetime(2026, 9, 10, 2))
+    with pytest.raises(GateFailure, match="order_status:accepted_values"):
+        run_pipeline(spark, ctx, lake, src, rdir, audit_table="audit_bad")
+    assert spark.read.json(lake.quality(ctx, "models")).filter("failures > 0").count() == 1
+    from daybook.operators.audit import fold
+
+    last = fold(spark.table("audit_bad")).filter("stage = 'models'").first()
+    assert last.status == "FAILED" and last.metrics["failed_tests"] == "1"
+    assert spark.table("audit_bad_runs").first().failed_stages == ["models"]
+
+
+def test_arrivals_of_two_dates_are_ingested_under_their_own_day(spark, tmp_dir):
+    from daybook.plans.stages import Lake, ratings_for_ml_table, stream_arrivals
+
+    lake = Lake(os.path.join(tmp_dir, "lake"))
+    ts = dt.datetime(2026, 9, 9, 1)
+    spark.createDataFrame([(101, "A", ts, "2026-09-09")], "customerNumber long, customerName string, ingest_ts timestamp, "
+                          "processing_date string").write.partitionBy("processing_date").parquet(lake.curated("customers"))
+    spark.createDataFrame([("P1", "Car", "Cars", ts, "2026-09-09")], "productCode string, productName string, productLine string, "
+                          "ingest_ts timestamp, processing_date string").write.partitionBy("processing_date").parquet(lake.curated("products"))
+    incoming, queue = os.path.join(tmp_dir, "incoming"), os.path.join(tmp_dir, "queue")
+    os.makedirs(os.path.join(incoming, "in"))
+    os.makedirs(queue)
+    bodies = []
+    for name, day, rating in (("a b.json", "2026-09-09", "5.0"), ("c.json", "2026-09-10", "4")):
+        with open(os.path.join(incoming, "in", name), "w") as fh:
+            json.dump([{"customerNumber": "101", "productCode": "P1", "productRating": rating, "ratingTimestamp": f"{day}T10:00:00"}], fh)
+        bodies.append(json.dumps({"Records": [{"eventTime": f"{day}T11:00:00Z", "s3": {
+            "bucket": {"name": "b"}, "object": {"key": "in/" + name.replace(" ", "+")}}}]}))
+    with open(os.path.join(queue, "q.txt"), "w") as fh:
+        fh.write("\n".join([*bodies, bodies[0], "not json"]) + "\n")
+    ctx = RunContext("2026-09-30", run_id="q1", run_ts=dt.datetime(2026, 9, 30, 2))
+    stream_arrivals(spark, ctx, lake, queue, incoming, os.path.join(tmp_dir, "ck")).awaitTermination(180)
+    got = ratings_for_ml_table(spark, lake).read()
+    assert rows(got, "processing_date", "productRating") == [("2026-09-09", 5), ("2026-09-10", 4)]
+    assert spark.read.parquet(f"{lake.root}/quarantine/notifications/run_id=q1").count() == 1

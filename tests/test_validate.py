@@ -7,7 +7,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from conftest import rows
 from daybook.operators.typing import cast_by_rules, type_ratings
-from daybook.operators.validate import add_reject_reason, split, validate
+from daybook.operators.validate import split, validate
 from daybook.spec import RATING_RULES, SPECS
 
 
@@ -55,8 +55,6 @@ def test_first_and_last_modes(spark):
     rules = SPECS["orderdetails"].all_rules()
     assert validate(df, rules, "first").first().reject_reason == "orderNumber is null"
     assert validate(df, rules, "last").first().reject_reason == "priceEach cannot be negative"
-    helper = add_reject_reason(df, [(F.col("orderNumber").isNull(), "a"), (F.col("priceEach") < 0, "b")])
-    assert helper.first().reject_reason == "b"
 
 
 def test_null_rating_is_rejected_not_lost(spark):
