@@ -70,22 +70,35 @@ def mine_rules(labelled: DataFrame, *, min_support: float = 0.002, min_count: in
     support = min(1.0, max(min_support, min_count / min(n, max_urls)))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     kind = F.col("consequent")[0]
-    rules = model.associationRules.where(kind.startswith(LABEL)).select(
-        F.sort_array("antecedent").alias("tokens"), F.substring_index(kind, "=", -1).alias("label"), "confidence", "support")
-    return materialise(rules.withColumn("rule", F.concat_ws(" ", "tokens", "label")).withColumn("need", F.size("tokens"))
+    rules = materialise(model.associationRules.where(kind.startswith(LABEL)).select(
+        F.sort_array("antecedent").alias("tokens"), F.substring_index(kind, "=", -1).alias("label"), "confidence", "support"), "rules")
+    return materialise(prune(rules).withColumn("rule", F.concat_ws(" ", "tokens", "label")).withColumn("need", F.size("tokens"))
                        .select(F.explode("tokens").alias("token"), "rule", "need", "label", "confidence", "support"), "rule_index")
 
 
+def prune(rules: DataFrame) -> DataFrame:
+    """``rules(tokens, label, confidence, support)`` without those that never decide: a rule fires only
+    where the rules with one of its tokens less fire, which have at least its support; if one of them has
+    the same label and at least its confidence, it comes first wherever both fire."""
+    known = rules.select(F.concat_ws(" ", "tokens").alias("shorter"), F.col("label").alias("same"), F.col("confidence").alias("bound"))
+    less = F.transform("tokens", lambda t: F.concat_ws(" ", F.filter("tokens", lambda x: x != t)))
+    covered = (rules.withColumn("shorter", F.explode(less))
+               .join(known, "shorter").where("label = same and bound >= confidence").select("tokens", "label").distinct())
+    return rules.join(covered, ["tokens", "label"], "left_anti")
+
+
 def judge_by_rules(urls: DataFrame, index: DataFrame) -> DataFrame:
     """``urls(url)``, distinct -> ``(url, label)`` of the URLs on which a rule fires: a URL's tokens are
     looked up in the inverted index, and a rule fires when all its tokens were found. The rule of the
     highest confidence, then support, then the most tokens decides (then the smallest text)."""
-    tokens = urls.select("url", F.explode(url_tokens(F.col("url"))).alias("token"))
-    hits = tokens.join(index, "token").groupBy("url", "rule").agg(
-        F.count("*").alias("found"), F.first("need").alias("need"), F.first("label").alias("label"),
-        F.first("confidence").alias("confidence"), F.first("support").alias("support"))
+    parts = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # short rows that grow by their tokens and rules: dealt to all partitions, however few bytes they are
+    tokens = urls.repartition(parts, "url").select("url", F.explode(url_tokens(F.col("url"))).alias("token"))
+    fired = (tokens.join(index.select("token", "rule", "need"), "token").groupBy("url", "rule", "need").count()
+             .where("count = need").select("url", "rule"))
+    rules = index.select("rule", "need", "label", "confidence", "support").distinct()
     order = F.struct(-F.col("confidence"), -F.col("support"), -F.col("need"), "rule")
-    return hits.where("found = need").groupBy("url").agg(F.min_by("label", order).alias("label"))
+    return fired.join(rules, "rule").groupBy("url").agg(F.min_by("label", order).alias("label"))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], *, id_col: str = "page_id", url_col: str = "url",

@@ -61,6 +61,9 @@ def test_mined_rules_and_inverted_index(spark):
     got = {}
     for r in index.collect():
         got.setdefault((r["rule"], r["label"]), []).append((r["token"], r["need"], r["confidence"]))
+    # without the rules that a shorter one of the same label and no less confidence always precedes
+    want = {(c, v): n for (c, v), n in want.items()
+            if not any(want.get((tuple(x for x in c if x != t), v), 0) >= n for t in c)}
     assert {(tuple(sorted(t for t, _, _ in v)), k[1]) for k, v in got.items()} == set(want)
     assert all(c == pytest.approx(want[tuple(sorted(t for t, _, _ in v)), k[1]]) and n == len(v) for k, v in got.items() for _, n, c in v)
     asked = spark.createDataFrame([("http://new.org/x/y/q",), ("http://new.org/x/z/q",), ("http://new.org/w/z/",), ("http://b/y/x/",), ("none",)], "url string")
