@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +29,27 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/daybook-llm-{uuid.uuid4().hex}/{name}"
+    root = f"{shared_folder(spark)}/daybook-llm-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(root)
+    return f"{root}/{name}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside once the block is left: put the write of the result in the
+    block, as its plan reads them. Without a scope they stay in the shared folder (``daybook-llm-*``)."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for root in _SCOPES.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

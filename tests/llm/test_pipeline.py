@@ -56,3 +56,16 @@ def test_copies_leave_one(spark):
     docs = spark.createDataFrame([(i, text, "en", "s") for i in range(30)] + [(99, text + " tail words differ", "en", "s")], "doc_id long, text string, lang string, source string")
     found = simhash.near_duplicates(docs)
     assert [r["doc_id"] for r in simhash.keep_one(docs.where("doc_id < 50"), found.where("id < 50")).collect()] == [0]
+
+
+def test_scratch_tables_of_a_scope_go(spark, tmp_path):
+    from daybook.llm.shared import materialise, scratch_path, scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    with scratch_scope(spark):
+        inside = materialise(spark.range(5), "inside")
+        inside.write.parquet(kept)
+        folder = inside.inputFiles()[0].rsplit("/", 1)[0]
+    assert spark.read.parquet(kept).count() == 5
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
