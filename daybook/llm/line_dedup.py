@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.shared import materialise
+from daybook.llm.shared import materialise, text_batches
 
 WINDOW = "array<struct<start:int,len:int,k1:long,k2:long>>"
 
@@ -111,6 +111,7 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     words, that occur before: in a document with a smaller id, or further up in the same one. Lines are
     compared without white space at their ends. Blank lines are no lines.
     """
+    text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     at = materialise(_positions(src, run_lines, run_words), "selected_lines")
     repeated = at.groupBy("fp").count().where("count > 1").select("fp")

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.shared import text_batches
+
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for a space in pieces
 #: A mark in the text itself, which must not become a space. Lone surrogates do not occur in texts.
@@ -31,7 +33,7 @@ UNKNOWN_PENALTY = 10.0
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 20
 CELLS_AT_ONCE = 1 << 15
-KNOWN_SEGMENTS = 1_000_000  # remembered by a worker
+KNOWN_SEGMENTS = 300_000  # remembered by a worker
 PAIR_BITS = 20
 
 
@@ -357,6 +359,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     round_trip, empty: no ids. The model is read by the driver and sent to the tasks (its vocabulary only).
     """
     vocabulary = Pieces.load(model_file)
+    text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -60,6 +60,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound what a Python worker and its executor hold at once: whole texts come in Arrow batches of
+    ``rows`` records, where Spark's default would gather 10,000. A number the session chose itself stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest node number reachable from each of ``n`` nodes over the links ``a[i] - b[i]``."""
     label = np.arange(n)

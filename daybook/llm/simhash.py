@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.shared import connected_components, local_components, materialise
+from daybook.llm.shared import connected_components, local_components, materialise, text_batches
 
 SEED = 42
 HASHES_AT_ONCE = 1 << 17
@@ -82,6 +82,7 @@ def fingerprints_of(texts: list[str | None], words_per_shingle: int) -> np.ndarr
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int) -> DataFrame:
     """``(id, fp long)`` of every record."""
+    text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

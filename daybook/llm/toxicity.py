@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.shared import materialise
+from daybook.llm.shared import materialise, text_batches
 
 WORDS = re.compile(r"\w+")
 BEGINNINGS = (4, 5, 6)
@@ -51,7 +51,7 @@ class Model:
         for w in set(WORDS.findall(text.lower())) if text else ():
             ids = self.known.get(w)
             if ids is None:
-                if len(self.known) >= 300_000:
+                if len(self.known) >= 100_000:
                     self.known.clear()
                 ids = self.known[w] = tuple(self.features[f] for f in word_features(w) if f in self.features)
             if ids:
@@ -96,6 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     ``min_z`` standard errors more frequent in P than in U, the clearest ``max_features`` of them.
     Without positives, unlabelled texts or features nothing is learned and every score is near 0.
     """
+    text_batches(docs.sparkSession)
     given = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
              .where(fold(F.col("id")) != 0).groupBy("id").agg(F.max("y").alias("y")))
     prior = given.agg(F.avg("y")).first()[0]
@@ -126,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         for b in batches:
             for text, p in zip(b.column("text").to_pylist(), b.column("p").to_pylist(), strict=True):
                 found[p].update(_features(text))
-                if len(found[True]) + len(found[False]) > 500_000:
+                if len(found[True]) + len(found[False]) > 200_000:
                     yield out()
         yield out()
 

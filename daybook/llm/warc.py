@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.shared import materialise, scratch_path
+from daybook.llm.shared import materialise, scratch_path, text_batches
 
 CAPTURED_AT = "1970-01-01T00:00:00Z"  # the tables name no time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -84,6 +84,7 @@ def write_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", ur
     an id and a payload are all responses or all revisits. The captures are a written table, and only
     archives of finished task attempts are in it: a lost executor leaves an archive that no index names.
     """
+    text_batches(pages.sparkSession)
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                        F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("html"))
     src = src.withColumn("sha", F.sha1("html"))
