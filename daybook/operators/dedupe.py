@@ -2,12 +2,9 @@
 
 Winners use ``row_number() = 1``, which Catalyst plans as a partial ``WindowGroupLimit`` before
 the shuffle and a final one after it: a hot key is cut to one row per map task before it moves,
-so a key holding a third of all rows never lands whole in one task. Losers are the multiset
-difference ``rows EXCEPT ALL winners`` (an aggregate over full rows with map-side combine), not
-``row_number() > 1``, which would have to sort every row of a hot key in one task. Because
-duplicates are usually rare, ranking and difference run only over the rows of repeated keys: a
-key-only count finds them (narrow shuffle, combined map-side) and a null-safe semi join selects
-their rows (broadcast by AQE when that key set is small, a skew-split shuffle join otherwise).
+so a key holding a third of all rows never lands whole in one task. Losers are found by aggregates
+with map-side combine (see ``dedupe``), not by ``row_number() > 1``, which would have to sort every row of a
+hot key in one task.
 """
 
 from __future__ import annotations
@@ -36,18 +33,22 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], reason: str | None = None,
-           tiebreak: bool = True) -> tuple[DataFrame, DataFrame]:
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], reason: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept, losers); losers carry ``reject_reason`` when ``reason`` is given.
 
-    The keys are counted first (a narrow shuffle, combined map-side). Rows of keys that occur once are
-    kept as they are; only the rows of repeated keys are ranked and differenced.
+    Losers take two scans: one aggregate by key counts its rows and finds the newest as a maximum
+    (both combined map-side; NULL is the smallest, as in the ranking), then the rows of repeated keys
+    are grouped as whole rows, and each comes back as often as it occurs, once less if it is the newest.
     """
-    kept = latest_by(df, keys, order, tiebreak)
-    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)]))
-    rows = df.join(repeated, [df[k].eqNullSafe(repeated[f"_dk{i}"]) for i, k in enumerate(keys)], "left_semi")
-    losers = rows.exceptAll(latest_by(rows, keys, order, tiebreak))
+    kept = latest_by(df, keys, order)
+    rest = [*order, *sorted(c for c in df.columns if c not in {*order, *keys})]
+    newest = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)])
+    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(newest).alias("_newest")).filter(F.col("_n") > 1)
+                .select("_newest", *[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)]))
+    rows = df.join(repeated, [df[k].eqNullSafe(repeated[f"_dk{i}"]) for i, k in enumerate(keys)])
+    times = (rows.withColumn("_won", newest.eqNullSafe(F.col("_newest")).cast("int")).groupBy(*df.columns, "_won")
+             .agg((F.count(F.lit(1)).cast("int")).alias("_times")).withColumn("_times", F.col("_times") - F.col("_won")).filter("_times > 0"))
+    losers = times.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*df.columns)
     if reason is not None:
         losers = losers.withColumn("reject_reason", F.lit(reason))
     return kept, losers
