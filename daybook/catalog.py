@@ -181,6 +181,17 @@ def all_rejects_ratings(spark, sf):
     return _ratings_batch(spark, sf).rejects()
 
 
+@query
+def ratings_outcome(spark, sf):
+    """Every rating row once with what became of it, as the daily stage computes it."""
+    from daybook.operators.typing import type_ratings
+    from daybook.operators.validate import validate
+    from daybook.spec import RATING_RULES
+
+    tagged = _written(spark, "tagged", validate(type_ratings(td.landed_ratings(spark, sf)), RATING_RULES, mode="first"))
+    return ratings.outcome(tagged, td.customers(spark, sf), td.products(spark, sf))
+
+
 @query
 def latest_rating_per_pair(spark, sf):
     return ratings.latest_per_pair(_ratings_for_ml(spark, sf))

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.dedupe import dedupe_rating_events, latest_by, latest_master
-from daybook.operators.routing import known_keys, route
+from daybook.operators.routing import flag_references, known_keys, route
 from daybook.operators.typing import type_ratings
 from daybook.operators.upsert import latest_wins, upsert
 from daybook.operators.validate import split
 from daybook.spec import (DUPLICATE_RATING_REASON, RATING_KEYS, RATING_PAIR, RATING_RULES,
-                          RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA)
+                          RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA, UNKNOWN_REFERENCE_REASON)
 
 
 @dataclass
@@ -31,9 +31,21 @@ class RatingsBatch:
                 .unionByName(self.unknown, allowMissingColumns=True))
 
 
-def outcome(b: RatingsBatch) -> DataFrame:
-    """Every row of the batch once: known events (``reject_reason`` NULL) and all rejects."""
-    return b.known.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(b.rejects(), allowMissingColumns=True)
+def outcome(tagged: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Every typed row once, with product name and line and what became of it in ``reject_reason`` (NULL:
+    known). ``tagged`` is the validated batch (``validate``), best a written table: its rows are read for
+    the ranking and the losers; the masters are joined once, to the kept rows, known and unknown alike."""
+    valid = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    kept, duplicates = dedupe_rating_events(valid, DUPLICATE_RATING_REASON)
+    master = latest_master(products, "productCode").select("productCode", "productName", "productLine")
+    flagged = flag_references(kept, [(known_keys(customers, "customerNumber"), "customerNumber", []),
+                                     (master, "productCode", ["productName", "productLine"])])
+    known = F.col("_has_customerNumber") & F.col("_has_productCode")
+    routed = flagged.withColumns({
+        "productName": F.when(known, F.col("productName")), "productLine": F.when(known, F.col("productLine")),
+        "reject_reason": F.when(~known, F.lit(UNKNOWN_REFERENCE_REASON))}).drop("_has_customerNumber", "_has_productCode")
+    return (routed.unionByName(duplicates, allowMissingColumns=True)
+            .unionByName(tagged.filter(F.col("reject_reason").isNotNull()), allowMissingColumns=True))
 
 
 def process(landed: DataFrame, customers: DataFrame, products: DataFrame,

@@ -22,13 +22,14 @@ from daybook.operators.audit import Audit
 from daybook.operators.dedupe import latest_by
 from daybook.operators.quality import curated_checks, gate, model_gate, model_tests
 from daybook.operators.routing import known_keys
-from daybook.operators.typing import add_curated_metadata, add_ingest_metadata, conform
+from daybook.operators.typing import add_curated_metadata, add_ingest_metadata, conform, type_ratings
+from daybook.operators.validate import validate
 from daybook.plans import marts, presentation, ratings, staging, star
 from daybook.plans.curation import curate
 from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, path_exists, replace_table,
                                   write_landing_csv, write_rejects)
 from daybook.sources.files import catalog_table, day_window_scan, read_landed_csv, read_landed_json, register_external
-from daybook.spec import RATING_KEYS, RATING_PAIR, RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA, SPECS
+from daybook.spec import RATING_KEYS, RATING_PAIR, RATING_RULES, RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA, SPECS
 from daybook.streaming.ingest import LANDED_RATING_SCHEMA
 
 
@@ -190,11 +191,12 @@ def transform_relational(spark: SparkSession, ctx: RunContext, lake: Lake, table
 
 
 def _transform_events(spark: SparkSession, ctx: RunContext, lake: Lake, landed: DataFrame, day: str | None) -> dict:
-    """Typed, validated, deduplicated and routed once: all rows are staged with what became of them, and the
-    rejects and the merge both read that table."""
-    b = ratings.process(landed, _curated_table(spark, lake, "customers"), _curated_table(spark, lake, "products"), day)
-    staged = _staged(ratings.outcome(b), lake, "ratings")
-    rejected = write_rejects(staged.filter(F.col("reject_reason").isNotNull()), lake.root, "ratings", ctx, stamp=False)
+    """Typed and validated once, deduplicated and routed once: both steps are staged as tables, and the
+    rejects and the merge both read the second."""
+    tagged = _staged(validate(type_ratings(landed, day), RATING_RULES, mode="first"), lake, "typed_ratings")
+    staged = _staged(ratings.outcome(tagged, _curated_table(spark, lake, "customers"), _curated_table(spark, lake, "products")),
+                     lake, "ratings")
+    rejected = write_rejects(staged.filter(F.col("reject_reason").isNotNull()).drop("productName", "productLine"), lake.root, "ratings", ctx, stamp=False)
     obs = Observation("known_ratings")
     known = ratings.to_ratings_for_ml(staged.filter(F.col("reject_reason").isNull()), ctx.now())
     if day is None:
