@@ -87,7 +87,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), *, id_col: str = "d
 
 def mixed_documents(docs: DataFrame, mixture: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     """The records of the mix with all their columns, each as often as it was taken (its repetitions
-    are equal rows)."""
+    are equal rows). Records that share an id are taken as often as the one of them taken most."""
     reps = mixture.where("reps > 0").groupBy(F.col("id").alias("__id")).agg(F.max("reps").alias("__reps"))
+    reps = reps.hint("merge")  # it grows with the documents: the same plan at every size
     return (docs.join(reps, F.col(id_col).eqNullSafe(F.col("__id")))
             .withColumn("__n", F.explode(F.sequence(F.lit(1), "__reps"))).select(*[docs[c] for c in docs.columns]))

@@ -245,9 +245,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     """Of each group of ``found`` (``near_duplicates``) the record with the smallest id, with all its
     columns; of rows that share this id one stays. Records with a null id stay."""
-    ids = materialise(found.groupBy(F.col("id").alias("__id")).agg(
-        F.min(F.col("id") == F.col("component")).alias("__keep"), F.count("*").alias("__n")), "decisions")
-    gone, repeated = (ids.where(c).select("__id") for c in ("not __keep", "__keep and __n > 1"))
-    left = docs.join(gone, docs[id_col] == gone["__id"], "left_anti")
-    once = left.join(repeated, left[id_col] == repeated["__id"], "left_anti")
-    return once.union(left.join(repeated, left[id_col] == repeated["__id"], "left_semi").dropDuplicates([id_col]))
+    kept = found.where("id is not null and id = component").select(F.col("id").alias("__id")).distinct()
+    # the list grows with the documents: one sort-merge join at every size, whose order dropDuplicates uses
+    kept = materialise(kept, "kept").hint("merge")
+    named = docs.where(F.col(id_col).isNotNull())
+    left = named.join(kept, named[id_col] == kept["__id"]).drop("__id").dropDuplicates([id_col])
+    return left.select(*docs.columns).union(docs.where(F.col(id_col).isNull()))
