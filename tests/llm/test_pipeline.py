@@ -3,7 +3,7 @@ import re
 import corpus_pipeline
 from daybook.llm import pieces, simhash
 from daybook.llm.shared import scratch_path
-from test_simhash import brute_fingerprint, brute_groups
+from llm.test_simhash import brute_fingerprint, brute_groups
 
 SF = "/root/testdata/sf0.001"
 
