@@ -114,12 +114,15 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     at = materialise(_positions(src, run_lines, run_words), "selected_lines")
-    repeated = at.groupBy("fp").count().where("count > 1").select("fp")
+    # Both lists are tables of their own: a join straight on an aggregate cannot be split by AQE where one
+    # passage holds many of the rows. They grow with the documents, so the plan is a merge at every size.
+    repeated = materialise(at.groupBy("fp").count().where("count > 1").select("fp"), "repeated").hint("merge")
     windows = materialise(
         at.join(repeated, "fp", "left_semi").select("id", "th", F.explode("windows").alias("w")).select("id", "th", "w.*").distinct(),
         "windows")
     place = F.struct("id", "th", "start")
     first = windows.groupBy("k1", "k2", "len").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = materialise(first, "first_windows").hint("merge")
     later = windows.join(first, ["k1", "k2", "len"]).where(~place.eqNullSafe(F.col("first")))
     # a document's windows are at most its lines, so this list is bounded by the document
     return later.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "len"))).alias("runs"))
