@@ -11,6 +11,7 @@ maximal repeated runs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -28,8 +29,9 @@ WINDOW = "array<struct<start:int,len:int,k1:long,k2:long>>"
 def selected_windows(hashes: list[int], words: list[int], run_lines: int, run_words: int) -> dict[int, list[tuple[int, int]]]:
     """Selected line -> the windows ``(start, length)`` it stands for.
 
-    A window of ``run_lines`` lines selects its smallest hash (the last of equal ones); a line of
-    ``run_words`` words is a window of its own.
+    A window of ``run_lines`` lines selects its smallest hash (the last of equal ones), and so do two
+    neighbours of less than ``run_words`` words each that hold as many together; a line of ``run_words``
+    words is a window of its own.
     """
     out: dict[int, list[tuple[int, int]]] = {}
     at = -1
@@ -43,6 +45,10 @@ def selected_windows(hashes: list[int], words: list[int], run_lines: int, run_wo
     for i, n in enumerate(words):
         if n >= run_words:
             out.setdefault(i, []).append((i, 1))
+    if run_lines > 2:  # shorter runs cover every two lines as it is
+        for i, (a, b) in enumerate(pairwise(words)):
+            if a + b >= run_words > max(a, b):
+                out.setdefault(i if hashes[i] < hashes[i + 1] else i + 1, []).append((i, 2))
     return out
 
 
@@ -58,8 +64,7 @@ def _positions(docs: DataFrame, run_lines: int, run_words: int) -> DataFrame:
                 for i, text in enumerate(part.column("text").to_pylist()):
                     lines = [x for x in map(bytes.strip, text.encode("utf-8", "surrogatepass").split(b"\n")) if x] if text else []
                     hashes = [xxhash.xxh64_intdigest(x) for x in lines]
-                    # a line of n words has 2 n - 1 bytes at least
-                    words = [len(x.split()) if len(x) >= 2 * run_words - 1 else 0 for x in lines]
+                    words = [len(x.split()) for x in lines]
                     packed = np.array(hashes, ">u8").tobytes()
                     for at, wins in selected_windows(hashes, words, run_lines, run_words).items():
                         rows.append(i)
@@ -107,9 +112,10 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """``id, th`` (hash of the text) and ``runs`` (array of start and length in non-blank lines) of the
     documents that repeat something earlier.
 
-    A run is repeated if it is ``run_lines`` consecutive non-blank lines, or one line of ``run_words``
-    words, that occur before: in a document with a smaller id, or further up in the same one. Lines are
-    compared without white space at their ends. Blank lines are no lines.
+    A run is repeated if it is ``run_lines`` consecutive non-blank lines, one line of ``run_words``
+    words, or two consecutive lines of fewer words each that hold ``run_words`` together, and it occurs
+    before: in a document with a smaller id, or further up in the same one. Lines are compared without
+    white space at their ends. Blank lines are no lines.
     """
     text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))

@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -89,3 +90,42 @@ def test_repeated_row_counts_once_and_a_copy_is_emptied(spark):
     text = "a b\nc d\ne f"
     df = spark.createDataFrame([(1, text), (1, text), (2, text + "\n")], "doc_id long, text string")
     assert sorted(map(tuple, dedup_lines(df).select("doc_id", "lines_removed", "text").collect())) == [(1, 0, text), (1, 0, text), (2, 3, "")]
+
+
+def brute_wrapped(docs, run_lines=3, run_words=50):
+    """[(id, text)] -> {id: lines removed}: as ``brute``, and passages wrapped into two shorter lines."""
+    seen, gone = set(), {}
+    for i, t in sorted(docs):
+        lines = [x for x in map(strip, (t or "").split("\n")) if x]
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
+        gone[i] = set()
+        for p in range(len(lines)):
+            for n in (1, 2, run_lines):
+                part = words[p:p + n]
+                if len(part) == n and (n == run_lines or sum(part) >= run_words and (n == 1 or max(part) < run_words)):
+                    if (key := tuple(lines[p:p + n])) in seen:
+                        gone[i] |= set(range(p, p + n))
+                    seen.add(key)
+    return {i: len(g) for i, g in gone.items()}
+
+
+def test_passage_wrapped_into_two_lines(spark):
+    first, second = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    passage = f"{first}\n\n{second}"
+    docs = [(1, f"x\n{passage}\ny"), (2, passage), (3, f"p\n {second}\n{first}\nq"), (4, f"p\nq\n{first} \n{second}\nr"),
+            (5, f"{first}\nz"), (6, f"{first}\nw\n{second}"), (7, f"few words\nof no weight\n{passage}\n{passage}"), (8, "few words\nof no weight")]
+    got = {r["doc_id"]: (r["lines_removed"], r["text"]) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[1] == (0, docs[0][1]) and got[2] == (2, "") and got[4] == (2, "p\nq\nr")
+    assert all(got[i] == (0, t) for i, t in docs if i in (3, 5, 6, 8))  # other order, one half, halves apart, few words
+    assert {i: n for i, (n, _) in got.items()} == brute_wrapped(docs)
+    # 49 words stay, 50 go
+    short = [(i, " ".join(["a"] * n) + "\n" + " ".join(["b"] * 25)) for i, n in enumerate((24, 24, 25, 25))]
+    got = dedup_lines(spark.createDataFrame(short, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["lines_removed"] for r in got} == {0: 0, 1: 0, 2: 0, 3: 2}
+
+
+def test_wrapped_passages_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute_wrapped([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert all(want[i] == 2 for i in (278, 615, 773, 830, 991))
+    assert {r["doc_id"]: r["lines_removed"] for r in dedup_lines(docs).collect()} == want
