@@ -53,8 +53,8 @@ def mine_rules(labelled: DataFrame, *, min_support: float = 0.002, min_count: in
 
     Each distinct URL is a set of tokens plus its label. FP-growth finds the combinations that hold in
     ``min_support`` of the URLs (and in ``min_count`` at least); those that imply a label with
-    ``min_confidence`` are kept. Open URLs count in the denominator, so a combination that mostly
-    stands on undecided URLs implies nothing. Fitted on a hash sample of about ``max_urls`` URLs.
+    ``min_confidence`` are kept. Rows without a label count in the denominator, as URLs of which it is
+    known that they have none; leave undecided URLs out (``judge`` does). Fitted on a hash sample of about ``max_urls`` URLs.
 
     Returns the inverted index ``token, rule, need`` (tokens of the rule), ``label, confidence, support``.
     """
@@ -106,14 +106,15 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], *, id_col: st
     """``id, host, path, rule, verdict, learned`` of every record.
 
     The longest given rule decides; the URLs it decides are the labels from which association rules
-    are mined, and these judge the URLs that no given rule fits; where none fires, ``default`` holds
+    are mined (support and confidence are shares of these URLs alone: an open URL speaks neither for nor
+    against a rule), and these judge the URLs that no given rule fits; where none fires, ``default`` holds
     (also for null URLs and those without ``://``). ``learned``: a mined rule decided. Repeated rows
     each come back; copies of a URL count once in mining.
     """
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).withColumn("host", url_host(F.col("url"))) \
         .withColumn("path", url_path(F.col("url")))
     src = materialise(src.withColumn("given", given_rule(F.col("host"), F.col("path"), rules)), "urls")
-    index = mine_rules(src.select("url", F.col("given.verdict").alias("label")), **mining)
+    index = mine_rules(src.where(F.col("given").isNotNull()).select("url", F.col("given.verdict").alias("label")), **mining)
     told = src.select("id", "url", "host", "path", F.col("given.rule").alias("rule"), F.col("given.verdict").alias("known"))
     if index is None:
         return told.select("id", "host", "path", "rule", F.coalesce("known", F.lit(default)).alias("verdict"), F.lit(False).alias("learned"))

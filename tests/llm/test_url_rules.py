@@ -73,3 +73,24 @@ def test_mined_rules_and_inverted_index(spark):
 
 def test_nothing_labelled(spark):
     assert url_rules.mine_rules(spark.createDataFrame([("http://a.org/", None)], "url string, label string")) is None
+
+
+def test_open_pages_are_judged_by_rules_of_the_labelled(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    tokens = {r["url"]: r["t"] for r in pages.select("url", url_rules.url_tokens(F.col("url")).alias("t")).distinct().collect()}
+    labelled = [(u, t, plain(u)[3]) for u, t in tokens.items() if plain(u)[3]]
+    n = len(labelled)
+    rules = brute_rules(labelled, max(20, 0.002 * n), 0.9, 20)
+    rules = {(c, v): p for (c, v), p in rules.items() if not any(rules.get((tuple(x for x in c if x != t), v), 0) >= p for t in c)}
+    hits = {(c, v): sum(set(c) <= set(t) and v == label for _, t, label in labelled) for c, v in rules}
+
+    def decided(url):
+        fires = [(-rules[c, v], -hits[c, v], -len(c), " ".join([*c, v]), v) for c, v in rules if set(c) <= set(tokens[url])]
+        return min(fires)[-1] if fires else None
+
+    rows = {r["id"]: r for r in url_rules.judge(pages, URL_RULES).collect()}
+    asked = [p for p in pages.select("page_id", "url").collect() if not plain(p["url"])[3]]
+    want = {p["page_id"]: decided(p["url"]) for p in asked}
+    assert {i: (rows[i]["verdict"], rows[i]["learned"]) for i in want} == {i: (v or "allow", v is not None) for i, v in want.items()}
+    assert sum(v is not None for v in want.values()) == 107 and len(want) == 129
+    assert not any(r["learned"] for i, r in rows.items() if i not in want)
