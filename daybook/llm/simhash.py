@@ -81,7 +81,7 @@ def fingerprints_of(texts: list[str | None], words_per_shingle: int) -> np.ndarr
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int) -> DataFrame:
-    """``(id, fp long)`` of every record."""
+    """``(id, th long, fp long)`` of every record; th is a hash of its text."""
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,11 +89,12 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words_per_shingle:
             step = 256  # texts may be long
             for lo in range(0, b.num_rows, step):
                 part = b.slice(lo, step)
-                fp = fingerprints_of(part.column(1).to_pylist(), words_per_shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["id", "fp"])
+                fp = fingerprints_of(part.column(2).to_pylist(), words_per_shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp)], ["id", "th", "fp"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, fp bigint")
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, th bigint, fp bigint")
 
 
 def segment_counts(fp: np.ndarray) -> np.ndarray:
@@ -222,7 +223,8 @@ def _unit_links(rows: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 4,
                     max_bits: int = 4, block_rows: int = 4096) -> DataFrame:
-    """Fingerprint and group of every record: ``id, fp long, component`` (smallest id reachable).
+    """Fingerprint and group of every record: ``id, th long, fp long, component, root long``: hash of the
+    text, fingerprint, smallest id reachable, and one fingerprint that names the group (ids may repeat).
 
     A-Z are lower-cased; words are runs without white space; a text without words (null, empty) has
     fingerprint zero, which links like any other. Copies share a fingerprint, so links are
@@ -238,16 +240,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     grouped = classes.join(found, classes["fp"] == found["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component"))
-    named = materialise(grouped.join(smallest, "root").select("fp", "component"), "named")
-    return printed.join(named, "fp").select("id", "fp", "component")
+    named = materialise(grouped.join(smallest, "root").select("fp", "component", "root"), "named")
+    return printed.join(named, "fp").select("id", "th", "fp", "component", "root")
 
 
-def keep_one(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each group of ``found`` (``near_duplicates``) the record with the smallest id, with all its
-    columns; of rows that share this id one stays. Records with a null id stay."""
-    kept = found.where("id is not null and id = component").select(F.col("id").alias("__id")).distinct()
+    columns; of a group's rows that share this id one stays. An id that comes with several texts is
+    looked up by id and text, so each text stands for its own group. Records with a null id stay."""
+    kept = found.where("id is not null and id = component").groupBy("root", F.col("id").alias("__id")).agg(F.min("th").alias("__kept"))
     # the list grows with the documents: one sort-merge join at every size, whose order dropDuplicates uses
-    kept = materialise(kept, "kept").hint("merge")
-    named = docs.where(F.col(id_col).isNotNull())
-    left = named.join(kept, named[id_col] == kept["__id"]).drop("__id").dropDuplicates([id_col])
+    kept = materialise(kept.select("__id", "__kept"), "kept").hint("merge")
+    named = docs.where(F.col(id_col).isNotNull()).withColumn("__th", F.xxhash64(F.col(text_col).cast("string")))
+    on = (named[id_col] == kept["__id"]) & (named["__th"] == kept["__kept"])
+    left = named.join(kept, on).drop("__id", "__kept").dropDuplicates([id_col, "__th"])
     return left.select(*docs.columns).union(docs.where(F.col(id_col).isNull()))

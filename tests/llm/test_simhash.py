@@ -103,3 +103,13 @@ def test_components(spark):
     want = {i: 100 for i in range(100, 141)} | {i: 200 for i in range(200, 260)} | {3: 3, 7: 3, 9: 3}
     assert got == want
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_one_id_with_several_texts(spark):
+    words = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcd"}
+    rows = [(1, words["a"]), (5, words["a"]), (5, words["b"]), (6, words["b"]), (5, words["c"]), (5, words["c"]), (5, words["c"].upper()),
+            (7, words["c"]), (8, words["d"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, keep_one(docs, near_duplicates(docs)).collect()))
+    # every group leaves one: a by id 1, b and c by id 5 (c in either case), d by id 8
+    assert sorted((i, t.lower()) for i, t in kept) == [(1, words["a"]), (5, words["b"]), (5, words["c"]), (8, words["d"])]
