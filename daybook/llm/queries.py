@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import cell_dedup, line_dedup, mixing, multi_index, pieces, sharding, simhash, toxicity, url_rules, warc
+from daybook.llm import alignment, cell_dedup, line_dedup, mixing, multi_index, pieces, sharding, simhash, toxicity, url_rules, warc
+from daybook.llm.shared import materialise
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -76,6 +77,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def alignment_digest(docs: DataFrame) -> DataFrame:
+    """Alignment of every document in numbers, with the hash of its groups."""
+    aligned = alignment.align(docs).withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)))
+    scored = alignment.score(materialise(aligned.drop("groups"), "aligned"))
+    return scored.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's byte-level BPE tokens aligned with its SentencePiece tokens."""
+    return alignment_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_multi_index": op2_multi_index,
@@ -87,4 +100,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_cell_dedup": op9_cell_dedup,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
 }
