@@ -87,3 +87,33 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
 FROM latest
 """
+
+ORACLE["op13_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+single AS (SELECT lang, id, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM numbered),
+followed AS (SELECT *, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM single WINDOW o AS (PARTITION BY id ORDER BY i)),
+grams AS (
+  SELECT lang, 1 AS words, w1 AS phrase FROM followed
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM followed WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM followed WHERE w3 IS NOT NULL),
+counted AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE words = 1 GROUP BY lang),
+candidate AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE words >= 2 AND f >= 10),
+inside AS (
+  SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM candidate WHERE words = 3),
+covered AS (SELECT DISTINCT c.lang, c.phrase FROM candidate c JOIN inside t USING (lang, phrase) WHERE 100 * t.a >= 50 * c.a),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM candidate c JOIN range(1, 3) AS t(k) ON k < c.words
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+  ANTI JOIN covered v ON v.lang = c.lang AND v.phrase = c.phrase),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n,
+       score::BIGINT AS score
+FROM best b JOIN total t ON t.lang = b.lang
+QUALIFY rank <= 2000
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import alignment, cell_dedup, line_dedup, mixing, multi_index, pieces, sharding, simhash, toxicity, url_rules, warc
+from daybook.llm import alignment, cell_dedup, line_dedup, mixing, multi_index, phrases, pieces, sharding, simhash, toxicity, url_rules, warc
 from daybook.llm.shared import materialise
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -89,6 +89,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_digest(_table(spark, sf_dir, "documents"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 strongest collocations of two and three words."""
+    return phrases.top_collocations(_table(spark, sf_dir, "documents"), top=2000)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_multi_index": op2_multi_index,
@@ -101,4 +106,5 @@ QUERIES = {
     "op9_cell_dedup": op9_cell_dedup,
     "op10_simhash": op10_simhash,
     "op11_alignment": op11_alignment,
+    "op13_phrases": op13_phrases,
 }
