@@ -6,19 +6,19 @@ the longer. Offsets in both cut the tokens into groups; the differences of the r
 the group's ranges of tokens, and its last two tokens are linked.
 
 A blank that stands alone before a visible character begins a token of either tokenizer, whatever is
-around it. Texts are therefore cut there, each distinct segment is encoded and intersected once by a
-worker, and a text's alignment is that of its segments in order.
+around it, and so does a line feed between visible characters. Texts are therefore cut there, each distinct
+segment is encoded and intersected once by a worker, and a text's alignment is that of its segments in order.
 """
 
 from __future__ import annotations
 
+import os
 import re
-from bisect import bisect_left
 from collections.abc import Iterator, Sequence
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,44 +27,61 @@ from daybook.llm.shared import text_batches
 BYTE_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Where a segment begins: at a blank after anything but a blank and before a visible character.
-CUT = re.compile(r"(?<=[^ ])(?= [^\s])")
-#: A blank elsewhere: the text can't be cut at all its blanks.
-ODD_BLANK = re.compile(r" (?:\s|\Z)")
-KNOWN_SEGMENTS = 200_000  # remembered by a worker
+#: Where a segment begins: at a blank after anything but a blank and before a visible character, at a line
+#: feed between visible characters.
+CUT = re.compile(r"(?<=[^ ])(?= [^\s])|(?<=[^\s])(?=\n[^\s])")
+#: A text whose every blank and line feed is such a place.
+UNEVEN = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
+#: Segments that are encoded alone: with white space or a blank's piece after their beginning.
+ALONE = re.compile(rf"\A |.\s|{MARK}", re.DOTALL)
+KNOWN_SEGMENTS = 200_000  # in each of the two generations that a worker remembers
 KNOWN_LENGTH = 200  # of a remembered segment
 
 
-def gallop(short: Sequence[int], long: Sequence[int]) -> list[tuple[int, int]]:
-    """``(i, j)`` of all ``short[i] == long[j]``; both lists ascend strictly. From the place of the last
-    hit the steps double until they pass the wanted value; the last step is searched by halves."""
-    common, lo, n = [], 0, len(long)
-    for i, value in enumerate(short):
-        step, hi = 1, lo
-        while hi < n and long[hi] < value:
-            lo, hi, step = hi + 1, hi + step, step * 2
-        lo = bisect_left(long, value, lo, min(hi, n))
-        if lo == n:
-            break
-        if long[lo] == value:
-            common.append((i, lo))
-            lo += 1
-    return common
-
-
-def intersect(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """``(i, j)`` of all ``a[i] == b[j]``, driven by the shorter list."""
-    return gallop(a, b) if len(a) <= len(b) else [(i, j) for j, i in gallop(b, a)]
-
-
-class Aligned(NamedTuple):
-    """A segment's alignment. ``groups`` as text, ``links`` as 64-bit integers (A id above B id)."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    links: bytes
+def gallop(short: np.ndarray, long: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each ``short[i]`` the first place in ``long[low[i]:high[i]]`` (ascending) that isn't below it, else
+    ``high[i]``. All advance together: from ``low`` on the steps double until they reach the value, then the last
+    step is searched by halves."""
+    low, high = low.copy(), high.copy()
+    live, step = np.flatnonzero(low < high), 1
+    while len(live):
+        at = np.minimum(low[live] + step, high[live]) - 1
+        below = long[at] < short[live]
+        high[live[~below]] = at[~below]
+        live, at = live[below], at[below]
+        low[live] = at + 1
+        live, step = live[low[live] < high[live]], step * 2
+    live = np.flatnonzero(low < high)
+    while len(live):
+        middle = (low[live] + high[live]) // 2
+        below = long[middle] < short[live]
+        low[live[below]], high[live[~below]] = middle[below] + 1, middle[~below]
+        live = live[low[live] < high[live]]
+    return low
+
+
+def intersect(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b`` of the values common to their lists n, for all n. Both hold their lists one
+    after the other, ascending strictly; of each two the shorter drives the search in the longer."""
+    ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    owner = np.repeat(np.arange(len(a_sizes)), a_sizes), np.repeat(np.arange(len(b_sizes)), b_sizes)
+    sizes, values, found = (a_sizes, b_sizes), (a, b), []
+    for short, drives in ((0, a_sizes <= b_sizes), (1, a_sizes > b_sizes)):
+        long = 1 - short
+        driver = np.flatnonzero(drives[owner[short]])
+        n = owner[short][driver]
+        at = gallop(values[short][driver], values[long], (ends[long] - sizes[long])[n], ends[long][n])
+        hit = np.flatnonzero(at < ends[long][n])
+        hit = hit[values[long][at[hit]] == values[short][driver[hit]]]
+        found.append((driver[hit], at[hit]) if short == 0 else (at[hit], driver[hit]))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(i, kind="stable")
+    return i[order], j[order]
+
+
+#: A segment's numbers of A and B tokens and of groups, the groups as text, the links as 64-bit integers (A id
+#: above B id).
+Aligned = tuple[int, int, int, str, bytes]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -84,13 +101,23 @@ class Aligner:
             self.byte_model = f.read()
         with open(piece_file, "rb") as f:
             self.piece_model = f.read()
-        self.known: dict[str, Aligned | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, Aligned] = {}
+        self.older: dict[str, Aligned] = {}
+        self.unspelled: set[str] = set()  # segments that either tokenizer doesn't spell exactly
         self.a = self.b = None
 
     def __getstate__(self) -> dict:
-        return {"byte_model": self.byte_model, "piece_model": self.piece_model, "known": {}, "a": None, "b": None}
+        return {"byte_model": self.byte_model, "piece_model": self.piece_model}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
 
     def _build(self) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -99,62 +126,96 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=self.piece_model)
         alphabet = byte_alphabet()
         special = {i for i, t in self.a.get_added_tokens_decoder().items() if t.special}
-        self.a_bytes = {i: bytes(alphabet[c] for c in t) for t, i in self.a.get_vocab().items() if i not in special}
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
-                        for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
-        self.a_length = {i: len(t) for i, t in self.a_bytes.items()}
-        self.b_length = [len(t) for t in self.b_bytes]
-        if not all(self.a_length.values()) or not all(self.b_length):
-            raise ValueError("a token without bytes cannot be aligned")
-
-    def align(self, segment: str, ids_a: Sequence[int], ids_b: Sequence[int]) -> Aligned | None:
-        """Alignment of the blank and the segment; None where either's bytes are not theirs."""
-        whole = (" " + segment).encode()
-        if b"".join([self.a_bytes[i] for i in ids_a]) != whole or b"".join([self.b_bytes[i] for i in ids_b]) != whole:
-            return None
-        ends_a, ends_b, end = [], [], 0
-        for i in ids_a:
-            end += self.a_length[i]
-            ends_a.append(end)
-        end = 0
-        for i in ids_b:
-            end += self.b_length[i]
-            ends_b.append(end)
-        groups, links, ra, rb = [], [], 0, 0
-        for i, j in intersect(ends_a, ends_b):
-            groups.append(",".join(map(str, ids_a[ra:i + 1])) + "|" + ",".join(map(str, ids_b[rb:j + 1])))
-            links.append(ids_a[i] << 32 | ids_b[j])
-            ra, rb = i + 1, j + 1
-        return Aligned(len(ids_a), len(ids_b), len(groups), ";".join(groups), np.array(links, np.int64).tobytes())
+        vocabulary = {i: t for t, i in self.a.get_vocab().items() if i not in special}
+        self.a_bytes = [bytes([alphabet[c] for c in vocabulary[i]]) if i in vocabulary else b"" for i in range(max(vocabulary) + 1)]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.a_lengths, self.b_lengths = (np.array([len(t) for t in x]) for x in (self.a_bytes, self.b_bytes))
+        self.a_spelling, self.b_spelling = (pa.array(x, pa.binary()) for x in (self.a_bytes, self.b_bytes))
+        self.a_names, self.b_names = (pa.array([str(i) for i in range(len(x))]) for x in (self.a_bytes, self.b_bytes))
+        normal = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        if any(MARK in p.lstrip(MARK) or "\n" in p for p in normal) or self.b.encode("\n", out_type=str)[:1] != [MARK]:
+            raise ValueError("a piece crosses the places where texts are cut")
+
+    def _learn(self, segments: list[str]) -> None:
+        """Align new segments: those that stand for themselves in one text, the others one by one."""
+        together, alone = [], []
+        for s in segments:
+            (alone if ALONE.search(s) else together).append(s)
+        if together:
+            text = " x" + "".join([s if s[0] == "\n" else " " + s for s in together])
+            a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
+            if not self._align(["x", *together], a, b):
+                alone = segments
+        for s in alone:
+            text = s if s[0] in " \n" else " " + s
+            a = self.a.encode(text, add_special_tokens=False).ids
+            # B adds a blank of its own; before a line feed it is a token, which isn't the segment's
+            b = self.b.encode(text[1:]) if text[0] == " " else self.b.encode(text)[1:]
+            if not self._align([s], a, b):
+                self.unspelled.add(s)
+                self.known[s] = (0, 0, 0, "", b"")
+
+    def _align(self, segments: list[str], ids_a: list[int], ids_b: list[int]) -> bool:
+        """Align the tokens of segments that follow one another; False if either's bytes are not theirs."""
+        whole = "".join([s if s[0] in " \n" else " " + s for s in segments]).encode()
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        for ids, spelling in ((a, self.a_spelling), (b, self.b_spelling)):
+            spelled = spelling.take(pa.array(ids)).buffers()[2]
+            if not spelled or spelled.to_pybytes() != whole:
+                return False
+        sizes = pc.binary_length(pa.array(segments)).to_numpy() + np.array([s[0] not in " \n" for s in segments])
+        borders, a_ends, b_ends = np.cumsum(sizes), np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        cuts = [np.searchsorted(ends, borders) for ends in (a_ends, b_ends)]
+        if any((ends[cut] != borders).any() for ends, cut in zip((a_ends, b_ends), cuts, strict=True)):
+            return False  # a token crosses a border
+        a_sizes, b_sizes = (np.diff(cut, prepend=-1) for cut in cuts)
+        i, j = intersect(a_ends, a_sizes, b_ends, b_sizes)
+        n_groups = np.diff(np.searchsorted(i, np.concatenate([[0], np.cumsum(a_sizes)])))
+        groups = _joined([_joined([names.take(pa.array(ids))], np.diff(at, prepend=-1), ",")
+                          for names, ids, at in ((self.a_names, a, i), (self.b_names, b, j))], n_groups, ";").to_pylist()
+        links = (a[i] << 32 | b[j]).tobytes()
+        ends = (8 * np.cumsum(np.concatenate([[0], n_groups]))).tolist()
+        self.known.update(zip(segments, zip(a_sizes.tolist(), b_sizes.tolist(), n_groups.tolist(), groups,
+                                            [links[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], strict=True), strict=True))
+        return True
 
     def texts(self, texts: list[str | None]) -> list[list[Aligned] | None]:
-        """The aligned segments of each text; None where it has no tokens."""
+        """The aligned segments of each text; None where it has no tokens. A segment is named by what
+        follows its blank, or by all of it where that wouldn't be clear."""
         if self.a is None:
             self._build()
         split = []
         for t in texts:
             if not t:
                 split.append([])
-            elif ODD_BLANK.search(" " + t):
-                split.append([s[1:] for s in CUT.split(" " + t)])
+            elif UNEVEN.search(t):
+                split.append([s[1:] if s[0] == " " and s[1] not in " \n" else s for s in CUT.split(" " + t)])
             else:
-                split.append(t.split(" "))
-        if len(self.known) > KNOWN_SEGMENTS:
-            self.known.clear()
-        known = self.known
-        new = list({s: None for segments in split for s in segments if s not in known})
-        encoded_a = self.a.encode_batch([" " + s for s in new], add_special_tokens=False)
-        encoded_b = self.b.encode(new, num_threads=1)
-        here = {s: self.align(s, a.ids, b) for s, a, b in zip(new, encoded_a, encoded_b, strict=True)}
-        found = known if not here else {**{s: known[s] for segments in split for s in segments if s in known}, **here}
-        known.update((s, x) for s, x in here.items() if len(s) <= KNOWN_LENGTH)
-        out = []
-        for segments in split:
-            parts = [found[s] for s in segments]
-            out.append(None if not parts or None in parts else parts)
+                split.append(t.replace("\n", " \n").split(" "))
+        new = set().union(*split).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((s, self.older[s]) for s in again)
+        if new := sorted(new - again):
+            self._learn(new)
+        known, bad = self.known, self.unspelled
+        out = [[known[s] for s in segments] if segments and bad.isdisjoint(segments) else None for segments in split]
+        for s in [s for s in new if len(s) > KNOWN_LENGTH]:
+            del known[s]
+        if len(known) > KNOWN_SEGMENTS:
+            self.known, self.older = {}, known
+        if len(bad) > KNOWN_SEGMENTS:
+            self._forget()
         return out
 
 
+def _joined(parts: list[pa.Array], sizes: np.ndarray, separator: str) -> pa.Array:
+    """Texts of ``sizes`` consecutive strings each; those are ``parts`` side by side, with a bar between."""
+    strings = parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, "|")
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(ends, strings), separator)
+
+
 SCHEMA = "n_a long, n_b long, n_groups long, n_links long, groups string, links array<struct<a: int, b: int, times: int>>"
 
 
@@ -185,12 +246,12 @@ def align(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", by
 def _records(part: pa.RecordBatch, aligned: list[list[Aligned] | None]) -> pa.RecordBatch:
     n_a, n_b, n_groups, groups, ids, times = [], [], [], [], [], []
     for parts in aligned:
-        parts = parts or []
-        n_a.append(sum([p.n_a for p in parts]))
-        n_b.append(sum([p.n_b for p in parts]))
-        n_groups.append(sum([p.n_groups for p in parts]))
-        groups.append(";".join([p.groups for p in parts]))
-        pairs, count = np.unique(np.frombuffer(b"".join([p.links for p in parts]), np.int64), return_counts=True)
+        a, b, n, text, links = zip(*parts, strict=True) if parts else ((),) * 5
+        n_a.append(sum(a))
+        n_b.append(sum(b))
+        n_groups.append(sum(n))
+        groups.append(";".join(text))
+        pairs, count = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
         ids.append(pairs)
         times.append(count)
     flat, ends = np.concatenate(ids), np.cumsum([0, *map(len, ids)])

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import sentencepiece
 from hypothesis import given
 from hypothesis import strategies as st
@@ -14,15 +15,25 @@ ODD = ["", " ", "  a ", "x\n\ny\t", "日本 \U0001f600 é\x00", "a" * 3000, "﻿
        "<|endoftext|> and <s> </s>", "it's I'll 'tis '", "a  b  c", "tab\t x \t y", "  lead", "trail  ", "a \x1c b", "  em", "x " * 50]
 
 
-@given(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60)))
-def test_gallop(a, b):
-    x, y = sorted(a), sorted(b)
-    assert [(x[i], y[j]) for i, j in alignment.intersect(x, y)] == [(v, v) for v in sorted(a & b)]
+lists = st.lists(st.tuples(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60))), max_size=6)
+
+
+@given(lists)
+def test_intersect(pairs):
+    a, b = ([sorted(p[i]) for p in pairs] for i in (0, 1))
+    flat = [np.array([v for x in side for v in x], np.int64) for side in (a, b)]
+    i, j = alignment.intersect(flat[0], np.array(list(map(len, a)), np.int64), flat[1], np.array(list(map(len, b)), np.int64))
+    want = [(n, v) for n, (x, y) in enumerate(pairs) for v in sorted(x & y)]
+    owner = [n for n, x in enumerate(a) for _ in x], [n for n, x in enumerate(b) for _ in x]
+    assert [(owner[0][k], flat[0][k]) for k in i] == want == [(owner[1][k], flat[1][k]) for k in j]
 
 
 def test_gallop_far():
-    long = list(range(0, 3_000_000, 3))
-    assert alignment.gallop([0, 5, 299_997, 2_999_997, 9_000_000], long) == [(0, 0), (2, 99_999), (3, 999_999)]
+    long = np.arange(0, 3_000_000, 3)
+    short = np.array([0, 5, 299_997, 2_999_997, 9_000_000])
+    every = np.zeros(5, np.int64)
+    assert alignment.gallop(short, long, every, every + len(long)).tolist() == [0, 2, 99_999, 999_999, 1_000_000]
+    assert alignment.gallop(short, long, every + 3, every + 4).tolist() == [3, 3, 4, 4, 4]
 
 
 def brute(texts):
