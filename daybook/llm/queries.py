@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import alignment, cell_dedup, line_dedup, mixing, multi_index, phrases, pieces, sharding, simhash, toxicity, url_rules, warc
+from daybook.llm import alignment, cell_dedup, line_dedup, mixing, multi_index, phrases, pieces, pii, sharding, simhash, toxicity, url_rules, warc
 from daybook.llm.shared import materialise
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -89,6 +89,25 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_digest(_table(spark, sf_dir, "documents"))
 
 
+def pii_digest(found: DataFrame) -> DataFrame:
+    """Counts and hash of the patterns' spans, and all spans as text."""
+    base = F.filter("spans", lambda s: s["base"])
+
+    def text(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("id").alias("doc_id"), *map(of_kind, pii.KINDS), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the patterns' spans and those the network adds."""
+    docs = _table(spark, sf_dir, "documents")
+    return pii_digest(pii.find(docs, pii.fit(docs)))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2,000 strongest collocations of two and three words."""
     return phrases.top_collocations(_table(spark, sf_dir, "documents"), top=2000)
@@ -106,5 +125,6 @@ QUERIES = {
     "op9_cell_dedup": op9_cell_dedup,
     "op10_simhash": op10_simhash,
     "op11_alignment": op11_alignment,
+    "op12_pii": op12_pii,
     "op13_phrases": op13_phrases,
 }
