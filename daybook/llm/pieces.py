@@ -4,7 +4,8 @@ The vocabulary and its scores come from a SentencePiece model file. The text's s
 word marks and what follows up to the next one) are encoded once per distinct segment: segments of equal length
 form one matrix of code points, whose rows advance together from left to right. At every position
 the hashes of all substrings that end there probe the sorted keys of the pieces, and the maximum over
-the starts is stored with its piece as a backpointer.
+the starts is stored with its piece as a backpointer. The few segments of more than ``LONE_LENGTH`` characters have no
+others of their length: they advance one by one, in time proportional to their length.
 
 In a unigram model a path's score is the sum of its pieces' scores. In a BPE model the scores only
 order the merges, so the sum means nothing; there a path scores 0 if merging in that order leads to it and
@@ -34,7 +35,11 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 20
 CELLS_AT_ONCE = 1 << 15
 KNOWN_SEGMENTS = 300_000  # remembered by a worker
+KNOWN_LENGTH = 200  # of a remembered segment
+KNOWN_PAIRS = 1_000_000
 PAIR_BITS = 20
+LONE_LENGTH = 40
+CHARS_AT_ONCE = 4_000_000
 
 
 @dataclass
@@ -115,9 +120,13 @@ class Pieces:
     filter: np.ndarray  # which leading bits the keys have: most substrings are no pieces
     merges: Merges | None  # of a BPE model
     power: np.ndarray  # of the hashes' base
+    texts: list[str]  # of the pieces, by key
+    places: dict[str, int]  # of the texts
     known: dict[str, bytes] = field(default_factory=dict)  # ids of the segments met, as 32-bit integers
     asked: np.ndarray | None = None  # pairs of pieces met, by slot, and whether BPE leaves them apart
     answered: np.ndarray | None = None
+    spelling: pa.Array | None = None  # out_bytes, for gathering
+    parted: dict[int, bool] = field(default_factory=dict)  # the same for lone words
 
     @staticmethod
     def load(path: str = MODEL_FILE) -> Pieces:
@@ -156,13 +165,15 @@ class Pieces:
         if kind not in (1, 2):
             raise ValueError("only unigram and BPE models have scored pieces")
         by_row = list(text)
-        merges = Merges.of([by_row[i] for i in order], scores) if kind == 2 else None
+        by_key = [by_row[i] for i in order]
+        merges = Merges.of(by_key, scores) if kind == 2 else None
         leading = np.zeros(1 << FILTER_BITS, bool)
         leading[key >> np.uint64(64 - FILTER_BITS)] = True
         return Pieces(key[order], ids, scores, codes[order], length[order], float(scores.min()) - UNKNOWN_PENALTY, sp.unk_id(),
                       byte_ids, out, sp.encode("a", out_type=str) == [MARK + "a"], pattern,
                       leading, merges,
-                      np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(length.max()), BASE)]), dtype=np.uint64))
+                      np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(length.max()), BASE)]), dtype=np.uint64),
+                      by_key, {t: i for i, t in enumerate(by_key)})
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
         """The ids of each text (null: null, empty: none)."""
@@ -178,20 +189,78 @@ class Pieces:
         if len(self.known) > KNOWN_SEGMENTS:
             self.known.clear()
         known = self.known
-        self._learn({seg for segs in split for seg in segs if seg not in known})
-        return [b"".join([known[seg] for seg in segs]) for segs in split]
+        new = set().union(*split).difference(known)
+        self._learn(new)
+        out = [b"".join([known[seg] for seg in segs]) for segs in split]
+        for seg in [seg for seg in new if len(seg) > KNOWN_LENGTH]:
+            del known[seg]
+        return out
 
     def _learn(self, segments: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for s in segments:
             by_length.setdefault(len(s), []).append(s)
         for n, words in by_length.items():
+            if n > LONE_LENGTH:
+                self.known.update((w, self._alone(w)) for w in words)
+                continue
             step = max(1, CELLS_AT_ONCE // n)
             for lo in range(0, len(words), step):
                 part = words[lo:lo + step]
                 codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), n)
-                for word, ids in zip(part, self._viterbi(codes.astype(np.int64)), strict=True):
-                    self.known[word] = ids
+                encoded = self._viterbi(codes.astype(np.int64))
+                self.known.update(zip(part, encoded if encoded is not None else map(self._alone, part), strict=True))
+
+    def _alone(self, word: str) -> bytes:
+        """The same of a single word, which nothing advances with; no hashes."""
+        places, longest, n = self.places, self.codes.shape[1], len(word)
+        back, last = list(range(-1, n)), [-1] * (n + 1)
+        if self.merges:
+            known, size = self.parted, len(self.texts)
+            for end in range(1, n + 1):
+                for start in range(max(0, end - longest), end):
+                    piece = places.get(word[start:end], -1)
+                    if piece < 0 or not self.merges.reachable[piece]:
+                        continue
+                    before = last[start]
+                    if before >= 0:
+                        pair = before * size + piece
+                        apart = known.get(pair)
+                        if apart is None:
+                            if len(known) > KNOWN_PAIRS:
+                                known.clear()
+                            apart = known[pair] = self._leaves_apart(before, piece)
+                        if not apart:
+                            continue
+                    back[end], last[end] = start, piece
+                    break
+        else:
+            best = [0.0] * (n + 1)
+            for end in range(1, n + 1):
+                best[end] = best[end - 1] + self.unknown_score
+                for start in range(max(0, end - longest), end):  # of equal sums the longest last piece wins
+                    piece = places.get(word[start:end], -1)
+                    if piece >= 0 and (total := best[start] + self.scores[piece]) > best[end]:
+                        best[end], back[end], last[end] = total, start, piece
+        out, end = [], n
+        while end:
+            out += (int(self.ids[last[end]]),) if last[end] >= 0 else self._unknown(ord(word[end - 1]))[::-1]
+            end = back[end]
+        return np.array(out[::-1], np.int32).tobytes()
+
+    def _leaves_apart(self, a: int, b: int) -> bool:
+        """``_compatible`` of one pair."""
+        rank, limit = self.merges.rank, np.iinfo(np.int64).max
+        while True:
+            joined = self.places.get(self.texts[a] + self.texts[b], -1)
+            if joined >= 0 and rank[joined] < limit:
+                return False
+            if not rank[a] and not rank[b]:
+                return True
+            if rank[a] > rank[b]:
+                limit, a = rank[a], int(self.merges.right[a])
+            else:
+                limit, b = rank[b] + 1, int(self.merges.left[b])
 
     def _probe(self, found: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat places of the hashes that are a piece's of this length, and the pieces."""
@@ -201,7 +270,8 @@ class Pieces:
         hit = (self.keys[at] == flat[maybe]) & (self.lengths[at] == length)
         return maybe[hit], at[hit]
 
-    def _viterbi(self, codes: np.ndarray) -> list[bytes]:
+    def _viterbi(self, codes: np.ndarray) -> list[bytes] | None:
+        """Ids of the words (rows); None if a text shares the hash of another piece on its way."""
         words, n = codes.shape
         longest = min(n, self.codes.shape[1])
         upto = np.concatenate([np.zeros((words, 1), np.uint64), _hashes(codes)], axis=1)
@@ -219,7 +289,7 @@ class Pieces:
             piece = (self.keys[at] == found) & (self.lengths[at] == size)
             text = codes[alive[:, None], np.minimum(start[:, None] + column, n - 1)]
             if (piece[:, None] & (column < size[:, None]) & (text != self.codes[at, :longest])).any():
-                raise ValueError("hash collision between a piece and a text")  # a winning false hit cannot pass
+                return None  # a winning false hit cannot pass
             owners.append(alive)
             ids.append(np.where(piece, self.ids[at], -1))
             chars.append(text[:, 0])
@@ -338,6 +408,16 @@ class Pieces:
         raw = b"".join([self.out_bytes[i] for i in ids])
         return raw[self.dummy_prefix and raw.startswith(b" "):].decode("utf-8", "replace")
 
+    def decode_raw(self, raw: list[bytes]) -> list[bytes]:
+        """The bytes that each text's ids (as ``encode_raw`` gives them) stand for, all gathered at once."""
+        ids = np.frombuffer(b"".join(raw), np.int32)
+        if self.spelling is None:
+            self.spelling = pa.array(self.out_bytes, pa.binary())
+        spelled = self.spelling.take(pa.array(ids))
+        ends = np.frombuffer(spelled.buffers()[1], np.int32)[np.cumsum([0, *map(len, raw)]) // 4].tolist()
+        data = spelled.buffers()[2].to_pybytes() if len(ids) else b""
+        return [data[a + (self.dummy_prefix and data[a:a + 1] == b" " and a < z):z] for a, z in zip(ends[:-1], ends[1:], strict=True)]
+
 
 def _hashes(codes: np.ndarray) -> np.ndarray:
     """Polynomial hashes (modulo 2^64) of every prefix of every row."""
@@ -356,19 +436,22 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     The ids are SentencePiece's own for the model (unigram or BPE), with its dummy prefix and its byte
     pieces for unknown characters. Only a word mark (U+2581) in the text itself is encoded by its bytes,
     so that it decodes to itself and not to a space. Null: null ids and
-    round_trip, empty: no ids. The model is read by the driver and sent to the tasks (its vocabulary only).
+    round_trip, empty: no ids. The model is read by the driver and its vocabulary is broadcast once: a worker keeps it, with the
+    segments that it met, from task to task.
     """
-    vocabulary = Pieces.load(model_file)
+    sent = docs.sparkSession.sparkContext.broadcast(Pieces.load(model_file))  # a vocabulary: bounded
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = sent.value
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
+            chunk = np.cumsum([len(t) if t else 0 for t in b.column("text").to_pylist()]) // CHARS_AT_ONCE
+            starts = np.flatnonzero(np.diff(chunk, prepend=-1)).tolist()
+            for lo, hi in zip(starts, [*starts[1:], b.num_rows], strict=True):
+                part = b.slice(lo, hi - lo)
                 texts = part.column("text").to_pylist()
                 raw = vocabulary.encode_raw(texts)
-                same = [None if t is None else vocabulary.decode(np.frombuffer(r, np.int32).tolist()) == t
-                        for t, r in zip(texts, raw, strict=True)]
+                same = [None if t is None else d == t.encode() for t, d in zip(texts, vocabulary.decode_raw(raw), strict=True)]
                 ends = np.cumsum([0, *map(len, raw)]) // 4
                 tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(raw), np.int32)),
                                                   mask=pa.array([t is None for t in texts]))

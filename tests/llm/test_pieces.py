@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -28,6 +29,38 @@ def test_same_ids_as_the_library(spark, vocabulary):
         assert [vocabulary.decode(i) for i in ids] == batch
 
 
+def test_lone_words(vocabulary, monkeypatch):
+    """Words of their own length go one by one, with the same ids; time is in proportion to their length."""
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_FILE)
+    rng = random.Random(7)
+    base64 = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    start = time.process_time()
+    ids = vocabulary.encode([base64])[0]
+    assert time.process_time() - start < 30
+    assert ids == library.encode(base64) and vocabulary.decode(ids) == base64
+    words = ["a" * 100_001, "ab-" * 9_999, base64[:5_000], "日本" * 500 + "\ud7ff" + "é" * 99, "▁x" * 300, "the" * 400]
+    assert [vocabulary.decode(i) for i in vocabulary.encode(words)] == words
+    assert vocabulary.encode(words[:4]) == library.encode(words[:4])
+    assert not any(len(w) > pieces.KNOWN_LENGTH for w in vocabulary.known)
+    monkeypatch.setattr(pieces, "LONE_LENGTH", 0)
+    fresh = pieces.Pieces(**{**vocabulary.__dict__, "known": {}})
+    assert fresh.encode(texts()) == library.encode(texts())
+
+
+def test_lone_words_of_a_unigram_model(vocabulary, monkeypatch):
+    v = pieces.Pieces(**{**vocabulary.__dict__, "merges": None, "known": {}})
+    words = [pieces.MARK + "".join(random.Random(n).choices("thenadior日", k=n % 30 + 1)) for n in range(300)]
+    v._learn(set(words))
+    assert all(v._alone(w) == v.known[w] for w in words)
+
+
+def test_hash_collision_goes_the_other_way(vocabulary):
+    codes = vocabulary.codes.copy()
+    codes[:, 0] += 1  # every piece on a way looks like another text of the same hash
+    v = pieces.Pieces(**{**vocabulary.__dict__, "codes": codes, "known": {}})
+    assert v.encode(["the end"]) == vocabulary.encode(["the end"])
+
+
 def brute_unigram(v, word):
     """Best sum of scores over all segmentations."""
     score = {"".join(map(chr, c[:n])): s for c, n, s in zip(v.codes, v.lengths, v.scores, strict=True)}
