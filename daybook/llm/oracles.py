@@ -5,7 +5,7 @@ ORACLE = {}
 ORACLE["op3_mixing"] = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('29:' || coalesce(doc_id::VARCHAR, '')) AS ord
+         md5('29:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS ord
   FROM documents),
 src AS (
   SELECT source, sum(size)::BIGINT AS s, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
@@ -24,7 +24,7 @@ walk AS (
          sum(z.size) OVER (PARTITION BY z.source ORDER BY z.ord, z.doc_id, z.size ROWS UNBOUNDED PRECEDING) AS upto
   FROM sized z JOIN parts p ON z.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, s AS source_size, coalesce(t, 0.0) AS target,
-       ((whole + CASE WHEN upto - size / 2.0 <= missing THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+       ((whole + CASE WHEN upto - size / 2.0 <= missing THEN 1 ELSE 0 END) * size)::BIGINT AS taken  -- size 0 takes nothing
 FROM walk
 """
 
@@ -53,15 +53,19 @@ WITH split AS (
 stripped AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS s FROM split),
 numbered AS (
   SELECT *, CASE WHEN s <> '' THEN row_number() OVER (PARTITION BY doc_id, s <> '' ORDER BY n) END AS pos FROM stripped),
+counted AS (SELECT doc_id, pos, s, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS n FROM numbered WHERE s <> ''),
 seq AS (
-  SELECT doc_id, pos, s, lead(s, 1) OVER w AS s1, lead(s, 2) OVER w AS s2 FROM numbered WHERE s <> ''
+  SELECT *, lead(s, 1) OVER w AS s1, lead(n, 1) OVER w AS n1, lead(s, 2) OVER w AS s2 FROM counted
   WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 three AS (SELECT doc_id, pos, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY s, s1, s2) AS first FROM seq WHERE s2 IS NOT NULL),
-one AS (SELECT doc_id, pos, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY s) AS first FROM seq
-        WHERE len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) >= 50),
+two AS (SELECT doc_id, pos, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY s, s1) AS first FROM seq
+        WHERE n < 50 AND n1 < 50 AND n + n1 >= 50),   -- a passage wrapped into two lines
+one AS (SELECT doc_id, pos, min({'d': doc_id, 'p': pos}) OVER (PARTITION BY s) AS first FROM seq WHERE n >= 50),
 gone AS (
   SELECT doc_id, pos + unnest([0, 1, 2]) AS pos FROM three WHERE first <> {'d': doc_id, 'p': pos}
   UNION
+  SELECT doc_id, pos + unnest([0, 1]) AS pos FROM two WHERE first <> {'d': doc_id, 'p': pos}
+  UNION
   SELECT doc_id, pos FROM one WHERE first <> {'d': doc_id, 'p': pos}),
 kept AS (
   SELECT n.doc_id, count(g.pos) AS removed, string_agg(n.line, chr(10) ORDER BY n.n) FILTER (g.pos IS NULL) AS text,

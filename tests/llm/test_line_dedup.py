@@ -17,8 +17,10 @@ def brute(docs, run_lines, run_words):
     gone = {i: set() for i, _ in docs}
     for i, lines in split.items():
         for p in range(len(lines)):
-            for n in {run_lines} | ({1} if len(lines[p].split()) >= run_words else set()):
-                if p + n <= len(lines):
+            for n in {run_lines, 1, 2}:
+                words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines[p:p + n]]
+                heavy = n == 1 and words[0] >= run_words or n == 2 < run_lines and max(words) < run_words <= sum(words)
+                if p + n <= len(lines) and (n == run_lines or heavy):
                     key = (n, *lines[p:p + n])
                     if key in seen:
                         gone[i] |= set(range(p, p + n))
@@ -57,7 +59,7 @@ def test_every_window_has_its_smallest_hash():
 
 def test_random_documents(spark):
     random.seed(2)
-    lines = [f"line {i}" for i in range(12)] + ["", "  ", " ".join(["long"] * 55), "line 3 "]
+    lines = [f"line {i}" for i in range(12)] + ["", "  ", " ".join(["long"] * 55), "line 3 ", *(" ".join([w] * 27) for w in ("half", "wrapped", "line"))]
     docs = [(i, "\n".join(random.choice(lines) for _ in range(random.randint(0, 15)))) for i in range(80)]
     got = check(spark, docs)
     assert sum(n for n, _ in got.values()) > 100
@@ -92,23 +94,6 @@ def test_repeated_row_counts_once_and_a_copy_is_emptied(spark):
     assert sorted(map(tuple, dedup_lines(df).select("doc_id", "lines_removed", "text").collect())) == [(1, 0, text), (1, 0, text), (2, 3, "")]
 
 
-def brute_wrapped(docs, run_lines=3, run_words=50):
-    """[(id, text)] -> {id: lines removed}: as ``brute``, and passages wrapped into two shorter lines."""
-    seen, gone = set(), {}
-    for i, t in sorted(docs):
-        lines = [x for x in map(strip, (t or "").split("\n")) if x]
-        words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
-        gone[i] = set()
-        for p in range(len(lines)):
-            for n in (1, 2, run_lines):
-                part = words[p:p + n]
-                if len(part) == n and (n == run_lines or sum(part) >= run_words and (n == 1 or max(part) < run_words)):
-                    if (key := tuple(lines[p:p + n])) in seen:
-                        gone[i] |= set(range(p, p + n))
-                    seen.add(key)
-    return {i: len(g) for i, g in gone.items()}
-
-
 def test_passage_wrapped_into_two_lines(spark):
     first, second = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
     passage = f"{first}\n\n{second}"
@@ -117,7 +102,7 @@ def test_passage_wrapped_into_two_lines(spark):
     got = {r["doc_id"]: (r["lines_removed"], r["text"]) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got[1] == (0, docs[0][1]) and got[2] == (2, "") and got[4] == (2, "p\nq\nr")
     assert all(got[i] == (0, t) for i, t in docs if i in (3, 5, 6, 8))  # other order, one half, halves apart, few words
-    assert {i: n for i, (n, _) in got.items()} == brute_wrapped(docs)
+    assert got == brute(docs, 3, 50)
     # 49 words stay, 50 go
     short = [(i, " ".join(["a"] * n) + "\n" + " ".join(["b"] * 25)) for i, n in enumerate((24, 24, 25, 25))]
     got = dedup_lines(spark.createDataFrame(short, "doc_id long, text string")).collect()
@@ -126,6 +111,6 @@ def test_passage_wrapped_into_two_lines(spark):
 
 def test_wrapped_passages_of_the_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    want = brute_wrapped([(r["doc_id"], r["text"]) for r in docs.collect()])
-    assert all(want[i] == 2 for i in (278, 615, 773, 830, 991))
-    assert {r["doc_id"]: r["lines_removed"] for r in dedup_lines(docs).collect()} == want
+    want = brute(sorted((r["doc_id"], r["text"]) for r in docs.collect()), 3, 50)
+    assert all(want[i][0] == 2 for i in (278, 615, 773, 830, 991))
+    assert {r["doc_id"]: (r["lines_removed"], r["text"]) for r in dedup_lines(docs).collect()} == want

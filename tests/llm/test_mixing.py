@@ -75,3 +75,25 @@ def test_mixed_documents(spark):
     assert out.columns == docs.columns
     got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert got == {r["id"]: r["reps"] for r in m.collect() if r["reps"]}
+
+
+def test_empty_texts_are_never_repeated(spark):
+    docs = spark.createDataFrame([(1, "", "a"), (2, None, "a"), (3, "x y", "a"), (4, "w " * 900, "b")], "doc_id long, text string, source string")
+    reps = {r["id"]: r["reps"] for r in mix(docs).collect()}
+    assert reps[1] == reps[2] == 0 and max(reps.values()) <= 3
+    out = [r["doc_id"] for r in mixed_documents(docs, mix(docs)).collect()]
+    assert {i: out.count(i) for i in reps} == reps
+
+
+def test_repeated_ids_take_what_the_mix_says(spark):
+    rows = [(i % 3 if i % 7 else None, f"text {i % 40} " * (1 + i % 9), "s" if i % 5 else None) for i in range(400)] + [(1, "one more", "s")] * 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("note", F.lit("kept"))
+    mixture = mix(docs)
+    got, want = {}, {}
+    for r in mixture.collect():
+        want[r["source"]] = want.get(r["source"], 0) + r["taken"]
+    out = mixed_documents(docs, mixture)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        got[r["source"]] = got.get(r["source"], 0) + len(r["text"].split())
+    assert got == want
