@@ -27,6 +27,7 @@ from daybook.llm.shared import materialise, scratch_path, text_batches
 
 CAPTURED_AT = "1970-01-01T00:00:00Z"  # the tables name no time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+READ_BYTES = 128 << 20  # of records for each reading task
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 
@@ -229,7 +230,10 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
         if file is not None:
             file.close()
 
-    by_place = places.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    # as many tasks as the bytes read ask for, each a range of places: a large file is read by several
+    total = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(places.sparkSession.sparkContext.defaultParallelism, -(-total // READ_BYTES))
+    by_place = places.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return by_place.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
