@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,13 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-_SCOPES: list[list[str]] = []
+#: Scratch tables of the open scopes; each thread has its own.
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     root = f"{shared_folder(spark)}/daybook-llm-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(root)
+    if scopes := _SCOPES.get():
+        scopes[-1].append(root)
     return f"{root}/{name}"
 
 
@@ -43,13 +45,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove the scratch tables made inside once the block is left: put the write of the result in the
     block, as its plan reads them. Without a scope they stay in the shared folder (``daybook-llm-*``)."""
-    _SCOPES.append([])
+    made: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), made))
     try:
         yield
     finally:
-        for root in _SCOPES.pop():
-            path = spark._jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _SCOPES.reset(token)
+        for root in made:
+            remove(spark, root)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -99,10 +107,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         state = tuple(found)
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # a join straight on an aggregate cannot be split by AQE where one node has many of the links
+        low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large_low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialise(large.where("u <> v"), "large_star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "small_low")
         small = large.join(low, "u").select(F.col("v").alias("a"), "m").union(low.select(F.col("u").alias("a"), "m"))
         cur = materialise(small.where("a <> m").select(F.col("a").alias("u"), F.col("m").alias("v")).distinct(), "small_star")
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
