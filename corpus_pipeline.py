@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import line_dedup, mixing, pieces, simhash, toxicity
-from daybook.llm.shared import scratch_path, scratch_scope
+from daybook.llm.shared import remove, scratch_path, scratch_scope
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,11 +61,14 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of the last, read back. What a stage wrote for itself is
-    removed once its result is written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    removed once its result is written, and so is the result before it: two copies of the corpus at most."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         with scratch_scope(spark):
             stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
