@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.shared import text_batches
+from daybook.llm.shared import materialise, text_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -494,21 +494,17 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_
     chance = min(1.0, sample / max(1, src.count()))
     drawn = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53)) < chance
     found = src.where(drawn).select("text").mapInArrow(_labelled_windows, "window string, spans string").groupBy("window").agg(F.min("spans").alias("spans"))
-    order = F.row_number().over(_by_hash(seed))
+    found = materialise(found, "windows")
+    order = [F.xxhash64(F.lit(seed), "window"), F.col("window")]
+    drawn = [r for some in (F.col("spans") != "", F.col("spans") == "") for r in found.where(some).orderBy(*order).limit(max_windows).collect()]
     windows = [(r["window"], [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)])
-               for r in found.withColumn("n", order).where(F.col("n") <= max_windows).select("window", "spans").orderBy("window").collect()]
+               for r in sorted(drawn, key=lambda r: r["window"])]
     if not windows:
         return Model()
     chars, tags = examples(windows, copies, seed)
     return Model(train(chars, tags, steps=steps, seed=seed))
 
 
-def _by_hash(seed: int):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.col("spans") == "").orderBy(F.xxhash64(F.lit(seed), "window"), "window")
-
-
 SCHEMA = "spans array<struct<kind: string, start: int, end: int, base: boolean>>"
 
 
