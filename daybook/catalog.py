@@ -525,12 +525,12 @@ def _prev_day(day: str) -> str:
     return (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
 
 
-def _merged(spark, name, target, source, keys, partition, update_when=None, by=None, of_keys=False):
+def _merged(spark, name, target, source, keys, partition, update_when=None, by=None, of_keys=False, zone=None):
     """``target`` written as a partitioned table, ``source`` merged into it, and the table read back."""
     from daybook.sinks.tables import PartitionedTable
 
-    table = PartitionedTable(spark, _scratch(spark, name), target.schema, partition, by, of_keys)
-    table.replace(target)
+    table = PartitionedTable(spark, _scratch(spark, name), target.schema, partition, by, of_keys, zone=zone)
+    table.replace(target, keys)
     table.merge(_written(spark, f"{name}_source", source), keys, update_when, check_unique=True)
     return table.read()
 
@@ -547,7 +547,7 @@ def upsert_events(spark, sf):
                             "processing_date": F.lit(LAST_RATING_DAY),
                             "processing_ts": ratings.batch_ts(F.lit(LAST_RATING_DAY))}))
     source = rfml.filter(day == LAST_RATING_DAY).unionByName(resent)
-    return _merged(spark, "events", rfml.filter(day < LAST_RATING_DAY), source, list(ratings.RATING_KEYS), "processing_date")
+    return _merged(spark, "events", rfml.filter(day < LAST_RATING_DAY), source, list(ratings.RATING_KEYS), "processing_date", zone=["ratingTimestamp"])
 
 
 @query
@@ -615,7 +615,7 @@ def incremental_fact_merge(spark, sf):
     before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < LAST_ORDER_BATCH)),
                                    staging.stg_orders(o.filter(day < LAST_ORDER_BATCH)))
     fresh = star.fact_order_items_slice(d, o, LAST_ORDER_BATCH)
-    return _merged(spark, "fact", before, fresh, ["order_item_id"], "order_month", by=F.date_format("order_date", "yyyy-MM"))
+    return _merged(spark, "fact", before, fresh, ["order_item_id"], "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"])
 
 
 @query

@@ -108,8 +108,8 @@ def write_curated(spark: SparkSession, lake: Lake, table: str, df: DataFrame, da
 
 
 def ratings_for_ml_table(spark: SparkSession, lake: Lake) -> PartitionedTable:
-    """Rating events, partitioned by day."""
-    return PartitionedTable(spark, lake.lakehouse("ratings_for_ml"), RATINGS_FOR_ML_SCHEMA, "processing_date")
+    """Rating events, partitioned by day; a key's rating time tells which days can hold it."""
+    return PartitionedTable(spark, lake.lakehouse("ratings_for_ml"), RATINGS_FOR_ML_SCHEMA, "processing_date", zone=["ratingTimestamp"])
 
 
 def ratings_state_table(spark: SparkSession, lake: Lake, buckets: int = 256) -> PartitionedTable:
@@ -119,11 +119,12 @@ def ratings_state_table(spark: SparkSession, lake: Lake, buckets: int = 256) ->
 
 
 def model_table(spark: SparkSession, lake: Lake, name: str, schema: StructType, key: str) -> PartitionedTable:
-    """Facts by month of the order or rating, dimensions by a hash bucket of their key."""
+    """Facts by month of the order or rating, dimensions by a hash bucket of their key. An order line's key
+    holds its order number, a rating's key its time (and so its month)."""
     if name == "fact_order_items":
-        return PartitionedTable(spark, lake.models(name), schema, "order_month", by=F.date_format("order_date", "yyyy-MM"))
+        return PartitionedTable(spark, lake.models(name), schema, "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"])
     if name == "fact_product_ratings":
-        return PartitionedTable(spark, lake.models(name), schema, "rating_month", by=F.date_format("rating_timestamp", "yyyy-MM"))
+        return PartitionedTable(spark, lake.models(name), schema, "rating_month", by=F.date_format("rating_timestamp", "yyyy-MM"), of_keys=True)
     return PartitionedTable(spark, lake.models(name), schema, "bucket", by=F.pmod(F.xxhash64(key), F.lit(64)), of_keys=True)
 
 
@@ -291,7 +292,7 @@ def build_star(spark: SparkSession, ctx: RunContext, lake: Lake, full_refresh: b
         whole = full(name).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now())
         table = model_table(spark, lake, name, whole.schema, key)
         if full_refresh or not table.exists():
-            table.replace(whole)
+            table.replace(whole, [key])
         else:
             # slices are unique on the model key by construction: no duplicate-source check
             obs = Observation(f"merged_{name}")

@@ -6,6 +6,9 @@ whole partitions, so a retried task or a rerun of the stage yields the same file
 
 from __future__ import annotations
 
+import hashlib
+import re
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -111,83 +114,284 @@ def schema_clone(df: DataFrame) -> DataFrame:
 
 
 class PartitionedTable:
-    """A mutable table of plain Parquet files, partitioned by one column.
+    """A mutable catalog table of plain Parquet files, partitioned by one column.
 
-    ``merge`` reads and rewrites only the partitions it touches, through Spark's dynamic partition
-    overwrite: the new files are written aside and moved in when the job commits, so a failed or
-    retried task never leaves a half-written partition. One writer at a time (the single active run).
+    A write goes to a folder of its own, ``version=<time>-<id>``; when its job has committed (``_SUCCESS``)
+    the catalog is told, partition by partition, to read it (``ALTER TABLE ... SET LOCATION``), and the
+    folders that nothing reads any more are removed. Until then every stored row stays where it was: a run
+    that dies while it writes changes nothing, and one that dies after its job committed is finished by the
+    next ``merge`` or ``replace``, which first switches what is still to be switched. A catalog that
+    does not know the table (the in-memory one of a new session) is told the newest committed version of each
+    partition. One writer at a time (the single active run).
 
     The partition column is one of the table's columns or, with ``by``, an expression over them that
     only the files' layout shows (a month, a bucket of the key). ``of_keys`` says that its value
     depends on the merge keys only, so that an updated row cannot change partition.
+
+    ``zone``: columns whose values the merge keys determine (the keys themselves, if none is named). Next to a
+    version lies a summary of its partitions: the least and largest of these, and Bloom bitmaps of the keys. A
+    merge asks it which partitions can hold a key of the source and looks for the keys in those alone.
     """
 
+    BITS, HASHES, BITMAP = 16, 4, 32_768  # bits for each key, positions of a key, bits of one bitmap
+
     def __init__(self, spark: SparkSession, path: str, schema: StructType, partition: str, by: Column | None = None,
-                 of_keys: bool = False):
+                 of_keys: bool = False, name: str | None = None, zone: list[str] | None = None):
         self.spark, self.path, self.partition, self.by, self.of_keys = spark, path.rstrip("/"), partition, by, of_keys
+        self.name = name or f"daybook_{hashlib.md5(self.path.encode()).hexdigest()[:16]}"
+        self.zone = zone
         self.columns = [f.name for f in schema.fields]
         part = [] if by is None else [StructField(partition, StringType())]
         self.schema = StructType([StructField(f.name, f.dataType) for f in schema.fields] + part)
+        self.searched: dict[str, int] = {}  # of the last merge: partitions, those that may hold a key, keys read
+
+    # --- the catalog ---
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+        return self.spark.catalog.tableExists(self.name) or path_exists(self.spark, self.path)
+
+    def _open(self) -> None:
+        """The catalog knows the table, its columns and the newest committed version of its partitions."""
+        if not self.spark.catalog.tableExists(self.name):
+            data = [f for f in self.schema.fields if f.name != self.partition]
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*data, self.schema[self.partition]])
+            if "." in self.name:
+                self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.name.split('.')[0]}")
+            self.spark.sql(f"CREATE TABLE {self.name} ({cols}) USING parquet PARTITIONED BY (`{self.partition}`) LOCATION {_literal(self.path)}")
+        known = set(self.spark.table(self.name).columns)
+        new = [f for f in self.schema.fields if f.name not in known]
+        if new:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        self._switch(self._committed())
+
+    def _folders(self, path: str) -> list[str]:
+        fs, root = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()] if fs.exists(root) else []
+
+    def _fs(self, path: str):
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root
+
+    def _committed(self) -> dict[str, str]:
+        """Partition folder name -> where its newest committed version lies. A table has few versions at a time:
+        those that its partitions use."""
+        mark, here = f"{self.partition}=", self._folders(self.path)
+        found = {f: f"{self.path}/{f}" for f in here if f.startswith(mark)}  # files that were there before
+        for version in sorted(f for f in here if f.startswith("version=")):
+            if path_exists(self.spark, f"{self.path}/{version}/_SUCCESS"):
+                found.update({f: f"{self.path}/{version}/{f}" for f in self._folders(f"{self.path}/{version}") if f.startswith(mark)})
+        return found
+
+    def _current(self) -> dict[str, str]:
+        """Partition folder name -> the folder that the catalog reads."""
+        state = self.spark._jsparkSession.sessionState()
+        listed = state.catalog().listPartitions(state.sqlParser().parseTableIdentifier(self.name), self.spark._jvm.scala.Option.empty())
+        jvm = self.spark._jvm
+        path_of, named = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        out, each = {}, listed.iterator()
+        while each.hasNext():
+            p = each.next()
+            out[named(self.partition, p.spec().apply(self.partition))] = path_of(p.location()).toString()
+        return out
+
+    def _spec(self, folder: str) -> str:
+        value = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(folder.split("=", 1)[1])
+        return f"`{self.partition}` = {'null' if value == '__HIVE_DEFAULT_PARTITION__' else _literal(value)}"
+
+    def _switch(self, places: dict[str, str]) -> None:
+        """Make the catalog read the partitions at these places; those it reads elsewhere stay readable until
+        they are switched."""
+        current = self._current()
+        for folder in [f for f in places if f in current and _place(current[f]) != _place(places[f])]:
+            self.spark.sql(f"ALTER TABLE {self.name} PARTITION ({self._spec(folder)}) SET LOCATION {_literal(places[folder])}")
+        new = [f for f in places if f not in current]
+        for lo in range(0, len(new), 100):
+            added = " ".join(f"PARTITION ({self._spec(f)}) LOCATION {_literal(places[f])}" for f in new[lo:lo + 100])
+            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {added}")
+
+    def _forget(self, folders: set[str]) -> None:
+        """Partitions without rows leave the catalog."""
+        gone = sorted(folders & set(self._current()))
+        for lo in range(0, len(gone), 100):
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {', '.join(f'PARTITION ({self._spec(f)})' for f in gone[lo:lo + 100])}")
+
+    def vacuum(self) -> None:
+        """Remove the folders that no partition reads: of replaced versions and of runs that died."""
+        used = {_place(p) for p in self._current().values()}
+        for folder in self._folders(self.path):
+            place = f"{self.path}/{folder}"
+            if folder.startswith("version="):
+                inside = [f for f in self._folders(place) if f.startswith(f"{self.partition}=")]
+                stale = [f for f in inside if _place(f"{place}/{f}") not in used]
+                doomed = [place] if len(stale) == len(inside) else [f"{place}/{f}" for f in stale]
+            else:
+                doomed = [place] if folder.startswith(f"{self.partition}=") and _place(place) not in used else []
+            for d in doomed:
+                fs, root = self._fs(d)
+                fs.delete(root, True)
+
+    # --- reading and writing ---
 
     def _stored(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.table(self.name)
 
     def read(self) -> DataFrame | None:
-        return self._stored().select(*self.columns) if self.exists() else None
+        if not self.exists():
+            return None
+        if not self.spark.catalog.tableExists(self.name):
+            self._open()
+        return self._stored().select(*self.columns)
 
     def _placed(self, df: DataFrame) -> DataFrame:
         df = df.select(*self.columns)
         return df if self.by is None else df.withColumn(self.partition, self.by.cast("string"))
 
-    def _write(self, df: DataFrame, mode: str) -> None:
+    def _write(self, df: DataFrame, keys: list[str] | None) -> dict[str, str]:
+        """Write the partitions of ``df`` to a new version; where they are."""
+        version = f"{self.path}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         # the rebalance hint gathers a partition's rows (few files), and AQE splits a large one
-        (df.hint("rebalance", self.partition).write.mode("overwrite").option("partitionOverwriteMode", mode)
-         .partitionBy(self.partition).parquet(self.path))
-
-    def replace(self, df: DataFrame) -> None:
-        """Full refresh (``df`` must not read this table)."""
-        self._write(self._placed(df), "static")
+        df.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(version)
+        if keys:
+            self._summarise(version, keys)
+        return {f: f"{version}/{f}" for f in self._folders(version) if f.startswith(f"{self.partition}=")}
+
+    def replace(self, df: DataFrame, keys: list[str] | None = None) -> None:
+        """Full refresh; ``keys``: of later merges, to summarise them now."""
+        self._open()
+        places = self._write(self._placed(df), None if self.of_keys else keys)
+        self._switch(places)
+        self._forget(set(self._current()) - set(places))
+        self.vacuum()
 
     def merge(self, source: DataFrame, keys: list[str], update_when=None, check_unique: bool = True) -> list:
         """MERGE ``source``; returns the partition values that were rewritten.
 
         ``source`` is read several times: give a written or persisted frame. Touched partitions are
-        the source's and those that hold a row whose key occurs in the source (found by a scan of the
-        keys alone). Their distinct values reach the driver: a table has as many as its layout has
-        folders, never as many as rows.
+        the source's and those that hold a row whose key occurs in the source (looked for in the partitions that
+        may hold one, by their keys alone). Their distinct values reach the driver: a table has as many as its
+        layout has folders, never as many as rows.
         """
         from daybook.operators.upsert import upsert
 
-        if not self.exists():
-            self.replace(self.spark.createDataFrame([], StructType(self.schema.fields[:len(self.columns)])))
-        source, stored, p = self._placed(source), self._stored(), self.partition
+        self._open()
+        self.vacuum()  # what a run that died left behind
+        source, stored, p = self._placed(source), self._stored().select(*self.schema.names), self.partition
         touched = source.select(p)
-        if not self.of_keys:
-            touched = touched.union(stored.join(source.select(*keys).distinct(), list(keys), "left_semi").select(p))
+        likely = [] if self.of_keys else self._may_hold(source, keys)
+        obs = Observation(f"keys_{uuid.uuid4().hex[:8]}")
+        if likely:
+            asked = stored.filter(self._inside(likely)).select(p, *[k for k in keys if k != p]).observe(obs, F.count(F.lit(1)).alias("n"))
+            touched = touched.union(asked.join(source.select(*keys).distinct(), list(keys), "left_semi").select(p))
         values = [r[0] for r in touched.distinct().collect()]
+        self.searched["keys"] = int(obs.get["n"]) if likely else 0
         if not values:
             return []
-        inside = F.col(p).isin([v for v in values if v is not None])
-        if None in values:
-            inside = F.coalesce(inside, F.lit(False)) | F.col(p).isNull()
-        obs = Observation(f"partitions_{uuid.uuid4().hex[:8]}")
-        merged = upsert(stored.filter(inside), source, keys, update_when, check_unique)
-        self._write(merged.observe(obs, F.collect_set(F.coalesce(F.col(p).cast("string"), F.lit("\0"))).alias("kept")), "dynamic")
-        emptied = {"\0" if v is None else str(v) for v in values} - set(obs.get["kept"])
-        if emptied:  # every row of the partition has moved to another one
-            self._drop(emptied)
+        merged = upsert(stored.filter(self._inside(values)), source, keys, update_when, check_unique)
+        places = self._write(merged, None if self.of_keys else keys)
+        self._switch(places)
+        utils = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        rewritten = {utils.getPartitionPathString(p, None if v is None else str(v)) for v in values}
+        self._forget(rewritten - set(places))  # every row of the partition has moved to another one
+        self.vacuum()
         return values
 
-    def _drop(self, values: set[str]) -> None:
-        """Remove the folders of partitions without rows; Spark knows how a value is spelled in a path."""
-        jvm = self.spark._jvm
+    def _inside(self, values: list) -> Column:
+        inside = F.col(self.partition).isin([v for v in values if v is not None])
+        return F.coalesce(inside, F.lit(False)) | F.col(self.partition).isNull() if None in values else inside
+
+    # --- which partitions can hold a key ---
+
+    def _positions(self, keys: list[str], bits: Column) -> Column:
+        return F.array(*[F.pmod(F.xxhash64(F.lit(n), *keys), bits) for n in range(self.HASHES)])
+
+    def _summarise(self, version: str, keys: list[str]) -> None:
+        """Per partition of a version: its number of rows with all keys, the range of the zone columns and, in
+        ``BITMAP`` bits each, a Bloom filter of the keys of ``BITS`` bits a key."""
+        p, zone = self.partition, self.zone or keys
+        rows = self.spark.read.schema(self.schema).parquet(version).dropna(subset=list(keys))
+        ranges = [F.struct(F.min(z).alias("low"), F.max(z).alias("high")).alias(f"zone_{n}") for n, z in enumerate(zone)]
+        size = F.count(F.lit(1)) * self.BITS / self.BITMAP
+        parts = replace_table(rows.groupBy(p).agg(F.ceil(size).cast("long").alias("bitmaps"), *ranges), f"{version}/_zones")
+        bits = F.col("bitmaps") * F.lit(self.BITMAP)
+        # one row for each partition: as many as the layout has folders
+        at = rows.select(p, *keys).join(F.broadcast(parts.select(F.col(p).alias("_p"), "bitmaps")), F.col(p).eqNullSafe(F.col("_p")))
+        at = at.select(p, "bitmaps", F.explode(self._positions(keys, bits)).alias("at"))
+        at.groupBy(p, "bitmaps", F.expr(f"at div {self.BITMAP}").alias("bitmap")).agg(
+            F.bitmap_construct_agg(F.col("at") % self.BITMAP).alias("bits")).write.parquet(f"{version}/_blooms")
+
+    def _may_hold(self, source: DataFrame, keys: list[str]) -> list:
+        """Partitions that can hold a key of the source: all those without a summary, and those whose ranges and
+        Bloom filter do not rule every key out."""
+        p, zone, jvm = self.partition, self.zone or keys, self.spark._jvm
+        versions: dict[str, list[str]] = {}
+        unknown, n = [], 0
+        for folder, place in self._current().items():
+            root = place.rstrip("/").rsplit("/", 1)[0]
+            n += 1
+            if path_exists(self.spark, f"{root}/_blooms/_SUCCESS"):
+                versions.setdefault(root, []).append(folder)
+            else:
+                unknown.append(folder)
         utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        for v in values:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{utils.getPartitionPathString(self.partition, None if v == chr(0) else v)}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+        def value(folder: str):
+            v = utils.unescapePathName(folder.split("=", 1)[1])
+            return None if v == "__HIVE_DEFAULT_PARTITION__" else v
+
+        def of(name: str) -> DataFrame:
+            """The summaries of the partitions that are read, each from its own version."""
+            found = None
+            for root, folders in versions.items():
+                df = self.spark.read.parquet(f"{root}/{name}")
+                used = [value(f) for f in folders]
+                here = F.col(p).cast("string").isin([v for v in used if v is not None])
+                df = df.filter(F.coalesce(here, F.lit(False)) | F.col(p).isNull() if None in used else here)
+                found = df if found is None else found.unionByName(df)
+            return found
+
+        typed = self.schema[p].dataType
+        likely = [r[0] for r in self.spark.createDataFrame([(value(f),) for f in unknown], "v string").select(F.col("v").cast(typed)).collect()] if unknown else []
+        if versions:
+            keyed = source.dropna(subset=list(keys))
+            span = keyed.agg(*[F.struct(F.min(z).alias("low"), F.max(z).alias("high")).alias(f"_{i}") for i, z in enumerate(zone)])
+            # a single row against one row for each partition
+            near = of("_zones").join(F.broadcast(span))
+            for i in range(len(zone)):
+                near = near.filter((F.col(f"_{i}.low") <= F.col(f"zone_{i}.high")) & (F.col(f"_{i}.high") >= F.col(f"zone_{i}.low")))
+            near = near.select(p, "bitmaps", *[f"zone_{i}" for i in range(len(zone))])
+            sizes = [r[0] for r in near.select("bitmaps").distinct().collect()]
+            asked = keyed.select(*dict.fromkeys([*keys, *zone])).distinct()
+            if sizes:
+                # each key at its positions in filters of every size that occurs; a partition may hold it if all are set
+                size = F.explode(F.array(*[F.lit(x).cast("long") for x in sizes])).alias("bitmaps")
+                asked = asked.select(F.xxhash64(*keys).alias("key"), *[F.col(z).alias(f"_{i}") for i, z in enumerate(zone)],
+                                     *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], size)
+                at = asked.withColumn("at", F.explode(self._positions([f"_k{i}" for i in range(len(keys))], F.col("bitmaps") * F.lit(self.BITMAP))))
+                at = at.withColumn("bitmap", F.expr(f"at div {self.BITMAP}"))
+                blooms = of("_blooms").join(F.broadcast(near.withColumnRenamed("bitmaps", "_n").withColumnRenamed(p, "_p")), F.col(p).eqNullSafe(F.col("_p")))
+                hit = at.join(blooms, ["bitmaps", "bitmap"])
+                for i in range(len(zone)):
+                    hit = hit.filter(F.col(f"_{i}").between(F.col(f"zone_{i}.low"), F.col(f"zone_{i}.high")))
+                byte = F.expr(f"conv(hex(substring(bits, cast((at % {self.BITMAP}) div 8 as int) + 1, 1)), 16, 10)").cast("int")
+                hit = hit.filter(F.getbit(byte, (F.col("at") % 8).cast("int")) == 1)
+                held = hit.groupBy(p, "key").agg(F.count_distinct("at").alias("n"), F.first("bitmaps").alias("bitmaps"))
+                # positions of a key may coincide: as many distinct ones as it has are to be set
+                wanted = at.groupBy("key", "bitmaps").agg(F.count_distinct("at").alias("wanted"))
+                held = held.join(wanted, ["key", "bitmaps"]).filter(F.col("n") == F.col("wanted"))
+                likely += [r[0] for r in held.select(F.col(p).cast(typed)).distinct().collect()]
+        self.searched = {"partitions": n, "likely": len(likely)}
+        return likely
+
+
+def _literal(text: str) -> str:
+    quoted = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{quoted}'"
+
+
+def _place(path: str) -> str:
+    """One spelling of a folder's path (``file:/x``, ``file:///x`` and ``/x`` are the same)."""
+    scheme, _, rest = path.partition(":") if re.match(r"[a-z0-9]+:", path) else ("", "", path)
+    return f"{'' if scheme == 'file' else scheme}/{rest.strip('/')}"
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
