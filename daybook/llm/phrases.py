@@ -36,6 +36,7 @@ CHARS_AT_ONCE = 4_000_000
 MERGE_AT_ONCE = 1_000_000
 PART_BYTES = 32 << 20  # of texts for each part that is merged by itself
 MIN_PARTS = 64
+SHARES = 64
 
 
 def split_words(texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
@@ -354,7 +355,10 @@ def top_collocations(docs: DataFrame, *, top: int = 2000, min_count: int = 10, c
     Null and empty texts have no words; repeated rows count again; an empty table gives no rows.
     """
     counted = phrase_counts(docs, min_count=min_count, text_col=text_col, lang_col=lang_col)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(counted, min_count=min_count, covered=covered).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    found = collocations(counted, min_count=min_count, covered=covered).withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    # a language's head is that of the heads of its shares, so no task ranks all of a language
+    heads = found.withColumn("n", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("n") <= top).drop("n", "share")
+    ranked = heads.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     n = counted.where("words = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
