@@ -733,13 +733,20 @@ def event_notification_flatten(spark, sf):
 @query
 def malformed_quarantine(spark, sf):
     """Parsed records plus quarantined messages; messages without anything to do yield nothing."""
-    from daybook.sources.notifications import flatten, quarantine
+    from daybook.sources.notifications import outcomes
 
-    m = _messages(spark, sf, faults=True)
-    ok = flatten(m).withColumn("reject_reason", F.lit(None).cast("string"))
-    none = F.lit(None).cast("string")
-    bad = quarantine(m).select("message_id", none.alias("bucket"), none.alias("key"), none.alias("processing_date"), "reject_reason")
-    return ok.unionByName(bad)
+    return outcomes(_messages(spark, sf, faults=True))
+
+
+@query
+def notification_dead_letter(spark, sf):
+    """Events as receives of a user's messages of one kind, of which every seventh works: what became of each message."""
+    from daybook.sources.notifications import receive_outcomes
+
+    e = td.table(spark, sf, "events")
+    receives = e.select(F.concat_ws("-", F.lit("msg"), "user_id", "event_type").alias("message_id"), F.col("ts").cast("timestamp").alias("received_at"),
+                        F.col("event_id").alias("receive_id"), (F.col("event_id") % 7 == 0).alias("ok"))
+    return receive_outcomes(receives)
 
 
 @query
