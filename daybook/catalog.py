@@ -738,6 +738,26 @@ def malformed_quarantine(spark, sf):
     return outcomes(_messages(spark, sf, faults=True))
 
 
+@query
+def json_files_quarantine(spark, sf):
+    """One JSON file per user and event type, of which every tenth lacks its last sign: the rows of the good files, and
+    the broken ones whole."""
+    from daybook.sources.files import MALFORMED_FILE, json_file_rows
+    from daybook.streaming.ingest import LANDED_RATING_SCHEMA
+
+    e = td.table(spark, sf, "events")
+    rating = F.struct(F.col("user_id").cast("string").alias("customerNumber"), F.concat(F.lit("P"), "event_id").alias("productCode"),
+                      (F.col("event_id") % 7).cast("int").alias("productRating"),
+                      F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ratingTimestamp"))
+    files = e.groupBy(F.concat_ws("/", F.lit("in"), "user_id", F.concat("event_type", F.lit(".json"))).alias("source")).agg(
+        F.to_json(F.sort_array(F.collect_list(rating))).alias("content"), F.min("event_id").alias("first"))
+    cut = F.when(F.col("first") % 10 == 0, F.substring("content", 1, F.length("content") - 1)).otherwise(F.col("content"))
+    rows = json_file_rows(files.select("source", cut.alias("content")), LANDED_RATING_SCHEMA)
+    broken = F.col("_broken").isNotNull()
+    return rows.select("source", *LANDED_RATING_SCHEMA.names, F.when(broken, F.lit(MALFORMED_FILE)).alias("reject_reason"),
+                       F.md5("_broken").alias("content_md5"))
+
+
 @query
 def notification_dead_letter(spark, sf):
     """Events as receives of a user's messages of one kind, of which every seventh works: what became of each message."""

@@ -28,7 +28,8 @@ from daybook.plans import marts, presentation, ratings, staging, star
 from daybook.plans.curation import curate
 from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, path_exists, replace_table,
                                   write_landing_csv, write_rejects)
-from daybook.sources.files import catalog_table, day_window_scan, read_landed_csv, read_landed_json, register_external
+from daybook.sources.files import (MALFORMED_FILE, catalog_table, day_window_scan, json_file_rows, read_landed_csv, read_landed_json,
+                                   register_external, whole_json_files)
 from daybook.spec import RATING_KEYS, RATING_PAIR, RATING_RULES, RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA, SPECS
 from daybook.streaming.ingest import LANDED_RATING_SCHEMA
 
@@ -159,12 +160,20 @@ def land_relational(spark: SparkSession, ctx: RunContext, lake: Lake, sources: d
 
 
 def land_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, source_dir: str) -> dict:
-    """Multi-line JSON files of the day -> landing JSON lines with lineage columns."""
-    df = spark.read.schema(LANDED_RATING_SCHEMA).option("multiLine", True).json(source_dir)
-    obs = Observation("landed_ratings")
-    out = add_ingest_metadata(df, ctx, F.col("_metadata.file_path")).observe(obs, F.count(F.lit(1)).alias("n"))
-    out.write.mode("overwrite").json(lake.landing("json", "ratings", ctx.processing_date))
-    return {"row_count": int(obs.get["n"])}
+    """Multi-line JSON files of the day -> landing JSON lines with lineage columns. A file that is no JSON goes
+    to the rejects (``ratings_files``) whole, and is counted."""
+    rows = json_file_rows(whole_json_files(spark.read, source_dir).drop("file_time"), LANDED_RATING_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        broken = rows.filter(F.col("_broken").isNotNull())
+        rejected = write_rejects(broken.select("source", F.col("_broken").alias("content"), F.lit(MALFORMED_FILE).alias("reject_reason")),
+                                 lake.root, "ratings_files", ctx)
+        obs = Observation("landed_ratings")
+        landed = rows.filter(F.col("_broken").isNull()).drop("_broken")
+        out = add_ingest_metadata(landed, ctx, F.col("source")).observe(obs, F.count(F.lit(1)).alias("n"))
+        out.write.mode("overwrite").json(lake.landing("json", "ratings", ctx.processing_date))
+        return {"row_count": int(obs.get["n"]), "rejected_rows": rejected}
+    finally:
+        rows.unpersist()
 
 
 # ------------------------------------------------------------------ curation --------------
@@ -391,40 +400,38 @@ def stream_ratings(spark: SparkSession, ctx: RunContext, lake: Lake, inbox_dir:
     return start_ratings_ingest(files, handle, checkpoint, available_now)
 
 
-def stream_arrivals(spark: SparkSession, ctx: RunContext, lake: Lake, queue_dir: str, incoming: str, checkpoint: str):
+def stream_arrivals(spark: SparkSession, ctx: RunContext, lake: Lake, queue_dir: str, incoming: str, checkpoint: str,
+                    wait: str = "1 day", max_files_per_trigger: int = 1000):
     """Arrival notifications start the ingestion of the files they name, each with its own event's day.
 
-    A message that is delivered again within a day is dropped (``dedupe_stream``); bad messages go to
-    the quarantine of their epoch. The keys of one micro-batch reach the driver: they are file names, at
-    most as many as messages were received. A file announced under two days has the later one.
+    The announcements are joined with the files that arrive (``announced_files``); nothing of either comes to
+    the driver. Each micro-batch sets
+    aside, per epoch under ``quarantine/``: bad messages, announcements whose file did not come in time
+    (``missing_files``) and files that are no JSON, whole (``files``); everything else is ingested. One bad message or
+    file holds nothing up.
     """
-    from daybook.sources.notifications import flatten, quarantine
-    from daybook.streaming.ingest import dedupe_stream, message_files
+    from daybook.streaming.ingest import announced_files, message_files
 
     def handle(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            quarantine(batch).write.mode("overwrite").parquet(f"{lake.root}/quarantine/notifications/run_id={ctx.run_id}/epoch={epoch}")
-            files = flatten(batch).groupBy("key").agg(F.max("processing_date").alias("processing_date"))
-            named = {r.key: r.processing_date for r in files.collect()}
-            if not named:
-                return
-            parts = []
-            for day in sorted(set(named.values())):  # one read per day that the batch names
-                paths = [f"{incoming.rstrip('/')}/{k}" for k, d in named.items() if d == day]
-                df = spark.read.schema(LANDED_RATING_SCHEMA).option("multiLine", True).json(paths)
-                parts.append(df.withColumns({"source": F.col("_metadata.file_path"), "ingest_ts": ctx.now(), "processing_date": F.lit(day)}))
-            landed = parts[0]
-            for p in parts[1:]:
-                landed = landed.unionByName(p)
+            def set_aside(rows: DataFrame, kind: str) -> None:
+                rows.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{kind}/run_id={ctx.run_id}/epoch={epoch}")
+
+            good = F.col("reject_reason").isNull()
+            set_aside(batch.filter(~good).select("message_id", "reject_reason"), "notifications")
+            set_aside(batch.filter(good & F.col("source").isNull()).select("message_id", "bucket", "key", "processing_date"), "missing_files")
+            found = batch.filter(good & F.col("source").isNotNull()).select("source", "processing_date", "content")
+            rows = json_file_rows(found, LANDED_RATING_SCHEMA).withColumn("ingest_ts", ctx.now())
+            set_aside(rows.filter(F.col("_broken").isNotNull()).select("source", "processing_date", "_broken"), "files")
             epoch_ctx = RunContext(ctx.processing_date, f"{ctx.run_id}-e{epoch}", ctx.run_mode, ctx.run_ts)
-            _transform_events(spark, epoch_ctx, lake, landed, None)
+            _transform_events(spark, epoch_ctx, lake, rows.filter(F.col("_broken").isNull()).drop("_broken"), None)
         finally:
             batch.unpersist()
 
-    messages = message_files(spark, queue_dir).withColumn("arrived_at", F.current_timestamp())
-    messages = dedupe_stream(messages, "arrived_at", "1 day", ("body",))
-    return (messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    messages = message_files(spark, queue_dir, max_files_per_trigger)
+    return (announced_files(spark, messages, incoming, wait, max_files_per_trigger).writeStream.foreachBatch(handle)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 CURATED_SOURCES = ("customers", "employees", "offices", "orderdetails", "orders", "payments", "productlines",

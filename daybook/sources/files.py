@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from daybook.context import RunContext
 
@@ -82,6 +83,31 @@ def read_landed_json(spark: SparkSession, path: str, schema: StructType, multili
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
 
 
+MALFORMED_FILE = "malformed JSON file"
+
+
+def whole_json_files(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    """``source, file_time, content``: one row per file of a folder, whatever is in it. Each file is read by one
+    task and held whole, as multi-line JSON is anyway; an empty file has no row."""
+    files = reader.text(path, wholetext=True, recursiveFileLookup=True)
+    return files.select(F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_modification_time").alias("file_time"),
+                        F.col("value").alias("content"))
+
+
+def json_file_rows(files: DataFrame, schema: StructType, content: str = "content") -> DataFrame:
+    """The objects of JSON files (an array of them or a single one) as typed rows, next to the files' other columns.
+
+    A file that is no JSON gives one row that keeps its text in ``_broken``, so it can be set aside whole; of
+    the others ``_broken`` is null. A file with an empty array gives no rows.
+    """
+    rows = F.from_json(content, ArrayType(schema))
+    broken = F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]))
+    held = F.transform(F.array(rows), lambda r: F.struct(F.coalesce(r, broken).alias("rows"), r.isNull().alias("broken")))
+    parsed = files.select("*", F.explode(held).alias("_file")).select("*", F.explode("_file.rows").alias("_row"))
+    text = F.when(F.col("_file.broken"), F.coalesce(F.col(content), F.lit(""))).alias("_broken")
+    return parsed.select(*[c for c in files.columns if c != content], "_row.*", text)
+
+
 def catalog_table(spark: SparkSession, name: str, processing_date: str | None = None,
                   as_of: str | None = None) -> DataFrame:
     """A catalog table, optionally one partition (equality) or all partitions up to a day."""

@@ -57,7 +57,8 @@ def _parsed(messages: DataFrame, body: str) -> DataFrame:
     return messages if {"records", "fault"} <= set(messages.columns) else parse(messages, body)
 
 
-def _named(rec: Column) -> list[Column]:
+def named(rec: Column) -> list[Column]:
+    """Bucket, decoded key and event date of a record."""
     return [rec["s3"]["bucket"]["name"].alias("bucket"), decoded_key(rec["s3"]["object"]["key"]).alias("key"),
             F.substring(rec["eventTime"], 1, 10).alias("processing_date")]
 
@@ -65,7 +66,7 @@ def _named(rec: Column) -> list[Column]:
 def flatten(messages: DataFrame, id_col: str = "message_id", body: str = "body") -> DataFrame:
     """One row per record of the good messages: message id, bucket, decoded key, event date."""
     good = _parsed(messages, body).filter(F.col("fault").isNull())
-    return good.select(id_col, F.explode("records").alias("r")).select(id_col, *_named(F.col("r")))
+    return good.select(id_col, F.explode("records").alias("r")).select(id_col, *named(F.col("r")))
 
 
 def quarantine(messages: DataFrame, id_col: str = "message_id", body: str = "body") -> DataFrame:
@@ -78,7 +79,7 @@ def outcomes(messages: DataFrame, id_col: str = "message_id", body: str = "body"
     its ``reject_reason``. Messages without anything to do give nothing."""
     none = F.array(F.lit(None).cast(RECORDS.removeprefix("array<").removesuffix(">")))
     rows = _parsed(messages, body).select(id_col, "fault", F.explode(F.when(F.col("fault").isNull(), F.col("records")).otherwise(none)).alias("r"))
-    return rows.select(id_col, *_named(F.col("r")), F.col("fault").alias("reject_reason"))
+    return rows.select(id_col, *named(F.col("r")), F.col("fault").alias("reject_reason"))
 
 
 def receive_outcomes(receives: DataFrame, max_receives: int = 3, id_col: str = "message_id", at: str = "received_at",

@@ -7,20 +7,25 @@
   the result into the mutable tables. A replayed epoch (after an executor or driver loss) re-merges
   the same rows, and the unconditional / latest-wins merges are idempotent for that.
 * ``dedupe_stream``: duplicate events inside a watermark, with bounded state.
+* ``announced_files``: a stream of announcements joined with the stream of files that they name; a file that
+  does not come in time is a row of its own.
+* ``count_receives``: how often a message was received, kept as keyed state until it worked or is a dead letter.
 * ``start_notification_ingest``: queue message bodies as text files; parsed records and quarantined
   messages go to separate sinks from the same micro-batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.sources import notifications
+from daybook.sources.files import whole_json_files
 from daybook.spec import RATING_KEYS
 
 LANDED_RATING_SCHEMA = StructType([
@@ -32,7 +37,8 @@ LANDED_RATING_SCHEMA = StructType([
 
 
 def ratings_files(spark: SparkSession, landing_dir: str, schema: StructType = LANDED_RATING_SCHEMA,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """The objects of the files that arrive; at most so many files in one micro-batch, however many wait."""
     reader = spark.readStream.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -55,11 +61,86 @@ def dedupe_stream(events: DataFrame, event_time: str = "ingest_ts", delay: str =
     return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def message_files(spark: SparkSession, inbox_dir: str) -> DataFrame:
-    """One queue message body per line of the files arriving in ``inbox_dir``."""
-    return (spark.readStream.text(inbox_dir)
+def message_files(spark: SparkSession, inbox_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """One queue message body per line of the files arriving in ``inbox_dir``, with the time of its file."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (reader.text(inbox_dir)
             .select(F.concat(F.col("_metadata.file_name"), F.lit(":"), F.xxhash64("value").cast("string"))
-                    .alias("message_id"), F.col("value").alias("body")))
+                    .alias("message_id"), F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("announced_at")))
+
+
+def _path(location: Column) -> Column:
+    """A file's path as text: blanks and other signs decoded, one slash after the scheme."""
+    decoded = F.coalesce(F.try_url_decode(F.replace(location, F.lit("+"), F.lit("%2B"))), location)
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def announced_files(spark: SparkSession, messages: DataFrame, incoming: str, wait: str = "1 day",
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of ``message_id, bucket, key, processing_date, reject_reason, source, content``.
+
+    ``messages`` (``message_files``) are parsed and joined with the files that arrive in ``incoming``, on the
+    path that the message names. Neither file names nor counts come to the driver, and a file is read once,
+    when it arrives. A message whose file has not arrived ``wait`` after it (by the files' times) comes with
+    a null ``source``; a bad message comes at once with its ``reject_reason``. A message that is delivered again within
+    ``wait`` is dropped. The state holds what still waits for its other side, ``wait`` long.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(incoming)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    parsed = notifications.parse(dedupe_stream(messages, "announced_at", wait, ("body",)))
+    bad = notifications.outcomes(parsed.filter(F.col("fault").isNotNull()))
+    rows = parsed.filter(F.col("fault").isNull()).select("message_id", "announced_at", F.explode("records").alias("r"))
+    named = rows.select("message_id", "announced_at", *notifications.named(F.col("r"))).withColumn(
+        "path", F.concat(_path(F.lit(root)), F.lit("/"), F.ltrim(F.col("key"), F.lit("/")))).alias("n")
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = whole_json_files(reader, incoming).withWatermark("file_time", wait).withColumn("path", _path(F.col("source"))).alias("f")
+    within = F.expr(f"f.file_time between n.announced_at - interval {wait} and n.announced_at + interval {wait}")
+    joined = named.join(files, (F.col("n.path") == F.col("f.path")) & within, "left_outer").select(
+        "message_id", "bucket", "key", "processing_date", F.lit(None).cast("string").alias("reject_reason"), "source", "content")
+    none = F.lit(None).cast("string")
+    return joined.unionByName(bad.select("message_id", "bucket", "key", "processing_date", "reject_reason", none.alias("source"), none.alias("content")))
+
+
+class ReceiveCount(StatefulProcessor):
+    """Failed receives of a message, until it works or has failed ``max_receives`` times; both are told once and
+    remembered for the state's lifetime, so that a message received again later changes nothing."""
+
+    def __init__(self, max_receives: int, ttl_ms: int) -> None:
+        self.max_receives, self.ttl_ms = max_receives, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "failed int, decided boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803 - the interface's names
+        failed, decided = self.seen.get() if self.seen.exists() else (0, False)
+        for r in sorted(rows, key=lambda r: (r.received_at, r.receive_id)):
+            if decided:
+                break
+            failed += 0 if r.ok else 1
+            decided = bool(r.ok) or failed == self.max_receives
+            if decided:
+                yield Row(message_id=key[0], status="done" if r.ok else "dead", receives=failed + bool(r.ok), decided_at=r.received_at)
+        self.seen.update((failed, decided))
+
+    def close(self) -> None:
+        pass
+
+
+def count_receives(receives: DataFrame, max_receives: int = 3, ttl: str = "14 days") -> DataFrame:
+    """A stream of receives (``message_id, receive_id, received_at, ok``) -> ``message_id, status, receives,
+    decided_at`` of every message when it is decided: ``done``, or ``dead`` after ``max_receives`` failures
+    (``notifications.receive_outcomes`` is the same over a table). The state of a message lives ``ttl`` after its last
+    receive. A rerun of a failed batch counts nothing twice: state and offsets are committed together."""
+    spark = receives.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    n, unit = ttl.split()
+    ttl_ms = int(n) * {"minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
+    return receives.select("message_id", "receive_id", "received_at", "ok").groupBy("message_id").transformWithState(
+        ReceiveCount(max_receives, ttl_ms), "message_id string, status string, receives long, decided_at timestamp", "Append", "ProcessingTime")
 
 
 def start_notification_ingest(messages: DataFrame, records_path: str, quarantine_path: str, checkpoint: str
@@ -67,7 +148,7 @@ def start_notification_ingest(messages: DataFrame, records_path: str, quarantine
     def handle(batch: DataFrame, epoch: int) -> None:
         # One micro-batch feeds two sinks: persist it so the source files are read once. Each
         # epoch replaces its own directory, so a replayed epoch does not append twice.
-        batch = batch.persist()
+        batch = notifications.parse(batch).persist()
         try:
             notifications.flatten(batch).write.mode("overwrite").parquet(f"{records_path}/epoch={epoch}")
             notifications.quarantine(batch).write.mode("overwrite").parquet(f"{quarantine_path}/epoch={epoch}")
