@@ -19,9 +19,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.sources import notifications
@@ -105,42 +107,40 @@ def announced_files(spark: SparkSession, messages: DataFrame, incoming: str, wai
     return joined.unionByName(bad.select("message_id", "bucket", "key", "processing_date", "reject_reason", none.alias("source"), none.alias("content")))
 
 
-class ReceiveCount(StatefulProcessor):
-    """Failed receives of a message, until it works or has failed ``max_receives`` times; both are told once and
-    remembered for the state's lifetime, so that a message received again later changes nothing."""
-
-    def __init__(self, max_receives: int, ttl_ms: int) -> None:
-        self.max_receives, self.ttl_ms = max_receives, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "failed int, decided boolean", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803 - the interface's names
-        failed, decided = self.seen.get() if self.seen.exists() else (0, False)
-        for r in sorted(rows, key=lambda r: (r.received_at, r.receive_id)):
-            if decided:
-                break
-            failed += 0 if r.ok else 1
-            decided = bool(r.ok) or failed == self.max_receives
-            if decided:
-                yield Row(message_id=key[0], status="done" if r.ok else "dead", receives=failed + bool(r.ok), decided_at=r.received_at)
-        self.seen.update((failed, decided))
-
-    def close(self) -> None:
-        pass
-
-
 def count_receives(receives: DataFrame, max_receives: int = 3, ttl: str = "14 days") -> DataFrame:
     """A stream of receives (``message_id, receive_id, received_at, ok``) -> ``message_id, status, receives,
     decided_at`` of every message when it is decided: ``done``, or ``dead`` after ``max_receives`` failures
-    (``notifications.receive_outcomes`` is the same over a table). The state of a message lives ``ttl`` after its last
-    receive. A rerun of a failed batch counts nothing twice: state and offsets are committed together."""
-    spark = receives.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    (``notifications.receive_outcomes`` is the same over a table).
+
+    A message's failures are keyed state, which lives ``ttl`` after its last receive by the receives' own times (one that
+    comes later than that after the newest is no longer counted); a decided message stays known
+    that long, so that a later receive of it changes nothing. A rerun of a failed batch counts nothing twice: state and
+    offsets are committed together.
+    """
     n, unit = ttl.split()
     ttl_ms = int(n) * {"minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
-    return receives.select("message_id", "receive_id", "received_at", "ok").groupBy("message_id").transformWithState(
-        ReceiveCount(max_receives, ttl_ms), "message_id string, status string, receives long, decided_at timestamp", "Append", "ProcessingTime")
+
+    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        failed, decided = state.get if state.exists else (0, False)
+        rows = pd.concat(list(batches)).sort_values(["received_at", "receive_id"])
+        for r in rows.itertuples():
+            if decided:
+                break
+            ok = r.ok is not None and bool(r.ok)
+            failed += not ok
+            decided = ok or failed == max_receives
+            if decided:
+                yield pd.DataFrame({"message_id": [key[0]], "status": ["done" if ok else "dead"], "receives": [failed + ok], "decided_at": [r.received_at]})
+        state.update((failed, decided))
+        state.setTimeoutTimestamp(int(rows["ms"].max()) + ttl_ms)
+
+    seen = receives.select("message_id", "receive_id", "received_at", "ok", F.unix_millis("received_at").alias("ms")).withWatermark("received_at", ttl)
+    return seen.groupBy("message_id").applyInPandasWithState(
+        count, "message_id string, status string, receives long, decided_at timestamp", "failed int, decided boolean", "append",
+        GroupStateTimeout.EventTimeTimeout)
 
 
 def start_notification_ingest(messages: DataFrame, records_path: str, quarantine_path: str, checkpoint: str
