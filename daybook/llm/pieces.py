@@ -34,12 +34,12 @@ UNKNOWN_PENALTY = 10.0
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 20
 CELLS_AT_ONCE = 1 << 15
-KNOWN_SEGMENTS = 300_000  # remembered by a worker
+KNOWN_SEGMENTS = 150_000  # remembered by a worker
 KNOWN_LENGTH = 200  # of a remembered segment
-KNOWN_PAIRS = 1_000_000
+KNOWN_PAIRS = 100_000
 PAIR_BITS = 20
 LONE_LENGTH = 40
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_500_000
 
 
 @dataclass
