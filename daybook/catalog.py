@@ -769,6 +769,26 @@ def notification_dead_letter(spark, sf):
     return receive_outcomes(receives)
 
 
+@query
+def curated_type_changes(spark, sf):
+    """Four days of one curated table whose column comes as int, bigint, decimal and text: every value that is a
+    number is kept as it is, the others are rejected with their text."""
+    from daybook.context import RunContext
+    from daybook.plans.stages import Lake, _curated_table, write_curated
+
+    o = td.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"))
+    lake, k = Lake(_scratch(spark, "types")), F.col("k")
+    days = {"2024-01-01": F.col("c").cast("int"), "2024-01-02": k.cast("bigint") * 3_000_000_000, "2024-01-03": (k.cast("decimal(14,0)") / 4).cast("decimal(12,2)"),
+            "2024-01-04": F.when(k % 10 == 5, F.concat(F.lit("no "), k.cast("string"))).when(k % 10 == 1, F.lit(None)).otherwise(k.cast("string"))}
+    for n, (day, v) in enumerate(days.items()):
+        write_curated(spark, lake, "t", o.filter(k % 4 == n).select("k", v.alias("v")), day, RunContext(day, "r"))
+    kept = _curated_table(spark, lake, "t").select("processing_date", "k", F.col("v").cast("decimal(22,2)").alias("v"),
+                                                  F.lit(None).cast("string").alias("rejected"))
+    misfits = spark.read.parquet(f"{lake.root}/rejected_zone/t_types").select(
+        F.col("processing_date").cast("string").alias("processing_date"), "k", F.lit(None).cast("decimal(22,2)").alias("v"), F.col("v").alias("rejected"))
+    return kept.unionByName(misfits)
+
+
 @query
 def scalar_functions(spark, sf):
     from daybook.functions import month_name, surrogate_key, truncate, weekday_sun0

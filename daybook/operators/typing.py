@@ -6,17 +6,27 @@ from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import IntegralType, NumericType
 
 from daybook.context import RunContext
 
 
-def to_int(df: DataFrame, name: str) -> Column:
-    """Integer typing that rejects non-integral numbers instead of truncating (4.5 -> NULL, 4.0 -> 4)."""
+WHOLE = ("int", "integer", "bigint", "long")
+
+
+def to_whole(df: DataFrame, name: str, dtype: str = "int") -> Column:
+    """Whole-number typing that rejects fractions instead of truncating (4.5 -> NULL, 4.0 -> 4).
+
+    Text that is a whole number as it stands is cast directly; only what is not goes through a decimal.
+    """
     c = F.col(name)
-    if not isinstance(df.schema[name].dataType, NumericType):
-        c = F.trim(c.cast("string")).try_cast("decimal(38,18)")  # text: 5.0 is 5, 4.5 is none
-    return F.when(c == F.floor(c), c.try_cast("int"))
+    if isinstance(df.schema[name].dataType, IntegralType):
+        return c.try_cast(dtype)
+    if isinstance(df.schema[name].dataType, NumericType):
+        return F.when(c == F.floor(c), c.try_cast(dtype))
+    text = F.trim(c.cast("string"))
+    number = text.try_cast("decimal(38,18)")  # 5.0 is 5, 4.5 is none
+    return F.coalesce(text.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype)))
 
 
 def cast_by_rules(df: DataFrame, casts: Iterable[tuple[str, str]]) -> DataFrame:
@@ -30,7 +40,7 @@ def cast_by_rules(df: DataFrame, casts: Iterable[tuple[str, str]]) -> DataFrame:
     for name, dtype in casts:
         if name not in present:
             continue
-        typed[name] = to_int(df, name) if dtype in ("int", "integer") else F.col(name).try_cast(dtype)
+        typed[name] = to_whole(df, name, dtype) if dtype in WHOLE else F.col(name).try_cast(dtype)
     for name in ("ingest_ts", "updated_at"):
         if name in present and name not in typed:
             typed[name] = F.col(name).try_cast("timestamp")
@@ -66,14 +76,14 @@ def add_curated_metadata(df: DataFrame, ctx: RunContext) -> DataFrame:
 def type_ratings(df: DataFrame, processing_date: str | None = None) -> DataFrame:
     """Typed rating events.
 
-    customerNumber bigint; productCode trimmed (a blank code stays non-null); productRating int
+    customerNumber bigint (``5.0`` is 5, as for every whole number); productCode trimmed (a blank code stays non-null); productRating int
     (non-integral -> NULL); ratingTimestamp falls back to ingest_ts when missing or unparseable.
     """
     ingest = F.col("ingest_ts").try_cast("timestamp")
     out = df.withColumns({
-        "customerNumber": F.col("customerNumber").try_cast("bigint"),
+        "customerNumber": to_whole(df, "customerNumber", "bigint"),
         "productCode": F.trim(F.col("productCode").cast("string")),
-        "productRating": to_int(df, "productRating"),
+        "productRating": to_whole(df, "productRating"),
         "ratingTimestamp": F.coalesce(F.col("ratingTimestamp").try_cast("timestamp"), ingest),
         "ingest_ts": ingest,
     })

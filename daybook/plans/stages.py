@@ -26,8 +26,8 @@ from daybook.operators.typing import add_curated_metadata, add_ingest_metadata,
 from daybook.operators.validate import validate
 from daybook.plans import marts, presentation, ratings, staging, star
 from daybook.plans.curation import curate
-from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, path_exists, replace_table,
-                                  write_landing_csv, write_rejects)
+from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, listed, path_exists, replace_table,
+                                  wider_type, write_landing_csv, write_rejects)
 from daybook.sources.files import (MALFORMED_FILE, catalog_table, day_window_scan, json_file_rows, read_landed_csv, read_landed_json,
                                    register_external, whole_json_files)
 from daybook.spec import RATING_KEYS, RATING_PAIR, RATING_RULES, RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA, SPECS
@@ -80,32 +80,47 @@ def model_schema(default_schema: str, custom_schema: str | None = None) -> str:
 def _curated_table(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """A curated table through the catalog, with every column any of its days brought.
 
-    A session whose catalog does not know it yet registers the files, with their schemas merged once.
+    A session whose catalog does not know it (one that is not persistent) registers the files first, with the
+    columns of all days, each in the widest of its days' types: one footer is read for each day.
     """
     name = lake.catalog(table)
     if not spark.catalog.tableExists(name):
-        found = spark.read.option("mergeSchema", True).parquet(lake.curated(table))
-        _register(spark, lake, table, found)
+        fields: dict[str, StructField] = {}
+        for day in sorted(listed(spark, lake.curated(table), folders=True)):
+            if day.startswith("processing_date=") and listed(spark, f"{lake.curated(table)}/{day}", folders=False):
+                for f in spark.read.parquet(f"{lake.curated(table)}/{day}").schema.fields:
+                    known = fields.get(f.name)
+                    fields[f.name] = f if known is None else StructField(f.name, wider_type(known.dataType, f.dataType))
+        _register(spark, lake, table, StructType(list(fields.values())))
     return catalog_table(spark, name)
 
 
-def _register(spark: SparkSession, lake: Lake, table: str, df: DataFrame) -> None:
+def _register(spark: SparkSession, lake: Lake, table: str, schema: StructType) -> None:
     name = lake.catalog(table)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
-    fields = [f for f in df.schema.fields if f.name != "processing_date"] + [StructField("processing_date", StringType())]
+    fields = [f for f in schema.fields if f.name != "processing_date"] + [StructField("processing_date", StringType())]
     register_external(spark, name, lake.curated(table), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
                       "processing_date")
 
 
-def write_curated(spark: SparkSession, lake: Lake, table: str, df: DataFrame, day: str) -> None:
-    """Replace one day of a curated table; columns that are new to the table are added to it."""
+def write_curated(spark: SparkSession, lake: Lake, table: str, df: DataFrame, day: str, ctx: RunContext | None = None) -> int:
+    """Replace one day of a curated table; columns that are new to the table are added to it, stored types are
+    widened where the day's values need it. Rows with a value that fits no such type go to the run's rejects
+    (``<table>_types``) and are counted; without a run they fail the write."""
+    rejected = 0
+
+    def set_aside(rows: DataFrame) -> None:
+        nonlocal rejected
+        rejected = write_rejects(rows, lake.root, f"{table}_types", ctx)
+
     name = lake.catalog(table)
     if not spark.catalog.tableExists(name):
         if path_exists(spark, lake.curated(table)):
             _curated_table(spark, lake, table)
         else:
-            _register(spark, lake, table, df)
-    insert_overwrite_partition(spark, df, name, "processing_date", day)
+            _register(spark, lake, table, df.schema)
+    insert_overwrite_partition(spark, df, name, "processing_date", day, set_aside if ctx else None)
+    return rejected
 
 
 def ratings_for_ml_table(spark: SparkSession, lake: Lake) -> PartitionedTable:
@@ -193,8 +208,9 @@ def transform_relational(spark: SparkSession, ctx: RunContext, lake: Lake, table
             totals["rejected_rows"] += write_rejects(batch.rejected(), lake.root, table, ctx)
             obs = Observation(f"curated_{table}")
             curated = add_curated_metadata(batch.valid, ctx).observe(obs, F.count(F.lit(1)).alias("n"))
-            write_curated(spark, lake, table, curated, ctx.processing_date)
-            totals["valid_rows"] += int(obs.get["n"])
+            misfits = write_curated(spark, lake, table, curated, ctx.processing_date, ctx)
+            totals["valid_rows"] += int(obs.get["n"]) - misfits
+            totals["rejected_rows"] += misfits
         finally:
             landed.unpersist()
     return totals

@@ -10,10 +10,11 @@ import hashlib
 import re
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, StringType, StructField, StructType
 
 from daybook.context import RunContext
 
@@ -33,34 +34,124 @@ def replace_partition(df: DataFrame, table_path: str, column: str, value: str, f
         f"{table_path.rstrip('/')}/{column}={value}")
 
 
-def insert_overwrite_partition(spark: SparkSession, df: DataFrame, table: str, column: str, value: str) -> None:
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
+MISFIT_REASON = "value does not fit the stored column"
+
+
+def wider_type(stored: DataType, given: DataType) -> DataType:
+    """The type that holds every value of both without loss; the stored one if there is none.
+
+    Whole numbers widen to longer ones and to decimals, ``float`` to ``double``, small whole numbers to
+    ``double``, and a date to a timestamp. What has no such type (text in a number, a double in a decimal)
+    is left to be judged value by value.
+    """
+    a, b = stored.simpleString(), given.simpleString()
+    if a == b:
+        return stored
+    if a in WHOLE and b in WHOLE:
+        return max(stored, given, key=lambda t: WHOLE.index(t.simpleString()))
+
+    def digits(t: DataType) -> tuple[int, int] | None:
+        return (t.precision - t.scale, t.scale) if isinstance(t, DecimalType) else (DIGITS[t.simpleString()], 0) if t.simpleString() in DIGITS else None
+
+    x, y = digits(stored), digits(given)
+    if x and y:
+        whole, scale = max(x[0], y[0]), max(x[1], y[1])
+        return DecimalType(whole + scale, scale) if whole + scale <= 38 else stored
+    if {a, b} <= {"float", "double", "tinyint", "smallint", "int"} and "bigint" not in (a, b):
+        return DoubleType() if "double" in (a, b) or "int" in (a, b) else FloatType()
+    return given if (a, b) == ("date", "timestamp") else stored
+
+
+def fit_types(df: DataFrame, stored: StructType) -> tuple[DataFrame, StructType]:
+    """``df`` with the columns of ``stored`` in types that hold the old and the new values, plus ``_misfit``, the
+    columns whose value fits in no such type (null: none): it cannot be cast, or not back to what it was.
+    The second result is ``stored`` with its types widened."""
+    fields, casts, misfits = [], [], []
+    for f in stored.fields:
+        if f.name not in df.columns:
+            fields.append(f)
+            casts.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        given, c = df.schema[f.name].dataType, F.col(f"`{f.name}`")
+        wide = wider_type(f.dataType, given)
+        fields.append(StructField(f.name, wide))
+        if wide == given:
+            casts.append(c.alias(f.name))
+            continue
+        typed = c.try_cast(wide)
+        casts.append(typed.alias(f.name))
+        if wide == f.dataType:  # nothing was widened: each value has to show that it fits
+            lost = typed.isNull() if isinstance(given, StringType) else ~F.coalesce(typed.try_cast(given) == c, F.lit(False))
+            misfits.append(F.when(c.isNotNull() & lost, F.lit(f.name)))
+    misfit = F.nullif(F.concat_ws(", ", *misfits), F.lit("")) if misfits else F.lit(None).cast("string")
+    return df.select(*casts, misfit.alias("_misfit"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_given")), StructType(fields)
+
+
+def _change_types(spark: SparkSession, table: str, schema: StructType) -> None:
+    """New types of a catalog table's columns; Parquet readers widen what older files hold."""
+    state = spark._jsparkSession.sessionState()
+    new = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json())
+    state.catalog().alterTableDataSchema(state.sqlParser().parseTableIdentifier(table), new)
+    spark.catalog.refreshTable(table)
+
+
+def insert_overwrite_partition(spark: SparkSession, df: DataFrame, table: str, column: str, value: str,
+                               misfits: Callable[[DataFrame], None] | None = None) -> None:
     """Catalog form of the same replace: ``INSERT OVERWRITE t PARTITION (c = 'v')``, columns by name.
 
     A column that the table does not have yet is added to it first (older partitions read NULL); one
-    that the frame lacks is written as NULL; a column keeps the type it had first.
+    that the frame lacks is written as NULL. Where types differ the stored one is widened if that loses nothing
+    (``wider_type``). Rows with a value that fits in no such type are not stored: they go to ``misfits``, as they
+    came and with ``reject_reason``; without it such a row fails the write. No value becomes NULL on its way.
     """
     known = {f.name: f.dataType for f in spark.table(table).schema.fields}
     new = [f for f in df.schema.fields if f.name not in known and f.name != column]
     if new:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
-        known = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    known.pop(column, None)
-    out = df.select(*[(F.col(f"`{c}`").try_cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c)
-                      for c, t in known.items()])
+    stored = StructType([f for f in spark.table(table).schema.fields if f.name != column])
+    typed, wide = fit_types(df.drop(column), stored)
+    if [f.dataType for f in wide.fields] != [f.dataType for f in stored.fields]:
+        _change_types(spark, table, wide)
+    if misfits is not None and "_misfit" in typed.columns and any(_judged(df, f) for f in stored.fields):
+        bad = typed.filter(F.col("_misfit").isNotNull())
+        misfits(bad.select("_given.*", F.concat(F.lit(f"{MISFIT_REASON}: "), F.col("_misfit")).alias("reject_reason")))
+        typed = typed.filter(F.col("_misfit").isNull())
+    else:
+        fails = F.raise_error(F.concat(F.lit(f"{table}: {MISFIT_REASON}: "), F.col("_misfit"))).cast("boolean")
+        typed = typed.filter(F.when(F.col("_misfit").isNotNull(), fails).otherwise(F.lit(True)))
+    out = typed.select(*[F.col(f"`{f.name}`") for f in wide.fields])
     view = f"_src_{uuid.uuid4().hex[:8]}"
     out.createOrReplaceTempView(view)
     try:
-        cols = ", ".join(f"`{c}`" for c in known)
+        cols = ", ".join(f"`{f.name}`" for f in wide.fields)
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{value}') SELECT {cols} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
+def _judged(df: DataFrame, stored: StructField) -> bool:
+    """Whether the column's values are judged one by one."""
+    if stored.name not in df.columns or df.schema[stored.name].dataType == stored.dataType:
+        return False
+    return wider_type(stored.dataType, df.schema[stored.name].dataType) == stored.dataType
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def listed(spark: SparkSession, path: str, folders: bool) -> list[str]:
+    """Names of the folders, or of the data files, in a folder; none where there is no such folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.listStatus(root) if fs.exists(root) else []
+    names = [s.getPath().getName() for s in found if s.isDirectory() == folders]
+    return names if folders else [n for n in names if n[0] not in "_."]
+
+
 # NULL is written as an explicit marker so that an empty string survives the round trip as ''
 # (with the default options both come back as NULL).
 CSV_NULL = "\\N"
@@ -165,8 +256,7 @@ class PartitionedTable:
         self._switch(self._committed())
 
     def _folders(self, path: str) -> list[str]:
-        fs, root = self._fs(path)
-        return [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()] if fs.exists(root) else []
+        return listed(self.spark, path, True)
 
     def _fs(self, path: str):
         root = self.spark._jvm.org.apache.hadoop.fs.Path(path)
