@@ -618,6 +618,41 @@ def incremental_fact_merge(spark, sf):
     return _merged(spark, "fact", before, fresh, ["order_item_id"], "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"])
 
 
+def _grown_marts(spark, sf):
+    """Facts and month tables of all batches before the last, then the last batch merged and the months that it
+    rewrote brought up to date: (monthly sales, product months, rating months, all of them as tables)."""
+    from daybook.sinks.tables import PartitionedTable
+
+    day = F.col("processing_date")
+    o, d = td.orders(spark, sf), td.orderdetails(spark, sf)
+    before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < LAST_ORDER_BATCH)), staging.stg_orders(o.filter(day < LAST_ORDER_BATCH)))
+    facts = PartitionedTable(spark, _scratch(spark, "facts"), before.schema, "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"])
+    facts.replace(before, ["order_item_id"])
+    rfml = _written(spark, "rfml", _ratings_for_ml(spark, sf))
+    old = star.fact_product_ratings(staging.stg_ratings(rfml.filter(day < LAST_RATING_DAY)))
+    rated = PartitionedTable(spark, _scratch(spark, "rated"), old.schema, "rating_month", by=F.date_format("rating_timestamp", "yyyy-MM"), of_keys=True)
+    rated.replace(old)
+    tables = [(marts.sales_table(spark, _scratch(spark, "sales")), facts, marts.mart_monthly_sales),
+              (marts.product_months_table(spark, _scratch(spark, "sold")), facts, marts.product_months),
+              (marts.rating_months_table(spark, _scratch(spark, "stars")), rated, marts.rating_months)]
+    for table, source, build in tables:
+        marts.refresh_months(table, source, build, None)
+    months = facts.merge(_written(spark, "slice", star.fact_order_items_slice(d, o, LAST_ORDER_BATCH)), ["order_item_id"])
+    rating_months = rated.merge(_written(spark, "new_ratings", star.fact_product_ratings_slice(rfml, LAST_RATING_DAY)), ["rating_id"])
+    return [marts.refresh_months(table, source, build, rating_months if source is rated else months) for table, source, build in tables]
+
+
+@query
+def mart_monthly_sales_incremental(spark, sf):
+    return _grown_marts(spark, sf)[0]
+
+
+@query
+def mart_product_performance_incremental(spark, sf):
+    _, sold, stars = _grown_marts(spark, sf)
+    return marts.product_performance(star.dim_products(staging.stg_products(td.products(spark, sf))), sold, stars)
+
+
 @query
 def incremental_dim_slice(spark, sf):
     """The back-filled day arrives after the dimension was built: ranking happens before the day

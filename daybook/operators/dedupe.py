@@ -37,7 +37,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], reason: str
     """(kept, losers); losers carry ``reject_reason`` when ``reason`` is given.
 
     Losers take two scans: one aggregate by key counts its rows and finds the newest as a maximum
-    (both combined map-side; NULL is the smallest, as in the ranking), then the rows of repeated keys
+    (both combined map-side, over rows sorted by key where they hold text; NULL is the smallest, as in the ranking), then the rows of repeated keys
     are grouped as whole rows, and each comes back as often as it occurs, once less if it is the newest.
     """
     kept = latest_by(df, keys, order)

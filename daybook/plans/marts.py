@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from daybook.sinks.tables import PartitionedTable
 
 # Money totals keep the line scale with the widest precision: a month's or a product's sales at
 # 100 TB exceed decimal(18,4)'s 10^14 (ANSI mode would fail the job on overflow).
@@ -34,9 +39,65 @@ def mart_product_performance(dim_products: DataFrame, fact_order_items: DataFram
     ratings = fact_product_ratings.groupBy("product_code").agg(
         F.count(F.lit(1)).alias("rating_count"),
         F.avg(F.col("product_rating").cast("decimal(10,2)")).cast("decimal(10,2)").alias("average_rating"))
+    return _performance(dim_products, sales, ratings)
+
+
+def _performance(dim_products: DataFrame, sales: DataFrame, ratings: DataFrame) -> DataFrame:
     return (dim_products.join(sales, "product_code", "left").join(ratings, "product_code", "left")
             .select("product_code", "product_name", "product_line", "product_vendor",
                     F.coalesce("units_sold", F.lit(0).cast("bigint")).alias("units_sold"),
                     F.coalesce("gross_sales", F.lit(0).cast(TOTAL)).alias("gross_sales"),
                     F.coalesce("rating_count", F.lit(0).cast("bigint")).alias("rating_count"),
                     "average_rating"))
+
+
+# --- kept up to date from the months that a merge rewrote ---
+
+
+def product_months(fact_order_items: DataFrame) -> DataFrame:
+    """Units and sales of each product and month: what a month adds to ``mart_product_performance``."""
+    return fact_order_items.groupBy(F.date_format("order_date", "yyyy-MM").alias("month"), "product_code").agg(
+        F.sum("quantity_ordered").cast("bigint").alias("units_sold"), F.sum("gross_amount").cast(TOTAL).alias("gross_sales"))
+
+
+def rating_months(fact_product_ratings: DataFrame) -> DataFrame:
+    """Number of ratings, of those with a value, and their sum, of each product and month."""
+    return fact_product_ratings.groupBy(F.date_format("rating_timestamp", "yyyy-MM").alias("month"), "product_code").agg(
+        F.count(F.lit(1)).alias("rating_count"), F.count("product_rating").alias("rated"), F.sum("product_rating").cast("bigint").alias("stars"))
+
+
+def product_performance(dim_products: DataFrame, sales_months: DataFrame, ratings_months: DataFrame) -> DataFrame:
+    """``mart_product_performance`` from the products' months: a few rows for each product instead of all facts."""
+    sales = sales_months.groupBy("product_code").agg(F.sum("units_sold").cast("bigint").alias("units_sold"),
+                                                     F.sum("gross_sales").cast(TOTAL).alias("gross_sales"))
+    whole = [F.sum(c).cast("decimal(20,0)") for c in ("stars", "rated")]
+    ratings = ratings_months.groupBy("product_code").agg(
+        F.sum("rating_count").cast("bigint").alias("rating_count"),
+        F.when(F.sum("rated") > 0, (whole[0] / whole[1]).cast("decimal(14,6)").cast("decimal(10,2)")).alias("average_rating"))
+    return _performance(dim_products, sales, ratings)
+
+
+def sales_table(spark: SparkSession, path: str) -> PartitionedTable:
+    """``mart_monthly_sales`` as a table that is replaced month by month."""
+    schema = StructType.fromDDL(f"sales_year int, sales_month int, order_count bigint, units_sold bigint, gross_sales {TOTAL}, "
+                                "average_order_line_amount decimal(18,4)")
+    month = F.when(F.col("sales_year").isNotNull(), F.format_string("%04d-%02d", "sales_year", "sales_month"))
+    return PartitionedTable(spark, path, schema, "month", by=month)
+
+
+def product_months_table(spark: SparkSession, path: str) -> PartitionedTable:
+    return PartitionedTable(spark, path, StructType.fromDDL(f"month string, product_code string, units_sold bigint, gross_sales {TOTAL}"), "month")
+
+
+def rating_months_table(spark: SparkSession, path: str) -> PartitionedTable:
+    return PartitionedTable(spark, path, StructType.fromDDL("month string, product_code string, rating_count bigint, rated bigint, stars bigint"), "month")
+
+
+def refresh_months(table: PartitionedTable, facts: PartitionedTable, build: Callable[[DataFrame], DataFrame], months: list | None) -> DataFrame:
+    """Bring a table of months up to date with the facts: ``months``, the partitions of the facts that changed,
+    are built anew from those partitions alone, all of them if the table is new or ``months`` is null."""
+    if months is None or not table.exists():
+        table.replace(build(facts.read()))
+    else:
+        table.replace_partitions(build(facts.read_partitions(months)), months)
+    return table.read()

@@ -312,7 +312,7 @@ def build_star(spark: SparkSession, ctx: RunContext, lake: Lake, full_refresh: b
             return star.fact_order_items_slice(cur["orderdetails"], cur["orders"], day)
         return star.fact_product_ratings_slice(rfml, day)
 
-    out, merged = {}, 0
+    out, merged, changed, tables = {}, 0, {}, {}
     for name, key in MODEL_KEYS.items():
         whole = full(name).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now())
         table = model_table(spark, lake, name, whole.schema, key)
@@ -322,13 +322,17 @@ def build_star(spark: SparkSession, ctx: RunContext, lake: Lake, full_refresh: b
             # slices are unique on the model key by construction: no duplicate-source check
             obs = Observation(f"merged_{name}")
             part = fresh(name).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now()).observe(obs, F.count(F.lit(1)).alias("n"))
-            table.merge(_staged(part, lake, name), [key], check_unique=False)
+            changed[name] = table.merge(_staged(part, lake, name), [key], check_unique=False)
             merged += int(obs.get["n"])
-        out[name] = table.read()
+        out[name], tables[name] = table.read(), table
     out["dim_date"] = replace_table(star.dim_date(out["fact_order_items"]), lake.models("dim_date"))
-    replace_table(marts.mart_monthly_sales(out["fact_order_items"]), lake.models("mart_monthly_sales"))
-    replace_table(marts.mart_product_performance(out["dim_products"], out["fact_order_items"], out["fact_product_ratings"]),
-                  lake.models("mart_product_performance"))
+    # the marts are brought up to date from the months whose facts were rewritten
+    items, rated = tables["fact_order_items"], tables["fact_product_ratings"]
+    months, rating_months = changed.get("fact_order_items"), changed.get("fact_product_ratings")
+    marts.refresh_months(marts.sales_table(spark, lake.models("mart_monthly_sales")), items, marts.mart_monthly_sales, months)
+    sold = marts.refresh_months(marts.product_months_table(spark, lake.models("product_months")), items, marts.product_months, months)
+    stars = marts.refresh_months(marts.rating_months_table(spark, lake.models("rating_months")), rated, marts.rating_months, rating_months)
+    replace_table(marts.product_performance(out["dim_products"], sold, stars), lake.models("mart_product_performance"))
     register_views(spark, lake)
     results = model_tests(out)
     results.coalesce(1).write.mode("overwrite").json(lake.quality(ctx, "models"))

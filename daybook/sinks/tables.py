@@ -332,6 +332,25 @@ class PartitionedTable:
             self._open()
         return self._stored().select(*self.columns)
 
+    def read_partitions(self, values: list) -> DataFrame:
+        """The rows of these partitions alone."""
+        self._open()
+        return self._stored().filter(self._inside(values)).select(*self.columns)
+
+    def replace_partitions(self, df: DataFrame, values: list) -> None:
+        """Replace these partitions by the rows of ``df``, which are all of them; one without rows goes."""
+        self._open()
+        if not values:
+            return
+        places = self._write(self._placed(df), None)
+        self._switch(places)
+        self._forget(self._names(values) - set(places))
+        self.vacuum()
+
+    def _names(self, values: list) -> set[str]:
+        utils = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return {utils.getPartitionPathString(self.partition, None if v is None else str(v)) for v in values}
+
     def _placed(self, df: DataFrame) -> DataFrame:
         df = df.select(*self.columns)
         return df if self.by is None else df.withColumn(self.partition, self.by.cast("string"))
@@ -379,9 +398,7 @@ class PartitionedTable:
         merged = upsert(stored.filter(self._inside(values)), source, keys, update_when, check_unique)
         places = self._write(merged, None if self.of_keys else keys)
         self._switch(places)
-        utils = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        rewritten = {utils.getPartitionPathString(p, None if v is None else str(v)) for v in values}
-        self._forget(rewritten - set(places))  # every row of the partition has moved to another one
+        self._forget(self._names(values) - set(places))  # every row of the partition has moved to another one
         self.vacuum()
         return values
 
