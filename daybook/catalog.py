@@ -793,6 +793,40 @@ def json_files_quarantine(spark, sf):
                        F.md5("_broken").alias("content_md5"))
 
 
+@query
+def reconcile_content(spark, sf):
+    """Events against their valid and rejected rows, per day. Of every five days, on one a row is lost and
+    another doubled (the counts agree), on one a row is lost, and on one a value is changed."""
+    from daybook.operators.quality import reconcile_content as reconcile
+
+    e = td.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd").alias("processing_date"))
+    kind = F.dayofmonth(F.col("processing_date").cast("date")) % 5
+    ends = e.groupBy("processing_date").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    marked = e.join(ends, "processing_date")
+    first, last = F.col("event_id") == F.col("first"), F.col("event_id") == F.col("last")
+    out = marked.filter(~(first & kind.isin(1, 2))).withColumn("copies", F.when(last & (kind == 1), 2).otherwise(1))
+    out = out.withColumn("user_id", F.when(first & (kind == 3), F.col("user_id") + 1).otherwise(F.col("user_id")))
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*e.columns)
+    bad = F.col("event_type") == "error"
+    return reconcile(e, [out.filter(~bad), out.filter(bad)], ["event_id", "user_id", "event_type", "value"], ["processing_date"])
+
+
+@query
+def latest_master_state(spark, sf):
+    """The newest row of every product as kept state: the newest day first, then the others in turn, one of them twice."""
+    from daybook.plans.masters import master_table, refresh_master
+
+    p = _written(spark, "products", td.products(spark, sf))
+    days = sorted(r[0] for r in p.select("processing_date").distinct().collect())
+    table = master_table(spark, _scratch(spark, "master"), p.schema, "productCode")
+    table.replace(p.limit(0))
+    come = F.lit(False)
+    for day in [days[-1], *days[:-1], days[0]]:
+        come = come | (F.col("processing_date") == day)
+        refresh_master(table, p.filter(come), "productCode", day)
+    return table.read()
+
+
 @query
 def notification_dead_letter(spark, sf):
     """Events as receives of a user's messages of one kind, of which every seventh works: what became of each message."""

@@ -198,3 +198,30 @@ def model_gate(results: DataFrame) -> None:
     failed = sorted(f"{r.model}.{r.column_name}:{r.test} ({r.failures})" for r in results.filter(F.col("failures") > 0).collect())
     if failed:
         raise ModelTestError("Model tests failed: " + ", ".join(failed))
+
+
+def content_sum(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
+    """Row count and order-free checksum of the rows' values: the sum of their 64-bit hashes, in a decimal that
+    10^18 rows cannot overflow. Equal multisets of rows have equal sums."""
+    return F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+
+
+def reconcile_content(source: DataFrame, results: Sequence[DataFrame], columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """``by``, ``source_rows, result_rows, status`` of every group: ``match``, ``rows differ`` (their number) or
+    ``content differs`` (as many rows, not the same ones: a row lost and another doubled, or a value changed).
+
+    The results (valid rows, rejects of each kind) together have to be the source's rows. Every row is read once,
+    hashed and summed; only sums are shuffled.
+    """
+    def summed(df: DataFrame, side: str) -> DataFrame:
+        n, total = content_sum(df, columns)
+        return df.groupBy(*by).agg(n.alias("n"), total.alias("total")).withColumn("side", F.lit(side))
+
+    sums = summed(source, "source")
+    for r in results:
+        sums = sums.unionByName(summed(r, "result"))
+    own = [(F.coalesce(F.sum(F.when(F.col("side") == s, F.col(c))), F.lit(0)).alias(f"{s}_{c}")) for s in ("source", "result") for c in ("n", "total")]
+    out = sums.groupBy(*by).agg(*own)
+    status = F.when(F.col("source_n") != F.col("result_n"), "rows differ").when(F.col("source_total") != F.col("result_total"), "content differs")
+    return out.select(*by, F.col("source_n").cast("long").alias("source_rows"), F.col("result_n").cast("long").alias("result_rows"),
+                      status.otherwise("match").alias("status"))

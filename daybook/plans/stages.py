@@ -24,7 +24,7 @@ from daybook.operators.quality import curated_checks, gate, model_gate, model_te
 from daybook.operators.routing import known_keys
 from daybook.operators.typing import add_curated_metadata, add_ingest_metadata, conform, type_ratings
 from daybook.operators.validate import validate
-from daybook.plans import marts, presentation, ratings, staging, star
+from daybook.plans import marts, masters, presentation, ratings, staging, star
 from daybook.plans.curation import curate
 from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, listed, path_exists, replace_table,
                                   wider_type, write_landing_csv, write_rejects)
@@ -120,9 +120,20 @@ def write_curated(spark: SparkSession, lake: Lake, table: str, df: DataFrame, da
         else:
             _register(spark, lake, table, df.schema)
     insert_overwrite_partition(spark, df, name, "processing_date", day, set_aside if ctx else None)
+    if table in masters.MASTER_KEYS:
+        curated = _curated_table(spark, lake, table)
+        masters.refresh_master(masters.master_table(spark, lake.lakehouse(f"master_{table}"), curated.schema, masters.MASTER_KEYS[table]),
+                               curated, masters.MASTER_KEYS[table], day)
     return rejected
 
 
+def _master(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """The newest row of every key of a curated table: its kept state, or (files that no stage wrote) all its days."""
+    curated = _curated_table(spark, lake, table)
+    kept = masters.master_table(spark, lake.lakehouse(f"master_{table}"), curated.schema, masters.MASTER_KEYS[table]).read()
+    return curated if kept is None else kept
+
+
 def ratings_for_ml_table(spark: SparkSession, lake: Lake) -> PartitionedTable:
     """Rating events, partitioned by day; a key's rating time tells which days can hold it."""
     return PartitionedTable(spark, lake.lakehouse("ratings_for_ml"), RATINGS_FOR_ML_SCHEMA, "processing_date", zone=["ratingTimestamp"])
@@ -220,7 +231,7 @@ def _transform_events(spark: SparkSession, ctx: RunContext, lake: Lake, landed:
     """Typed and validated once, deduplicated and routed once: both steps are staged as tables, and the
     rejects and the merge both read the second."""
     tagged = _staged(validate(type_ratings(landed, day), RATING_RULES, mode="first"), lake, "typed_ratings")
-    staged = _staged(ratings.outcome(tagged, _curated_table(spark, lake, "customers"), _curated_table(spark, lake, "products")),
+    staged = _staged(ratings.outcome(tagged, _master(spark, lake, "customers"), _master(spark, lake, "products")),
                      lake, "ratings")
     rejected = write_rejects(staged.filter(F.col("reject_reason").isNotNull()).drop("productName", "productLine"), lake.root, "ratings", ctx, stamp=False)
     obs = Observation("known_ratings")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
@@ -22,13 +24,34 @@ def day_window_scan(df: DataFrame, column: str, ctx: RunContext) -> DataFrame:
     return window_scan(df, column, ctx.window_start.isoformat(sep=" "), ctx.window_end.isoformat(sep=" "))
 
 
+def _jdbc_literal(value) -> str:
+    """A value in SQL that every JDBC driver takes (escape syntax for dates and times)."""
+    if isinstance(value, datetime.datetime):
+        return f"{{ts '{value.isoformat(sep=' ')}'}}"
+    return f"{{d '{value.isoformat()}'}}" if isinstance(value, datetime.date) else str(value)
+
+
+def quantile_cuts(column: DataFrame, parts: int) -> list:
+    """Ascending values that cut the rows of a one-column frame (numbers, dates or timestamps) into ``parts`` of
+    about equal size; fewer where a value repeats over several parts."""
+    name, kind = column.columns[0], column.schema[0].dataType.simpleString()
+    number = {"date": F.unix_date(name), "timestamp": F.unix_micros(name)}.get(kind, F.col(name)).alias("v")
+    shares = [i / parts for i in range(1, parts)]
+    cuts = column.select(number).agg(F.percentile_approx("v", shares, 10_000)).first()[0] or []
+    back = {"date": F.date_from_unix_date(F.col("c").cast("int")), "timestamp": F.timestamp_micros("c")}.get(kind, F.col("c"))
+    spark = column.sparkSession
+    found = spark.createDataFrame([(c,) for c in sorted(set(cuts))], f"c {'bigint' if kind in ('date', 'timestamp') else kind}") if cuts else None
+    return [r[0] for r in found.select(back.alias("v")).orderBy("v").collect()] if found is not None else []
+
+
 def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str, properties: dict | None = None,
-               num_partitions: int | None = None, whole: str | None = None) -> DataFrame:
+               num_partitions: int | None = None, whole: str | None = None, even: bool = False) -> DataFrame:
     """A database table, read in parallel ranges of ``partition_column`` (a number, date or timestamp).
 
-    The bounds are asked from the database (``min`` and ``max`` of the column, over the rows that
-    ``whole`` selects if given); they only place the cuts, no row is left out. As many ranges as the
-    cluster has cores, unless ``num_partitions`` says otherwise.
+    The ranges hold about as many rows each, however the values lie: the cuts are quantiles of the column, which is
+    read alone for them, in parallel even steps between its least and largest value (over the rows that ``whole``
+    selects if given). ``even`` takes these steps themselves as ranges and saves that reading. The cuts only place
+    the borders, no row is left out. As many ranges as the cluster has cores, unless ``num_partitions`` says otherwise.
     """
     def reader(dbtable: str):
         r = spark.read.format("jdbc").option("url", url).option("dbtable", dbtable)
@@ -41,14 +64,27 @@ def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str,
     if low is None or low == high:
         return reader(table).load()
     n = num_partitions or spark.sparkContext.defaultParallelism
-    return (reader(table).option("partitionColumn", partition_column).option("lowerBound", str(low))
-            .option("upperBound", str(high)).option("numPartitions", n).load())
+
+    def steps(dbtable: str, column: str) -> DataFrame:
+        return (reader(dbtable).option("partitionColumn", column).option("lowerBound", str(low))
+                .option("upperBound", str(high)).option("numPartitions", n).load())
+
+    if even or n < 2:
+        return steps(table, partition_column)
+    cuts = quantile_cuts(steps(f"(select {partition_column} as part_value from {table}{where}) q", "part_value"), n)
+    if not cuts:
+        return reader(table).load()
+    values = [_jdbc_literal(c) for c in cuts]
+    ranges = [f"{partition_column} < {values[0]} or {partition_column} is null"]
+    ranges += [f"{partition_column} >= {a} and {partition_column} < {b}" for a, b in zip(values, values[1:], strict=False)]
+    ranges.append(f"{partition_column} >= {values[-1]}")
+    return spark.read.jdbc(url, table, predicates=ranges, properties=properties or {})
 
 
 def incremental_jdbc(spark: SparkSession, url: str, table: str, ctx: RunContext, partition_column: str,
                      column: str = "updated_at", **kw) -> DataFrame:
     """Rows changed on the run's day (the window pushes down to the database as a WHERE clause)."""
-    window = f"{column} >= TIMESTAMP('{ctx.window_start.isoformat(sep=' ')}') and {column} < TIMESTAMP('{ctx.window_end.isoformat(sep=' ')}')"
+    window = f"{column} >= {_jdbc_literal(ctx.window_start)} and {column} < {_jdbc_literal(ctx.window_end)}"
     return day_window_scan(jdbc_table(spark, url, table, partition_column, whole=kw.pop("whole", window), **kw), column, ctx)
 
 

@@ -234,3 +234,23 @@ def test_arrivals_of_two_dates_are_ingested_under_their_own_day(spark, tmp_dir):
     got = ratings_for_ml_table(spark, lake).read()
     assert rows(got, "processing_date", "productRating") == [("2026-09-09", 5), ("2026-09-10", 4)]
     assert spark.read.parquet(f"{lake.root}/quarantine/notifications/run_id=q1").count() == 1
+
+
+def test_jdbc_ranges_follow_the_data(spark):
+    """90 % of the rows lie in 1 % of the range: quantile cuts give every task about as many."""
+    from daybook.sources.files import jdbc_table
+
+    _derby(spark, ["CREATE TABLE skewed (id INT, happened TIMESTAMP, d DATE)"])
+    rows_ = [(i % 100 if i % 10 else 100 + i * 9, i) for i in range(1, 1001)] + [(None, 1), (None, 2)]
+    stamp = dt.datetime(2024, 1, 1)
+    for lo in range(0, len(rows_), 250):
+        values = ", ".join(f"({'NULL' if v is None else v}, TIMESTAMP('{stamp + dt.timedelta(minutes=(v or 0))}'), DATE('{(stamp + dt.timedelta(days=(v or 0) // 10)).date()}'))"
+                           for v, _ in rows_[lo:lo + 250])
+        _derby(spark, [f"INSERT INTO skewed VALUES {values}"])
+    for column in ("id", "happened", "d"):
+        df = jdbc_table(spark, URL, "skewed", column, num_partitions=8, properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 1002 and len(sizes) >= 6 and max(sizes) < 2 * 1002 / len(sizes)
+        even = jdbc_table(spark, URL, "skewed", column, num_partitions=8, properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, even=True)
+        assert max(r["count"] for r in even.groupBy(F.spark_partition_id()).count().collect()) > 800 and even.count() == 1002
+        assert sorted(map(str, df.collect())) == sorted(map(str, even.collect()))
