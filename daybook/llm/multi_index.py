@@ -3,6 +3,9 @@
 Both halves of the vectors are quantised by k-means; a row's cell is its pair of centroids. A query
 walks the centroid pairs by summed distance with a heap until the cells it has seen hold the wanted
 share of the index, and the rows of these cells are reranked by the exact inner product.
+
+Nearness is the inner product, so a row gets one more component, ``sqrt(M^2 - |x|^2)`` with M the largest length,
+and a query a zero: among rows of equal length M the nearest are those of the largest product.
 """
 
 from __future__ import annotations
@@ -31,6 +34,35 @@ class MultiIndex:
     distinct: np.ndarray
     first: np.ndarray
     blocks: np.ndarray
+    unit: float  # the components are divided by it, so that no square overflows
+    longest: float  # of the rows, in that unit
+
+
+def lengthened(x: np.ndarray, unit: float, longest: float) -> np.ndarray:
+    """Rows with the component that makes their lengths equal."""
+    x = x / unit
+    return np.concatenate([x, np.sqrt(np.maximum(0, longest ** 2 - (x * x).sum(1)))[:, None]], axis=1)
+
+
+def as_query(x: np.ndarray, unit: float, longest: float) -> np.ndarray:
+    """Queries of the rows' length; theirs doesn't change the order of the products."""
+    x = x / np.abs(x).max(1, keepdims=True)
+    x = x * (longest / np.sqrt((x * x).sum(1, keepdims=True)))
+    return np.concatenate([x, np.zeros((len(x), 1))], axis=1)
+
+
+def deal(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block of each cell and how many it has: neighbouring cells share a block of about ``size`` rows; a larger
+    cell has several of its own."""
+    first, blocks, at, filled = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64), 0, 0
+    for c, n in enumerate(counts.tolist()):
+        if filled and filled + n > size:
+            at, filled = at + 1, 0
+        first[c], blocks[c] = at, max(1, -(-n // size))
+        filled += n
+        if blocks[c] > 1:
+            at, filled = at + blocks[c], 0
+    return first, blocks
 
 
 def build(vectors: DataFrame, *, cell_rows: int = 50, max_centroids: int = 256, sample: int = 16_384,
@@ -45,7 +77,10 @@ def build(vectors: DataFrame, *, cell_rows: int = 50, max_centroids: int = 256,
         return None
     k = max(1, min(max_centroids, round(math.sqrt(total / cell_rows))))
     drawn = sample_rows(vectors, sample, total, seed, "id", "vec") or vectors.limit(1).collect()
-    points = np.array([r["vec"] for r in drawn], np.float64)
+    unit = vectors.agg(F.max(F.array_max(F.transform("vec", lambda v: F.abs(v.cast("double")))))).first()[0]
+    squares = F.aggregate("vec", F.lit(0.0), lambda a, v: a + (v / F.lit(unit)) * (v / F.lit(unit)))
+    longest = math.sqrt(vectors.agg(F.max(squares)).first()[0])
+    points = lengthened(np.array([r["vec"] for r in drawn], np.float64), unit, longest)
     half = points.shape[1] // 2
     books = tuple(k_means(points[:, part], k, rounds, seed) if points[:, part].shape[1] else np.zeros((1, 0))
                   for part in (slice(0, half), slice(half, None)))
@@ -54,7 +89,7 @@ def build(vectors: DataFrame, *, cell_rows: int = 50, max_centroids: int = 256,
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x = matrix(b.column("vec"))
+                x = lengthened(matrix(b.column("vec")), unit, longest)
                 cell = nearest(x[:, :half], books[0], False)[0] * width + nearest(x[:, half:], books[1], False)[0]
                 yield b.append_column("cell", pa.array(cell.astype(np.int32)))
 
@@ -65,16 +100,7 @@ def build(vectors: DataFrame, *, cell_rows: int = 50, max_centroids: int = 256,
     distinct, n = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
     for r in counts:
         distinct[r["cell"]], n[r["cell"]] = r["d"], r["n"]
-    # neighbouring cells share a block of about block_rows rows; a larger cell has several of its own
-    first, blocks, at, filled = np.zeros(cells, np.int64), np.ones(cells, np.int64), 0, 0
-    for c in range(cells):
-        if filled and filled + n[c] > block_rows:
-            at, filled = at + 1, 0
-        first[c], blocks[c] = at, max(1, -(-n[c] // block_rows))
-        filled += n[c]
-        if blocks[c] > 1:
-            at, filled = at + blocks[c], 0
-    return MultiIndex(rows, books, distinct, first, blocks)
+    return MultiIndex(rows, books, distinct, *deal(n, block_rows), unit, longest)
 
 
 def visited_cells(query: np.ndarray, books: tuple[np.ndarray, np.ndarray], distinct: np.ndarray, wanted: float) -> list[int]:
@@ -116,7 +142,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, *, id_col: str = "v
     ``visit`` is the share of the distinct vectors a query sees, ``least_visited`` a number it sees at
     least: vectors without structure need a large share for a recall of 0.9, clustered ones a small
     one. Copies do not count, so a hot group does not use a query's share up. A task compares one
-    block of rows with one chunk of queries; both are bounded.
+    block of rows with one chunk of queries; both are bounded. Queries of neighbouring cells share a chunk, and a
+    block goes only to the chunks that have a query which sees it.
     """
     def fit(df: DataFrame) -> DataFrame:
         df = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
@@ -132,8 +159,23 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, *, id_col: str = "v
     index = build(known.where(F.size("vec") == dim["dim"]), **index_options)
     asked = fit(queries).where(F.size("vec") == dim["dim"]).groupBy("id").agg(F.min("vec").alias("vec"))
     asked = materialise(asked, "queries")
-    chunks = max(1, -(-asked.count() // query_rows))
-    books, distinct, first, blocks = index.books, index.distinct, index.first, index.blocks
+    books, distinct, first, blocks, unit, longest = index.books, index.distinct, index.first, index.blocks, index.unit, index.longest
+    width = len(books[1])
+    half = books[0].shape[1]
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                x = as_query(matrix(b.column("vec")), unit, longest)
+                cell = nearest(x[:, :half], books[0], False)[0] * width + nearest(x[:, half:], books[1], False)[0]
+                yield b.append_column("home", pa.array(cell.astype(np.int32)))
+
+    vec_type = known.schema["vec"].dataType.simpleString()
+    asked = materialise(asked.mapInArrow(home, f"id {id_type}, vec {vec_type}, home int"), "homes")
+    homes = np.zeros(len(distinct), np.int64)
+    for r in asked.groupBy("home").count().collect():  # one number for each cell at most
+        homes[r["home"]] = r["count"]
+    first_chunk, own_chunks = deal(homes, query_rows)
     wanted = max(least_visited, visit * int(distinct.sum())) + 1  # the query's own vector may be among them
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +183,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, *, id_col: str = "v
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
                 row, block, cells = [], [], []
-                for i, q in enumerate(matrix(part.column("vec"))):
+                for i, q in enumerate(as_query(matrix(part.column("vec")), unit, longest)):
                     at: dict[int, list[int]] = {}
                     for c in visited_cells(q, books, distinct, wanted):
                         for n in range(first[c], first[c] + blocks[c]):
@@ -149,14 +191,17 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, *, id_col: str = "v
                     row += [i] * len(at)
                     block += at
                     cells += at.values()
+                at_home, spread = part.column("home").to_numpy(), part.column("spread").to_numpy()
+                chunk = (first_chunk[at_home] + spread % own_chunks[at_home]).astype(np.int32)
                 out = part.take(pa.array(row, pa.int32()))
                 yield pa.RecordBatch.from_arrays([out.column("id"), out.column("vec"), pa.array(block, pa.int32()),
-                                                  pa.array(cells, pa.list_(pa.int32()))], ["id", "vec", "block", "cells"])
+                                                  pa.array(cells, pa.list_(pa.int32())), pa.array(chunk[np.array(row, np.int64)])],
+                                                 ["id", "vec", "block", "cells", "chunk"])
 
-    vec_type = known.schema["vec"].dataType.simpleString()
-    walks = asked.repartition(max(chunks, spark.sparkContext.defaultParallelism), "id").mapInArrow(
-        walk, f"id {id_type}, vec {vec_type}, block int, cells array<int>")
-    walks = walks.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
+    tasks = max(-(-int(homes.sum()) // query_rows), spark.sparkContext.defaultParallelism)
+    walks = asked.withColumn("spread", F.xxhash64("id")).repartition(tasks, "id").mapInArrow(
+        walk, f"id {id_type}, vec {vec_type}, block int, cells array<int>, chunk int")
+    walks = materialise(walks, "walks")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -165,7 +210,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, *, id_col: str = "v
             yield b.append_column("block", pa.array((first[cell] + spread % blocks[cell]).astype(np.int32))).drop_columns(["spread"])
 
     placed = index.rows.withColumn("spread", F.xxhash64("id")).mapInArrow(place, f"id {id_type}, vec {vec_type}, cell int, block int")
-    placed = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    placed = placed.join(materialise(walks.select("block", "chunk").distinct(), "pairs"), "block")
 
     def rerank(queries: pa.Table, rows: pa.Table) -> pa.Table:
         ids, x, cell = rows.column("id").to_numpy(), matrix(rows.column("vec")), rows.column("cell").to_numpy()
