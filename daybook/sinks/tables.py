@@ -430,15 +430,12 @@ class PartitionedTable:
         """Partitions that can hold a key of the source: all those without a summary, and those whose ranges and
         Bloom filter do not rule every key out."""
         p, zone, jvm = self.partition, self.zone or keys, self.spark._jvm
-        versions: dict[str, list[str]] = {}
-        unknown, n = [], 0
+        roots: dict[str, list[str]] = {}
         for folder, place in self._current().items():
-            root = place.rstrip("/").rsplit("/", 1)[0]
-            n += 1
-            if path_exists(self.spark, f"{root}/_blooms/_SUCCESS"):
-                versions.setdefault(root, []).append(folder)
-            else:
-                unknown.append(folder)
+            roots.setdefault(place.rstrip("/").rsplit("/", 1)[0], []).append(folder)
+        versions = {root: folders for root, folders in roots.items() if path_exists(self.spark, f"{root}/_blooms/_SUCCESS")}
+        unknown = [f for root, folders in roots.items() if root not in versions for f in folders]
+        n = sum(map(len, roots.values()))
         utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
 
         def value(folder: str):
