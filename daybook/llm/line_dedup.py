@@ -75,7 +75,7 @@ def _positions(docs: DataFrame, run_lines: int, run_words: int) -> DataFrame:
                 span = np.array(spans, np.int32).reshape(-1, 2)
                 key = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
                 items = pa.StructArray.from_arrays([pa.array(c) for c in (span[:, 0], span[:, 1], key[:, 0], key[:, 1])], fields=list(windows))
-                who = part.take(pa.array(rows, pa.int32()))
+                who = part.select(["id", "th"]).take(pa.array(rows, pa.int32()))  # not the texts
                 yield pa.RecordBatch.from_arrays(
                     [who.column("id"), who.column("th"), pa.array(np.array(fps, np.uint64).view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), items)], ["id", "th", "fp", "windows"])
