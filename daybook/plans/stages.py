@@ -7,6 +7,8 @@ counts that the audit records.
 
 from __future__ import annotations
 
+import contextvars
+import functools
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -26,8 +28,8 @@ from daybook.operators.typing import add_curated_metadata, add_ingest_metadata,
 from daybook.operators.validate import validate
 from daybook.plans import marts, masters, presentation, ratings, staging, star
 from daybook.plans.curation import curate
-from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, listed, path_exists, replace_table,
-                                  wider_type, write_landing_csv, write_rejects)
+from daybook.sinks.tables import (PartitionedTable, insert_overwrite_partition, listed, path_exists, remove_folder,
+                                  replace_table, wider_type, write_landing_csv, write_rejects)
 from daybook.sources.files import (MALFORMED_FILE, catalog_table, day_window_scan, json_file_rows, read_landed_csv, read_landed_json,
                                    register_external, whole_json_files)
 from daybook.spec import RATING_KEYS, RATING_PAIR, RATING_RULES, RATINGS_FOR_ML_SCHEMA, RATINGS_SCHEMA, SPECS
@@ -155,9 +157,34 @@ def model_table(spark: SparkSession, lake: Lake, name: str, schema: StructType,
     return PartitionedTable(spark, lake.models(name), schema, "bucket", by=F.pmod(F.xxhash64(key), F.lit(64)), of_keys=True)
 
 
+#: Staged tables of the stage that runs.
+_STAGED: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("staged", default=None)
+
+
 def _staged(df: DataFrame, lake: Lake, name: str) -> DataFrame:
-    """Evaluate a merge source once: written to the lake's staging area and read back."""
-    return replace_table(df, lake.staging(name))
+    """Evaluate a merge source once: written to the lake's staging area and read back. The stage that stages
+    it removes it when it ends (``clears_staging``)."""
+    path = lake.staging(name)
+    if (paths := _STAGED.get()) is not None:
+        paths.append(path)
+    return replace_table(df, path)
+
+
+def clears_staging(stage):
+    """The stage's staged tables go when it ends, well or not: a rerun stages its own."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, *args, **kw):
+        paths: list[str] = []
+        token = _STAGED.set(paths)
+        try:
+            return stage(spark, *args, **kw)
+        finally:
+            _STAGED.reset(token)
+            for p in paths:
+                remove_folder(spark, p)
+
+    return run
 
 
 # ------------------------------------------------------------------ landing ---------------
@@ -227,6 +254,7 @@ def transform_relational(spark: SparkSession, ctx: RunContext, lake: Lake, table
     return totals
 
 
+@clears_staging
 def _transform_events(spark: SparkSession, ctx: RunContext, lake: Lake, landed: DataFrame, day: str | None) -> dict:
     """Typed and validated once, deduplicated and routed once: both steps are staged as tables, and the
     rejects and the merge both read the second."""
@@ -251,6 +279,7 @@ def transform_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
     return _transform_events(spark, ctx, lake, landed, ctx.processing_date)
 
 
+@clears_staging
 def merge_ratings(spark: SparkSession, ctx: RunContext, lake: Lake) -> dict:
     """Newest rating per pair of the day -> conditional merge into the current-state ``ratings``."""
     rfml = ratings_for_ml_table(spark, lake).read()
@@ -297,6 +326,7 @@ MODEL_KEYS = {"dim_customers": "customer_number", "dim_products": "product_code"
               "fact_product_ratings": "rating_id"}
 
 
+@clears_staging
 def build_star(spark: SparkSession, ctx: RunContext, lake: Lake, full_refresh: bool = False) -> dict:
     """Staging views -> incremental dims and facts (merge on the unique key) -> dim_date -> marts, then
     the declared model tests over the written models; a failing test fails the stage once its results are

@@ -143,6 +143,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def listed(spark: SparkSession, path: str, folders: bool) -> list[str]:
     """Names of the folders, or of the data files, in a folder; none where there is no such folder."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -192,10 +197,7 @@ def write_rejects(rejected: DataFrame, root: str, table: str, ctx: RunContext, s
     out.write.mode("overwrite").parquet(path)
     n = int(obs.get["n"])
     if n == 0:
-        spark = rejected.sparkSession
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        remove_folder(rejected.sparkSession, path)
     return n
 
 
@@ -258,10 +260,6 @@ class PartitionedTable:
     def _folders(self, path: str) -> list[str]:
         return listed(self.spark, path, True)
 
-    def _fs(self, path: str):
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root
-
     def _committed(self) -> dict[str, str]:
         """Partition folder name -> where its newest committed version lies. A table has few versions at a time:
         those that its partitions use."""
@@ -317,8 +315,7 @@ class PartitionedTable:
             else:
                 doomed = [place] if folder.startswith(f"{self.partition}=") and _place(place) not in used else []
             for d in doomed:
-                fs, root = self._fs(d)
-                fs.delete(root, True)
+                remove_folder(self.spark, d)
 
     # --- reading and writing ---
 
