@@ -325,8 +325,8 @@ class PartitionedTable:
     def read(self) -> DataFrame | None:
         if not self.exists():
             return None
-        if not self.spark.catalog.tableExists(self.name):
-            self._open()
+        if not self.spark.catalog.tableExists(self.name) or not set(self.schema.names) <= set(self._stored().columns):
+            self._open()  # also for columns that are new
         return self._stored().select(*self.columns)
 
     def read_partitions(self, values: list) -> DataFrame:

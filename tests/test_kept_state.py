@@ -29,6 +29,17 @@ def test_masters_equal_the_ranking_after_backfills_and_reruns(spark, tmp_dir):
     assert rows(t.read()) == rows(latest_master(curated, "k").select(*t.read().columns))
 
 
+def test_masters_take_new_columns(spark, tmp_dir):
+    path, old = os.path.join(tmp_dir, "m"), spark.createDataFrame([(1, "a", "2024-01-01")], "k int, name string, processing_date string").withColumn(
+        "ingest_ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    refresh_master(master_table(spark, path, old.schema, "k"), old, "k", "2024-01-01")
+    new = old.withColumn("tier", F.lit(None).cast("string")).unionByName(
+        old.withColumns({"k": F.lit(2), "processing_date": F.lit("2024-01-02"), "tier": F.lit("gold")}))
+    t = master_table(spark, path, new.schema, "k")
+    refresh_master(t, new, "k", "2024-01-02")
+    assert rows(t.read(), "k", "tier") == [(1, None), (2, "gold")]
+
+
 def test_marts_of_rewritten_months_equal_a_full_build(spark, tmp_dir):
     rng = random.Random(6)
     schema = "order_item_id string, order_number long, order_date date, product_code string, quantity_ordered int, gross_amount decimal(18,4)"
