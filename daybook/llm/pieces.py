@@ -39,7 +39,7 @@ KNOWN_LENGTH = 200  # of a remembered segment
 KNOWN_PAIRS = 100_000
 PAIR_BITS = 20
 LONE_LENGTH = 40
-CHARS_AT_ONCE = 1_500_000
+CHARS_AT_ONCE = 3_000_000
 
 
 @dataclass
