@@ -47,28 +47,24 @@ def given_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
     return F.array_max(F.array_compact(F.array(*fits)))
 
 
-def mine_rules(labelled: DataFrame, *, min_support: float = 0.002, min_count: int = 20, min_confidence: float = 0.9,
-               max_urls: int = 2_000_000, seed: int = 7) -> DataFrame | None:
+def mine_rules(labelled: DataFrame, *, min_support: float = 0.002, min_count: int = 20, min_confidence: float = 0.9) -> DataFrame | None:
     """Association rules from ``labelled(url, label)`` (label null: open), or None if nothing is labelled.
 
     Each distinct URL is a set of tokens plus its label. FP-growth finds the combinations that hold in
     ``min_support`` of the URLs (and in ``min_count`` at least); those that imply a label with
     ``min_confidence`` are kept. Rows without a label count in the denominator, as URLs of which it is
-    known that they have none; leave undecided URLs out (``judge`` does). Fitted on a hash sample of about ``max_urls`` URLs.
+    known that they have none; leave undecided URLs out (``judge`` does). All of them are counted: FP-growth is distributed.
 
     Returns the inverted index ``token, rule, need`` (tokens of the rule), ``label, confidence, support``.
     """
     urls = labelled.where(F.col("url").isNotNull()).groupBy("url").agg(F.max("label").alias("label"))
-    chance = F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     label = F.when(F.col("label").isNotNull(), F.array(F.concat(F.lit(LABEL), "label"))).otherwise(F.array())
-    urls = materialise(urls.withColumn("draw", chance)
-                       .select(F.concat(url_tokens(F.col("url")), label).alias("items"), F.col("label").isNotNull().alias("known"), "draw"), "url_tokens")
+    urls = materialise(urls.select(F.concat(url_tokens(F.col("url")), label).alias("items"), F.col("label").isNotNull().alias("known")), "url_tokens")
     n, known = urls.agg(F.count("*"), F.count(F.when(F.col("known"), 1))).first()
     if not known:
         return None
-    baskets = urls.where(F.col("draw") < max_urls / n).select("items")
-    support = min(1.0, max(min_support, min_count / min(n, max_urls)))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
+    support = min(1.0, max(min_support, min_count / n))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(urls.select("items"))
     kind = F.col("consequent")[0]
     rules = materialise(model.associationRules.where(kind.startswith(LABEL)).select(
         F.sort_array("antecedent").alias("tokens"), F.substring_index(kind, "=", -1).alias("label"), "confidence", "support"), "rules")
