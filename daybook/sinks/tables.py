@@ -223,7 +223,8 @@ class PartitionedTable:
 
     ``zone``: columns whose values the merge keys determine (the keys themselves, if none is named). Next to a
     version lies a summary of its partitions: the least and largest of these, and Bloom bitmaps of the keys. A
-    merge asks it which partitions can hold a key of the source and looks for the keys in those alone.
+    merge asks it which partitions can hold a key of the source and looks for the keys in those alone (for a
+    source so large that asking the filters is more work than reading the keys, the ranges alone decide).
     """
 
     BITS, HASHES, BITMAP = 16, 4, 32_768  # bits for each key, positions of a key, bits of one bitmap
@@ -415,7 +416,7 @@ class PartitionedTable:
         rows = self.spark.read.schema(self.schema).parquet(version).dropna(subset=list(keys))
         ranges = [F.struct(F.min(z).alias("low"), F.max(z).alias("high")).alias(f"zone_{n}") for n, z in enumerate(zone)]
         size = F.count(F.lit(1)) * self.BITS / self.BITMAP
-        parts = replace_table(rows.groupBy(p).agg(F.ceil(size).cast("long").alias("bitmaps"), *ranges), f"{version}/_zones")
+        parts = replace_table(rows.groupBy(p).agg(F.count(F.lit(1)).alias("keys"), F.ceil(size).cast("long").alias("bitmaps"), *ranges), f"{version}/_zones")
         bits = F.col("bitmaps") * F.lit(self.BITMAP)
         # one row for each partition: as many as the layout has folders
         at = rows.select(p, *keys).join(F.broadcast(parts.select(F.col(p).alias("_p"), "bitmaps")), F.col(p).eqNullSafe(F.col("_p")))
@@ -459,10 +460,14 @@ class PartitionedTable:
             near = of("_zones").join(F.broadcast(span))
             for i in range(len(zone)):
                 near = near.filter((F.col(f"_{i}.low") <= F.col(f"zone_{i}.high")) & (F.col(f"_{i}.high") >= F.col(f"zone_{i}.low")))
-            near = near.select(p, "bitmaps", *[f"zone_{i}" for i in range(len(zone))])
-            sizes = [r[0] for r in near.select("bitmaps").distinct().collect()]
+            near = near.select(p, "bitmaps", "keys", *[f"zone_{i}" for i in range(len(zone))])
+            here = near.select(p, "bitmaps", "keys").collect()  # one row for each partition at most
+            sizes = sorted({r["bitmaps"] for r in here})
             asked = keyed.select(*dict.fromkeys([*keys, *zone])).distinct()
-            if sizes:
+            # asking every filter for every key has to be less work than reading the keys themselves
+            if keyed.count() * len(here) * self.HASHES >= sum(r["keys"] for r in here):
+                likely += [r[p] for r in here]
+            else:
                 # each key at its positions in filters of every size that occurs; a partition may hold it if all are set
                 size = F.explode(F.array(*[F.lit(x).cast("long") for x in sizes])).alias("bitmaps")
                 asked = asked.select(F.xxhash64(*keys).alias("key"), *[F.col(z).alias(f"_{i}") for i, z in enumerate(zone)],

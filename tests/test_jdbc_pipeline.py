@@ -234,6 +234,7 @@ def test_arrivals_of_two_dates_are_ingested_under_their_own_day(spark, tmp_dir):
     got = ratings_for_ml_table(spark, lake).read()
     assert rows(got, "processing_date", "productRating") == [("2026-09-09", 5), ("2026-09-10", 4)]
     assert spark.read.parquet(f"{lake.root}/quarantine/notifications/run_id=q1").count() == 1
+    assert os.listdir(f"{lake.root}/_staging") == []  # what the stage staged went with it
 
 
 def test_jdbc_ranges_follow_the_data(spark):
