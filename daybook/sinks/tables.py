@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, StringType, StructField, StructType
 
 from daybook.context import RunContext
 
@@ -42,9 +42,9 @@ MISFIT_REASON = "value does not fit the stored column"
 def wider_type(stored: DataType, given: DataType) -> DataType:
     """The type that holds every value of both without loss; the stored one if there is none.
 
-    Whole numbers widen to longer ones and to decimals, ``float`` to ``double``, small whole numbers to
-    ``double``, and a date to a timestamp. What has no such type (text in a number, a double in a decimal)
-    is left to be judged value by value.
+    Whole numbers widen to longer ones and to decimals, ``float`` and whole numbers up to ``int`` to ``double``:
+    what Parquet readers widen in the older files. What has no such type (text in a number, a double in a
+    decimal, a timestamp in a date) is left to be judged value by value.
     """
     a, b = stored.simpleString(), given.simpleString()
     if a == b:
@@ -59,9 +59,9 @@ def wider_type(stored: DataType, given: DataType) -> DataType:
     if x and y:
         whole, scale = max(x[0], y[0]), max(x[1], y[1])
         return DecimalType(whole + scale, scale) if whole + scale <= 38 else stored
-    if {a, b} <= {"float", "double", "tinyint", "smallint", "int"} and "bigint" not in (a, b):
-        return DoubleType() if "double" in (a, b) or "int" in (a, b) else FloatType()
-    return given if (a, b) == ("date", "timestamp") else stored
+    if a in ("tinyint", "smallint", "int") and b in ("float", "double") or a == "float" and b in ("double", "int"):
+        return DoubleType()
+    return stored
 
 
 def fit_types(df: DataFrame, stored: StructType) -> tuple[DataFrame, StructType]:

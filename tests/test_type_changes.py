@@ -15,8 +15,8 @@ from daybook.sinks.tables import fit_types, wider_type
 @pytest.mark.parametrize("stored, given, wide", [
     ("int", "int", "int"), ("int", "bigint", "bigint"), ("bigint", "int", "bigint"), ("tinyint", "smallint", "smallint"),
     ("int", "decimal(5,2)", "decimal(12,2)"), ("bigint", "decimal(4,4)", "decimal(24,4)"), ("decimal(10,0)", "decimal(5,3)", "decimal(13,3)"),
-    ("decimal(38,0)", "decimal(38,10)", "decimal(38,0)"), ("int", "double", "double"), ("float", "double", "double"), ("smallint", "float", "float"),
-    ("bigint", "double", "bigint"), ("double", "bigint", "double"), ("date", "timestamp", "timestamp"), ("timestamp", "date", "timestamp"),
+    ("decimal(38,0)", "decimal(38,10)", "decimal(38,0)"), ("int", "double", "double"), ("float", "double", "double"), ("smallint", "float", "double"), ("float", "smallint", "float"),
+    ("bigint", "double", "bigint"), ("double", "bigint", "double"), ("date", "timestamp", "date"), ("timestamp", "date", "timestamp"),
     ("int", "string", "int"), ("string", "int", "string"), ("boolean", "int", "boolean"), ("array<int>", "array<bigint>", "array<int>")])
 def test_wider_type(spark, stored, given, wide):
     def of(text):
@@ -63,3 +63,14 @@ def test_a_misfit_fails_a_write_without_rejects(spark, tmp_dir):
     with pytest.raises(Exception, match="does not fit the stored column: v"):
         write_curated(spark, lake, "t", spark.createDataFrame([("1",), ("x",)], "v string"), "2024-01-02")
     assert rows(_curated_table(spark, lake, "t"), "v") == [(1,)]
+
+
+@pytest.mark.parametrize("first, second, a, b", [("smallint", "float", 300, 0.5), ("int", "double", -7, 1e300), ("float", "double", 0.5, 1e300), ("tinyint", "int", 5, 70_000),
+                                                 ("decimal(4,2)", "decimal(12,3)", Decimal("12.34"), Decimal("123456789.125")),
+                                                 ("date", "timestamp", dt.date(2024, 1, 2), dt.datetime(2024, 1, 3))])
+def test_older_files_are_read_in_the_wider_type(spark, tmp_dir, first, second, a, b):
+    lake = Lake(f"{tmp_dir}/lake")
+    write_curated(spark, lake, "t", spark.createDataFrame([(a,)], f"v {first}"), "2024-01-01")
+    write_curated(spark, lake, "t", spark.createDataFrame([(b,)], f"v {second}"), "2024-01-02")
+    want = [a, b.date() if isinstance(b, dt.datetime) else b]
+    assert [r.v for r in _curated_table(spark, lake, "t").orderBy("processing_date").collect()] == want
