@@ -526,10 +526,14 @@ def _prev_day(day: str) -> str:
 
 
 def _merged(spark, name, target, source, keys, partition, update_when=None, by=None, of_keys=False, zone=None):
-    """``target`` written as a partitioned table, ``source`` merged into it, and the table read back."""
     from daybook.sinks.tables import PartitionedTable
 
     table = PartitionedTable(spark, _scratch(spark, name), target.schema, partition, by, of_keys, zone=zone)
+    return _merged_into(spark, name, table, target, source, keys, update_when)
+
+
+def _merged_into(spark, name, table, target, source, keys, update_when=None):
+    """``target`` written as a partitioned table, ``source`` merged into it, and the table read back."""
     table.replace(target, keys)
     table.merge(_written(spark, f"{name}_source", source), keys, update_when, check_unique=True)
     return table.read()
@@ -612,10 +616,10 @@ def incremental_fact_merge(spark, sf):
     """Fact built from all batches before the last, then the last batch's slice merged on order_item_id."""
     day = F.col("processing_date")
     o, d = td.orders(spark, sf), td.orderdetails(spark, sf)
-    before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < LAST_ORDER_BATCH)),
-                                   staging.stg_orders(o.filter(day < LAST_ORDER_BATCH)))
+    before = star.fact_order_items_of(d.filter(day < LAST_ORDER_BATCH), o.filter(day < LAST_ORDER_BATCH))
     fresh = star.fact_order_items_slice(d, o, LAST_ORDER_BATCH)
-    return _merged(spark, "fact", before, fresh, ["order_item_id"], "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"])
+    facts = star.fact_order_items_table(spark, _scratch(spark, "fact"), before.schema)
+    return _merged_into(spark, "fact", facts, before, fresh, ["order_item_id"])
 
 
 def _grown_marts(spark, sf):
@@ -625,8 +629,8 @@ def _grown_marts(spark, sf):
 
     day = F.col("processing_date")
     o, d = td.orders(spark, sf), td.orderdetails(spark, sf)
-    before = star.fact_order_items(staging.stg_orderdetails(d.filter(day < LAST_ORDER_BATCH)), staging.stg_orders(o.filter(day < LAST_ORDER_BATCH)))
-    facts = PartitionedTable(spark, _scratch(spark, "facts"), before.schema, "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"])
+    before = star.fact_order_items_of(d.filter(day < LAST_ORDER_BATCH), o.filter(day < LAST_ORDER_BATCH))
+    facts = star.fact_order_items_table(spark, _scratch(spark, "facts"), before.schema)
     facts.replace(before, ["order_item_id"])
     rfml = _written(spark, "rfml", _ratings_for_ml(spark, sf))
     old = star.fact_product_ratings(staging.stg_ratings(rfml.filter(day < LAST_RATING_DAY)))

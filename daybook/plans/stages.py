@@ -148,10 +148,10 @@ def ratings_state_table(spark: SparkSession, lake: Lake, buckets: int = 256) ->
 
 
 def model_table(spark: SparkSession, lake: Lake, name: str, schema: StructType, key: str) -> PartitionedTable:
-    """Facts by month of the order or rating, dimensions by a hash bucket of their key. An order line's key
-    holds its order number, a rating's key its time (and so its month)."""
+    """Facts by month of the order or rating, dimensions by a hash bucket of their key. A rating's key holds its
+    time (and so its month)."""
     if name == "fact_order_items":
-        return PartitionedTable(spark, lake.models(name), schema, "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"])
+        return star.fact_order_items_table(spark, lake.models(name), schema)
     if name == "fact_product_ratings":
         return PartitionedTable(spark, lake.models(name), schema, "rating_month", by=F.date_format("rating_timestamp", "yyyy-MM"), of_keys=True)
     return PartitionedTable(spark, lake.models(name), schema, "bucket", by=F.pmod(F.xxhash64(key), F.lit(64)), of_keys=True)
@@ -341,7 +341,7 @@ def build_star(spark: SparkSession, ctx: RunContext, lake: Lake, full_refresh: b
         if name == "dim_products":
             return star.dim_products(staging.stg_products(cur["products"]))
         if name == "fact_order_items":
-            return star.fact_order_items(staging.stg_orderdetails(cur["orderdetails"]), staging.stg_orders(cur["orders"]))
+            return star.fact_order_items_of(cur["orderdetails"], cur["orders"])
         return star.fact_product_ratings(staging.stg_ratings(rfml))
 
     def fresh(name: str) -> DataFrame:

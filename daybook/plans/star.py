@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daybook.functions import date_key, month_name, surrogate_key, ts_text, weekday_sun0
 from daybook.operators.upsert import upsert
+from daybook.sinks.tables import PartitionedTable
 from daybook.spec import RATING_KEYS
 
 
@@ -38,6 +40,22 @@ def fact_order_items(stg_orderdetails: DataFrame, stg_orders: DataFrame, process
     )
 
 
+def fact_order_items_of(curated_orderdetails: DataFrame, curated_orders: DataFrame) -> DataFrame:
+    """``fact_order_items`` of curated tables. The lines are dealt by order before they are ranked, so that
+    ranking and join share one shuffle."""
+    from daybook.plans import staging
+
+    return fact_order_items(staging.stg_orderdetails(curated_orderdetails.repartition("orderNumber")), staging.stg_orders(curated_orders))
+
+
+def fact_order_items_table(spark: SparkSession, path: str, schema: StructType) -> PartitionedTable:
+    """Order lines by month of their order. A line's key holds its order number; key and day key follow one to one
+    from the number of order and line, and from the day."""
+    derived = {"order_item_id": (["order_number", "order_line_number"], surrogate_key(F.col("order_number"), F.col("order_line_number"))),
+               "order_date_key": (["order_date"], date_key(F.col("order_date")))}
+    return PartitionedTable(spark, path, schema, "order_month", by=F.date_format("order_date", "yyyy-MM"), zone=["order_number"], derived=derived)
+
+
 def day_keys(curated: DataFrame, key: str, processing_date: str) -> DataFrame:
     """Distinct keys present in one day's partition (a pruned scan of that partition only)."""
     return curated.filter(F.col("processing_date") == processing_date).select(key).distinct()
@@ -51,14 +69,18 @@ def fact_order_items_slice(curated_orderdetails: DataFrame, curated_orders: Data
     either table, so both curated tables are first semi-joined to that (small) key set: all
     versions of the affected orders survive, which is what the staging ranking needs, and the
     OR filter is applied after the join exactly as before. The key set is the day's distinct
-    order numbers; AQE broadcasts it when small, so history is scanned but not shuffled.
+    order numbers; AQE broadcasts it when small, so history is scanned but not shuffled. A larger set is asked
+    through a filter first (sized by the day's rows, which are counted here): only affected orders are shuffled.
     """
+    from daybook.operators.prefilter import split_by_key
     from daybook.plans import staging
 
-    keys = (day_keys(curated_orderdetails, "orderNumber", processing_date)
-            .union(day_keys(curated_orders, "orderNumber", processing_date)).distinct())
-    d = staging.stg_orderdetails(curated_orderdetails.join(keys, "orderNumber", "left_semi"))
-    o = staging.stg_orders(curated_orders.join(keys, "orderNumber", "left_semi"))
+    both = (curated_orderdetails, curated_orders)
+    day = both[0].filter(F.col("processing_date") == processing_date).select("orderNumber").union(
+        both[1].filter(F.col("processing_date") == processing_date).select("orderNumber"))
+    n, keys = day.count(), day.distinct()
+    lines, orders = [split_by_key(df, day, ["orderNumber"], n)[0].join(keys, "orderNumber", "left_semi") for df in both]
+    d, o = staging.stg_orderdetails(lines), staging.stg_orders(orders)
     return fact_order_items(d, o, processing_date)
 
 

@@ -225,15 +225,21 @@ class PartitionedTable:
     version lies a summary of its partitions: the least and largest of these, and Bloom bitmaps of the keys. A
     merge asks it which partitions can hold a key of the source and looks for the keys in those alone (for a
     source so large that asking the filters is more work than reading the keys, the ranges alone decide).
+
+    ``derived``: columns that are computed one to one from others (null where one of these is null), as (these,
+    expression). A write moves the others and computes them where the rows end up, and a merge on such a key
+    compares the columns that it is computed from: a key of 32 hex digits would be most of what is shuffled.
     """
 
     BITS, HASHES, BITMAP = 16, 4, 32_768  # bits for each key, positions of a key, bits of one bitmap
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, partition: str, by: Column | None = None,
-                 of_keys: bool = False, name: str | None = None, zone: list[str] | None = None):
+                 of_keys: bool = False, name: str | None = None, zone: list[str] | None = None,
+                 derived: dict[str, tuple[list[str], Column]] | None = None):
         self.spark, self.path, self.partition, self.by, self.of_keys = spark, path.rstrip("/"), partition, by, of_keys
         self.name = name or f"daybook_{hashlib.md5(self.path.encode()).hexdigest()[:16]}"
         self.zone = zone
+        self.derived = {c: d for c, d in (derived or {}).items() if c in schema.names}
         self.columns = [f.name for f in schema.fields]
         part = [] if by is None else [StructField(partition, StringType())]
         self.schema = StructType([StructField(f.name, f.dataType) for f in schema.fields] + part)
@@ -357,7 +363,9 @@ class PartitionedTable:
         """Write the partitions of ``df`` to a new version; where they are."""
         version = f"{self.path}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         # the rebalance hint gathers a partition's rows (few files), and AQE splits a large one
-        df.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(version)
+        moved = df.drop(*self.derived).hint("rebalance", self.partition)
+        whole = moved.withColumns({c: value.cast(self.schema[c].dataType) for c, (_, value) in self.derived.items()})
+        whole.select(*self.schema.names).write.partitionBy(self.partition).option("compression", "zstd").parquet(version)
         if keys:
             self._summarise(version, keys)
         return {f: f"{version}/{f}" for f in self._folders(version) if f.startswith(f"{self.partition}=")}
@@ -365,7 +373,7 @@ class PartitionedTable:
     def replace(self, df: DataFrame, keys: list[str] | None = None) -> None:
         """Full refresh; ``keys``: of later merges, to summarise them now."""
         self._open()
-        places = self._write(self._placed(df), None if self.of_keys else keys)
+        places = self._write(self._placed(df), None if self.of_keys or not keys else self._compared(keys))
         self._switch(places)
         self._forget(set(self._current()) - set(places))
         self.vacuum()
@@ -375,25 +383,33 @@ class PartitionedTable:
 
         ``source`` is read several times: give a written or persisted frame. Touched partitions are
         the source's and those that hold a row whose key occurs in the source (looked for in the partitions that
-        may hold one, by their keys alone). Their distinct values reach the driver: a table has as many as its
-        layout has folders, never as many as rows.
+        may hold one and are not the source's, by their keys alone). Their distinct values reach the driver: a table
+        has as many as its layout has folders, never as many as rows.
         """
+        from daybook.operators.prefilter import split_by_key
         from daybook.operators.upsert import upsert
 
         self._open()
         self.vacuum()  # what a run that died left behind
-        source, stored, p = self._placed(source), self._stored().select(*self.schema.names), self.partition
-        touched = source.select(p)
-        likely = [] if self.of_keys else self._may_hold(source, keys)
-        obs = Observation(f"keys_{uuid.uuid4().hex[:8]}")
+        source, stored, p, keys = self._placed(source), self._stored().select(*self.schema.names), self.partition, self._compared(keys)
+        values = [r[0] for r in source.select(p).distinct().collect()]
+        current = set(self._current())
+        self.searched, likely = {"partitions": len(current), "likely": 0, "keys": 0}, []
+        # the source's own partitions are rewritten anyway
+        if not self.of_keys and (others := current - self._names(values)):
+            likely = self._may_hold(source, keys, others)
         if likely:
+            obs = Observation(f"keys_{uuid.uuid4().hex[:8]}")
             asked = stored.filter(self._inside(likely)).select(p, *[k for k in keys if k != p]).observe(obs, F.count(F.lit(1)).alias("n"))
-            touched = touched.union(asked.join(source.select(*keys).distinct(), list(keys), "left_semi").select(p))
-        values = [r[0] for r in touched.distinct().collect()]
-        self.searched["keys"] = int(obs.get["n"]) if likely else 0
+            held = asked.join(source.select(*keys).distinct(), list(keys), "left_semi").select(p)
+            values = [r[0] for r in source.select(p).union(held).distinct().collect()]
+            self.searched |= {"likely": len(likely), "keys": int(obs.get["n"])}
         if not values:
             return []
-        merged = upsert(stored.filter(self._inside(values)), source, keys, update_when, check_unique)
+        # only stored rows that may match are moved to the source's; derived columns are computed anew
+        stored, source = stored.filter(self._inside(values)).drop(*self.derived), source.drop(*self.derived)
+        likely, rest = split_by_key(stored, source, keys, source.dropna(subset=keys).count())
+        merged = upsert(likely, source, keys, update_when, check_unique).unionByName(rest)
         places = self._write(merged, None if self.of_keys else keys)
         self._switch(places)
         self._forget(self._names(values) - set(places))  # every row of the partition has moved to another one
@@ -404,8 +420,16 @@ class PartitionedTable:
         inside = F.col(self.partition).isin([v for v in values if v is not None])
         return F.coalesce(inside, F.lit(False)) | F.col(self.partition).isNull() if None in values else inside
 
+    def _compared(self, keys: list[str]) -> list[str]:
+        """The columns that a merge on these keys compares."""
+        return list(dict.fromkeys(c for k in keys for c in (self.derived[k][0] if k in self.derived else [k])))
+
     # --- which partitions can hold a key ---
 
+    def _blooms(self, keys: list[str]) -> str:
+        """Folder of the filters; those of a derived key are filters of other columns than the key's own would be."""
+        return "_blooms" if not self.derived else f"_blooms-{'-'.join(keys)}"
+
     def _positions(self, keys: list[str], bits: Column) -> Column:
         return F.array(*[F.pmod(F.xxhash64(F.lit(n), *keys), bits) for n in range(self.HASHES)])
 
@@ -422,18 +446,19 @@ class PartitionedTable:
         at = rows.select(p, *keys).join(F.broadcast(parts.select(F.col(p).alias("_p"), "bitmaps")), F.col(p).eqNullSafe(F.col("_p")))
         at = at.select(p, "bitmaps", F.explode(self._positions(keys, bits)).alias("at"))
         at.groupBy(p, "bitmaps", F.expr(f"at div {self.BITMAP}").alias("bitmap")).agg(
-            F.bitmap_construct_agg(F.col("at") % self.BITMAP).alias("bits")).write.parquet(f"{version}/_blooms")
+            F.bitmap_construct_agg(F.col("at") % self.BITMAP).alias("bits")).write.parquet(f"{version}/{self._blooms(keys)}")
 
-    def _may_hold(self, source: DataFrame, keys: list[str]) -> list:
-        """Partitions that can hold a key of the source: all those without a summary, and those whose ranges and
-        Bloom filter do not rule every key out."""
+    def _may_hold(self, source: DataFrame, keys: list[str], others: set[str]) -> list:
+        """Those of these partitions that can hold a key of the source: all without a summary, and those whose ranges
+        and Bloom filter do not rule every key out."""
         p, zone, jvm = self.partition, self.zone or keys, self.spark._jvm
         roots: dict[str, list[str]] = {}
         for folder, place in self._current().items():
+            if folder not in others:
+                continue
             roots.setdefault(place.rstrip("/").rsplit("/", 1)[0], []).append(folder)
-        versions = {root: folders for root, folders in roots.items() if path_exists(self.spark, f"{root}/_blooms/_SUCCESS")}
+        versions = {root: folders for root, folders in roots.items() if path_exists(self.spark, f"{root}/{self._blooms(keys)}/_SUCCESS")}
         unknown = [f for root, folders in roots.items() if root not in versions for f in folders]
-        n = sum(map(len, roots.values()))
         utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
 
         def value(folder: str):
@@ -474,7 +499,7 @@ class PartitionedTable:
                                      *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], size)
                 at = asked.withColumn("at", F.explode(self._positions([f"_k{i}" for i in range(len(keys))], F.col("bitmaps") * F.lit(self.BITMAP))))
                 at = at.withColumn("bitmap", F.expr(f"at div {self.BITMAP}"))
-                blooms = of("_blooms").join(F.broadcast(near.withColumnRenamed("bitmaps", "_n").withColumnRenamed(p, "_p")), F.col(p).eqNullSafe(F.col("_p")))
+                blooms = of(self._blooms(keys)).join(F.broadcast(near.withColumnRenamed("bitmaps", "_n").withColumnRenamed(p, "_p")), F.col(p).eqNullSafe(F.col("_p")))
                 hit = at.join(blooms, ["bitmaps", "bitmap"])
                 for i in range(len(zone)):
                     hit = hit.filter(F.col(f"_{i}").between(F.col(f"zone_{i}.low"), F.col(f"zone_{i}.high")))
@@ -485,7 +510,6 @@ class PartitionedTable:
                 wanted = at.groupBy("key", "bitmaps").agg(F.count_distinct("at").alias("wanted"))
                 held = held.join(wanted, ["key", "bitmaps"]).filter(F.col("n") == F.col("wanted"))
                 likely += [r[0] for r in held.select(F.col(p).cast(typed)).distinct().collect()]
-        self.searched = {"partitions": n, "likely": len(likely)}
         return likely
 
 
@@ -502,5 +526,5 @@ def _place(path: str) -> str:
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Full refresh of an unpartitioned table (small models, marts, reports); returns it as written."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
