@@ -40,12 +40,12 @@ def fact_order_items(stg_orderdetails: DataFrame, stg_orders: DataFrame, process
     )
 
 
-def fact_order_items_of(curated_orderdetails: DataFrame, curated_orders: DataFrame) -> DataFrame:
+def fact_order_items_of(curated_orderdetails: DataFrame, curated_orders: DataFrame, processing_date: str | None = None) -> DataFrame:
     """``fact_order_items`` of curated tables. The lines are dealt by order before they are ranked, so that
     ranking and join share one shuffle."""
     from daybook.plans import staging
 
-    return fact_order_items(staging.stg_orderdetails(curated_orderdetails.repartition("orderNumber")), staging.stg_orders(curated_orders))
+    return fact_order_items(staging.stg_orderdetails(curated_orderdetails.repartition("orderNumber")), staging.stg_orders(curated_orders), processing_date)
 
 
 def fact_order_items_table(spark: SparkSession, path: str, schema: StructType) -> PartitionedTable:
