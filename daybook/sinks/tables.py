@@ -231,6 +231,7 @@ class PartitionedTable:
     compares the columns that it is computed from: a key of 32 hex digits would be most of what is shuffled.
     """
 
+    FILES, SMALL = 8, 16_000_000  # files, and bytes of one on average, from which a merge gathers a partition's rows anew
     BITS, HASHES, BITMAP = 16, 4, 32_768  # bits for each key, positions of a key, bits of one bitmap
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, partition: str, by: Column | None = None,
@@ -346,7 +347,7 @@ class PartitionedTable:
         self._open()
         if not values:
             return
-        places = self._write(self._placed(df), None)
+        places = self._write(self._gathered(self._placed(df)), None)
         self._switch(places)
         self._forget(self._names(values) - set(places))
         self.vacuum()
@@ -359,12 +360,26 @@ class PartitionedTable:
         df = df.select(*self.columns)
         return df if self.by is None else df.withColumn(self.partition, self.by.cast("string"))
 
+    def _gathered(self, df: DataFrame) -> DataFrame:
+        """The rebalance hint gathers a partition's rows (few files), and AQE splits a large one."""
+        return df.drop(*self.derived).hint("rebalance", self.partition)
+
+    def _scattered(self, values: list) -> list:
+        """Those of these partitions that lie in many small files."""
+        out, places, jvm = [], self._current(), self.spark._jvm
+        for v in values:
+            place = places.get(next(iter(self._names([v]))))
+            if place:
+                path = jvm.org.apache.hadoop.fs.Path(place)
+                s = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path)
+                if s.getFileCount() > self.FILES and s.getLength() < s.getFileCount() * self.SMALL:
+                    out.append(v)
+        return out
+
     def _write(self, df: DataFrame, keys: list[str] | None) -> dict[str, str]:
-        """Write the partitions of ``df`` to a new version; where they are."""
+        """Write the partitions of ``df``, whose rows are gathered, to a new version; where they are."""
         version = f"{self.path}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        # the rebalance hint gathers a partition's rows (few files), and AQE splits a large one
-        moved = df.drop(*self.derived).hint("rebalance", self.partition)
-        whole = moved.withColumns({c: value.cast(self.schema[c].dataType) for c, (_, value) in self.derived.items()})
+        whole = df.withColumns({c: value.cast(self.schema[c].dataType) for c, (_, value) in self.derived.items()})
         whole.select(*self.schema.names).write.partitionBy(self.partition).option("compression", "zstd").parquet(version)
         if keys:
             self._summarise(version, keys)
@@ -373,7 +388,7 @@ class PartitionedTable:
     def replace(self, df: DataFrame, keys: list[str] | None = None) -> None:
         """Full refresh; ``keys``: of later merges, to summarise them now."""
         self._open()
-        places = self._write(self._placed(df), None if self.of_keys or not keys else self._compared(keys))
+        places = self._write(self._gathered(self._placed(df)), None if self.of_keys or not keys else self._compared(keys))
         self._switch(places)
         self._forget(set(self._current()) - set(places))
         self.vacuum()
@@ -409,7 +424,10 @@ class PartitionedTable:
         # only stored rows that may match are moved to the source's; derived columns are computed anew
         stored, source = stored.filter(self._inside(values)).drop(*self.derived), source.drop(*self.derived)
         likely, rest = split_by_key(stored, source, keys, source.dropna(subset=keys).count())
-        merged = upsert(likely, source, keys, update_when, check_unique).unionByName(rest)
+        # rows that stay lie by partition already: only those of partitions in many small files are gathered anew
+        many = F.coalesce(self._inside(self._scattered(values)), F.lit(False))
+        changed = upsert(likely, source, keys, update_when, check_unique).unionByName(rest.filter(many))
+        merged = self._gathered(changed).unionByName(rest.filter(~many))
         places = self._write(merged, None if self.of_keys else keys)
         self._switch(places)
         self._forget(self._names(values) - set(places))  # every row of the partition has moved to another one

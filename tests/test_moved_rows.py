@@ -80,3 +80,18 @@ def test_lines_are_dealt_once_for_ranking_and_join(spark):
         assert df.count() == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_that_stay_are_not_gathered_again_until_their_files_are_many(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(PartitionedTable, "FILES", 3)
+    gathered, gather = [], PartitionedTable._gathered
+    monkeypatch.setattr(PartitionedTable, "_gathered", lambda self, df: (gathered.append(df.count()), gather(self, df))[1])
+    table = star.fact_order_items_table(spark, os.path.join(tmp_dir, "f"), StructType.fromDDL(FACTS))
+    table.replace(facts(spark, [*((o, 1, f"2024-0{1 + o % 2}-15", 1) for o in range(400)), (3000, 1, None, 1)]), ["order_item_id"])
+    want, files = dict.fromkeys([*range(400), 3000], 1), []
+    for n in range(6):
+        table.merge(facts(spark, [(2 * n, 1, "2024-01-15", 5), (1000 + n, 1, "2024-01-15", 5), (2000 + n, 1, None, 5)]), ["order_item_id"])
+        want |= {2 * n: 5, 1000 + n: 5, 2000 + n: 5}
+        assert dict(rows(table.read(), "order_number", "quantity_ordered")) == want
+        files.append(len([f for f in spark.table(table.name).filter("order_month = '2024-01'").inputFiles()]))
+    assert gathered[1] < 30 and max(gathered[1:]) >= 200 and max(files) <= 4
