@@ -371,8 +371,9 @@ class PartitionedTable:
             place = places.get(next(iter(self._names([v]))))
             if place:
                 path = jvm.org.apache.hadoop.fs.Path(place)
-                s = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path)
-                if s.getFileCount() > self.FILES and s.getLength() < s.getFileCount() * self.SMALL:
+                found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
+                sizes = [s.getLen() for s in found if s.getPath().getName()[0] not in "_."]
+                if len(sizes) > self.FILES and sum(sizes) < len(sizes) * self.SMALL:
                     out.append(v)
         return out
 

@@ -83,7 +83,7 @@ def test_lines_are_dealt_once_for_ranking_and_join(spark):
 
 
 def test_rows_that_stay_are_not_gathered_again_until_their_files_are_many(spark, tmp_dir, monkeypatch):
-    monkeypatch.setattr(PartitionedTable, "FILES", 3)
+    monkeypatch.setattr(PartitionedTable, "FILES", 1)
     gathered, gather = [], PartitionedTable._gathered
     monkeypatch.setattr(PartitionedTable, "_gathered", lambda self, df: (gathered.append(df.count()), gather(self, df))[1])
     table = star.fact_order_items_table(spark, os.path.join(tmp_dir, "f"), StructType.fromDDL(FACTS))
