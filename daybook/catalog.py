@@ -536,7 +536,7 @@ def _merged(spark, name, target, source, keys, partition, update_when=None, by=N
 def _merged_into(spark, name, table, target, source, keys, update_when=None):
     """``target`` written as a partitioned table, ``source`` merged into it, and the table read back."""
     table.replace(target, keys)
-    table.merge(_written(spark, f"{name}_source", source), keys, update_when, check_unique=True)
+    table.merge(_written(spark, f"{name}_source", source.drop(*table.derived)), keys, update_when, check_unique=True)
     return table.read()
 
 
@@ -642,7 +642,8 @@ def _grown_marts(spark, sf):
               (marts.rating_months_table(spark, _scratch(spark, "stars")), rated, marts.rating_months)]
     for table, source, build in tables:
         marts.refresh_months(table, source, build, None)
-    months = facts.merge(_written(spark, "slice", star.fact_order_items_slice(d, o, LAST_ORDER_BATCH)), ["order_item_id"])
+    fresh = star.fact_order_items_slice(d, o, LAST_ORDER_BATCH).drop(*facts.derived)
+    months = facts.merge(_written(spark, "slice", fresh), ["order_item_id"])
     rating_months = rated.merge(_written(spark, "new_ratings", star.fact_product_ratings_slice(rfml, LAST_RATING_DAY)), ["rating_id"])
     return [marts.refresh_months(table, source, build, rating_months if source is rated else months) for table, source, build in tables]
 

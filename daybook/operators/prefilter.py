@@ -12,18 +12,18 @@ from pyspark.sql.types import DateType, IntegralType, StringType, TimestampType
 BITS, HASHES, BLOCK, MOST = 8, 4, 32_768, 16_384
 
 
-def split_by_key(df: DataFrame, lookup: DataFrame, keys: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key may be among those of ``lookup``, rows whose key surely is not); together the rows of ``df``.
+def flag_by_key(df: DataFrame, lookup: DataFrame, keys: Sequence[str], n: int, flag: str) -> DataFrame | None:
+    """``df`` with a column ``flag``: false where the row's key surely is not among those of ``lookup``.
 
     ``n``: at least the number of distinct keys in ``lookup``; repeated ones do no harm. A key with a NULL is
-    in neither. A lookup too large for a filter, or with keys whose equal values may be stored otherwise
-    (other types, floats), leaves every row in the first part.
+    in neither. None if the lookup is too large for a filter, or has keys whose equal values may be stored
+    otherwise (other types, floats).
     """
     same = all(df.schema[k].dataType == lookup.schema[k].dataType and isinstance(df.schema[k].dataType, (IntegralType, StringType, DateType, TimestampType))
                for k in keys)
     blocks = -(-max(n, 1) * BITS // BLOCK)
     if not same or blocks > MOST:
-        return df, df.filter(F.lit(False))
+        return None
     block = F.pmod(F.xxhash64(*keys), F.lit(blocks))
     # all positions of a key lie in one block, so that a row meets one row of the filter
     places = F.xxhash64(F.lit(1), *keys)
@@ -43,5 +43,15 @@ def split_by_key(df: DataFrame, lookup: DataFrame, keys: Sequence[str], n: int)
         where = position(F.col("_places"), i)
         byte = F.conv(F.hex(F.substring("_bits", F.shiftright(where, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         may &= F.getbit(byte, where.bitwiseAND(F.lit(7)).cast("int")) == 1
-    may = F.coalesce(may, F.lit(False))
-    return found.filter(may).select(*df.columns), found.filter(~may).select(*df.columns)
+    return found.select(*df.columns, F.coalesce(may, F.lit(False)).alias(flag))
+
+
+def split_by_key(df: DataFrame, lookup: DataFrame, keys: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among those of ``lookup``, rows whose key surely is not); together the rows of ``df``.
+
+    Without a filter (see ``flag_by_key``) every row is in the first part.
+    """
+    found = flag_by_key(df, lookup, keys, n, "_may")
+    if found is None:
+        return df, df.filter(F.lit(False))
+    return found.filter("_may").drop("_may"), found.filter("not _may").drop("_may")

@@ -363,7 +363,7 @@ def build_star(spark: SparkSession, ctx: RunContext, lake: Lake, full_refresh: b
             # slices are unique on the model key by construction: no duplicate-source check
             obs = Observation(f"merged_{name}")
             part = fresh(name).withColumn(FV.MODEL_BUILD_TS_COLUMN, ctx.now()).observe(obs, F.count(F.lit(1)).alias("n"))
-            changed[name] = table.merge(_staged(part, lake, name), [key], check_unique=False)
+            changed[name] = table.merge(_staged(part.drop(*table.derived), lake, name), [key], check_unique=False)
             merged += int(obs.get["n"])
         out[name], tables[name] = table.read(), table
     out["dim_date"] = replace_table(star.dim_date(out["fact_order_items"]), lake.models("dim_date"))

@@ -70,18 +70,31 @@ def fact_order_items_slice(curated_orderdetails: DataFrame, curated_orders: Data
     versions of the affected orders survive, which is what the staging ranking needs, and the
     OR filter is applied after the join exactly as before. The key set is the day's distinct
     order numbers; AQE broadcasts it when small, so history is scanned but not shuffled. A larger set is asked
-    through a filter first (sized by the day's rows, which are counted here): only affected orders are shuffled.
+    through a filter first (sized by the day's rows, which are counted here): only affected orders are shuffled,
+    and of the lines only those of the day's orders and all versions of the day's lines.
     """
     from daybook.operators.prefilter import split_by_key
     from daybook.plans import staging
 
-    both = (curated_orderdetails, curated_orders)
-    day = both[0].filter(F.col("processing_date") == processing_date).select("orderNumber").union(
-        both[1].filter(F.col("processing_date") == processing_date).select("orderNumber"))
-    n, keys = day.count(), day.distinct()
-    lines, orders = [split_by_key(df, day, ["orderNumber"], n)[0].join(keys, "orderNumber", "left_semi") for df in both]
-    d, o = staging.stg_orderdetails(lines), staging.stg_orders(orders)
-    return fact_order_items(d, o, processing_date)
+    d, o = [df.filter(F.col("processing_date") == processing_date) for df in (curated_orderdetails, curated_orders)]
+    n_lines, n_orders = d.count(), o.count()
+    day = d.select("orderNumber").union(o.select("orderNumber"))
+    keys = day.distinct()
+    lines = _lines_of_day(curated_orderdetails, d, o, n_lines, n_orders).join(keys, "orderNumber", "left_semi")
+    orders = split_by_key(curated_orders, day, ["orderNumber"], n_lines + n_orders)[0].join(keys, "orderNumber", "left_semi")
+    return fact_order_items(staging.stg_orderdetails(lines), staging.stg_orders(orders), processing_date)
+
+
+def _lines_of_day(lines: DataFrame, day_lines: DataFrame, day_orders: DataFrame, n_lines: int, n_orders: int) -> DataFrame:
+    """Lines of the day's orders and all versions of the day's lines, with few others: what a slice ranks. A line of
+    neither is never in the slice, even if another line of its order came on the day."""
+    from daybook.operators.prefilter import flag_by_key
+
+    # a line number may be NULL (versions of such lines are ranked together): both numbers as one hash, which never is
+    line = F.xxhash64("orderNumber", "orderLineNumber").alias("_line")
+    found = flag_by_key(lines.select("*", line), day_lines.select(line), ["_line"], n_lines, "_sent")
+    found = found if found is None else flag_by_key(found, day_orders, ["orderNumber"], n_orders, "_ordered")
+    return lines if found is None else found.filter("_sent or _ordered").select(*lines.columns)
 
 
 def dim_slice(curated: DataFrame, key: str, processing_date: str, stage_fn, dim_fn) -> DataFrame:

@@ -229,6 +229,7 @@ class PartitionedTable:
     ``derived``: columns that are computed one to one from others (null where one of these is null), as (these,
     expression). A write moves the others and computes them where the rows end up, and a merge on such a key
     compares the columns that it is computed from: a key of 32 hex digits would be most of what is shuffled.
+    Frames to be written may lack them.
     """
 
     FILES, SMALL = 8, 16_000_000  # files, and bytes of one on average, from which a merge gathers a partition's rows anew
@@ -342,12 +343,13 @@ class PartitionedTable:
         self._open()
         return self._stored().filter(self._inside(values)).select(*self.columns)
 
-    def replace_partitions(self, df: DataFrame, values: list) -> None:
-        """Replace these partitions by the rows of ``df``, which are all of them; one without rows goes."""
+    def replace_partitions(self, df: DataFrame, values: list, dealt: bool = False) -> None:
+        """Replace these partitions by the rows of ``df``, which are all of them; one without rows goes.
+        ``dealt``: a partition's rows lie in few tasks already."""
         self._open()
         if not values:
             return
-        places = self._write(self._gathered(self._placed(df)), None)
+        places = self._write(self._placed(df) if dealt else self._gathered(self._placed(df)), None)
         self._switch(places)
         self._forget(self._names(values) - set(places))
         self.vacuum()
@@ -357,7 +359,7 @@ class PartitionedTable:
         return {utils.getPartitionPathString(self.partition, None if v is None else str(v)) for v in values}
 
     def _placed(self, df: DataFrame) -> DataFrame:
-        df = df.select(*self.columns)
+        df = df.select(*[c for c in self.columns if c in df.columns or c not in self.derived])
         return df if self.by is None else df.withColumn(self.partition, self.by.cast("string"))
 
     def _gathered(self, df: DataFrame) -> DataFrame:
@@ -386,10 +388,10 @@ class PartitionedTable:
             self._summarise(version, keys)
         return {f: f"{version}/{f}" for f in self._folders(version) if f.startswith(f"{self.partition}=")}
 
-    def replace(self, df: DataFrame, keys: list[str] | None = None) -> None:
-        """Full refresh; ``keys``: of later merges, to summarise them now."""
+    def replace(self, df: DataFrame, keys: list[str] | None = None, dealt: bool = False) -> None:
+        """Full refresh; ``keys``: of later merges, to summarise them now; ``dealt``: see ``replace_partitions``."""
         self._open()
-        places = self._write(self._gathered(self._placed(df)), None if self.of_keys or not keys else self._compared(keys))
+        places = self._write(self._placed(df) if dealt else self._gathered(self._placed(df)), None if self.of_keys or not keys else self._compared(keys))
         self._switch(places)
         self._forget(set(self._current()) - set(places))
         self.vacuum()
