@@ -363,8 +363,11 @@ class PartitionedTable:
         return df if self.by is None else df.withColumn(self.partition, self.by.cast("string"))
 
     def _gathered(self, df: DataFrame) -> DataFrame:
-        """The rebalance hint gathers a partition's rows (few files), and AQE splits a large one."""
-        return df.drop(*self.derived).hint("rebalance", self.partition)
+        """The rebalance hint gathers a partition's rows (few files), and AQE splits a large one. Text columns go first:
+        rows that follow one another are alike in most of the others, which then are packed as one run."""
+        df = df.drop(*self.derived)
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+        return df.select(*text, *[c for c in df.columns if c not in text]).hint("rebalance", self.partition)
 
     def _scattered(self, values: list) -> list:
         """Those of these partitions that lie in many small files."""
